@@ -44,19 +44,20 @@ def missing_kinds(artefacts: DataFrame, keys: list[str], kind: str, required: tu
     return masks.select(*keys, F.explode(absent).alias("_w")).select(*keys, F.col("_w.kind").alias("missing_kind"))
 
 
-def provisional_days(stored: DataFrame, listed: DataFrame, day: str = "day", mode: str = "source_mode") -> DataFrame:
+def provisional_days(stored: DataFrame, listed: DataFrame, keys: list[str], mode: str = "source_mode") -> DataFrame:
     """Days stored without a listing for which the listing has arrived since."""
     waiting = stored.where(F.col(mode) == "journal-only")
-    return waiting.join(listed.select(day).distinct(), day, "left_semi")
+    return waiting.join(listed.select(*keys).distinct(), keys, "left_semi")
 
 
 def trailing_windows(daily: DataFrame, keys: list[str], value: str, day: str = "day",
                      windows: tuple[tuple[str, int], ...] = V.TRAILING_WINDOWS) -> DataFrame:
     """Sums over the days within N days of the latest one, for every window.
 
-    ``daily`` is already one row per day and key; the latest day is a scalar subquery.
+    ``daily`` is already one row per day and key, so finding the latest day over all of
+    its rows is small work.
     """
-    latest = daily.agg(F.max(day)).scalar()
+    latest = F.max(day).over(W.partitionBy())
     defs = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(n).alias("days")) for label, n in windows])
     inside = F.filter(defs, lambda w: F.col(day) > F.date_sub(F.col("_latest"), w["days"]))
     rows = daily.withColumn("_latest", latest).select(*keys, value, F.explode(inside).alias("_w"))

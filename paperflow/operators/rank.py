@@ -38,15 +38,24 @@ def leaders(papers: DataFrame, group: str, order: list[Column], per_group: int =
 
 
 def top_and_bottom(counts: DataFrame, value: str, rank: str, top: int = 3, bottom: int = 2) -> DataFrame:
-    """The largest and smallest groups; ties follow the dictionary order.  ``counts`` is one row per bucket."""
-    upper = counts.orderBy(F.desc(value), F.asc(rank)).limit(top).withColumn("side", F.lit("top"))
-    lower = counts.orderBy(F.asc(value), F.asc(rank)).limit(bottom).withColumn("side", F.lit("bottom"))
-    return upper.unionByName(lower)
+    """The largest and smallest groups; ties follow the dictionary order.
+
+    ``counts`` is one row per dictionary bucket, so ranking it twice over all rows is
+    cheaper than computing it twice.
+    """
+    down = F.row_number().over(W.orderBy(F.desc(value), F.asc(rank)))
+    up = F.row_number().over(W.orderBy(F.asc(value), F.asc(rank)))
+    ranked = counts.withColumn("_down", down).withColumn("_up", up)
+    sides = F.array_compact(F.array(F.when(F.col("_down") <= top, F.lit("top")), F.when(F.col("_up") <= bottom, F.lit("bottom"))))
+    return ranked.withColumn("side", F.explode(sides)).drop("_down", "_up")
 
 
 def bar_widths(counts: DataFrame, name: str, value: str, catch_all: str = V.CATCH_ALL_BUCKET) -> DataFrame:
-    """Percent of the largest bucket other than the catch-all, which is always 100; zero stays zero."""
-    largest = counts.where(F.col(name) != catch_all).agg(F.max(value)).scalar()
+    """Percent of the largest bucket other than the catch-all, which is always 100; zero stays zero.
+
+    ``counts`` is one row per dictionary bucket.
+    """
+    largest = F.max(F.when(F.col(name) != catch_all, F.col(value))).over(W.partitionBy())
     share = F.when(F.col("_max") > 0, F.floor((F.col(value) * 200 + F.col("_max")) / (2 * F.col("_max")))).otherwise(0)
     width = F.when(F.col(name) == catch_all, F.lit(100)).otherwise(share)
     return counts.withColumn("_max", largest).withColumn("width", width.cast("bigint")).drop("_max")

@@ -107,11 +107,13 @@ def hot_cold(weekly: DataFrame, group: str, week: str = "week_start", value: str
     A group absent in one of the two weeks counts as zero there, so it can still turn hot or cold.
     """
     counts = weekly.groupBy(group, week).agg(F.sum(value).cast("bigint").alias("n"))
-    last = weekly.agg(F.max(week)).scalar()
-    shifted = counts.select(group, F.date_add(week, 7).alias(week), F.lit(0).cast("bigint").alias("n"), F.col("n").alias("prev_n"))
-    shifted = shifted.where(F.col(week) <= last)
+    zero = F.lit(0).cast("bigint")
+    # every count serves twice: in its own week and as the past of the week after
+    both = F.array(F.struct(F.col(week).alias(week), F.col("n").alias("n"), zero.alias("prev_n")),
+                   F.struct(F.date_add(week, 7).alias(week), zero.alias("n"), F.col("n").alias("prev_n")))
     merged = (
-        counts.withColumn("prev_n", F.lit(0).cast("bigint")).unionByName(shifted)
+        counts.withColumn("_last", F.max(week).over(W.partitionBy()))
+        .select(group, "_last", F.inline(both)).where(F.col(week) <= F.col("_last"))
         .groupBy(group, week).agg(F.sum("n").alias("n"), F.sum("prev_n").alias("prev_n"))
     )
     merged = merged.withColumn("delta", F.col("n") - F.col("prev_n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -17,11 +18,15 @@ def contrast(rows: DataFrame, item: str, side: Column, left: str, right: str) ->
     return flags.select(item, kind.alias("kind"))
 
 
-def watch_candidates(counts: DataFrame, leading: DataFrame, name: str, value: str,
-                     watched: tuple[str, ...], at_least: int = 2) -> DataFrame:
-    """Watched buckets with enough papers that are not among the leading ones."""
-    small = counts.where(F.col(name).isin(*watched) & (F.col(value) >= at_least))
-    return small.join(leading.select(name), name, "left_anti")
+def watch_candidates(counts: DataFrame, name: str, value: str, rank: str, watched: tuple[str, ...],
+                     leading: int = 3, at_least: int = 2) -> DataFrame:
+    """Watched buckets with enough papers that are not among the ``leading`` ones.
+
+    ``counts`` is one row per dictionary bucket.
+    """
+    place = F.row_number().over(W.orderBy(F.desc(value), F.asc(rank)))
+    return counts.withColumn("_place", place).where(
+        F.col(name).isin(*watched) & (F.col(value) >= at_least) & (F.col("_place") > leading)).drop("_place")
 
 
 def crossover_pairs(df: DataFrame, hits: Column, names: list[str]) -> DataFrame:

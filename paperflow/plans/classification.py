@@ -166,8 +166,7 @@ SELECT bucket, total FROM summary WHERE total >= 2 AND bucket NOT IN (SELECT buc
   AND bucket IN ('Lensless/Coded Imaging', 'Virtual Staining/Pathology', 'Light-Field/Novel Sensors', 'Meta-Optics/Diffractive')""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     counts = _summary(spark, folder)
-    leading = counts.orderBy(F.desc("total"), "bucket_rank").limit(3)
-    return sets.watch_candidates(counts, leading, "bucket", "total", V.WATCHED_BUCKETS).select("bucket", "total")
+    return sets.watch_candidates(counts, "bucket", "total", "bucket_rank", V.WATCHED_BUCKETS).select("bucket", "total")
 
 
 _pairs = " UNION ALL ".join(
@@ -210,14 +209,5 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @job("classified_doc", """WITH @SUMMARY@, t AS (SELECT count(*) AS doc_total, count(*) FILTER (bucket <> '') AS doc_selected FROM classified)
 SELECT bucket, total, by_badge, doc_total, doc_selected FROM summary, t""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = classified(spark, folder).groupBy("bucket", "badge").agg(F.count("*").alias("n"))
-    # at most buckets x badges rows from here on
-    sums = rows.agg(F.sum("n").alias("doc_total"), F.sum(F.when(F.col("bucket") != "", F.col("n")).otherwise(0)).alias("doc_selected"))
-    pairs = F.sort_array(F.collect_list(F.struct("badge", "n")))
-    per = rows.where(F.col("bucket") != "").groupBy("bucket").agg(F.sum("n").alias("total"), pairs.alias("p"))
-    text = F.array_join(F.transform("p", lambda x: F.concat_ws(":", x["badge"], x["n"].cast("string"))), " ")
-    dimension = F.broadcast(classify.bucket_table(spark, BUCKETS))
-    return dimension.join(per, "bucket", "left").select(
-        "bucket", F.coalesce("total", F.lit(0)).cast("bigint").alias("total"), F.coalesce(text, F.lit("")).alias("by_badge"),
-        sums.select("doc_total").scalar().cast("bigint").alias("doc_total"),
-        sums.select("doc_selected").scalar().cast("bigint").alias("doc_selected"))
+    return classify.document_summary(classified(spark, folder), BUCKETS).select(
+        "bucket", "total", "by_badge", "doc_total", "doc_selected")

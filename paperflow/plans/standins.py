@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.papers import source_badge, unified_key
-from ..operators.classify import assign_bucket, paper_text
+from ..operators.classify import assign_bucket, once, paper_text
 from ..operators.dedup import first_wins
 from ..operators.listing import drop_replaced
 from ..sources.tables import table
@@ -50,13 +50,12 @@ def _by_lang(values: dict[str, str]):
 
 
 def papers(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select(
-        "doc_id", "text", "lang", "n_chars", F.md5("text").alias("h"),
-        F.substring("source", 4, 10).cast("int").alias("sn"))
-    first, text = F.substring("h", 1, 1), F.col("text")
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars", "source")
+    docs = once(docs, h=F.md5("text"), sn=F.substring("source", 4, 10).cast("int")).drop("source")
+    first = F.substring("h", 1, 1)
     doi = F.when(F.col("sn") < 10, "").when(F.col("sn") < 15, F.concat(F.lit("10.5555/"), F.upper(F.substring("h", 1, 12)))
                                             ).otherwise(F.concat(F.lit("10.5555/"), F.substring("h", 1, 12)))
-    staged = docs.withColumn("doi", doi).withColumn("title", F.substring_index("text", "\n", 1))
+    staged = once(docs, doi=doi, title=F.substring_index("text", "\n", 1))
     has_url = (F.col("doi") != "") & ((F.col("sn") >= 15) | (F.substring("h", 13, 1) > "7"))
     return staged.select(
         "doc_id", "lang", "n_chars", "h",
