@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import text_or_empty
+from ..session import small_side
 
 Dictionary = tuple[tuple[str, tuple[str, ...]], ...]
 
@@ -99,15 +100,16 @@ def assign_bucket_by_join(df: DataFrame, key: str, text: Column, keywords: DataF
     )
     text_grams = staged.select(key, F.explode(
         F.array_union(_grams(F.col("_text"), short), _grams(F.col("_text"), long))).alias("_gram"))
+    chosen = small_side(chosen, keywords)
     candidates = text_grams.join(chosen, "_gram").select(key, "bucket_rank", "bucket", "keyword")
     hits = (
-        candidates.join(staged, key)
+        candidates.join(staged.hint("merge"), key)
         .where(F.contains(F.col("_text"), F.col("keyword")))
         .groupBy(key, "bucket_rank", "bucket")
         .agg(F.count("*").alias("hits"))
     )
     best = hits.groupBy(key).agg(F.max_by("bucket", F.struct("hits", -F.col("bucket_rank"))).alias("bucket"))
-    return df.join(best, key, "left").withColumn("bucket", F.coalesce("bucket", F.lit("")))
+    return df.join(best.hint("merge"), key, "left").withColumn("bucket", F.coalesce("bucket", F.lit("")))
 
 
 def totals(papers: DataFrame) -> DataFrame:

@@ -80,5 +80,8 @@ def index_paper(work: Column) -> list[Column]:
 
 
 def look_back(df: DataFrame, day: Column, today: Column, days: int) -> DataFrame:
-    """Rows dated between ``today - days`` and ``today``, both ends included."""
-    return df.where(day.between(F.date_sub(today, days), today))
+    """Rows dated between ``today - days`` and ``today``, both days included.
+
+    ``day`` may be a timestamp: bounds on the bare column reach the scan.
+    """
+    return df.where((day >= F.date_sub(today, days)) & (day < F.date_add(today, 1)))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -57,3 +58,13 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def small_side(df: DataFrame, size_of: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Marks a join side for broadcast if ``size_of`` holds at most ``max_rows`` rows, else for a merge join.
+
+    ``size_of`` is the plain table the side is built from.  Plan estimates after a
+    chain of joins and explodes are far off in both directions, so the size is looked up.
+    """
+    small = size_of.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df.hint("merge")
