@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,14 +95,19 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
     prints = a.trends.select("day", fingerprint.alias("fingerprint"))
     before = prev.join(prints.select(F.col("day").alias("prev_day"), F.col("fingerprint").alias("prev_fingerprint")), "prev_day")
     html = text_or_empty(F.col("html"))
-    plain = strip_markup(F.col("html"), " ", "all")
-    posts = a.posts.groupBy("day").agg(F.first("html").alias("html")).select(
-        "day",
-        F.lit(True).alias("has_post"),
-        (F.contains(html, F.lit("<h1")) & F.contains(html, F.date_format("day", "yyyy-MM-dd"))).alias("has_heading"),
-        F.forall(F.array(*[F.lit(m) for m in markers]), lambda m: F.contains(F.col("html"), m)).alias("has_markers"),
-        F.exists(F.array(*[F.lit(p) for p in banned]), lambda p: F.contains(plain, p)).alias("has_banned"),
-        plain.rlike(geometry).alias("geometry_note"),
+    plain = F.col("_plain")
+    banned_found = [F.contains(plain, F.lit(p)) for p in banned]
+    posts = (
+        a.posts.groupBy("day").agg(F.first("html").alias("html"))
+        .withColumn("_plain", strip_markup(F.col("html"), " ", "all"))
+        .select(
+            "day",
+            F.lit(True).alias("has_post"),
+            (F.contains(html, F.lit("<h1")) & F.contains(html, F.date_format("day", "yyyy-MM-dd"))).alias("has_heading"),
+            reduce(and_, [F.contains(html, F.lit(m)) for m in markers]).alias("has_markers"),
+            reduce(or_, banned_found).alias("has_banned"),
+            plain.rlike(geometry).alias("geometry_note"),
+        )
     )
     trends = a.trends.withColumn("has_trends", F.lit(True)).withColumn("counts", counts).withColumn("fingerprint", fingerprint)
     wide = (

@@ -92,3 +92,20 @@ def turnover_under_title(rows: DataFrame, day: str, title: str, item: str) -> Da
     few = F.col("shared_titles") < V.MAX_REUSED_TITLES
     return out.withColumn("rename", few & (F.col("changed") * 2 >= F.col("ids"))).select(
         day, title, "ids", "changed", "shared_titles", "rename")
+
+
+def identical_batches(counts: DataFrame, ids: DataFrame, keys: list[str], day: str,
+                      category: str, value: str, item: str) -> DataFrame:
+    """Whether a day equals the previous existing day in all counts by category and in its set of ids.
+
+    Counts are few per day and are compared as one text; ids are compared by how many
+    the two days share.
+    """
+    pairs = F.sort_array(F.collect_list(F.concat_ws(":", category, F.col(value).cast("string"))))
+    prints = counts.groupBy(*keys, day).agg(F.array_join(pairs, " ").alias("_print"))
+    before = F.lag("_print").over(W.partitionBy(*keys).orderBy(day))
+    same_counts = prints.withColumn("same_counts", F.coalesce(F.col("_print") == before, F.lit(False))).drop("_print")
+    overlap = overlap_with_previous(ids, keys, day, item)
+    same_ids = (F.col("items") == F.col("prev_items")) & (F.col("items") == F.col("shared"))
+    joined = same_counts.join(overlap.withColumn("same_ids", same_ids), [*keys, day])
+    return joined.select(*keys, day, "same_counts", "same_ids", (F.col("same_counts") & F.col("same_ids")).alias("identical"))

@@ -1,6 +1,6 @@
 """Ready-made jobs over the driver's tables, each with an equivalent SQL text where SQL can say it."""
 
-from . import classification, markup, records  # noqa: F401
+from . import calendars, classification, enrichment, gates, markup, records, rollups, scans, streams  # noqa: F401
 from .catalog import JOBS, SQL
 
 
