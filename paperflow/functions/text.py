@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +29,19 @@ def ws(pattern: str) -> str:
     return pattern.replace(r"\s", WS)
 
 
+# The same characters as one string, for trimming without a regular expression.
+WS_CHARS = "".join(chr(c) for c in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
+def bind(col: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` applied to ``col``, which is computed once however often ``body`` reads it.
+
+    Inside array lambdas Spark would compute a repeated expression again for each use.
+    """
+    return F.get(F.transform(F.array(col), body), 0)
+
+
 def text_or_empty(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
 
@@ -40,7 +55,7 @@ def first_nonempty(*cols: Column) -> Column:
 
 
 def strip_ws(col: Column) -> Column:
-    return F.regexp_replace(col, f"^{WS}+|{WS}+$", "")
+    return F.btrim(col, F.lit(WS_CHARS))
 
 
 def collapse_ws(col: Column) -> Column:
@@ -102,7 +117,7 @@ def clip(col: Column, limit: int, ellipsis: bool = True) -> Column:
     """Keep ``limit`` characters; with ``ellipsis`` the mark counts as one of them."""
     if not ellipsis:
         return F.substring(col, 1, limit)
-    short = F.regexp_replace(F.substring(col, 1, limit - 1), f"{WS}+$", "")
+    short = F.rtrim(F.substring(col, 1, limit - 1), F.lit(WS_CHARS))
     return F.when(F.char_length(col) > limit, F.concat(short, F.lit("…"))).otherwise(col)
 
 

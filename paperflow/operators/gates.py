@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.text import strip_markup, text_or_empty
 from .calendar import previous_day
+from .classify import once
 from .sets import overlap_with_previous
 
 
@@ -53,12 +54,13 @@ def _whole(text: Column) -> Column:
 def banned_phrase_counts(posts: DataFrame, phrases: tuple[str, ...] = V.BANNED_PHRASES,
                          html: str = "html") -> DataFrame:
     """Occurrences of each banned phrase over all posts: one counter per phrase, one pass."""
-    text = strip_markup(F.col(html), " ", "all")
-    staged = posts.select(text.alias("_t"))
-    sums = [F.sum(F.size(F.split("_t", f"\\Q{p}\\E")) - 1).alias(f"p{i}") for i, p in enumerate(phrases)]
-    rows = F.array(*[F.struct(F.lit(p).alias("phrase"), F.coalesce(F.col(f"p{i}"), F.lit(0)).cast("bigint").alias("n"))
-                     for i, p in enumerate(phrases)])
-    return staged.agg(*sums).select(F.inline(rows))
+    text = once(posts.select(strip_markup(F.col(html), " ", "all").alias("_plain")), _t=F.col("_plain")).select("_t")
+    sums = [F.sum(F.char_length("_t") - F.char_length(F.replace("_t", F.lit(p), F.lit("")))).alias(f"p{i}")
+            for i, p in enumerate(phrases)]
+    rows = F.array(*[
+        F.struct(F.lit(p).alias("phrase"), F.floor(F.coalesce(F.col(f"p{i}"), F.lit(0)) / len(p)).cast("bigint").alias("n"))
+        for i, p in enumerate(phrases)])
+    return text.agg(*sums).select(F.inline(rows))
 
 
 def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,

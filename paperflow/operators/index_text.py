@@ -5,52 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_ws, text_or_empty
+from ..functions.text import bind, collapse_ws, text_or_empty
+
+# A position and the number of its index entry share one BIGINT, so that sorting
+# compares plain numbers; words and positions share one string for the same reason.
+_ENTRY_BITS = 31
+_PART = "\x00"
+_PAD = 10
 
 
 def index_to_text(index: Column) -> Column:
     """Words in position order with gaps closed; on a clash the later entry of the map wins."""
-    entries = F.map_entries(index)
-    placed = F.flatten(F.transform(entries, lambda e, i: F.transform(
-        F.coalesce(e["value"], F.array().cast("array<int>")),
-        lambda p: F.struct(p.alias("pos"), i.alias("entry"), e["key"].alias("word")))))
-    return F.coalesce(_last_per_position(placed), F.lit(""))
+    def placed(lists: Column) -> Column:
+        return F.sort_array(F.flatten(F.transform(lists, lambda positions, entry: F.transform(
+            F.coalesce(positions, F.array().cast("array<int>")),
+            lambda p: F.shiftleft(p.cast("bigint"), _ENTRY_BITS) + entry))))
 
+    def word_at(words: Column, codes: Column):
+        def one(code: Column, i: Column) -> Column:
+            following = F.get(codes, i + 1)
+            last = following.isNull() | (F.shiftright(following, _ENTRY_BITS) != F.shiftright(code, _ENTRY_BITS))
+            return F.when(last, F.get(words, code.bitwiseAND(F.lit((1 << _ENTRY_BITS) - 1)).cast("int")))
+        return one
 
-def _last_per_position(placed: Column) -> Column:
-    # One sort, then a fold that keeps only (count, last position, words); joining happens once.
-    ordered = F.sort_array(placed)
-    words = F.transform(ordered, lambda x: x["word"])
-    positions = F.transform(ordered, lambda x: x["pos"])
-    following = F.concat(F.slice(positions, 2, F.greatest(F.size(positions), F.lit(1))),
-                         F.array(F.lit(None).cast("int")))
-    pairs = F.arrays_zip(words.alias("w"), positions.alias("p"), following.alias("n"))
-    kept = F.filter(pairs, lambda x: x["n"].isNull() | (x["n"] != x["p"]))
-    return F.array_join(F.transform(kept, lambda x: x["w"]), " ")
+    text = bind(F.map_keys(index), lambda words: bind(placed(F.map_values(index)), lambda codes: F.array_join(
+        F.transform(codes, word_at(words, codes)), " ")))
+    return F.coalesce(text, F.lit(""))
 
 
 def text_to_index(df: DataFrame, text: str, out: str = "inv") -> DataFrame:
     """Word -> sorted positions as a map column.
 
-    Sorting (word, position) pairs inside the row makes equal words adjacent, so the
-    map is built from slices and no row leaves its task.
+    Sorting words with their positions makes equal words adjacent, so the map is built
+    from slices and no row leaves its task.
     """
     words = F.split(collapse_ws(text_or_empty(F.col(text))), " ")
-    pairs = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    staged = df.withColumn("_pairs", F.filter(pairs, lambda x: x["w"] != ""))
-    staged = staged.withColumn("_w", F.transform("_pairs", lambda x: x["w"])).withColumn(
-        "_i", F.transform("_pairs", lambda x: x["i"]))
-    previous = F.concat(F.array(F.lit(None).cast("string")), F.col("_w"))
-    marks = F.filter(
-        F.transform(F.arrays_zip(F.col("_w").alias("w"), previous.alias("b")),
-                    lambda x, k: F.when(x["w"].isNotNull() & (x["b"].isNull() | (x["b"] != x["w"])), k)),
-        lambda k: k.isNotNull())
-    staged = staged.withColumn("_starts", marks)
-    ends = F.concat(F.slice(F.col("_starts"), 2, F.greatest(F.size("_starts"), F.lit(1))),
-                    F.array(F.size("_pairs")))
-    staged = staged.withColumn("_spans", F.arrays_zip(F.col("_starts").alias("s"), ends.alias("e")))
-    spans = F.filter(F.col("_spans"), lambda x: x["s"].isNotNull())
-    entries = F.transform(spans, lambda x: F.struct(
-        F.get(F.col("_w"), x["s"]).alias("key"),
-        F.slice(F.col("_i"), x["s"] + 1, x["e"] - x["s"]).alias("value")))
-    return staged.withColumn(out, F.map_from_entries(entries)).drop("_pairs", "_w", "_i", "_starts", "_spans")
+    tagged = F.transform(F.filter(words, lambda w: w != ""), lambda w, i: F.concat(
+        w, F.lit(_PART), F.lpad(i.cast("string"), _PAD, "0")))
+
+    def entries(ordered: Column) -> Column:
+        keys = F.transform(ordered, lambda x: F.substring_index(x, _PART, 1))
+        places = F.transform(ordered, lambda x: F.right(x, F.lit(_PAD)).cast("int"))
+        return bind(keys, lambda k: bind(places, lambda p: bind(starts(k), lambda s: F.transform(s, lambda at, i: F.struct(
+            F.get(k, at).alias("key"),
+            F.slice(p, at + 1, F.coalesce(F.get(s, i + 1), F.size(p)) - at).alias("value"))))))
+
+    def starts(keys: Column) -> Column:
+        marks = F.transform(keys, lambda w, i: F.when((i == 0) | (w != F.get(keys, i - 1)), i))
+        return F.array_compact(marks)
+
+    return df.withColumn(out, F.map_from_entries(bind(F.sort_array(tagged), entries)))

@@ -70,8 +70,8 @@ def _hits_sql(text: str, buckets, source: str) -> str:
     return f"SELECT doc_id, {cols} FROM {source}"
 
 
-def _hits(df: DataFrame, buckets) -> DataFrame:
-    out = classify.with_hits(df, F.lower("text"), buckets)
+def _hits(df: DataFrame, buckets, batches: bool | None = None) -> DataFrame:
+    out = classify.with_hits(df, F.lower("text"), buckets, batches=batches)
     return out.select("doc_id", *[F.get("hits", i).alias(f"hit{i}") for i in range(len(buckets))])
 
 
@@ -80,6 +80,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _hits(spread(table(spark, folder, "documents").select("doc_id", "text")), BUCKETS)
 
 
+@job("keyword_hits_inline", _hits_sql("t", BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)"))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return _hits(spread(table(spark, folder, "documents").select("doc_id", "text")), BUCKETS, batches=False)
+
+
 @job("keyword_hits_fixed", _hits_sql("t", V.BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return _hits(spread(table(spark, folder, "documents").select("doc_id", "text")), V.BUCKETS)

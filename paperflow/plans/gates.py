@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..operators.gates import Artefacts, banned_phrase_counts, release_gates
 from ..operators.rollup import daily_series, whole_counts
+from ..session import spread
 from ..sources.tables import table
 from .catalog import define, job, sql_markup
 from .rollups import daily_maps
@@ -107,4 +108,4 @@ define(DOC_PLAIN=sql_markup("text"))
     f"SELECT '{p}' AS phrase, CAST(sum((length(t) - length(replace(t, '{p}', ''))) // {len(p)}) AS BIGINT) AS n FROM p"
     for p in PHRASES))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return banned_phrase_counts(table(spark, folder, "documents"), PHRASES, "text")
+    return banned_phrase_counts(spread(table(spark, folder, "documents").select("text")), PHRASES, "text")
