@@ -9,16 +9,17 @@ from ..functions.text import blank_to_null, strip_ws, text_or_empty
 from .dedup import first_wins
 
 
-def lookup(papers: DataFrame, works: DataFrame, key: Column, work_key: str, work_order: list[str]) -> DataFrame:
+def lookup(papers: DataFrame, works: DataFrame, key: Column, work_key: str, work_order: list[str],
+           row_id: str) -> DataFrame:
     """Left join, n:1.  ``matched`` tells whether a work was found.
 
     The works side keeps one row per key.  Papers without a key get a key of their own
-    that matches nothing, so they spread over all tasks instead of meeting in one.
+    that matches nothing (from ``row_id``), so they spread over all tasks instead of meeting in one.
     A key shared by very many papers is split by adaptive skew-join handling, which
     copies only the one matching work row.
     """
     right = first_wins(works, F.col(work_key), work_order).withColumnRenamed(work_key, "_lookup")
-    alone = F.concat(F.lit("\x00"), F.xxhash64(*[F.col(c) for c in papers.columns]).cast("string"))
+    alone = F.concat(F.lit("\x00"), F.col(row_id).cast("string"))
     left = papers.withColumn("_lookup", F.coalesce(blank_to_null(key), alone))
     right = right.withColumn("_hit", F.lit(True))
     return left.join(right, "_lookup", "left").withColumn("matched", F.coalesce("_hit", F.lit(False))).drop("_lookup", "_hit")

@@ -7,6 +7,7 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -69,15 +70,9 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
                   min_share: float = V.MIN_SELECTED_SHARE) -> DataFrame:
     """``day, rule, ok``: every rule for every day that has any artefact.
 
-    Each input shrinks to one row per day before the joins, so these joins are as
-    small as the calendar whatever the number of papers behind a day.
+    Each input shrinks to one row per day first, so what follows is as small as the
+    calendar whatever the number of papers behind a day.
     """
-    days = a.posts.select("day").union(a.trends.select("day")).union(a.insights.select("day")).distinct()
-    prev = previous_day(a.posts.select("day"), [])
-    has = {
-        "insights": a.insights.groupBy("day").agg(F.bool_and("readable").alias("insights_ok")),
-        "benchmarks": a.benchmarks.groupBy("day").agg(F.bool_and("readable").alias("benchmarks_ok")),
-    }
     first = F.col("pos") < V.CHECKED_CLUSTERS
     clusters = a.clusters.groupBy("day").agg(
         F.count("title").alias("titles"),
@@ -86,40 +81,42 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
         F.min(F.when(first, F.char_length(text_or_empty(F.col("why"))))).alias("shortest_why"),
         F.max(F.col("title").rlike(geometry)).alias("geometry_row"),
     )
+    prev = previous_day(a.posts.select("day"), [])
     title_overlap = overlap_with_previous(a.clusters, [], "day", "title", prev).select(
         "day", F.col("shared").alias("shared_titles"))
     id_overlap = overlap_with_previous(a.ids, [], "day", "id", prev).select(
         "day", ((F.col("items") == F.col("prev_items")) & (F.col("items") == F.col("shared"))).alias("same_ids"))
     strays = a.ids.groupBy("day").agg(
         F.count_if(F.substring("id", 1, 4) != F.date_format("day", "yyMM")).alias("stray_ids"))
-    counts = _sorted_counts(F.col("by_cat"))
-    fingerprint = F.concat_ws("|", counts, "scope", "total_scanned", "selected")
-    prints = a.trends.select("day", fingerprint.alias("fingerprint"))
-    before = prev.join(prints.select(F.col("day").alias("prev_day"), F.col("fingerprint").alias("prev_fingerprint")), "prev_day")
-    html = text_or_empty(F.col("html"))
-    plain = F.col("_plain")
-    banned_found = [F.contains(plain, F.lit(p)) for p in banned]
-    posts = (
-        a.posts.groupBy("day").agg(F.first("html").alias("html"))
-        .withColumn("_plain", strip_markup(F.col("html"), " ", "all"))
-        .select(
-            "day",
-            F.lit(True).alias("has_post"),
-            (F.contains(html, F.lit("<h1")) & F.contains(html, F.date_format("day", "yyyy-MM-dd"))).alias("has_heading"),
-            reduce(and_, [F.contains(html, F.lit(m)) for m in markers]).alias("has_markers"),
-            reduce(or_, banned_found).alias("has_banned"),
-            plain.rlike(geometry).alias("geometry_note"),
-        )
-    )
-    trends = a.trends.withColumn("has_trends", F.lit(True)).withColumn("counts", counts).withColumn("fingerprint", fingerprint)
-    wide = (
-        days.join(posts, "day", "left").join(trends, "day", "left")
-        .join(has["insights"], "day", "left").join(has["benchmarks"], "day", "left")
-        .join(a.feed.select("day", F.lit(True).alias("in_feed")).distinct(), "day", "left")
-        .join(a.series.select("day", _sorted_counts(F.col("by_cat")).alias("series_counts")), "day", "left")
-        .join(clusters, "day", "left").join(title_overlap, "day", "left").join(id_overlap, "day", "left")
-        .join(strays, "day", "left").join(before.select("day", "prev_fingerprint"), "day", "left")
+    html, plain = text_or_empty(F.col("html")), F.col("_plain")
+    posts = a.posts.withColumn("_plain", strip_markup(F.col("html"), " ", "all")).select(
+        "day",
+        F.lit(True).alias("has_post"),
+        (F.contains(html, F.lit("<h1")) & F.contains(html, F.date_format("day", "yyyy-MM-dd"))).alias("has_heading"),
+        reduce(and_, [F.contains(html, F.lit(m)) for m in markers]).alias("has_markers"),
+        reduce(or_, [F.contains(plain, F.lit(p)) for p in banned]).alias("has_banned"),
+        plain.rlike(geometry).alias("geometry_note"),
     )
+    counts = _sorted_counts(F.col("by_cat"))
+    trends = a.trends.withColumn("has_trends", F.lit(True)).withColumn("counts", counts).withColumn(
+        "fingerprint", F.concat_ws("|", counts, "scope", "total_scanned", "selected"))
+    facts = [
+        posts, trends, clusters, title_overlap, id_overlap, strays,
+        a.insights.select("day", F.col("readable").alias("insights_ok")),
+        a.benchmarks.select("day", F.col("readable").alias("benchmarks_ok")),
+        a.feed.select("day", F.lit(True).alias("in_feed")),
+        a.series.select("day", _sorted_counts(F.col("by_cat")).alias("series_counts")),
+    ]
+    # Each input brings its own columns; stacking them and taking what each day has is
+    # one small shuffle where a join per input would be ten.
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), facts)
+    names = [c for c in stacked.columns if c != "day"]
+    wide = stacked.groupBy("day").agg(*[F.any_value(c, True).alias(c) for c in names])
+    wide = wide.where(F.col("has_post") | F.col("has_trends") | F.col("insights_ok").isNotNull())
+    # the last earlier day that has a post; a day is one row here
+    earlier = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
+    before = F.last(F.when(F.col("has_post"), F.struct("fingerprint")), True).over(earlier)
+    wide = wide.withColumn("prev_fingerprint", before["fingerprint"])
     iso = F.date_format("day", "yyyy-MM-dd")
     scanned, selected = F.col("total_scanned").try_cast("bigint"), F.col("selected").try_cast("bigint")
     listed = F.aggregate(F.map_values("by_cat"), F.lit(0).cast("bigint"),

@@ -44,54 +44,56 @@ def crossover_pairs(df: DataFrame, hits: Column, names: list[str]) -> DataFrame:
     return wide.select(F.inline(rows)).where(F.col("n") > 0)
 
 
+def _calendar_side(days: DataFrame, keys: list[str]) -> DataFrame:
+    # Without further keys there is at most one row per calendar day: small for certain.
+    return days if keys else F.broadcast(days)
+
+
+def _own_and_carried(distinct: DataFrame, days: DataFrame, keys: list[str], day: str, items: list[str]) -> DataFrame:
+    """Per key, day and item whether the day has the item and whether the day before had it.
+
+    Every row speaks for its own day and for the next existing one, so one aggregation
+    on (day, item) replaces a join of the days with each other; a crowded day spreads by item.
+    """
+    following = days.where(F.col("prev_day").isNotNull()).select(
+        *keys, F.col("prev_day").alias(day), F.col(day).alias("_next"))
+    rows = distinct.join(_calendar_side(following, keys), [*keys, day], "left")
+    both = F.array(F.struct(F.col(day).alias(day), F.lit(1).alias("own"), F.lit(0).alias("carried")),
+                   F.struct(F.col("_next").alias(day), F.lit(0).alias("own"), F.lit(1).alias("carried")))
+    spoken = rows.select(*keys, *items, F.inline(both)).where(F.col(day).isNotNull())
+    return spoken.groupBy(*keys, day, *items).agg(F.max("own").alias("own"), F.max("carried").alias("carried"))
+
+
 def overlap_with_previous(items: DataFrame, keys: list[str], day: str, item: str,
                           days: DataFrame | None = None) -> DataFrame:
     """Per day: how many distinct items, how many the previous existing day had, how many they share.
 
     ``days`` (keys, day, ``prev_day``) says which days exist; without it, the days that have items.
-    Relational throughout: items are never collected into sets, so a day may hold any number of them.
+    Items are never collected into sets, so a day may hold any number of them.
     """
     distinct = items.select(*keys, day, item).distinct()
     days = previous_day(distinct, keys, day) if days is None else days
-    sizes = distinct.groupBy(*keys, day).agg(F.count("*").alias("items"))
-    carried = distinct.join(days, [*keys, day])
-    before = distinct.select(*keys, F.col(day).alias("prev_day"), item)
-    shared = carried.join(before, [*keys, "prev_day", item], "left_semi").groupBy(*keys, day).agg(
-        F.count("*").alias("shared"))
-    prev_sizes = sizes.select(*keys, F.col(day).alias("prev_day"), F.col("items").alias("prev_items"))
-    joined = (
-        days.join(sizes, [*keys, day], "left")
-        .join(prev_sizes, [*keys, "prev_day"], "left")
-        .join(shared, [*keys, day], "left")
-    )
-    return joined.select(*keys, day, "prev_day", *[
+    counted = _own_and_carried(distinct, days, keys, day, [item]).groupBy(*keys, day).agg(
+        F.sum("own").alias("items"), F.sum("carried").alias("prev_items"), F.sum(F.col("own") * F.col("carried")).alias("shared"))
+    return days.join(_calendar_side(counted, keys), [*keys, day], "left").select(*keys, day, "prev_day", *[
         F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("items", "prev_items", "shared")])
 
 
 def turnover_under_title(rows: DataFrame, day: str, title: str, item: str) -> DataFrame:
-    """Titles a day shares with the previous day, and how many of their ids differ.
+    """Titles a day shares with the previous day, and how many of their ids are new.
 
     ``rename`` is true when at most three titles are shared but at least half of the
     ids under this title are new.
     """
     distinct = rows.select(day, title, item).distinct()
-    days = previous_day(distinct, [], day).where(F.col("prev_day").isNotNull())
-    ids = distinct.groupBy(day, title).agg(F.count("*").alias("ids"))
-    before_titles = ids.select(F.col(day).alias("prev_day"), title)
-    shared_titles = ids.join(days, day).join(before_titles, ["prev_day", title], "left_semi")
-    before_ids = distinct.select(F.col(day).alias("prev_day"), title, item)
-    kept = (
-        distinct.join(days, day).join(before_ids, ["prev_day", title, item], "left_semi")
-        .groupBy(day, title).agg(F.count("*").alias("kept"))
-    )
-    titles_per_day = shared_titles.groupBy(day).agg(F.count("*").alias("shared_titles"))
-    out = (
-        shared_titles.join(titles_per_day, day).join(kept, [day, title], "left")
-        .withColumn("changed", F.col("ids") - F.coalesce("kept", F.lit(0)))
-    )
+    counted = _own_and_carried(distinct, previous_day(distinct, [], day), [], day, [title, item]).groupBy(day, title).agg(
+        F.sum("own").alias("ids"), F.sum("carried").alias("_before"), F.sum(F.col("own") * F.col("carried")).alias("_kept"))
+    shared = counted.where((F.col("ids") > 0) & (F.col("_before") > 0))
+    per_day = shared.groupBy(day).agg(F.count("*").alias("shared_titles"))  # one row per calendar day
+    out = shared.join(F.broadcast(per_day), day).withColumn("changed", F.col("ids") - F.col("_kept"))
     few = F.col("shared_titles") < V.MAX_REUSED_TITLES
-    return out.withColumn("rename", few & (F.col("changed") * 2 >= F.col("ids"))).select(
-        day, title, "ids", "changed", "shared_titles", "rename")
+    return out.select(day, title, "ids", "changed", "shared_titles",
+                      (few & (F.col("changed") * 2 >= F.col("ids"))).alias("rename"))
 
 
 def identical_batches(counts: DataFrame, ids: DataFrame, keys: list[str], day: str,

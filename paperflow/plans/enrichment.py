@@ -31,7 +31,7 @@ def works(spark: SparkSession, folder: str) -> DataFrame:
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
     rows = papers(spark, folder)
     doi = P.lookup_doi(F.col("doi"), F.col("id"))
-    return enrich.lookup(rows.withColumn("bare_doi", doi), works(spark, folder), F.col("bare_doi"), "work_doi", ["work_pos"])
+    return enrich.lookup(rows.withColumn("bare_doi", doi), works(spark, folder), F.col("bare_doi"), "work_doi", ["work_pos"], "doc_id")
 
 
 define(ENRICHED="""@PAPERS@,

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..operators.gates import Artefacts, banned_phrase_counts, release_gates
+from ..operators.rank import leaders
 from ..operators.rollup import daily_series, whole_counts
-from ..session import spread
+from ..session import scratch_path, spread
 from ..sources.tables import table
+from .calendars import KINDS
 from .catalog import define, job, sql_markup
-from .rollups import daily_maps
 
 
 def day_documents(spark: SparkSession, folder: str) -> Artefacts:
@@ -26,10 +26,16 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
         "event_type", "user_id", F.col("ts").cast("date").alias("day"), F.get_json_object("props", "$.k").alias("k"))
     weekend = F.weekday("day") >= 5
     iso = F.date_format("day", "yyyy-MM-dd")
-    facts = events.groupBy("day").agg(
+    # one row per day, written once and read by every artefact below
+    path = scratch_path(spark, "day-facts")
+    events.groupBy("day").agg(
         F.count("*").alias("total"), F.count_if(F.col("event_type").isin("purchase", "click")).alias("picked"),
-        F.count_if(F.col("event_type") == "error").alias("errors"), F.count_if(F.col("event_type") == "view").alias("views"))
-    trends = facts.join(daily_maps(spark, folder), "day").select(
+        F.count_if(F.col("event_type") == "error").alias("errors"), F.count_if(F.col("event_type") == "view").alias("views"),
+        *[F.count_if(F.col("event_type") == k).alias(f"n_{k}") for k in KINDS]).write.parquet(path)
+    facts = spark.read.parquet(path)
+    by_cat = F.map_from_entries(F.filter(F.array(*[
+        F.struct(F.lit(k).alias("key"), F.col(f"n_{k}").alias("value")) for k in KINDS]), lambda e: e["value"] > 0))
+    trends = facts.withColumn("by_cat", by_cat).select(
         "day", F.lit(True).alias("readable"), iso.alias("doc_date"),
         F.date_format(F.when(weekend, F.date_sub("day", 1)).otherwise(F.col("day")), "yyyy-MM-dd").alias("listing_date"),
         F.when(weekend, "journal-only").when(F.col("errors") > F.col("views"), "new").otherwise("weekly").alias("source_mode"),
@@ -38,12 +44,14 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
         F.col("total").cast("string").alias("total_scanned"), F.col("picked").cast("string").alias("selected"),
         F.col("total").alias("shown"), (F.col("total") - F.col("errors") % 2).alias("parsed"),
         F.col("views").alias("geometry_papers"), F.lit(0).alias("geometry_named"))
-    per_user = events.groupBy("day", "user_id").agg(F.count("*").alias("papers"))
-    order = W.partitionBy("day").orderBy(F.desc("papers"), F.asc("user_id"))
-    # only the first six positions matter to any rule, so later clusters share position six
-    leading = per_user.where(F.col("papers") >= 4).withColumn("pos", F.row_number().over(order) - 1)
-    clusters = leading.select(
-        "day", "pos", F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("title"), "papers",
+    per_user = events.groupBy("day", "user_id").agg(F.count("*").alias("papers")).where(F.col("papers") >= 4)
+    # rules look at the order of the first six only; the rest need no position of their own
+    order = [F.desc("papers"), F.asc("user_id")]
+    first = leaders(per_user, "day", order, V.CHECKED_CLUSTERS).select("day", "user_id", F.col("rank").alias("_rank"))
+    ranked = per_user.join(F.broadcast(first), ["day", "user_id"], "left")
+    clusters = ranked.select(
+        "day", (F.coalesce("_rank", F.lit(V.CHECKED_CLUSTERS + 1)) - 1).alias("pos"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("title"), "papers",
         F.expr("repeat('evidence ', cast(papers as int) * 2)").alias("why"))
     ids = events.select("day", F.concat(F.date_format("day", "yyMM"), F.lit("."), F.col("k")).alias("id"))
     posts = facts.select("day", F.concat(
