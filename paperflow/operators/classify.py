@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as V
-from ..functions.text import text_or_empty
+from ..functions.text import once, text_or_empty
 from ..session import small_side
 
 Dictionary = tuple[tuple[str, tuple[str, ...]], ...]
@@ -33,17 +33,6 @@ def hit_columns(text: str, buckets: Dictionary = V.BUCKETS) -> list[Column]:
     ]
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Adds columns that many later expressions read, computed once per row.
-
-    A one-element generator stays inside whole-stage code, and it keeps the optimizer
-    from copying a long definition into every filter and projection above it, which
-    would outgrow the size limit of generated code.
-    """
-    row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
-
-
 # Above this many keywords the batch variant is used.  Measured on 24.8 M characters and 92
 # keywords with 8 cores: 0.25 s for the batches (Arrow transfer included), 1.2 s for `contains`.
 INLINE_KEYWORDS = 16

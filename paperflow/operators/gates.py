@@ -11,9 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.text import strip_markup, text_or_empty
+from ..functions.text import once, strip_markup, text_or_empty
 from .calendar import previous_day
-from .classify import once
 from .sets import overlap_with_previous
 
 
@@ -154,3 +153,11 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
     rows = F.array(*[F.struct(F.lit(name).alias("rule"), F.coalesce(ok, F.lit(False)).alias("ok"))
                      for name, ok in rules.items()])
     return wide.select("day", F.inline(rows))
+
+
+def release_verdict(checks: DataFrame, warnings: tuple[str, ...] = ("G19_selected_share",)) -> DataFrame:
+    """Per day how many rules fail and whether it may be published; a failed warning does not hold it back."""
+    failing, warned = ~F.col("ok"), F.col("rule").isin(*warnings)
+    counted = checks.groupBy("day").agg(
+        F.count_if(failing & ~warned).alias("failures"), F.count_if(failing & warned).alias("warnings"))
+    return counted.withColumn("publish", F.col("failures") == 0)

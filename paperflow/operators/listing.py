@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.dates import listing_label
 from ..functions.papers import first_author
-from ..functions.text import regex_first, strip_markup, text_or_empty, ws
+from ..functions.text import once, regex_first, strip_markup, text_or_empty, ws
 
 # Marks a cut in the text.  HTML does not allow this character, so it cannot be page content.
 _CUT = "\x00"
@@ -115,17 +115,20 @@ def parse_listing(pages: DataFrame, html: str = "html", include_abstract: bool =
     sections = split_sections(pages, html, markup.header).where(F.col("section") != "other")
     chunks = explode_chunks(sections, "block", markup.chunk, markup.id)
     c = F.col("chunk")
-    papers = (
-        chunks.withColumn("title", strip_markup(regex_first(c, markup.title, "s"), "", entities))
-        .withColumn("subjects", strip_markup(regex_first(c, markup.subjects, "s"), "", entities))
-        .withColumn("authors", author_list(regex_first(c, markup.authors, "s"),
-                                           markup.authors_prefix, markup.author, entities))
-        .withColumn("first_author", first_author(F.col("authors")))
-        .withColumn("primary_cat", primary_category(F.col("subjects")))
-    )
+    # The raw fields come first, as columns of their own: the cleaning below reads each of them twice.
+    raw = {
+        "_title": regex_first(c, markup.title, "s"),
+        "_subjects": regex_first(c, markup.subjects, "s"),
+        "_authors": regex_first(c, markup.authors, "s"),
+    }
     if include_abstract:
-        papers = papers.withColumn("abstract", strip_markup(regex_first(c, markup.abstract, "s"), "", entities))
-    return papers.drop("chunk", "header")
+        raw["_abstract"] = regex_first(c, markup.abstract, "s")
+    fields = once(chunks, **raw).drop("chunk", "header")
+    clean = {name[1:]: strip_markup(F.col(name), "", entities) for name in raw if name != "_authors"}
+    clean["authors"] = author_list(F.col("_authors"), markup.authors_prefix, markup.author, entities)
+    papers = fields.withColumns(clean).drop(*raw)
+    return papers.withColumns({
+        "first_author": first_author(F.col("authors")), "primary_cat": primary_category(F.col("subjects"))})
 
 
 def drop_replaced(papers: DataFrame, section: str = "section", replaced: str = "replace") -> DataFrame:

@@ -216,3 +216,11 @@ SELECT bucket, total, by_badge, doc_total, doc_selected FROM summary, t""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return classify.document_summary(classified(spark, folder), BUCKETS).select(
         "bucket", "total", "by_badge", "doc_total", "doc_selected")
+
+
+@job("newest_topk", """WITH @PAPERS@ SELECT source, CAST(r AS BIGINT) AS rank, doc_id FROM (
+  SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY day DESC, doc_id) AS r FROM papers) WHERE r <= 60""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per query without a keyword: newest first."""
+    best = rank.leaders(papers(spark, folder).select("source", "day", "doc_id"), "source", [F.desc("day"), F.asc("doc_id")], 60)
+    return best.select("source", F.col("rank").cast("bigint"), "doc_id")

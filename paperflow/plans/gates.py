@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..operators.gates import Artefacts, banned_phrase_counts, release_gates
+from ..operators.gates import Artefacts, banned_phrase_counts, release_gates, release_verdict
 from ..operators.rank import leaders
 from ..operators.rollup import daily_series, whole_counts
 from ..session import scratch_path, spread
@@ -93,7 +93,7 @@ _RULES = {
 _rows = " UNION ALL ".join(f"SELECT day, '{name}' AS rule, {test} AS ok FROM x" for name, test in _RULES.items())
 
 
-@job("release_gates", f"""WITH e AS (SELECT CAST(ts AS DATE) AS day, event_type, user_id FROM events),
+_DAYS = """e AS (SELECT CAST(ts AS DATE) AS day, event_type, user_id FROM events),
 f AS (SELECT day, isodow(day) >= 6 AS weekend, count(*) AS total, count(*) FILTER (event_type IN ('purchase', 'click')) AS picked,
   count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type = 'view') AS views FROM e GROUP BY day),
 u AS (SELECT day, user_id, count(*) AS papers FROM e GROUP BY ALL HAVING count(*) >= 4),
@@ -102,12 +102,21 @@ c AS (SELECT day, count(*) AS titles, min(papers) FILTER (r <= 6) AS sixth FROM
 p AS (SELECT day, lag(day) OVER (ORDER BY day) AS prev FROM f),
 o AS (SELECT p.day, count(*) AS shared FROM p JOIN u a ON a.day = p.day JOIN u b ON b.day = p.prev AND b.user_id = a.user_id GROUP BY p.day),
 x AS (SELECT f.*, coalesce(titles, 0) AS titles, sixth, coalesce(shared, 0) AS shared_titles
-  FROM f LEFT JOIN c USING (day) LEFT JOIN o USING (day))
-SELECT strftime(day, '%Y-%m-%d') AS day, rule, ok FROM ({_rows})""")
+  FROM f LEFT JOIN c USING (day) LEFT JOIN o USING (day))"""
+
+
+@job("release_gates", f"WITH {_DAYS} SELECT strftime(day, '%Y-%m-%d') AS day, rule, ok FROM ({_rows})")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return release_gates(day_documents(spark, folder)).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+@job("release_verdict", f"""WITH {_DAYS} SELECT strftime(day, '%Y-%m-%d') AS day,
+  count(*) FILTER (NOT ok AND rule <> 'G19_selected_share') AS failures, count(*) FILTER (NOT ok AND rule = 'G19_selected_share') AS warnings,
+  count(*) FILTER (NOT ok AND rule <> 'G19_selected_share') = 0 AS publish FROM ({_rows}) GROUP BY day""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return release_verdict(release_gates(day_documents(spark, folder))).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 PHRASES = ("tion", "batch", "des ", "sich")
 define(DOC_PLAIN=sql_markup("text"))
 

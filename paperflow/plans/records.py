@@ -135,7 +135,7 @@ define(ABSTRACT_WS=sql_collapse("abstract"))
   FROM papers p LEFT JOIN labels USING (doc_id))""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels")
-    rows = text_to_index(spread(papers(spark, folder).join(labels, "doc_id", "left")), "abstract")
+    rows = text_to_index(spread(papers(spark, folder)), "abstract").join(labels, "doc_id", "left")
     quality = F.col("quality")
     concept = lambda name, score: F.struct(name.alias("display_name"), score.cast("double").alias("score"))
     native = F.concat(F.lit("https://openalex.org/W"), F.col("doc_id").cast("string"))

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.papers import source_badge, unified_key
-from ..operators.classify import assign_bucket, once, paper_text
+from ..functions.text import once
+from ..operators.classify import assign_bucket, paper_text
 from ..operators.dedup import first_wins
 from ..operators.listing import drop_replaced
 from ..sources.tables import table

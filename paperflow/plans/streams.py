@@ -63,3 +63,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     A.drain(stream, A.append_versions(out), scratch_path(spark, "days-checkpoint"))
     resolved = A.resolve_days(spark.read.parquet(out), ["user_id", "day"])
     return resolved.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@job("stream_distinct", "SELECT DISTINCT user_id, event_type FROM events")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    landing, out = scratch_path(spark, "pairs-landing"), scratch_path(spark, "pairs")
+    events = table(spark, folder, "events").select(
+        "ts", "user_id", "event_type", F.floor((F.dayofmonth("ts") - 1) / 8).alias("poll"))
+    land(events, landing, "poll")
+    stream = A.arrivals(spark, landing, events.drop("poll").schema, files_per_trigger=1)
+    pairs = A.distinct_arrivals(stream, "ts", ["user_id", "event_type"], "60 days")
+    A.drain(pairs, A.append_versions(out), scratch_path(spark, "pairs-checkpoint"))
+    return spark.read.parquet(out).select("user_id", "event_type")

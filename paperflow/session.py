@@ -54,7 +54,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy text work every core when the scan has fewer splits than cores.
 
-    A large table has far more splits than cores, and then this adds no shuffle.
+    A large table has far more splits than cores, and then this adds no shuffle.  Use it on
+    a scan with narrow steps only: asking a plan with shuffles for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -59,6 +59,17 @@ def read_counts(spark: SparkSession, path: str, category: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("day", category).agg(F.max_by("n", "batch_id").alias("n"))
 
 
+def distinct_arrivals(stream: DataFrame, ts: str, keys: list[str], horizon: str) -> DataFrame:
+    """One row per key among rows at most ``horizon`` apart; which of them is not defined.
+
+    The state store forgets a key after the horizon.  ``insert_first`` is the exact variant.
+    """
+    return (
+        stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", horizon)
+        .dropDuplicatesWithinWatermark(keys).drop("_ts")
+    )
+
+
 def insert_first(path: str, key: Column, order: list):
     """First-wins across polls: rows of a batch whose key no earlier batch has stored.
 
