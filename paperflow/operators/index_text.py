@@ -48,7 +48,8 @@ def text_to_index(df: DataFrame, text: str, out: str = "inv") -> DataFrame:
         places = F.transform(ordered, lambda x: F.right(x, F.lit(_PAD)).cast("int"))
         return bind(keys, lambda k: bind(places, lambda p: bind(starts(k), lambda s: F.transform(s, lambda at, i: F.struct(
             F.get(k, at).alias("key"),
-            F.slice(p, at + 1, F.coalesce(F.get(s, i + 1), F.size(p)) - at).alias("value"))))))
+            # not `slice`: it copies the whole array on every call
+            F.transform(F.sequence(at, F.coalesce(F.get(s, i + 1), F.size(p)) - 1), lambda j: F.get(p, j)).alias("value"))))))
 
     def starts(keys: Column) -> Column:
         marks = F.transform(keys, lambda w, i: F.when((i == 0) | (w != F.get(keys, i - 1)), i))
