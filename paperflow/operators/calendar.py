@@ -54,10 +54,10 @@ def trailing_windows(daily: DataFrame, keys: list[str], value: str, day: str = "
                      windows: tuple[tuple[str, int], ...] = V.TRAILING_WINDOWS) -> DataFrame:
     """Sums over the days within N days of the latest one, for every window.
 
-    ``daily`` is already one row per day and key, so finding the latest day over all of
-    its rows is small work.
+    ``daily`` is one row per day and key.  The latest day is a scalar subquery, which
+    reads the day column alone and gathers nothing in one task, however many keys there are.
     """
-    latest = F.max(day).over(W.partitionBy())
+    latest = daily.agg(F.max(day)).scalar()
     defs = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(n).alias("days")) for label, n in windows])
     inside = F.filter(defs, lambda w: F.col(day) > F.date_sub(F.col("_latest"), w["days"]))
     rows = daily.withColumn("_latest", latest).select(*keys, value, F.explode(inside).alias("_w"))

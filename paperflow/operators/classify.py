@@ -58,7 +58,8 @@ def with_hits(df: DataFrame, text: Column, buckets: Dictionary = V.BUCKETS, out:
     if batches is None:
         batches = sum(len(keywords) for _, keywords in buckets) > INLINE_KEYWORDS
     if batches:
-        return df.withColumn(out, hits_in_batches(text, buckets))
+        # `once` again: a filter on the bucket would otherwise run the batches a second time
+        return once(df.withColumn("_hits_raw", hits_in_batches(text, buckets)), **{out: F.col("_hits_raw")}).drop("_hits_raw")
     lowered = once(df, _text=text)
     counted = once(lowered, **{f"_h{i}": c for i, c in enumerate(hit_columns("_text", buckets))})
     parts = [f"_h{i}" for i in range(len(buckets))]

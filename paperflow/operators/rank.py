@@ -7,11 +7,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.text import once
 
 
 def newest_items(posts: DataFrame, day: str, weekly: str, tie: str, n: int = V.FEED_ITEMS) -> DataFrame:
-    """The ``n`` newest posts; on the same date the weekly one comes first."""
-    return posts.orderBy(F.desc(day), F.desc(weekly), F.asc(tie)).limit(n)
+    """The ``n`` newest posts; on the same date the weekly one comes first.
+
+    Every task keeps its ``n`` best rows.  The generator on top keeps later projections
+    from moving below the limit, where an Arrow function among them would turn the
+    top-n into a full sort of all posts.
+    """
+    newest = posts.orderBy(F.desc(day), F.desc(weekly), F.asc(tie)).limit(n)
+    return once(newest, _kept=F.lit(True)).drop("_kept")
 
 
 def merged_list(existing: DataFrame, missing: DataFrame, day: str, weekly: str, tie: str) -> DataFrame:

@@ -112,7 +112,7 @@ def hot_cold(weekly: DataFrame, group: str, week: str = "week_start", value: str
     both = F.array(F.struct(F.col(week).alias(week), F.col("n").alias("n"), zero.alias("prev_n")),
                    F.struct(F.date_add(week, 7).alias(week), zero.alias("n"), F.col("n").alias("prev_n")))
     merged = (
-        counts.withColumn("_last", F.max(week).over(W.partitionBy()))
+        counts.withColumn("_last", weekly.agg(F.max(week)).scalar())
         .select(group, "_last", F.inline(both)).where(F.col(week) <= F.col("_last"))
         .groupBy(group, week).agg(F.sum("n").alias("n"), F.sum("prev_n").alias("prev_n"))
     )

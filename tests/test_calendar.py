@@ -272,3 +272,11 @@ def test_group_limit_reaches_below_the_shuffle(spark):
     for name in ("dedup_first", "bucket_leaders", "query_topk"):
         plan = jobs()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("WindowGroupLimit") >= 2 and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_expensive_steps_run_once(spark):
+    def plan(name):
+        return jobs()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan("bucket_badge_counts").count("ArrowEvalPython") == 1
+    assert plan("bucket_leaders").count("ArrowEvalPython") == 1
+    assert "TakeOrderedAndProject" in plan("feed_items")
