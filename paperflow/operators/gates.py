@@ -25,7 +25,7 @@ class Artefacts:
                 by_cat MAP<STRING,STRING>, total_scanned STRING, selected STRING,
                 shown, parsed, geometry_papers, geometry_named (counts)
     insights    day, readable
-    clusters    day, pos, title, papers (count), why
+    clusters    day, pos, title, papers (count), why; null papers or why means not held to the rule
     ids         day, id
     benchmarks  day, readable
     feed        day
@@ -77,7 +77,7 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
         F.count("title").alias("titles"),
         F.count_distinct("title").alias("distinct_titles"),
         F.min(F.when(first, F.col("papers"))).alias("fewest_papers"),
-        F.min(F.when(first, F.char_length(text_or_empty(F.col("why"))))).alias("shortest_why"),
+        F.min(F.when(first, F.char_length("why"))).alias("shortest_why"),
         F.max(F.col("title").rlike(geometry)).alias("geometry_row"),
     )
     prev = previous_day(a.posts.select("day"), [])
