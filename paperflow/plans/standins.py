@@ -7,7 +7,7 @@ subjects.  Keywords come from the invented vocabulary of the texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -43,11 +43,9 @@ SUBJECTS = {
 CATS = {"en": "cs.LG", "de": "cs.CV", "fr": "math.OC", "es": ""}
 
 
-def _by_lang(values: dict[str, str]):
-    out = F
-    for lang, value in values.items():
-        out = out.when(F.col("lang") == lang, F.lit(value))
-    return out.otherwise(F.lit(""))
+def _by_lang(values: dict[str, str]) -> Column:
+    pairs = [F.lit(x) for pair in values.items() for x in pair]
+    return F.coalesce(F.element_at(F.create_map(*pairs), F.col("lang")), F.lit(""))
 
 
 def papers(spark: SparkSession, folder: str) -> DataFrame:

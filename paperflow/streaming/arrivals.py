@@ -39,12 +39,18 @@ def _read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def running_counts(stream: DataFrame, ts: str, category: str, late: str = "7 days") -> DataFrame:
-    """Counts per day and category; days older than the watermark leave the state."""
+    """Counts per day and category; days older than the watermark leave the state.
+
+    Day windows begin at midnight UTC, so the local clock time is moved there and back:
+    the days are those of the data in any session time zone.
+    """
+    zone = F.current_timezone()
+    clock = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
     return (
-        stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
+        stream.withColumn("_ts", clock).withWatermark("_ts", late)
         .groupBy(F.window("_ts", "1 day").alias("_w"), category)
         .agg(F.count("*").alias("n"))
-        .select(F.col("_w.start").cast("date").alias("day"), category, "n")
+        .select(F.to_utc_timestamp("_w.start", zone).cast("date").alias("day"), category, "n")
     )
 
 

@@ -274,6 +274,19 @@ def test_group_limit_reaches_below_the_shuffle(spark):
         assert plan.count("WindowGroupLimit") >= 2 and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Seoul"])
+def test_days_do_not_depend_on_the_session_zone(spark, zone):
+    def rows(name):
+        return sorted(map(str, jobs()[name](spark, "/root/testdata/sf0.001").collect()))
+    names = ("stream_counts", "daily_counts")
+    expected = [rows(n) for n in names]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert [rows(n) for n in names] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_expensive_steps_run_once(spark):
     def plan(name):
         return jobs()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
