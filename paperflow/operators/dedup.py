@@ -28,11 +28,15 @@ def union_ranked(sources: list[DataFrame], rank: str = "source_rank") -> DataFra
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
 
 
-def merge_queries(results: list[DataFrame], order: list[str | Column]) -> DataFrame:
-    """Results of several queries: key is id, else url, else title; the first query wins.
+def merge_ranked(rows: DataFrame, order: list[str | Column], rank: str = "query_rank") -> DataFrame:
+    """Rows found by several queries: key is id, else url, else title; the lowest rank wins.
 
     Rows with none of the three share the empty key, of which one survives.
     """
-    merged = union_ranked(results, "query_rank")
     key = first_nonempty(F.col("id"), F.col("url"), F.col("title"))
-    return first_wins(merged, F.concat(F.lit("k:"), key), ["query_rank", *order])
+    return first_wins(rows, F.concat(F.lit("k:"), key), [rank, *order])
+
+
+def merge_queries(results: list[DataFrame], order: list[str | Column]) -> DataFrame:
+    """The same for separate result tables, in the order of their queries."""
+    return merge_ranked(union_ranked(results, "query_rank"), order)

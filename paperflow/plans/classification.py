@@ -60,9 +60,11 @@ QUERY_TERMS = ("ones", "ansh", "eror", "onea")
 SELECT CAST(q AS BIGINT) AS query_rank, doc_id FROM results
 QUALIFY row_number() OVER (PARTITION BY CASE WHEN id <> '' THEN id WHEN url <> '' THEN url ELSE title END ORDER BY q, doc_id) = 1""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    base = papers(spark, folder)
-    results = [base.where(F.contains(F.lower("title"), F.lit(t))) for t in QUERY_TERMS]
-    return dedup.merge_queries(results, ["doc_id"]).select(F.col("query_rank").cast("bigint"), "doc_id")
+    # all queries run over the same table, so one scan serves them
+    found = F.array_compact(F.array(*[
+        F.when(F.contains(F.lower("title"), F.lit(t)), F.lit(i)) for i, t in enumerate(QUERY_TERMS)]))
+    rows = papers(spark, folder).select("doc_id", "id", "url", "title", F.explode(found).alias("query_rank"))
+    return dedup.merge_ranked(rows, ["doc_id"]).select(F.col("query_rank").cast("bigint"), "doc_id")
 
 
 def _hits_sql(text: str, buckets, source: str) -> str:
