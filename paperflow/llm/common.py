@@ -35,10 +35,25 @@ def raw(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
 
 
-def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of few rows; the session keeps that setting."""
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lets the session send few rows at a time to Python; the session keeps that setting."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+    return df
+
+
+def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with batches of few rows."""
+    return small_batches(df).mapInArrow(fn, schema)
+
+
+def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, the first by hash of the key.
+
+    A hash bound that about twice as many rows pass comes before the sort, so that tasks send few rows however many tasks there are.
+    """
+    share = min(1.0, 2 * rows / max(1, df.count()))
+    h = F.xxhash64(key)
+    return df.where(h <= min(2**63 - 1, int(share * 2**64) - 2**63)).orderBy(h, *df.columns).limit(rows)
 
 
 def words(text: bytes) -> list[bytes]:

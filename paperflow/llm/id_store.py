@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from paperflow.session import scratch_path
 
-from .common import in_batches
+from .common import hashed_sample, in_batches
 from .tokens import encoder, vocabulary_path
 
 MAGIC, NO_DICTIONARY = b"TID1", bytes(32)
@@ -108,8 +108,8 @@ class Block:
 def sample_dictionary(docs: DataFrame, vocabulary: str, width: int = WIDTH, sample_docs: int = SAMPLE_DOCS,
                       sample_bytes: int = SAMPLE_BYTES, key: str = "doc_id", text: str = "text") -> bytes:
     """Only a bounded number of bounded texts comes to the driver."""
-    short = docs.where(F.octet_length(text) <= sample_bytes).select(F.xxhash64(key).alias("h"), F.col(text).alias("text"))
-    rows = short.orderBy("h", "text").limit(sample_docs).collect()
+    short = docs.where(F.octet_length(text) <= sample_bytes).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = hashed_sample(short, "key", sample_docs).collect()
     return train_dictionary([serialized(encoder(vocabulary).ids(r["text"]), width) for r in rows])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import id_store, packing
+from . import decontamination, id_store, lines, packing, quality, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,11 +18,39 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+SQL["op1_sharding"] = sharding.SQL
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selected documents with their grades."""
+    kept = quality.select_good(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", kept["grade"]["expected"].alias("expected_grade"), kept["grade"]["tail"].alias("tail_probability"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source")
+
+
+SQL["op7_line_dedup"] = lines.SQL
+
+
 @query
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.store_and_read(table(spark, sf_dir, "documents"))
