@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, id_store, lines, packing, quality, sharding
+from . import decontamination, id_store, licenses, lines, packing, quality, sharding, winnowing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,13 @@ SQL["op7_line_dedup"] = lines.SQL
 @query
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.store_and_read(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
