@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, id_store, licenses, lines, packing, quality, sharding, winnowing
+from . import decontamination, id_store, licenses, lines, packing, quality, sharding, suffix_tree, winnowing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op1_sharding"] = sharding.SQL
 
 
+@query
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
