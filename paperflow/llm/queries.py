@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, id_store, licenses, lines, packing, quality, sharding, suffix_tree, winnowing
+from . import decontamination, id_store, jaccard, licenses, lines, packing, quality, sharding, suffix_tree, winnowing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
