@@ -174,16 +174,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, passag
         "doc_id", "item_id", "best.distance", (-F.col("best.shorter")).alias("passage_chars"), "best.start")
 
 
+def _is_clean(sent, rate: float, passage_words: int, min_chars: int):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        finder = _finder(sent.value, rate, passage_words, min_chars)
+        return pd.Series([not (body and finder.find(body)) for body in texts], dtype=bool)
+
+    return clean
+
+
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, passage_words: int = PASSAGE_WORDS, min_chars: int = MIN_CHARS,
                 chunk_bytes: int = CHUNK_BYTES, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents without any leaked item: one narrow filter per chunk of the benchmark, no shuffle."""
     for items in _chunks(benchmark, chunk_bytes, item, item_text):
         sent = docs.sparkSession.sparkContext.broadcast(tuple(items))
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, sent=sent) -> pd.Series:
-            finder = _finder(sent.value, rate, passage_words, min_chars)
-            return texts.map(lambda body: not (body and finder.find(body)))
-
-        docs = small_batches(docs).where(clean(F.col(text)))
+        docs = small_batches(docs).where(_is_clean(sent, rate, passage_words, min_chars)(F.col(text)))
     return docs
