@@ -88,12 +88,12 @@ def person_names(people: Column) -> Column:
 
 
 def parts_date(*date_parts: Column) -> Column:
-    """First non-empty year/month/day list as YYYY-MM-DD, missing month and day being 1."""
+    """First year/month/day list that has a year, as YYYY-MM-DD; a missing month or day is 1."""
     def one(nested: Column) -> Column:
         p = F.get(nested, 0)
         padded = F.format_string("%04d-%02d-%02d", F.get(p, 0),
                                  F.coalesce(F.get(p, 1), F.lit(1)), F.coalesce(F.get(p, 2), F.lit(1)))
-        return F.when(F.size(p) > 0, padded)
+        return F.when((F.size(p) > 0) & F.get(p, 0).isNotNull(), padded)
     return F.coalesce(*[one(d) for d in date_parts], F.lit(""))
 
 

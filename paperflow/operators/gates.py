@@ -22,8 +22,9 @@ class Artefacts:
 
     posts       day, html
     trends      day, readable, doc_date, listing_date, source_mode, scope,
-                by_cat MAP<STRING,STRING>, total_scanned STRING, selected STRING,
-                shown, parsed, geometry_papers, geometry_named (counts)
+                by_cat MAP<STRING,STRING>, total_scanned STRING, selected STRING: JSON tokens, so that
+                the string "7" is no number; counts_object: the whole counts as canonical JSON;
+                shown, parsed, geometry_papers, geometry_named (counts, null where not known)
     insights    day, readable
     clusters    day, pos, title, papers (count), why; null papers or why means not held to the rule
     ids         day, id
@@ -67,7 +68,9 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
                   banned: tuple[str, ...] = V.BANNED_PHRASES,
                   geometry: str = "(?i)geometry|slam|recon",
                   min_share: float = V.MIN_SELECTED_SHARE) -> DataFrame:
-    """``day, rule, ok``: every rule for every day that has any artefact.
+    """``day, rule, ok``: every rule for every day that has any artefact; a null ``ok`` means not checkable.
+
+    Days are compared with the day before only if that has both its trends and its insights.
 
     Each input shrinks to one row per day first, so what follows is as small as the
     calendar whatever the number of papers behind a day.
@@ -98,7 +101,7 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
     )
     counts = _sorted_counts(F.col("by_cat"))
     trends = a.trends.withColumn("has_trends", F.lit(True)).withColumn("counts", counts).withColumn(
-        "fingerprint", F.concat_ws("|", counts, "scope", "total_scanned", "selected"))
+        "fingerprint", F.concat_ws("|", "counts_object", "total_scanned", "selected"))
     facts = [
         posts, trends, clusters, title_overlap, id_overlap, strays,
         a.insights.select("day", F.col("readable").alias("insights_ok")),
@@ -114,8 +117,9 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
     wide = wide.where(F.col("has_post") | F.col("has_trends") | F.col("insights_ok").isNotNull())
     # the last earlier day that has a post; a day is one row here
     earlier = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    before = F.last(F.when(F.col("has_post"), F.struct("fingerprint")), True).over(earlier)
-    wide = wide.withColumn("prev_fingerprint", before["fingerprint"])
+    complete = (F.col("has_trends") & F.col("insights_ok").isNotNull()).alias("complete")
+    before = F.last(F.when(F.col("has_post"), F.struct("fingerprint", complete)), True).over(earlier)
+    wide = wide.withColumn("prev_fingerprint", before["fingerprint"]).withColumn("comparable", F.coalesce(before["complete"], F.lit(False)))
     iso = F.date_format("day", "yyyy-MM-dd")
     scanned, selected = F.col("total_scanned").try_cast("bigint"), F.col("selected").try_cast("bigint")
     listed = F.aggregate(F.map_values("by_cat"), F.lit(0).cast("bigint"),
@@ -137,8 +141,8 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
         "G11_feed_link": F.col("in_feed"),
         "G12_enough_clusters": F.col("titles") >= V.MIN_CLUSTERS,
         "G13_titles_unique": F.coalesce(F.col("titles") == F.col("distinct_titles"), F.lit(True)),
-        "G14_title_overlap": F.coalesce("shared_titles", F.lit(0)) < V.MAX_REUSED_TITLES,
-        "G15_not_identical": ~(F.coalesce(F.col("fingerprint") == F.col("prev_fingerprint"), F.lit(False))
+        "G14_title_overlap": ~F.col("comparable") | (F.coalesce("shared_titles", F.lit(0)) < V.MAX_REUSED_TITLES),
+        "G15_not_identical": ~F.col("comparable") | ~(F.coalesce(F.col("fingerprint") == F.col("prev_fingerprint"), F.lit(False))
                                & F.coalesce("same_ids", F.lit(False))),
         "G16_cluster_papers": F.coalesce(F.col("fewest_papers") >= V.MIN_CLUSTER_PAPERS, F.lit(True)),
         "G17_cluster_why": F.coalesce(F.col("shortest_why") >= V.MIN_WHY_CHARS, F.lit(True)),
@@ -150,14 +154,22 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
         "G23_geometry_row": ~geometry_due | geometry_shown,
         "G24_no_banned_phrase": ~F.coalesce("has_banned", F.lit(False)),
     }
-    rows = F.array(*[F.struct(F.lit(name).alias("rule"), F.coalesce(ok, F.lit(False)).alias("ok"))
-                     for name, ok in rules.items()])
+    unknown = {
+        "G21_shown_is_parsed": F.col("shown").isNull() | F.col("parsed").isNull(),
+        "G23_geometry_row": F.col("geometry_papers").isNull() & F.col("geometry_named").isNull(),
+    }
+
+    def outcome(name: str, ok: Column) -> Column:
+        failed = F.coalesce(ok, F.lit(False))
+        return F.when(~(F.coalesce("has_trends", F.lit(False)) & unknown[name]), failed) if name in unknown else failed
+
+    rows = F.array(*[F.struct(F.lit(name).alias("rule"), outcome(name, ok).alias("ok")) for name, ok in rules.items()])
     return wide.select("day", F.inline(rows))
 
 
 def release_verdict(checks: DataFrame, warnings: tuple[str, ...] = ("G19_selected_share",)) -> DataFrame:
     """Per day how many rules fail and whether it may be published; a failed warning does not hold it back."""
-    failing, warned = ~F.col("ok"), F.col("rule").isin(*warnings)
+    failing, warned = ~F.coalesce("ok", F.lit(True)), F.col("rule").isin(*warnings)
     counted = checks.groupBy("day").agg(
         F.count_if(failing & ~warned).alias("failures"), F.count_if(failing & warned).alias("warnings"))
     return counted.withColumn("publish", F.col("failures") == 0)

@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bind, collapse_ws, text_or_empty
 
-# A position and the number of its index entry share one BIGINT, so that sorting
-# compares plain numbers; words and positions share one string for the same reason.
+# A position and the number of its index entry share one BIGINT, so that sorting compares plain numbers.
 _ENTRY_BITS = 31
-_PART = "\x00"
-_PAD = 10
 
 
 def index_to_text(index: Column) -> Column:
@@ -40,12 +37,11 @@ def text_to_index(df: DataFrame, text: str, out: str = "inv") -> DataFrame:
     from slices and no row leaves its task.
     """
     words = F.split(collapse_ws(text_or_empty(F.col(text))), " ")
-    tagged = F.transform(F.filter(words, lambda w: w != ""), lambda w, i: F.concat(
-        w, F.lit(_PART), F.lpad(i.cast("string"), _PAD, "0")))
+    tagged = F.transform(F.filter(words, lambda w: w != ""), lambda w, i: F.struct(w.alias("w"), i.alias("i")))
 
     def entries(ordered: Column) -> Column:
-        keys = F.transform(ordered, lambda x: F.substring_index(x, _PART, 1))
-        places = F.transform(ordered, lambda x: F.right(x, F.lit(_PAD)).cast("int"))
+        keys = F.transform(ordered, lambda x: x["w"])
+        places = F.transform(ordered, lambda x: x["i"])
         return bind(keys, lambda k: bind(places, lambda p: bind(starts(k), lambda s: F.transform(s, lambda at, i: F.struct(
             F.get(k, at).alias("key"),
             # not `slice`: it copies the whole array on every call

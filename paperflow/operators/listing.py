@@ -12,7 +12,7 @@ from ..functions.dates import listing_label
 from ..functions.papers import first_author
 from ..functions.text import once, regex_first, strip_markup, text_or_empty, ws
 
-# Marks a cut in the text.  HTML does not allow this character, so it cannot be page content.
+# Marks a cut in the text.  HTML does not allow this character; a page that has it all the same loses it first.
 _CUT = "\x00"
 
 
@@ -34,7 +34,7 @@ class ListingMarkup:
 def cut_before(col: Column, pattern: str, flags: str = "") -> Column:
     """Split a text in front of every match; element 0 is what precedes the first match."""
     head = f"(?{flags})" if flags else ""
-    marked = F.regexp_replace(text_or_empty(col), f"{head}({ws(pattern)})", _CUT + "$1")
+    marked = F.regexp_replace(F.replace(text_or_empty(col), F.lit(_CUT), F.lit("")), f"{head}({ws(pattern)})", _CUT + "$1")
     return F.split(marked, _CUT)
 
 
@@ -91,7 +91,7 @@ def author_list(raw: Column, prefix: str = V.LISTING_AUTHORS_PREFIX, item: str =
     Entities are resolved on the whole author block before it is split into names,
     so that one Arrow call serves the row instead of one per name.
     """
-    block = F.regexp_replace(text_or_empty(raw), "(?i)" + ws(prefix), "")
+    block = F.regexp_replace(F.replace(text_or_empty(raw), F.lit(_CUT), F.lit("")), "(?i)" + ws(prefix), "")
     names = F.regexp_extract_all(block, F.lit("(?d)" + ws(item)), 1)
     joined = F.array_join(F.transform(names, lambda n: F.regexp_replace(n, "<[^>]+>", "")), _CUT)
     cleaned = strip_markup_keep_cuts(joined, entities)

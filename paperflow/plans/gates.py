@@ -9,7 +9,6 @@ from ..functions import fixed_values as V
 from ..operators.gates import Artefacts, banned_phrase_counts, release_gates, release_verdict
 from ..operators.rank import leaders
 from ..operators.rollup import daily_series, whole_counts
-from ..session import scratch_path, spread
 from ..sources.tables import table
 from .calendars import KINDS
 from .catalog import define, job, sql_markup
@@ -26,13 +25,11 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
         "event_type", "user_id", F.col("ts").cast("date").alias("day"), F.get_json_object("props", "$.k").alias("k"))
     weekend = F.weekday("day") >= 5
     iso = F.date_format("day", "yyyy-MM-dd")
-    # one row per day, written once and read by every artefact below
-    path = scratch_path(spark, "day-facts")
-    events.groupBy("day").agg(
+    # one row per day; the artefacts below share its exchange
+    facts = events.groupBy("day").agg(
         F.count("*").alias("total"), F.count_if(F.col("event_type").isin("purchase", "click")).alias("picked"),
         F.count_if(F.col("event_type") == "error").alias("errors"), F.count_if(F.col("event_type") == "view").alias("views"),
-        *[F.count_if(F.col("event_type") == k).alias(f"n_{k}") for k in KINDS]).write.parquet(path)
-    facts = spark.read.parquet(path)
+        *[F.count_if(F.col("event_type") == k).alias(f"n_{k}") for k in KINDS])
     by_cat = F.map_from_entries(F.filter(F.array(*[
         F.struct(F.lit(k).alias("key"), F.col(f"n_{k}").alias("value")) for k in KINDS]), lambda e: e["value"] > 0))
     trends = facts.withColumn("by_cat", by_cat).select(
@@ -40,7 +37,7 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
         F.date_format(F.when(weekend, F.date_sub("day", 1)).otherwise(F.col("day")), "yyyy-MM-dd").alias("listing_date"),
         F.when(weekend, "journal-only").when(F.col("errors") > F.col("views"), "new").otherwise("weekly").alias("source_mode"),
         F.when(F.col("total") % 2 == 0, V.RELEASE_SCOPE).otherwise(V.LISTING_SCOPE).alias("scope"),
-        F.transform_values("by_cat", lambda k, v: v.cast("string")).alias("by_cat"),
+        F.transform_values("by_cat", lambda k, v: v.cast("string")).alias("by_cat"), F.to_json("by_cat").alias("counts_object"),
         F.col("total").cast("string").alias("total_scanned"), F.col("picked").cast("string").alias("selected"),
         F.col("total").alias("shown"), (F.col("total") - F.col("errors") % 2).alias("parsed"),
         F.col("views").alias("geometry_papers"), F.lit(0).alias("geometry_named"))
@@ -125,4 +122,4 @@ define(DOC_PLAIN=sql_markup("text"))
     f"SELECT '{p}' AS phrase, CAST(sum((length(t) - length(replace(t, '{p}', ''))) // {len(p)}) AS BIGINT) AS n FROM p"
     for p in PHRASES))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return banned_phrase_counts(spread(table(spark, folder, "documents").select("text")), PHRASES, "text")
+    return banned_phrase_counts(table(spark, folder, "documents").select("text"), PHRASES, "text")

@@ -39,7 +39,5 @@ INSIGHTS_DAY = (
     f"clusters: ARRAY<STRUCT<cluster: STRING, title: STRING, papers: ARRAY<{PAPER_REF}>, why: STRING>>, "
     f"insights: ARRAY<STRUCT<cluster: STRING, title: STRING, papers: ARRAY<{PAPER_REF}>, why: STRING>>>"
 )
-BENCHMARK_DAY = (
-    "STRUCT<date: STRING, results: ARRAY<STRUCT<benchmark: STRING, metric: STRING, value: DOUBLE, "
-    "value_str: STRING, paper: STRING, paper_title: STRING>>>"
-)
+_RESULT = "STRUCT<benchmark: STRING, metric: STRING, value: DOUBLE, value_str: STRING, paper: STRING, paper_title: STRING>"
+BENCHMARK_DAY = f"STRUCT<date: STRING, results: ARRAY<{_RESULT}>, benchmarks: ARRAY<{_RESULT}>>"

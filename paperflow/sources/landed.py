@@ -67,11 +67,16 @@ def _struct(ddl: str) -> str:
     return ", ".join(f"{n}: {t}" for n, t in (field.split(" ", 1) for field in ddl.split(", ")))
 
 
+def checked_json(texts: DataFrame, text: str = "text") -> DataFrame:
+    """The same rows; the first text that is no JSON fails the job."""
+    return texts.where(F.parse_json(F.col(text)).isNotNull() | F.col(text).isNull())
+
+
 def read_ranked_papers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Sources in listed order, ``source_rank`` carrying it; a missing file is skipped."""
+    """Sources in listed order, ``source_rank`` carrying it; a missing file is skipped, a malformed one fails the job."""
     out = None
     for rank, path in enumerate(paths):
-        part = papers_from(read_texts(spark, path)).withColumn("source_rank", F.lit(rank))
+        part = papers_from(checked_json(read_texts(spark, path))).withColumn("source_rank", F.lit(rank))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -104,16 +109,24 @@ def read_insights(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_benchmarks(spark: SparkSession, path: str) -> DataFrame:
-    """One row per result; documents without ``results`` give none."""
+    """One row per result, listed as ``results`` or as ``benchmarks``; documents with neither give none."""
     docs = strict_documents(read_texts(spark, path, "*.json"), BENCHMARK_DAY)
     return docs.select(F.to_date(F.regexp_extract("file_name", DAY_IN_NAME, 1)).alias("day"),
-                       F.inline("doc.results"))
+                       F.inline(F.coalesce("doc.results", "doc.benchmarks")))
 
 
 def cluster_rows(insights: DataFrame) -> DataFrame:
     """One row per titled cluster: ``clusters`` if present, else ``insights``; the name is ``cluster`` or ``title``."""
-    rows = F.coalesce(F.col("doc.clusters"), F.col("doc.insights"))
-    out = insights.select(F.to_date(F.regexp_extract("file_name", DAY_IN_NAME, 1)).alias("day"),
-                          F.posexplode(rows).alias("pos", "row"))
-    title = F.trim(F.coalesce(F.nullif(F.col("row.cluster"), F.lit("")), F.col("row.title")))
-    return out.select("day", "pos", title.alias("title"), "row.papers", "row.why").where(F.col("title") != "")
+    dated = insights.select(F.to_date(F.regexp_extract("file_name", DAY_IN_NAME, 1)).alias("day"), "doc")
+    return all_clusters(dated).select("day", "pos", "title", "papers", "why").where("title is not null")
+
+
+def all_clusters(documents: DataFrame) -> DataFrame:
+    """``day, pos, title, papers, why, checked``: rows of ``clusters``, else of ``insights``; a blank title is null."""
+    rows = documents.select("day", F.col("doc.clusters").isNotNull().alias("checked"),
+                            F.posexplode(F.coalesce("doc.clusters", "doc.insights")).alias("pos", "row"))
+
+    def filled(name: str) -> Column:
+        return F.nullif(F.trim(f"row.{name}"), F.lit(""))
+
+    return rows.select("day", "pos", F.coalesce(filled("cluster"), filled("title")).alias("title"), "row.papers", "row.why", "checked")

@@ -43,3 +43,30 @@ def test_release_folder(spark, tmp_path):
     }
     verdict = {str(r["day"]): r["publish"] for r in release_verdict(checks).collect()}
     assert verdict == {days[0]: True, days[1]: False, days[2]: True, days[3]: False}
+
+
+def test_counts_must_be_numbers_and_days_differ(spark, tmp_path):
+    for name in ("posts", "trends", "insights", "benchmarks", "stats"):
+        (tmp_path / name).mkdir()
+    days = ("2026-06-15", "2026-06-16", "2026-06-17", "2026-06-18")
+    clusters = {"clusters": [cluster("same", i) for i in range(5)]}
+    for d in days:
+        write_day(tmp_path, d, 60, clusters)
+    trends = json.loads((tmp_path / "trends" / f"{days[0]}.json").read_text())
+
+    def put(day, counts, totals):
+        (tmp_path / "trends" / f"{day}.json").write_text(json.dumps(trends | {"date": day, "source_listing_date": day, "daily_new_counts": counts, "totals": totals}))
+
+    whole = {"by_cat": {"cs.LG": 60}, "scope": V.RELEASE_SCOPE, "journal_count": 1}
+    put(days[1], whole, {"total_scanned": 60, "selected": 30})
+    put(days[2], whole, {"total_scanned": 60, "selected": 30})
+    put(days[3], {"by_cat": {"cs.LG": "60", "cs.CV": 1.5}, "scope": V.RELEASE_SCOPE}, {"total_scanned": "60", "selected": 30})
+    (tmp_path / "insights" / f"{days[0]}.json").unlink()
+    (tmp_path / "feed.xml").write_text("".join(f"posts/{d}.html" for d in days))
+    (tmp_path / "stats" / "counts.json").write_text(json.dumps({"daily": []}))
+    rows = {(str(r["day"]), r["rule"][:3]): r["ok"] for r in release_gates(read_release(spark, str(tmp_path))).collect()}
+    assert [rows[d, "G08"] for d in days] == [True, True, True, False]
+    assert [rows[d, "G09"] for d in days] == [True, True, True, False]
+    assert [rows[d, "G14"] for d in days] == [True, True, False, False]  # the first day has no insights to compare with
+    assert [rows[d, "G15"] for d in days] == [True, True, False, True]
+    assert {rows[d, g] for d in days for g in ("G21", "G23")} == {None}

@@ -142,6 +142,8 @@ def test_date_parts(one):
     assert one(col, schema, [[2026, 5]], None) == "2026-05-01"
     assert one(col, schema, [[]], [[2025, 12, 31]]) == "2025-12-31"
     assert one(col, schema, None, [[]]) == ""
+    assert one(col, schema, [[None]], [[2025]]) == "2025-01-01"
+    assert one(col, schema, [[None]], None) == ""
 
 
 def test_concepts_keep_input_order(one):
@@ -162,7 +164,7 @@ def test_index_to_text(one):
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.text(alphabet="ab c\n\té\u00a0", max_size=30), min_size=1, max_size=20))
+@given(st.lists(st.text(alphabet="ab c\n\té\u00a0\x00", max_size=30), min_size=1, max_size=20))
 def test_index_round_trip(spark, texts):
     df = text_to_index(spark.createDataFrame([(t,) for t in texts], "t STRING"), "t")
     for row in df.select("t", "inv", index_to_text(F.col("inv")).alias("back")).collect():
@@ -188,3 +190,12 @@ def test_lookup_doi(one):
 
 def test_fixed_values_are_whole():
     assert len(V.BUCKETS) == 9 and sum(len(k) for _, k in V.BUCKETS) == len({k for _, ks in V.BUCKETS for k in ks})
+
+
+def test_nul_in_a_page_changes_nothing_else(spark):
+    from paperflow.operators.listing import author_list, cut_before
+
+    df = spark.createDataFrame([("a\x00b<h3>x\x00</h3>c<h3>y</h3>d",)], "t STRING")
+    assert df.select(cut_before(F.col("t"), "<h3>").alias("p")).head()["p"] == ["ab", "<h3>x</h3>c", "<h3>y</h3>d"]
+    names = df.select(author_list(F.lit("<a>A\x00da</a>, <a>Bob</a>"), "x:", "<a>(.*?)</a>", "common").alias("n")).head()["n"]
+    assert names == ["Ada", "Bob"]
