@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..operators import classify, dedup, rank, sets
 from ..operators.listing import drop_replaced
-from ..session import spread
 from ..sources.tables import table
 from .catalog import job
 from .standins import BUCKET_NAMES, BUCKETS, classified, papers, sql_bucket, sql_hits, unique_papers
@@ -38,9 +37,10 @@ WHERE text <> '' QUALIFY row_number() OVER (PARTITION BY text ORDER BY source_ra
 def _(spark: SparkSession, folder: str) -> DataFrame:
     main = table(spark, folder, "documents").select(F.col("doc_id").alias("pos"), "text")
     second = table(spark, folder, "benchmark").select(F.col("item_id").alias("pos"), "text")
-    rows = dedup.union_ranked([main, second])
-    kept = dedup.first_wins(rows, F.col("text"), ["source_rank", "pos"])
-    return kept.select(F.col("source_rank").cast("bigint"), "pos", F.md5("text").alias("h"))
+    # the key is a digest, so that neither the shuffle nor the sort carries a text
+    rows = dedup.union_ranked([main, second]).select("source_rank", "pos", F.when(F.col("text") != "", F.md5("text")).alias("h"))
+    kept = dedup.first_wins(rows, F.col("h"), ["source_rank", "pos"])
+    return kept.select(F.col("source_rank").cast("bigint"), "pos", "h")
 
 
 @job("dedup_papers", "WITH @UNIQUE@ SELECT doc_id, key, source FROM unique_papers")
@@ -72,39 +72,39 @@ def _hits_sql(text: str, buckets, source: str) -> str:
     return f"SELECT doc_id, {cols} FROM {source}"
 
 
-def _hits(df: DataFrame, buckets, batches: bool | None = None) -> DataFrame:
+def _hits(df: DataFrame, buckets, batches: bool = True) -> DataFrame:
     out = classify.with_hits(df, F.lower("text"), buckets, batches=batches)
     return out.select("doc_id", *[F.get("hits", i).alias(f"hit{i}") for i in range(len(buckets))])
 
 
 @job("keyword_hits", _hits_sql("t", BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _hits(spread(table(spark, folder, "documents").select("doc_id", "text")), BUCKETS)
+    return _hits(table(spark, folder, "documents").select("doc_id", "text"), BUCKETS)
 
 
 @job("keyword_hits_inline", _hits_sql("t", BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _hits(spread(table(spark, folder, "documents").select("doc_id", "text")), BUCKETS, batches=False)
+    return _hits(table(spark, folder, "documents").select("doc_id", "text"), BUCKETS, batches=False)
 
 
 @job("keyword_hits_fixed", _hits_sql("t", V.BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)"))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return _hits(spread(table(spark, folder, "documents").select("doc_id", "text")), V.BUCKETS)
+    return _hits(table(spark, folder, "documents").select("doc_id", "text"), V.BUCKETS)
 
 
 @job("assign_bucket", f"""WITH h AS ({_hits_sql("t", BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)")})
 SELECT doc_id, {sql_bucket()} AS bucket FROM h""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     return classify.assign_bucket(docs, F.lower("text"), BUCKETS).select("doc_id", "bucket")
 
 
 @job("assign_bucket_join", f"""WITH h AS ({_hits_sql("t", BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)")})
 SELECT doc_id, {sql_bucket()} AS bucket FROM h""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     words = classify.keyword_table(spark, BUCKETS)
-    return classify.assign_bucket_by_join(docs, "doc_id", F.lower("text"), words).select("doc_id", "bucket")
+    return classify.assign_bucket_large(docs, F.lower("text"), words).select("doc_id", "bucket")
 
 
 @job("totals", """WITH @CLASSIFIED@
@@ -120,7 +120,7 @@ SELECT CAST(s.bucket_rank AS BIGINT) AS bucket_rank, s.bucket, c.badge, coalesce
 FROM summary s LEFT JOIN counts c USING (bucket)""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     counts = classify.bucket_badge_counts(classified(spark, folder))
-    dimension = F.broadcast(classify.bucket_table(spark, BUCKETS))  # nine rows
+    dimension = classify.bucket_table(spark, BUCKETS)
     return dimension.join(counts, "bucket", "left").select(
         F.col("bucket_rank").cast("bigint"), "bucket", "badge", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
@@ -184,18 +184,18 @@ _pairs = " UNION ALL ".join(
 @job("crossover_pairs", f"""WITH h AS ({_hits_sql("t", BUCKETS, "(SELECT doc_id, lower(text) AS t FROM documents)")})
 SELECT * FROM ({_pairs}) WHERE n > 0""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select("text"))
+    docs = table(spark, folder, "documents").select("text")
     return sets.crossover_pairs(classify.with_hits(docs, F.lower("text"), BUCKETS), F.col("hits"), BUCKET_NAMES)
 
 
 @job("keyword_contrast", """WITH w AS (
-  SELECT source, unnest(string_split(lower(text), ' ')) AS word FROM documents WHERE source IN ('src0', 'src1'))
-SELECT word, CASE WHEN bool_or(source = 'src0') AND bool_or(source = 'src1') THEN 'shared'
-  WHEN bool_or(source = 'src0') THEN 'src0' ELSE 'src1' END AS kind FROM w WHERE word <> '' GROUP BY word""")
+  SELECT CAST(substr(source, 4) AS INT) < 10 AS preprint, unnest(string_split(lower(text), ' ')) AS word FROM documents)
+SELECT word, CASE WHEN bool_or(preprint) AND bool_or(NOT preprint) THEN 'shared'
+  WHEN bool_or(preprint) THEN 'preprint' ELSE 'journal' END AS kind FROM w WHERE word <> '' GROUP BY word""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").where(F.col("source").isin("src0", "src1"))
-    words = docs.select("source", F.explode(F.split(F.lower("text"), " ")).alias("word")).where(F.col("word") != "")
-    return sets.contrast(words, "word", F.col("source"), "src0", "src1")
+    side = F.when(F.substring("source", 4, 10).cast("int") < 10, "preprint").otherwise("journal").alias("side")
+    words = table(spark, folder, "documents").select(side, F.explode(F.split(F.lower("text"), " ")).alias("word")).where(F.col("word") != "")
+    return sets.contrast(words, "word", F.col("side"), "preprint", "journal")
 
 
 @job("query_topk", """WITH @PAPERS@, q AS (SELECT unnest(['ones', 'ansh', 'eror', 'onea']) AS term),
@@ -224,5 +224,5 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
   SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY day DESC, doc_id) AS r FROM papers) WHERE r <= 60""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per query without a keyword: newest first."""
-    best = rank.leaders(papers(spark, folder).select("source", "day", "doc_id"), "source", [F.desc("day"), F.asc("doc_id")], 60)
+    best = rank.leaders(papers(spark, folder, texts=False).select("source", "day", "doc_id"), "source", [F.desc("day"), F.asc("doc_id")], 60)
     return best.select("source", F.col("rank").cast("bigint"), "doc_id")

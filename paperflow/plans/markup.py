@@ -9,7 +9,6 @@ from ..functions import text as T
 from ..functions.dates import listing_label
 from ..functions.papers import first_author
 from ..operators import listing
-from ..session import spread
 from ..sources.tables import table
 from .catalog import define, job, sql_collapse, sql_markup, sql_unescape
 from .standins import papers
@@ -19,7 +18,7 @@ define(CUT="'(<(?:nav|article|footer)>)', chr(1) || '\\1', 'gis'")
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages"))
+    return table(spark, folder, "pages")
 
 
 @job("section_split", r"""WITH s AS (SELECT page_id, string_split(regexp_replace(html, @CUT@), chr(1)) AS p FROM pages),
@@ -73,7 +72,7 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
         _escaped("title"), F.lit('\n</div><div class="list-authors"><span class="descriptor">Authors:</span> '), people,
         F.lit('</div><div class="list-subjects"><span class="descriptor">Subjects:</span>\n<span class="primary-subject">'),
         F.col("subjects"), F.lit('</span>\n</div>\n<p class="mathjax">\n'), _escaped("abstract"), F.lit("\n</p></dd></dl>"))
-    return spread(papers(spark, folder)).select("doc_id", html.alias("html"))
+    return papers(spark, folder).select("doc_id", html.alias("html"))
 
 
 define(TITLE_WS=sql_collapse("title"), ABSTRACT_WS2=sql_collapse("abstract"))
@@ -108,7 +107,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @job("primary_cat", r"WITH @PAPERS@ SELECT doc_id, regexp_extract(subjects, '([a-z\-]+\.[A-Z]{2})', 1) AS primary_cat FROM papers")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return papers(spark, folder).select("doc_id", listing.primary_category(F.col("subjects")).alias("primary_cat"))
+    return papers(spark, folder, texts=False).select("doc_id", listing.primary_category(F.col("subjects")).alias("primary_cat"))
 
 
 @job("date_section", """SELECT page_id, true AS found, md5('<h3 class="d">' || strftime(d, '%a, %-d %b %Y') || ' <b>(showing)</b></h3>' || body) AS block_md5 FROM (

@@ -9,7 +9,6 @@ from ..functions import dates, papers as P
 from ..functions.text import bare_doi, collapse_ws
 from ..operators import registry
 from ..operators.index_text import index_to_text, text_to_index
-from ..session import spread
 from ..sources.tables import table
 from .catalog import define, job, sql_collapse, sql_strip
 from .standins import papers
@@ -18,7 +17,7 @@ from .standins import papers
 @job("source_badge", "WITH @PAPERS@ SELECT doc_id, @BADGE@ AS badge FROM papers")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     badge = P.source_badge(F.col("source"), F.col("primary_cat"), F.col("subjects"))
-    return papers(spark, folder).select("doc_id", badge.alias("badge"))
+    return papers(spark, folder, texts=False).select("doc_id", badge.alias("badge"))
 
 
 @job("unified_key", """WITH @PAPERS@ SELECT doc_id,
@@ -135,7 +134,7 @@ define(ABSTRACT_WS=sql_collapse("abstract"))
   FROM papers p LEFT JOIN labels USING (doc_id))""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels")
-    rows = text_to_index(spread(papers(spark, folder)), "abstract").join(labels, "doc_id", "left")
+    rows = text_to_index(papers(spark, folder), "abstract").join(labels, "doc_id", "left")
     quality = F.col("quality")
     concept = lambda name, score: F.struct(name.alias("display_name"), score.cast("double").alias("score"))
     native = F.concat(F.lit("https://openalex.org/W"), F.col("doc_id").cast("string"))
@@ -185,7 +184,7 @@ define(TEXT_WS=sql_collapse("text"))
 
 @job("inv_to_text", "SELECT doc_id, md5(@TEXT_WS@) AS text_md5, CAST(length(@TEXT_WS@) AS BIGINT) AS chars FROM documents")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     rebuilt = text_to_index(docs, "text").select("doc_id", index_to_text(F.col("inv")).alias("t"))
     return rebuilt.select("doc_id", F.md5("t").alias("text_md5"), F.char_length("t").cast("bigint").alias("chars"))
 
@@ -196,7 +195,7 @@ g AS (SELECT doc_id, word, count(*) AS n, string_agg(pos, ',' ORDER BY pos) AS p
 SELECT doc_id, count(*) AS words, CAST(sum(n) AS BIGINT) AS positions, md5(string_agg(word || ':' || places, ';' ORDER BY word)) AS index_md5
 FROM g GROUP BY doc_id""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     entries = F.map_entries("inv")
     line = F.transform(entries, lambda e: F.concat_ws(":", e["key"], F.array_join(e["value"].cast("array<string>"), ",")))
     return text_to_index(docs, "text").select(

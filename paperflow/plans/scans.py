@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.classify import bucket_summary
 from ..operators.rollup import daily_series, map_total
 from ..schemas import BENCHMARK_DAY, PAPER
-from ..session import scratch_path, spread
+from ..session import scratch_path
 from ..sources import landed, sinks
 from ..sources.tables import table
 from .catalog import job
@@ -48,14 +48,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_type") == "signup", F.concat(F.lit("["), k, F.lit("]"))).otherwise(F.concat(F.lit('{"a": '), k, F.lit("}")))
     text = F.concat(F.lit('{"daily_new_counts": {"by_cat": '), counts, F.when(F.col("event_type") == "error", "").otherwise("}}"))
     name = F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(".json"))
-    texts = spread(table(spark, folder, "events")).select(name.alias("file_name"), text.alias("text"))
+    texts = table(spark, folder, "events").select(name.alias("file_name"), text.alias("text"))
     days = landed.trends_from(texts).withColumn("total", map_total(F.col("by_cat")))
     return days.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("docs"), F.sum("total").alias("total"))
 
 
 @job("scan_strict_json", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS benchmark, count(*) AS results, max(value) AS best FROM events GROUP BY ALL""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    events = spread(table(spark, folder, "events").select("ts", "event_type", "value"))
+    events = table(spark, folder, "events").select("ts", "event_type", "value")
     doc = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.array(F.struct(
         F.col("event_type").alias("benchmark"), F.lit("value").alias("metric"), F.col("value"))).alias("results")))
     docs = landed.strict_documents(events.select(doc.alias("text")), BENCHMARK_DAY)
@@ -78,9 +78,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """The classified document as summary rows plus paper files per bucket, read back."""
     path = scratch_path(spark, "classified")
-    stage = scratch_path(spark, "classified-stage")
-    classified(spark, folder).select("doc_id", "title", "bucket", "badge").write.parquet(stage)
-    rows = spark.read.parquet(stage)
+    rows = classified(spark, folder, title=True).select("doc_id", "title", "bucket", "badge")
     sinks.write_classified(rows, bucket_summary(rows, BUCKETS), path)
     stored = spark.read.schema("doc_id BIGINT, title STRING, badge STRING, bucket STRING").json(f"{path}/papers")
     counts = stored.groupBy("bucket").agg(F.count("*").alias("stored"))

@@ -48,8 +48,19 @@ def _by_lang(values: dict[str, str]) -> Column:
     return F.coalesce(F.element_at(F.create_map(*pairs), F.col("lang")), F.lit(""))
 
 
-def papers(spark: SparkSession, folder: str) -> DataFrame:
+def _without_texts(docs: DataFrame) -> DataFrame:
+    sn = F.substring("source", 4, 10).cast("int")
+    return docs.select(
+        "doc_id", "lang", "n_chars", F.when(sn < 10, "").when(sn < 15, "crossref").otherwise("openalex").alias("source"),
+        _by_lang(SUBJECTS).alias("subjects"), F.when(sn < 10, _by_lang(CATS)).otherwise("").alias("primary_cat"),
+        F.expr("date_add(date'2024-01-01', cast(n_chars % 60 as int))").alias("day"))
+
+
+def papers(spark: SparkSession, folder: str, texts: bool = True) -> DataFrame:
+    """Every document as a paper.  ``texts=False`` leaves out all that comes from the text, which is then not read."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars", "source")
+    if not texts:
+        return _without_texts(docs)
     docs = once(docs, h=F.md5("text"), sn=F.substring("source", 4, 10).cast("int")).drop("source")
     first = F.substring("h", 1, 1)
     doi = F.when(F.col("sn") < 10, "").when(F.col("sn") < 15, F.concat(F.lit("10.5555/"), F.upper(F.substring("h", 1, 12)))
@@ -81,11 +92,17 @@ def unique_papers(spark: SparkSession, folder: str) -> DataFrame:
     return first_wins(drop_replaced(papers(spark, folder)), key, ["source_rank", "doc_id"])
 
 
-def classified(spark: SparkSession, folder: str) -> DataFrame:
-    """The flagship job: drop replacements, dedup, assign bucket and badge."""
+def classified(spark: SparkSession, folder: str, title: bool = False) -> DataFrame:
+    """The flagship job: drop replacements, assign bucket and badge, dedup.
+
+    Bucket and badge depend on the row alone, so they come before the dedup and no abstract is shuffled.
+    """
     text = paper_text(F.col("title"), F.col("abstract"), F.col("subjects"))
-    out = assign_bucket(unique_papers(spark, folder), text, BUCKETS)
-    return out.withColumn("badge", source_badge(F.col("source"), F.col("primary_cat"), F.col("subjects")))
+    out = assign_bucket(drop_replaced(papers(spark, folder)), text, BUCKETS)
+    badge = source_badge(F.col("source"), F.col("primary_cat"), F.col("subjects")).alias("badge")
+    key = unified_key(F.col("arxiv_id"), F.col("id"), F.col("doi")).alias("key")
+    slim = out.select("doc_id", "n_chars", "source_rank", "bucket", badge, key, *["title"] * title)
+    return first_wins(slim, F.col("key"), ["source_rank", "doc_id"])
 
 
 def _sql_case(values: dict[str, str]) -> str:

@@ -141,19 +141,41 @@ def test_buckets(spark, batches):
     assert rows[1]["hits"][0] == 2 and rows[2]["hits"][1] == 1
 
 
-def test_dictionary_join_equals_brute_force(spark):
+@pytest.mark.parametrize("batches", [True, False])
+def test_hits_of_a_null_text(spark, batches):
+    df = spark.createDataFrame([(None,), ("ones",)], "t STRING")
+    out = [r["hits"] for r in classify.with_hits(df, F.col("t"), (("a", ("ones", "ne")), ("b", ("x",))), batches=batches).collect()]
+    assert out == [None, [2, 0]]
+
+
+def test_no_abstract_is_shuffled(spark):
+    from paperflow.plans import jobs
+
+    for name in ("bucket_badge_counts", "bucket_leaders", "dedup_first"):
+        plan = jobs()[name](spark, "/root/testdata/sf0.001")
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        window = text[text.index("Window"):text.index("\n", text.index("Window"))]
+        assert "abstract" not in window and "text" not in window
+    for name in ("primary_cat", "source_badge", "newest_topk"):
+        plan = jobs()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "text:string" not in plan
+
+
+def test_large_dictionary_equals_brute_force(spark):
     rng = random.Random(7)
     alphabet = "abcdeé "
     words = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 7))).strip() or "a" for _ in range(60)})
     buckets = tuple((f"b{i}", tuple(words[i::5])) for i in range(5))
     texts = [(i, "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))) for i in range(80)]
     df = spark.createDataFrame(texts, "id INT, t STRING")
-    got = classify.assign_bucket_by_join(df, "id", F.col("t"), classify.keyword_table(spark, buckets))
+    words = classify.keyword_table(spark, buckets)
     expected = {}
     for i, t in texts:
         hits = [sum(k in t for k in ks) for _, ks in buckets]
         expected[i] = buckets[hits.index(max(hits))][0] if max(hits) else ""
-    assert {r["id"]: r["bucket"] for r in got.collect()} == expected
+    for size in (1 << 20, 200):
+        got = classify.assign_bucket_large(df, F.col("t"), words, dictionary_bytes=size)
+        assert {r["id"]: r["bucket"] for r in got.collect()} == expected
 
 
 def test_summary_lists_every_bucket(spark):
