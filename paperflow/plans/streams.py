@@ -14,9 +14,13 @@ POLLS = 4
 
 
 def land(df: DataFrame, path: str, poll: str) -> None:
-    """Lands a table as the files of successive polls, oldest first."""
+    """Lands a whole table as the files of successive polls, oldest first.
+
+    Rows of a later poll than the last come with the last one, rows of an unknown poll with the first.
+    """
+    known = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(POLLS - 1), F.col(poll))), F.lit(0))
     for i in range(POLLS):
-        df.where(F.col(poll) == i).drop(poll).write.mode("append").parquet(path)
+        df.where(known == i).drop(poll).write.mode("append").parquet(path)
 
 
 @job("stream_counts", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
@@ -31,17 +35,42 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @job("stream_dedup", """SELECT doc_id, md5(text) AS text_md5 FROM documents
-QUALIFY row_number() OVER (PARTITION BY text ORDER BY CAST(substr(source, 4) AS INT) // 5, doc_id) = 1""")
+QUALIFY row_number() OVER (PARTITION BY text ORDER BY coalesce(least(3, TRY_CAST(substr(source, 4) AS INT) // 5), 0), doc_id) = 1""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     landing, out = scratch_path(spark, "docs-landing"), scratch_path(spark, "docs-first")
     docs = table(spark, folder, "documents").select(
-        "doc_id", "text", F.floor(F.substring("source", 4, 10).cast("int") / 5).cast("int").alias("poll"))
+        "doc_id", "text", F.floor(F.substring("source", 4, 10).try_cast("int") / 5).cast("int").alias("poll"))
     land(docs, landing, "poll")
     stream = A.arrivals(spark, landing, docs.drop("poll").schema, files_per_trigger=1)
     A.drain(stream, A.insert_first(out, F.md5("text"), ["doc_id"]), scratch_path(spark, "docs-checkpoint"))
     return spark.read.parquet(out).select("doc_id", F.col("dedup_key").alias("text_md5"))
 
 
+@job("stream_backfill", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Old days land after new ones, too late for the watermark; the batch job then counts them from what has landed."""
+    landing, out = scratch_path(spark, "late-landing"), scratch_path(spark, "late-counts")
+    events = table(spark, folder, "events").select("ts", "event_type", F.floor((31 - F.dayofmonth("ts")) / 8).alias("poll"))
+    land(events, landing, "poll")
+    schema = events.drop("poll").schema
+    counts = A.running_counts(A.arrivals(spark, landing, schema, files_per_trigger=1), "ts", "event_type")
+    A.drain(counts, A.write_counts(out), scratch_path(spark, "late-checkpoint"), "update")
+    A.backfill_counts(spark.read.schema(schema).parquet(landing), "ts", "event_type", out)
+    return A.read_counts(spark, out, "event_type").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@job("stream_rerun", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Drained twice from the beginning with a new checkpoint: the replayed batches replace themselves."""
+    landing, out = scratch_path(spark, "rerun-landing"), scratch_path(spark, "rerun-counts")
+    events = table(spark, folder, "events").select("ts", "event_type", F.floor((F.dayofmonth("ts") - 1) / 8).alias("poll"))
+    land(events, landing, "poll")
+    for _ in range(2):
+        stream = A.arrivals(spark, landing, events.drop("poll").schema, files_per_trigger=1)
+        A.drain(A.running_counts(stream, "ts", "event_type"), A.write_counts(out), scratch_path(spark, "rerun-checkpoint"), "update")
+    return A.read_counts(spark, out, "event_type").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 @job("stream_upgrade", """WITH v AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) FILTER (event_type = 'purchase') AS journal_count,
   count(*) FILTER (event_type <> 'purchase') AS listing_count FROM events GROUP BY ALL)
 SELECT user_id, strftime(day, '%Y-%m-%d') AS day, listing_count, journal_count,

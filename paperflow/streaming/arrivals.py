@@ -65,6 +65,27 @@ def read_counts(spark: SparkSession, path: str, category: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("day", category).agg(F.max_by("n", "batch_id").alias("n"))
 
 
+def backfill_counts(landed: DataFrame, ts: str, category: str, path: str) -> None:
+    """Counts that came too late for the watermark, put right from all that has landed.
+
+    Only groups whose stored total differs are written, as versions newer than any batch.  Run it again at any time: what is
+    right already is not written, and an interrupted run leaves no partial folder behind.
+    """
+    spark = landed.sparkSession
+    whole = landed.groupBy(F.col(ts).cast("date").alias("day"), category).agg(F.count("*").alias("n"))
+    stored = _read_if_any(spark, path)
+    latest, fresh = -1, whole
+    if stored is not None:
+        latest = stored.agg(F.max("batch_id")).head()[0]
+        known = read_counts(spark, path, category).withColumnRenamed("n", "_known")
+        fresh = whole.join(known, ["day", category], "left").where(~F.col("n").eqNullSafe(F.col("_known"))).drop("_known")
+    fresh.write.mode("overwrite").parquet(f"{path}/batch_id={max(latest + 1, BACKFILL_FROM)}")
+
+
+BACKFILL_FROM = 1_000_000_000
+"""Batch ids from here on are backfills; days beyond the watermark get no stream batch any more."""
+
+
 def distinct_arrivals(stream: DataFrame, ts: str, keys: list[str], horizon: str) -> DataFrame:
     """One row per key among rows at most ``horizon`` apart; which of them is not defined.
 
@@ -79,18 +100,24 @@ def distinct_arrivals(stream: DataFrame, ts: str, keys: list[str], horizon: str)
 def insert_first(path: str, key: Column, order: list):
     """First-wins across polls: rows of a batch whose key no earlier batch has stored.
 
-    Only the key column of the stored rows is read back.
+    The store is partitioned by a hash of the key, and only the key column of those partitions is read
+    back that the batch touches; a small batch reads a small part of the history.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         fresh = first_wins(batch.withColumn("dedup_key", key), F.col("dedup_key"), order)
+        fresh = fresh.withColumn("key_part", F.pmod(F.xxhash64("dedup_key"), F.lit(KEY_PARTS)).cast("int"))
         stored = _read_if_any(batch.sparkSession, path)
         if stored is not None:
-            earlier = stored.where(F.col("batch_id") < batch_id).select("dedup_key")
-            fresh = fresh.join(earlier, "dedup_key", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            touched = [r["key_part"] for r in fresh.select("key_part").distinct().collect()]
+            earlier = stored.where((F.col("batch_id") < batch_id) & F.col("key_part").isin(touched)).select("key_part", "dedup_key")
+            fresh = fresh.join(earlier, ["key_part", "dedup_key"], "left_anti")
+        fresh.repartition("key_part").write.mode("overwrite").partitionBy("key_part").parquet(f"{path}/batch_id={batch_id}")
     return each
 
 
+KEY_PARTS = 64
+
+
 MODE_RANK = {"journal-only": 0, "pastweek-date-section": 1, "new": 2}
 
 

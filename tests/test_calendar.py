@@ -173,7 +173,9 @@ def test_each_gate(spark):
         expected[day] = rules
         for name, rows in good_days(prev, day).items():
             stacked[name] += changes.get(name, lambda r: r)(rows)
-    out = gates.release_gates(gates.Artefacts(**{n: spark.createDataFrame(r, SCHEMAS[n]) for n, r in stacked.items()})).collect()
+    frames = {n: spark.createDataFrame(r, SCHEMAS[n]) for n, r in stacked.items()}
+    frames["trends"] = frames["trends"].withColumn("counts_object", F.to_json(F.struct("by_cat", "scope")))
+    out = gates.release_gates(gates.Artefacts(**frames)).collect()
     assert len(out) == 24 * 2 * len(GATE_CASES)
     failed = {d: sorted(r["rule"][:3] for r in out if r["day"] == d and not r["ok"]) for d in expected}
     assert failed == expected
@@ -216,6 +218,38 @@ def test_ranked_sources_skip_missing_files(spark, tmp_path):
     assert got == [(0, 0, "1"), (0, 1, "2"), (2, 0, "3")]
 
 
+def test_malformed_source_fails(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"arxiv_id": "1"}, ')
+    with pytest.raises(Exception, match="MALFORMED|parse"):
+        landed.read_ranked_papers(spark, [str(tmp_path / "a.json")]).collect()
+
+
+def test_both_benchmark_shapes(spark, tmp_path):
+    (tmp_path / "2026-06-15.json").write_text(json.dumps({"results": [{"benchmark": "A", "value": 1.5}]}))
+    (tmp_path / "2026-06-16.json").write_text(json.dumps({"benchmarks": [{"benchmark": "B", "value": 2.5}, {"benchmark": "C"}]}))
+    (tmp_path / "2026-06-17.json").write_text(json.dumps({"date": "2026-06-17"}))
+    got = landed.read_benchmarks(spark, str(tmp_path)).orderBy("benchmark").collect()
+    assert [(str(r["day"]), r["benchmark"], r["value"]) for r in got] == [("2026-06-15", "A", 1.5), ("2026-06-16", "B", 2.5), ("2026-06-16", "C", None)]
+
+
+def test_all_rows_land(spark, tmp_path):
+    from paperflow.plans.streams import land
+
+    df = spark.createDataFrame([(k, p) for k, p in enumerate((None, -3, 0, 1, 2, 3, 4, 99))], "k INT, poll INT")
+    land(df, str(tmp_path / "x"), "poll")
+    assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "x")).collect()) == list(range(8))
+
+
+def test_backfill_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    early = spark.createDataFrame([("2026-01-02", "a", 1)], "day STRING, kind STRING, n BIGINT").withColumn("day", F.to_date("day"))
+    A.write_counts(path)(early, 0)
+    landed_rows = spark.createDataFrame([("2026-01-02 01:00:00", "a")] * 3 + [("2026-01-01 01:00:00", "b")], "ts STRING, kind STRING").withColumn("ts", F.to_timestamp("ts"))
+    for _ in range(2):
+        A.backfill_counts(landed_rows, "ts", "kind", path)
+        assert sorted((str(r["day"]), r["kind"], r["n"]) for r in A.read_counts(spark, path, "kind").collect()) == [("2026-01-01", "b", 1), ("2026-01-02", "a", 3)]
+
+
 def test_cluster_rows(spark, tmp_path):
     (tmp_path / "2026-06-15.json").write_text(json.dumps({"clusters": [{"cluster": "A", "why": "w"}, {"title": "B"}, {"why": "untitled"}], "insights": [{"title": "no"}]}))
     (tmp_path / "2026-06-16.json").write_text(json.dumps({"insights": [{"title": "C"}]}))
