@@ -6,6 +6,7 @@ A-Z is lower-cased, which is exactly ``bytes.lower().split()``.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from paperflow.session import scratch_path
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 BATCH_ROWS = 500
 """Rows of one Arrow batch; long texts make the default of 10,000 rows too large for a Python worker."""
 
@@ -36,7 +38,8 @@ def raw(text: str | Column) -> Column:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Lets the session send few rows at a time to Python; the session keeps that setting."""
+    """Lets the session send few rows at a time to Python, where this package can be imported; both settings stay."""
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df
 

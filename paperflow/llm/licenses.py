@@ -27,7 +27,7 @@ LEVEL = 9
 CONFIRM = 4
 MOST_EDITS = 0.2
 LONG_LINE = 400
-CUES = (b"licen", b"copyright", b"all rights reserved", b"permission is hereby", b"without warranty", b"spdx-", b"public domain")
+CUES = (b"licen", b"copyright", b"all rights reserved", b"permission is hereby", b"without warranty", b"spdx-", b"public domain", b"redistribution and use")
 BLOCKS = "doc_id long, block int, line int, license string, saved double, edits int, wording_words int, differences string, text string"
 
 # Well-known public license notices.

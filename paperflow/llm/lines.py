@@ -53,12 +53,12 @@ def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text",
     lines = site_lines(docs, key, text, site)
     flagged = staged(boilerplate(lines, min_sites), "boilerplate-lines")
     hits = lines.join(flagged, ["h1", "h2"]).where(~F.col("key").eqNullSafe(F.col("keeper")))
-    gone = hits.groupBy("row_id").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("row_id", "__row_id")
+    gone = hits.groupBy("row_id").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("row_id", "__row_id")
     joined = docs.withColumn("__row_id", _row_id(key, text)).join(gone, "__row_id", "left")
     parts = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
-    clean = F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda k: F.get(parts, k)), "\n"))
-    counts = {"n_lines": F.coalesce(F.size(parts), F.lit(0)), "n_removed": F.coalesce(F.size("gone"), F.lit(0))}
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
+    clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda k: F.get(parts, k)), "\n"))
+    counts = {"n_lines": F.coalesce(F.size(parts), F.lit(0)), "n_removed": F.coalesce(F.size("__gone"), F.lit(0))}
     others = [c for c in docs.columns if c not in counts]
     return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in others],
                          *[F.when(F.col(text).isNull(), F.lit(0)).otherwise(v).cast("long").alias(k) for k, v in counts.items()])
