@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import papers as P
 from ..functions.dates import feed_stamp
-from ..functions.text import heading, summary_after
+from ..functions.text import first_nonempty, heading, summary_after
 from ..operators import enrich, rank
 from ..sources.landed import posts_from
 from ..sources.tables import table
@@ -95,7 +95,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return rank.merged_list(existing, missing, "day", "weekly", "name").select("name", "weekly", "was_linked")
 
 
-_POST = """posts AS (SELECT page_id, html, strftime(DATE '2022-01-01' + CAST(length(html) % 900 AS INT), '%Y-%m-%d') AS day,
+_POST = """posts AS (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN replace(html, '<h1', '<h9') ELSE html END AS html, strftime(DATE '2022-01-01' + CAST(length(html) % 900 AS INT), '%Y-%m-%d') AS day,
   contains(url, '#top') AS weekly, contains(url, '?') AS odd FROM pages)"""
 
 
@@ -103,7 +103,8 @@ def named_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages under post file names; some names are not a post's."""
     day = F.expr("date_format(date_add(date'2022-01-01', cast(char_length(html) % 900 as int)), 'yyyy-MM-dd')")
     suffix = F.when(F.contains("url", F.lit("?")), ".htm").when(F.contains("url", F.lit("#top")), "-weekly.html").otherwise(".html")
-    return table(spark, folder, "pages").select("page_id", F.concat(day, suffix).alias("file_name"), "html")
+    html = F.when(F.col("page_id") % 7 == 0, F.replace("html", F.lit("<h1"), F.lit("<h9"))).otherwise(F.col("html"))  # some without a heading
+    return table(spark, folder, "pages").select("page_id", F.concat(day, suffix).alias("file_name"), html.alias("html"))
 
 
 @job("scan_posts", f"""WITH {_POST} SELECT day, weekly, count(*) AS posts, CAST(sum(length(html)) AS BIGINT) AS chars
@@ -116,20 +117,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 define(FEED_H1=sql_markup("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))
 
 
-@job("feed_items", f"""WITH {_POST},
-newest AS (SELECT * FROM posts WHERE NOT odd ORDER BY day DESC, weekly DESC, md5(html) LIMIT 60)
-SELECT @FEED_H1@ AS title, 'posts/' || day || CASE WHEN weekly THEN '-weekly' ELSE '' END || '.html' AS link,
-  strftime(CAST(day AS DATE), '%a, %d %b %Y') || ' 09:00:00 +0900' AS pub_date,
-  CASE WHEN length(@LEAD@) > 380 THEN regexp_replace(substr(@LEAD@, 1, 379), '@WS@+$', '') || '…' ELSE @LEAD@ END AS summary FROM newest""")
+SITE = "https://example.org"
+define(FEED_POSTS=_POST, FEED_NEWEST="""newest AS (SELECT *, @FEED_H1@ AS h1,
+  CASE WHEN length(@LEAD@) > 380 THEN regexp_replace(substr(@LEAD@, 1, 379), '@WS@+$', '') || '…' ELSE @LEAD@ END AS lead
+  FROM posts WHERE NOT odd ORDER BY day DESC, weekly DESC, md5(html) LIMIT 60),
+items AS (SELECT CASE WHEN h1 = '' THEN 'Briefing — ' || day ELSE h1 END AS title,
+  'https://example.org/posts/' || day || CASE WHEN weekly THEN '-weekly' ELSE '' END || '.html' AS link,
+  'https://example.org/posts/' || day || CASE WHEN weekly THEN '-weekly' ELSE '' END || '.html' AS guid,
+  strftime(CAST(day AS DATE), '%a, %d %b %Y') || ' 09:00:00 +0900' AS "pubDate",
+  CASE WHEN lead = '' THEN 'Briefing ' || day ELSE lead END AS description FROM newest)""")
+
+
+@job("feed_items", "WITH @FEED_POSTS@, @FEED_NEWEST@ SELECT * FROM items")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return feed(spark, folder)
 
 
-def feed(spark: SparkSession, folder: str) -> DataFrame:
+def feed(spark: SparkSession, folder: str, site: str = SITE, title: str = "Briefing — {day}", description: str = "Briefing {day}") -> DataFrame:
+    """The newest posts as feed items; a post without heading or lead gets ``title`` or ``description`` with its day."""
+    def dated(pattern: str):
+        return F.replace(F.lit(pattern), F.lit("{day}"), F.col("day"))
+
     posts = posts_from(named_pages(spark, folder), "file_name", "html").withColumn("tie", F.md5("html"))
     newest = rank.newest_items(posts, "day", "weekly", "tie")
     suffix = F.when(F.col("weekly"), "-weekly.html").otherwise(".html")
+    link = F.concat(F.lit(f"{site}/posts/"), F.col("day"), suffix)
     return newest.select(
-        heading(F.col("html")).alias("title"), F.concat(F.lit("posts/"), F.col("day"), suffix).alias("link"),
-        feed_stamp(F.col("day").cast("date")).alias("pub_date"),
-        summary_after(F.col("html"), marker="", tag="h1").alias("summary"))
+        first_nonempty(heading(F.col("html")), dated(title)).alias("title"), link.alias("link"), link.alias("guid"),
+        feed_stamp(F.col("day").cast("date")).alias("pubDate"),
+        first_nonempty(summary_after(F.col("html"), marker="", tag="h1"), dated(description)).alias("description"))

@@ -113,15 +113,29 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @job("registry_items", """SELECT event_id, CAST(0 AS BIGINT) AS pos, CAST(json_extract(props, '$.k') AS VARCHAR) AS doi
-FROM events WHERE event_type NOT IN ('error', 'signup')""")
+FROM events WHERE event_type NOT IN ('error', 'signup')
+UNION ALL SELECT event_id, 2, '10.2/' || event_id FROM events WHERE event_type NOT IN ('error', 'signup')""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     key = F.get_json_object("props", "$.k")
-    item = F.concat(F.lit('{"message": {"items": [{"DOI": "'), key, F.lit('"}]}}'))
+    item = F.concat(F.lit('{"message": {"items": [{"DOI": "'), key, F.lit('"}, null, {"DOI": "10.2/'), F.col("event_id").cast("string"), F.lit('"}]}}'))
     body = F.when(F.col("event_type") == "error", "{}").when(F.col("event_type") == "signup", '{"message": {}}').otherwise(item)
     events = table(spark, folder, "events").select("event_id", body.alias("body"))
     return registry.registry_items(events).select("event_id", F.col("pos").cast("bigint"), F.col("item.DOI").alias("doi"))
 
 
+@job("index_items", """SELECT event_id, CAST(0 AS BIGINT) AS pos, 'W' || event_id AS id, 'b a' AS abstract, CAST(json_extract(props, '$.k') AS BIGINT) AS cited
+FROM events WHERE event_type <> 'error'
+UNION ALL SELECT event_id, 1, NULL, '', 7 FROM events WHERE event_type <> 'error'""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Open-index responses parsed under the fixed schema; an error page has no results."""
+    body = F.when(F.col("event_type") != "error", F.concat(
+        F.lit('{"results": [{"id": "W'), F.col("event_id").cast("string"), F.lit('", "abstract_inverted_index": {"a": [1], "b": [0]}, "cited_by_count": '),
+        F.get_json_object("props", "$.k"), F.lit('}, {"cited_by_count": 7, "abstract_inverted_index": null}]}'))).otherwise('{"error": "x"}')
+    works = registry.index_works(table(spark, folder, "events").select("event_id", body.alias("body")))
+    return works.select("event_id", F.col("pos").cast("bigint"), "item.id", index_to_text(F.col("item.abstract_inverted_index")).alias("abstract"),
+                        F.col("item.cited_by_count").alias("cited"))
+
+
 define(ABSTRACT_WS=sql_collapse("abstract"))
 
 

@@ -123,14 +123,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @job("identical_batch", """WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL),
 f AS (SELECT user_id, day, string_agg(event_type || ':' || n, ' ' ORDER BY event_type) AS fp FROM c GROUP BY ALL),
-i AS (SELECT user_id, CAST(ts AS DATE) AS day, string_agg(DISTINCT event_type || props, ' ' ORDER BY event_type || props) AS ids FROM events GROUP BY ALL),
+i AS (SELECT user_id, CAST(ts AS DATE) AS day, string_agg(DISTINCT event_type, ' ' ORDER BY event_type) AS ids FROM events GROUP BY ALL),
 j AS (SELECT f.user_id, f.day, fp, ids FROM f JOIN i USING (user_id, day)),
 l AS (SELECT *, lag(fp) OVER w AS pf, lag(ids) OVER w AS pi FROM j WINDOW w AS (PARTITION BY user_id ORDER BY day))
 SELECT user_id, strftime(day, '%Y-%m-%d') AS day, coalesce(fp = pf, false) AS same_counts, coalesce(ids = pi, false) AS same_ids,
   coalesce(fp = pf AND ids = pi, false) AS identical FROM l""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "events").select(
-        "user_id", F.col("ts").cast("date").alias("day"), "event_type", F.concat("event_type", "props").alias("id"))
+        "user_id", F.col("ts").cast("date").alias("day"), "event_type", F.col("event_type").alias("id"))
     counts = rows.groupBy("user_id", "day", "event_type").agg(F.count("*").alias("n"))
     out = sets.identical_batches(counts, rows, ["user_id"], "day", "event_type", "n", "id")
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))

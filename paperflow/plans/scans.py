@@ -25,14 +25,17 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 def _paper_json(nested: bool):
     paper = F.struct("title", "abstract", "arxiv_id", F.col("h").alias("doi"))
+    second = F.to_json(F.struct(F.concat("title", F.lit(" II")).alias("title"), F.col("h").alias("doi")))
     if not nested:
-        return F.concat(F.lit("[1, "), F.to_json(paper), F.lit(', "text", null]'))
-    return F.concat(F.lit('{"total": 1, "buckets": {"a": null, "b": {"papers": ['), F.to_json(paper), F.lit(', 7]}, "c": {"total": 0}}}'))
+        return F.concat(F.lit("[1, "), F.to_json(paper), F.lit(', "text", null, '), second, F.lit("]"))
+    return F.concat(F.lit('{"total": 1, "buckets": {"a": null, "b": {"papers": ['), F.to_json(paper), F.lit(', 7]}, "c": {"total": 0}, "d": {"papers": ['),
+                    second, F.lit("]}}}"))
 
 
-@job("flatten_buckets", """WITH @PAPERS@ SELECT doc_id, CAST(0 AS BIGINT) AS pos, title, md5(abstract) AS abstract_md5, h AS doi FROM papers""")
+@job("flatten_buckets", """WITH @PAPERS@ SELECT doc_id, CAST(0 AS BIGINT) AS pos, title, md5(abstract) AS abstract_md5, h AS doi FROM papers
+UNION ALL SELECT doc_id, 1, title || ' II', NULL, h FROM papers""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Every paper in one of the two document shapes, among entries that are no papers; ``pos`` counts papers only."""
+    """Two papers in one of the two document shapes, among entries that are no papers; ``pos`` counts papers only."""
     nested = F.col("source") == ""
     texts = papers(spark, folder).select("doc_id", F.when(nested, _paper_json(True)).otherwise(_paper_json(False)).alias("text"))
     return landed.papers_from(texts).select(
@@ -65,12 +68,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @job("scan_json_array", "WITH @PAPERS@ SELECT arxiv_id, doi, title, md5(abstract) AS abstract_md5, len(authors) AS authors FROM papers")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Papers written as JSON and read back under the fixed schema."""
+    """Papers written as files that each hold one JSON array, and read back as records under the fixed schema."""
     path = scratch_path(spark, "papers-json")
     names = [f.split(" ")[0] for f in PAPER.split(", ")]
     rows = papers(spark, folder)
-    sinks.write_papers(rows.select(*[n for n in names if n in rows.columns]), path)
-    back = spark.read.schema(PAPER).json(path)
+    sinks.write_paper_arrays(rows.select(*[n for n in names if n in rows.columns], F.floor(F.col("doc_id") / 250).alias("_file")), "_file", path)
+    back = landed.read_paper_arrays(spark, path)
     return back.select("arxiv_id", "doi", "title", F.md5("abstract").alias("abstract_md5"), F.size("authors").cast("bigint").alias("authors"))
 
 
@@ -99,12 +102,10 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "total", "by_cat")
 
 
-@job("sink_feed", """WITH posts AS (SELECT html, strftime(DATE '2022-01-01' + CAST(length(html) % 900 AS INT), '%Y-%m-%d') AS day,
-  contains(url, '#top') AS weekly, contains(url, '?') AS odd FROM pages),
-newest AS (SELECT * FROM posts WHERE NOT odd ORDER BY day DESC, weekly DESC, md5(html) LIMIT 60)
-SELECT @FEED_H1@ AS title, 'posts/' || day || CASE WHEN weekly THEN '-weekly' ELSE '' END || '.html' AS link FROM newest""")
+@job("sink_feed", """WITH @FEED_POSTS@,
+@FEED_NEWEST@ SELECT * FROM items""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "feed-xml")
     sinks.write_feed(feed(spark, folder), path)
-    items = spark.read.schema("title STRING, link STRING, pub_date STRING, summary STRING").option("rowTag", "item").format("xml").load(path)
-    return items.select("title", "link")
+    items = spark.read.schema("title STRING, link STRING, guid STRING, pubDate STRING, description STRING").option("rowTag", "item").format("xml").load(path)
+    return items

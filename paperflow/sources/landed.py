@@ -67,6 +67,11 @@ def _struct(ddl: str) -> str:
     return ", ".join(f"{n}: {t}" for n, t in (field.split(" ", 1) for field in ddl.split(", ")))
 
 
+def read_paper_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """Files that hold one JSON array of papers each, as records; a malformed file fails the job."""
+    return spark.read.schema(PAPER).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+
+
 def checked_json(texts: DataFrame, text: str = "text") -> DataFrame:
     """The same rows; the first text that is no JSON fails the job."""
     return texts.where(F.parse_json(F.col(text)).isNotNull() | F.col(text).isNull())
