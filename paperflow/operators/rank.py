@@ -21,13 +21,16 @@ def newest_items(posts: DataFrame, day: str, weekly: str, tie: str, n: int = V.F
     return once(newest, _kept=F.lit(True)).drop("_kept")
 
 
-def merged_list(existing: DataFrame, missing: DataFrame, day: str, weekly: str, tie: str) -> DataFrame:
-    return existing.unionByName(missing).orderBy(F.desc(day), F.desc(weekly), F.asc(tie))
+def merged_list(posts: DataFrame, linked: DataFrame, key: str, day: str, weekly: str, tie: str) -> DataFrame:
+    """All posts, newest first, with ``was_linked``: one pass over the posts and one lookup."""
+    known = linked.select(key).distinct().withColumn("was_linked", F.lit(True))
+    flagged = posts.join(known, key, "left").withColumn("was_linked", F.coalesce("was_linked", F.lit(False)))
+    return flagged.orderBy(F.desc(day), F.desc(weekly), F.asc(tie))
 
 
-def missing_links(posts: DataFrame, linked: DataFrame, name: str) -> DataFrame:
-    """Posts that no entry links yet."""
-    return posts.join(linked.select(name).distinct(), name, "left_anti")
+def missing_links(posts: DataFrame, linked: DataFrame, name: str, prefix: str = r"^\d{4}-\d{2}-\d{2}") -> DataFrame:
+    """Posts that no entry links yet; a name that does not begin like a post's is none."""
+    return posts.where(F.col(name).rlike(prefix)).join(linked.select(name).distinct(), name, "left_anti")
 
 
 def leaders(papers: DataFrame, group: str, order: list[Column], per_group: int = 3,

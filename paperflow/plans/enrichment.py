@@ -81,18 +81,17 @@ def linked_names(spark: SparkSession, folder: str) -> DataFrame:
     return post_names(spark, folder).join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
 
 
-@job("missing_links", f"SELECT {_NAME} AS name FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+@job("missing_links", f"SELECT {_NAME} AS name FROM documents WHERE lang <> 'de' AND doc_id NOT IN (SELECT doc_id FROM labels)")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return rank.missing_links(post_names(spark, folder), linked_names(spark, folder), "name").select("name")
+    draft = F.when(F.col("lang") == "de", F.concat(F.lit("draft-"), "name")).otherwise(F.col("name"))
+    return rank.missing_links(post_names(spark, folder).withColumn("name", draft), linked_names(spark, folder), "name").select("name")
 
 
 @job("merged_list", f"""SELECT {_NAME} AS name, lang = 'es' AS weekly,
   doc_id IN (SELECT doc_id FROM labels) AS was_linked FROM documents""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    posts, linked = post_names(spark, folder), linked_names(spark, folder)
-    missing = rank.missing_links(posts, linked, "name").withColumn("was_linked", F.lit(False)).select("name", "day", "weekly", "was_linked")
-    existing = linked.withColumn("was_linked", F.lit(True)).select("name", "day", "weekly", "was_linked")
-    return rank.merged_list(existing, missing, "day", "weekly", "name").select("name", "weekly", "was_linked")
+    linked = table(spark, folder, "labels").select("doc_id")
+    return rank.merged_list(post_names(spark, folder), linked, "doc_id", "day", "weekly", "name").select("name", "weekly", "was_linked")
 
 
 _POST = """posts AS (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN replace(html, '<h1', '<h9') ELSE html END AS html, strftime(DATE '2022-01-01' + CAST(length(html) % 900 AS INT), '%Y-%m-%d') AS day,

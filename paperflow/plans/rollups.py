@@ -73,7 +73,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @job("evidence_grade", """WITH g AS (SELECT conv_id, count(DISTINCT text) AS papers, count(DISTINCT role) AS author_groups FROM conversations GROUP BY ALL)
 SELECT *, CASE WHEN papers >= 3 AND author_groups >= 2 THEN 'High' WHEN papers >= 2 THEN 'Medium' ELSE 'Low' END AS grade FROM g""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.evidence_grade(table(spark, folder, "conversations"), ["conv_id"], "text", "role")
+    return rollup.evidence_grade(
+        table(spark, folder, "conversations").select("conv_id", "role", F.md5("text").alias("text_md5")), ["conv_id"], "text_md5", "role")
 
 
 @job("running_best", """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, max(value) AS day_best FROM events WHERE value IS NOT NULL GROUP BY ALL)
