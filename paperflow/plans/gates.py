@@ -15,7 +15,7 @@ from .catalog import define, job, sql_markup
 
 
 def day_documents(spark: SparkSession, folder: str) -> Artefacts:
-    """Every day of the event table as a set of artefacts.
+    """Every day of the event table as a set of artefacts, spoilt in one way or another by the last digit of its date.
 
     Users with four events or more on a day are that day's clusters, the ``k`` values
     its paper ids.  Weekends are journal-only, carry the listing date of the day before
@@ -23,7 +23,7 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
     """
     events = table(spark, folder, "events").select(
         "event_type", "user_id", F.col("ts").cast("date").alias("day"), F.get_json_object("props", "$.k").alias("k"))
-    weekend = F.weekday("day") >= 5
+    weekend, digit = F.weekday("day") >= 5, F.dayofmonth("day") % 10
     iso = F.date_format("day", "yyyy-MM-dd")
     # one row per day; the artefacts below share its exchange
     facts = events.groupBy("day").agg(
@@ -31,13 +31,15 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
         F.count_if(F.col("event_type") == "error").alias("errors"), F.count_if(F.col("event_type") == "view").alias("views"),
         *[F.count_if(F.col("event_type") == k).alias(f"n_{k}") for k in KINDS])
     by_cat = F.map_from_entries(F.filter(F.array(*[
-        F.struct(F.lit(k).alias("key"), F.col(f"n_{k}").alias("value")) for k in KINDS]), lambda e: e["value"] > 0))
+        F.struct(F.lit(k).alias("key"), F.col(f"n_{k}").cast("string").alias("value")) for k in KINDS]), lambda e: e["value"] != "0"))
+    by_cat = F.when(digit == 9, F.create_map().cast("map<string,string>")).when(
+        digit == 8, F.map_concat(by_cat, F.create_map(F.lit("x"), F.lit('"7"')))).otherwise(by_cat)
     trends = facts.withColumn("by_cat", by_cat).select(
-        "day", F.lit(True).alias("readable"), iso.alias("doc_date"),
+        "day", F.lit(True).alias("readable"), F.when(digit == 3, "1999-01-01").otherwise(iso).alias("doc_date"),
         F.date_format(F.when(weekend, F.date_sub("day", 1)).otherwise(F.col("day")), "yyyy-MM-dd").alias("listing_date"),
         F.when(weekend, "journal-only").when(F.col("errors") > F.col("views"), "new").otherwise("weekly").alias("source_mode"),
         F.when(F.col("total") % 2 == 0, V.RELEASE_SCOPE).otherwise(V.LISTING_SCOPE).alias("scope"),
-        F.transform_values("by_cat", lambda k, v: v.cast("string")).alias("by_cat"), F.to_json("by_cat").alias("counts_object"),
+        "by_cat", F.to_json("by_cat").alias("counts_object"),
         F.col("total").cast("string").alias("total_scanned"), F.col("picked").cast("string").alias("selected"),
         F.col("total").alias("shown"), (F.col("total") - F.col("errors") % 2).alias("parsed"),
         F.col("views").alias("geometry_papers"), F.lit(0).alias("geometry_named"))
@@ -48,9 +50,11 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
     ranked = per_user.join(F.broadcast(first), ["day", "user_id"], "left")
     clusters = ranked.select(
         "day", (F.coalesce("_rank", F.lit(V.CHECKED_CLUSTERS + 1)) - 1).alias("pos"),
-        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("title"), "papers",
-        F.expr("repeat('evidence ', cast(papers as int) * 2)").alias("why"))
-    ids = events.select("day", F.concat(F.date_format("day", "yyMM"), F.lit("."), F.col("k")).alias("id"))
+        F.when(digit == 5, "same").otherwise(F.concat(F.lit("user "), F.col("user_id").cast("string"))).alias("title"),
+        F.when(digit == 6, F.lit(1)).otherwise(F.col("papers")).alias("papers"),
+        F.when(digit == 7, "short").otherwise(F.expr("repeat('evidence ', cast(papers as int) * 2)")).alias("why"))
+    month = F.when(digit == 4, "0001").otherwise(F.date_format("day", "yyMM"))
+    ids = events.select("day", F.concat(month, F.lit("."), F.col("k")).alias("id"))
     posts = facts.select("day", F.concat(
         F.lit("<h1>"), F.when(F.col("errors") % 3 == 0, F.lit("undated")).otherwise(iso), F.lit("</h1><table><th>Cluster</th><th>"),
         F.lit("대표 논문</th><th>왜 중요?</th></table>"), F.when(F.col("views") % 5 == 0, F.lit("a batch of SLAM")).otherwise("")).alias("html"))
@@ -64,26 +68,26 @@ def day_documents(spark: SparkSession, folder: str) -> Artefacts:
 _RULES = {
     "G01_artefacts_exist": "errors < 70 AND day > DATE '2024-01-05'",
     "G02_json_readable": "errors < 70",
-    "G03_date": "true",
+    "G03_date": "digit <> 3",
     "G04_listing_date": "NOT weekend",
     "G05_mode": "weekend OR errors > views",
     "G06_scope": "total % 2 = 0",
-    "G07_counts_present": "true",
-    "G08_counts_whole": "true",
+    "G07_counts_present": "digit <> 9",
+    "G08_counts_whole": "digit <> 8",
     "G09_totals": "total >= picked",
     "G10_post_markers": "errors % 3 <> 0",
     "G11_feed_link": "day > DATE '2024-01-05'",
     "G12_enough_clusters": "titles >= 3",
-    "G13_titles_unique": "true",
+    "G13_titles_unique": "digit <> 5 OR titles < 2",
     "G14_title_overlap": "shared_titles < 4",
     "G15_not_identical": "true",
-    "G16_cluster_papers": "true",
-    "G17_cluster_why": "coalesce(sixth * 18 >= 80, true)",
-    "G18_enough_listed": "total >= 50",
+    "G16_cluster_papers": "digit <> 6 OR titles = 0",
+    "G17_cluster_why": "titles = 0 OR digit <> 7 AND sixth * 18 >= 80",
+    "G18_enough_listed": "total >= 50 AND digit <> 9",
     "G19_selected_share": "picked >= total * 0.4",
-    "G20_id_month": "true",
+    "G20_id_month": "digit <> 4",
     "G21_shown_is_parsed": "errors % 2 = 0",
-    "G22_series_row": "NOT weekend",
+    "G22_series_row": "NOT weekend AND digit <> 8",
     "G23_geometry_row": "views < 10 OR views % 5 = 0",
     "G24_no_banned_phrase": "views % 5 <> 0",
 }
@@ -97,8 +101,9 @@ u AS (SELECT day, user_id, count(*) AS papers FROM e GROUP BY ALL HAVING count(*
 c AS (SELECT day, count(*) AS titles, min(papers) FILTER (r <= 6) AS sixth FROM (
   SELECT *, row_number() OVER (PARTITION BY day ORDER BY papers DESC, user_id) AS r FROM u) GROUP BY day),
 p AS (SELECT day, lag(day) OVER (ORDER BY day) AS prev FROM f),
-o AS (SELECT p.day, count(*) AS shared FROM p JOIN u a ON a.day = p.day JOIN u b ON b.day = p.prev AND b.user_id = a.user_id GROUP BY p.day),
-x AS (SELECT f.*, coalesce(titles, 0) AS titles, sixth, coalesce(shared, 0) AS shared_titles
+t AS (SELECT DISTINCT day, CASE WHEN day(day) % 10 = 5 THEN 'same' ELSE 'user ' || user_id END AS title FROM u),
+o AS (SELECT p.day, count(*) AS shared FROM p JOIN t a ON a.day = p.day JOIN t b ON b.day = p.prev AND b.title = a.title GROUP BY p.day),
+x AS (SELECT f.*, day(f.day) % 10 AS digit, coalesce(titles, 0) AS titles, sixth, coalesce(shared, 0) AS shared_titles
   FROM f LEFT JOIN c USING (day) LEFT JOIN o USING (day))"""
 
 
