@@ -137,12 +137,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     chosen = F.broadcast(hashed_sample(graded, "label_key", sample_rows))
     few = docs.select(F.col(key).alias("label_key"), F.col(text).alias("text")).where(F.octet_length("text") <= sample_bytes).join(chosen, "label_key")
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def buckets(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: np.array(feature_buckets(t.encode()), dtype="int32"))
+        return texts.map(lambda t: np.sort(np.array(feature_buckets(t.encode()), dtype="<i4")).tobytes())
 
     found = small_batches(few).select("label_key", "grade", buckets("text").alias("f")).orderBy(F.xxhash64("label_key"), "label_key", "grade", "f").collect()
-    return [np.array(r["f"], dtype="int64") for r in found], np.array([r["grade"] for r in found], dtype="int64")
+    return [np.frombuffer(r["f"], "<i4") for r in found], np.array([r["grade"] for r in found], dtype="int64")
 
 
 class _Scorer:
