@@ -12,7 +12,8 @@ unpacking its neighbours.  The dictionary lies in its own one-row table and is c
 It is trained on the serialized ids of at most ``sample_docs`` documents of at most ``sample_bytes`` bytes of text each,
 the first ones by hash of the id; all other statistics cover every row.
 
-Null and empty texts are one end id.  Rows with a null doc_id come first.  Repeated ids keep their rows, ordered by text.
+Null and empty texts are one end id.  Rows with a null doc_id come first.  Repeated ids keep their rows, ordered by a hash of the
+text, so that an id with very many rows spreads over tasks.
 An empty table gives an empty store and no rows.
 """
 
@@ -150,7 +151,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
             yield flush()
 
     ordered = (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+               .withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
     in_batches(ordered, write, BLOCKS).write.parquet(f"{path}/blocks")
 

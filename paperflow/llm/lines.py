@@ -12,7 +12,7 @@ through, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -23,15 +23,11 @@ ERROR = 0.05
 """Three times the standard error of a sketch with 2^12 slots."""
 
 
-def _row_id(key: str, text: str) -> Column:
-    return F.xxhash64(F.col(key), F.col(text))
-
-
 def site_lines(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
     """One narrow row per line that is not blank: hashes, document, place, site."""
-    rows = docs.select(F.col(key).alias("key"), _row_id(key, text).alias("row_id"), F.col(site).alias("site"),
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(site).alias("site"),
                        F.posexplode(F.split(text, "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
-    return rows.select("key", "row_id", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
+    return rows.select("key", "text_hash", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, error: float = ERROR) -> DataFrame:
@@ -53,8 +49,9 @@ def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text",
     lines = site_lines(docs, key, text, site)
     flagged = staged(boilerplate(lines, min_sites), "boilerplate-lines")
     hits = lines.join(flagged, ["h1", "h2"]).where(~F.col("key").eqNullSafe(F.col("keeper")))
-    gone = hits.groupBy("row_id").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("row_id", "__row_id")
-    joined = docs.withColumn("__row_id", _row_id(key, text)).join(gone, "__row_id", "left")
+    gone = hits.groupBy(F.col("key").alias("__key"), F.col("text_hash").alias("__text_hash")).agg(F.collect_set("pos").alias("__gone"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__text_hash"))
+    joined = docs.join(gone, same, "left")
     parts = F.split(text, "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
     clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda k: F.get(parts, k)), "\n"))
