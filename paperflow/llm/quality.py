@@ -141,7 +141,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     def buckets(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: np.sort(np.array(feature_buckets(t.encode()), dtype="<i4")).tobytes())
 
-    found = small_batches(few).select("label_key", "grade", buckets("text").alias("f")).orderBy(F.xxhash64("label_key"), "label_key", "grade", "f").collect()
+    found = small_batches(few).select("label_key", "grade", buckets("text").alias("f")).collect()
+    found.sort(key=lambda r: (r["label_key"], r["grade"], r["f"]))
     return [np.frombuffer(r["f"], "<i4") for r in found], np.array([r["grade"] for r in found], dtype="int64")
 
 
