@@ -134,9 +134,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.md5(T.strip_markup(h, " ", "common")).alias("spaced"), F.md5(T.strip_markup(h, " ", None)).alias("raw"))
 
 
-@job("unescape_udf", f"SELECT page_id, md5({sql_unescape('html')}) AS plain_md5 FROM pages")
+@job("unescape_udf", f"""SELECT page_id, md5({sql_unescape('html')} || CASE WHEN page_id % 3 = 0 THEN '♥Aé&hearts;' ELSE '' END) AS plain_md5 FROM pages""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return pages(spark, folder).select("page_id", F.md5(T.unescape(F.col("html"))).alias("plain_md5"))
+    """Every third page also has entities that only the Arrow function knows."""
+    rare = F.when(F.col("page_id") % 3 == 0, F.concat("html", F.lit("&hearts;&#x41;&eacute;&amp;hearts;"))).otherwise(F.col("html"))
+    return pages(spark, folder).select("page_id", F.md5(T.unescape(rare)).alias("plain_md5"))
 
 
 @job("unescape_native", f"SELECT page_id, md5({sql_unescape('html')}) AS plain_md5 FROM pages")

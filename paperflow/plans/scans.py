@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.classify import bucket_summary
 from ..operators.rollup import daily_series, map_total
-from ..schemas import BENCHMARK_DAY, PAPER
+from ..schemas import BENCHMARK_DAY, INSIGHTS_DAY, PAPER, WEEKLY
 from ..session import scratch_path
 from ..sources import landed, sinks
 from ..sources.tables import table
@@ -66,6 +66,43 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("day", "benchmark").agg(F.count("*").alias("results"), F.max("value").alias("best"))
 
 
+@job("scan_weekly", """WITH e AS (SELECT strftime(ts, '%G-%V') AS iso_week, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT iso_week, 'hot' AS kind, event_type AS name, count(*) AS n FROM e GROUP BY ALL
+UNION ALL SELECT iso_week, 'cold', 'no ' || event_type, count(*) FROM e WHERE event_type <> 'view' GROUP BY ALL
+UNION ALL SELECT iso_week, 'label', CASE WHEN k % 2 = 0 THEN 'hit' ELSE 'miss' END, count(*) FROM e WHERE event_type <> 'error' GROUP BY ALL""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekly documents: hot and cold clusters, and the labels of reviewed predictions."""
+    kind, k = F.col("event_type"), F.get_json_object("props", "$.k").cast("bigint")
+    monday = F.date_trunc("week", F.col("ts"))
+    year = F.year(F.date_add(monday.cast("date"), 3))  # the year of the week's Thursday
+    doc = F.to_json(F.struct(
+        F.format_string("%d-%02d", year, F.weekofyear("ts")).alias("iso_week"),
+        F.struct(F.array(F.struct(kind.alias("cluster"), F.array(k.cast("string")).alias("papers"))).alias("hot"),
+                 F.when(kind != "view", F.array(F.struct(F.concat(F.lit("no "), kind).alias("cluster")))).alias("cold")).alias("hot_vs_cold"),
+        F.when(kind != "error", F.array(F.struct(F.lit("t").alias("title"), F.when(k % 2 == 0, "hit").otherwise("miss").alias("label")))).alias("prediction_review")))
+    weekly = landed.strict_documents(table(spark, folder, "events").select(doc.alias("text")), WEEKLY)
+    heat = landed.weekly_heat(weekly).select("iso_week", F.col("side").alias("kind"), F.col("cluster").alias("name"))
+    labels = landed.weekly_reviews(weekly).select("iso_week", F.lit("label").alias("kind"), F.col("label").alias("name"))
+    return heat.unionByName(labels).groupBy("iso_week", "kind", "name").agg(F.count("*").alias("n"))
+
+
+@job("scan_insights", """WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type FROM events)
+SELECT day, event_type AS title, count(*) AS clusters, CAST(sum(CASE WHEN event_type = 'view' THEN 2 ELSE 0 END) AS BIGINT) AS papers FROM e GROUP BY ALL""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Insight documents in both shapes; untitled clusters do not count."""
+    kind = F.col("event_type")
+    clusters = F.to_json(F.struct(F.array(
+        F.struct(kind.alias("cluster"), F.expr("array(named_struct('arxiv', 'a'), named_struct('arxiv', 'b'))").alias("papers"), F.lit("w").alias("why")),
+        F.struct(F.lit(" ").alias("cluster"), F.expr("array(named_struct('arxiv', 'c'), named_struct('arxiv', 'd'))").alias("papers"), F.lit("").alias("why"))
+    ).alias("clusters")))
+    insights = F.to_json(F.struct(F.array(F.struct(kind.alias("title"))).alias("insights")))
+    texts = table(spark, folder, "events").select(
+        F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(".json")).alias("file_name"), F.when(kind == "view", clusters).otherwise(insights).alias("text"))
+    rows = landed.cluster_rows(landed.strict_documents(texts, INSIGHTS_DAY))
+    return rows.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), "title").agg(
+        F.count("*").alias("clusters"), F.sum(F.coalesce(F.size("papers"), F.lit(0))).cast("bigint").alias("papers"))
+
+
 @job("scan_json_array", "WITH @PAPERS@ SELECT arxiv_id, doi, title, md5(abstract) AS abstract_md5, len(authors) AS authors FROM papers")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Papers written as files that each hold one JSON array, and read back as records under the fixed schema."""

@@ -41,3 +41,9 @@ INSIGHTS_DAY = (
 )
 _RESULT = "STRUCT<benchmark: STRING, metric: STRING, value: DOUBLE, value_str: STRING, paper: STRING, paper_title: STRING>"
 BENCHMARK_DAY = f"STRUCT<date: STRING, results: ARRAY<{_RESULT}>, benchmarks: ARRAY<{_RESULT}>>"
+HEAT = "ARRAY<STRUCT<cluster: STRING, why: STRING, papers: ARRAY<STRING>>>"
+WEEKLY = (
+    "STRUCT<date: STRING, iso_week: STRING, week_start: STRING, week_end: STRING, "
+    f"hot_vs_cold: STRUCT<hot: {HEAT}, cold: {HEAT}>, "
+    "prediction_review: ARRAY<STRUCT<title: STRING, label: STRING, reason: STRING>>>"
+)

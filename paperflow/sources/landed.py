@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.text import text_or_empty
 from ..operators.rollup import whole_counts
-from ..schemas import BENCHMARK_DAY, INSIGHTS_DAY, PAPER, TRENDS_DAY
+from ..schemas import HEAT, BENCHMARK_DAY, INSIGHTS_DAY, PAPER, TRENDS_DAY, WEEKLY
 
 DAY_IN_NAME = r"(20\d{2}-\d{2}-\d{2})"
 
@@ -120,6 +120,24 @@ def read_benchmarks(spark: SparkSession, path: str) -> DataFrame:
                        F.inline(F.coalesce("doc.results", "doc.benchmarks")))
 
 
+def read_weekly(spark: SparkSession, path: str) -> DataFrame:
+    return strict_documents(read_texts(spark, path, "*.json"), WEEKLY)
+
+
+def weekly_heat(weekly: DataFrame) -> DataFrame:
+    """``iso_week, side, pos, cluster, papers``: the hot and the cold clusters of each week."""
+    def side(name: str) -> Column:
+        rows = F.coalesce(F.col(f"doc.hot_vs_cold.{name}"), F.array().cast(HEAT))
+        return F.transform(rows, lambda r, i: F.struct(F.lit(name).alias("side"), i.alias("pos"), r["cluster"].alias("cluster"), r["papers"].alias("papers")))
+
+    return weekly.select("doc.iso_week", F.inline(F.concat(side("hot"), side("cold"))))
+
+
+def weekly_reviews(weekly: DataFrame) -> DataFrame:
+    """``iso_week, title, label``: how last week's predictions were judged."""
+    return weekly.select("doc.iso_week", F.inline("doc.prediction_review")).select("iso_week", "title", "label")
+
+
 def cluster_rows(insights: DataFrame) -> DataFrame:
     """One row per titled cluster: ``clusters`` if present, else ``insights``; the name is ``cluster`` or ``title``."""
     dated = insights.select(F.to_date(F.regexp_extract("file_name", DAY_IN_NAME, 1)).alias("day"), "doc")
