@@ -35,10 +35,12 @@ from .components import components
 
 K, PERCENT = 5, 80
 RATIO = 1.5
-PAIR_COST = 4.0
+PAIR_COST = 0.05
+"""Of comparing two sketches, in index entries.  28 million entries took 112 s of task time on a slow machine, 4 us each; a comparison of some hundred
+bytes in a block is estimated at a twentieth of that or less."""
 BLOCK_ROWS = 2048
 NARROW_ROWS = 20_000
-WORD_ENTRIES = 500_000
+WORD_ENTRIES = 200_000
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

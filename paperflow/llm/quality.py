@@ -149,7 +149,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
 class _Scorer:
     """Latent scores with a bounded table of words already seen."""
 
-    def __init__(self, weights: np.ndarray, entries: int = 500_000):
+    def __init__(self, weights: np.ndarray, entries: int = 200_000):
         self.weights, self.entries, self.known = weights, entries, {}
 
     def __call__(self, text: bytes) -> float:

@@ -14,7 +14,7 @@ import sys
 
 import regex
 
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 500_000
 """Of about 200 bytes each; a full cache is emptied."""
 
 LONGEST_CACHED = 64
