@@ -35,9 +35,9 @@ from .components import components
 
 K, PERCENT = 5, 80
 RATIO = 1.5
-PAIR_COST = 0.05
-"""Of comparing two sketches, in index entries.  28 million entries took 112 s of task time on a slow machine, 4 us each; a comparison of some hundred
-bytes in a block is estimated at a twentieth of that or less."""
+ROW_COST, PAIR_COST = 10.0, 0.02
+"""In index entries: a class that shares a signature by chance, whose sketch goes through two joins, and a comparison of two
+sketches.  28 million entries took 112 s of task time on a slow machine, 4 us each; the two ratios are estimates."""
 BLOCK_ROWS = 2048
 NARROW_ROWS = 20_000
 WORD_ENTRIES = 200_000
@@ -91,8 +91,8 @@ def set_name(s: np.ndarray) -> int:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parity of shingles in each of 2^b slots, at least two for each shingle.  Halving it by XOR gives the shorter sketch."""
-    bits = max(64, 1 << (2 * len(s) - 1).bit_length())
+    """Parity of shingles in each of 2^b slots, at least as many as shingles.  Halving it by XOR gives the shorter sketch."""
+    bits = max(64, 1 << (len(s) - 1).bit_length())
     odd = np.bincount((mixed(s ^ C3) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -122,8 +122,10 @@ def allocation(band: int, starts: list[int], percent: int, n_sets: int) -> tuple
     def cost(q: int) -> float:
         m = h + 1 - q
         held = size / m
-        chance = (m - q) * math.exp(-2 * held) + q * ((1 + held) * math.exp(-held)) ** 2
-        return n_sets * (m + q * held) + PAIR_COST * n_sets * (n_sets - 1) / 2 * chance
+        empty, almost = math.exp(-held), (1 + held) * math.exp(-held)
+        rows = n_sets * ((m - q) * empty + q * almost)
+        pairs = n_sets * (n_sets - 1) / 2 * ((m - q) * empty**2 + q * almost**2)
+        return n_sets * (m + q * held) + ROW_COST * rows + PAIR_COST * pairs
 
     best = min(range((h + 1) // 2 + 1), key=lambda q: (cost(q), q))
     return h + 1 - best, best
@@ -244,9 +246,12 @@ def _with(pairs: DataFrame, table: DataFrame, column: str, suffix: str) -> DataF
 
 
 def whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """``name, shingles`` of the classes in the pairs, from the text of one document each."""
+    """``name, shingles`` of the classes in the pairs, from the text of one document each.
+
+    The owners are at rest, so that Spark knows their size and shuffles no text for a few of them.
+    """
     needed = pairs.select(F.col("first").alias("name")).union(pairs.select("other")).distinct()
-    owners = classes.join(needed, "name", "left_semi").select("name", "least_id")
+    owners = staged(classes.join(needed, "name", "left_semi").select("name", "least_id"), "set-owners")
     bodies = docs.select(F.col(key).cast("long").alias("id"), raw(text).alias("body"))
     found = bodies.join(owners, F.col("id").eqNullSafe(F.col("least_id"))).select("name", "body")
 
@@ -339,8 +344,7 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, key:
     narrow = classes.select("name", "n_shingles", "sketch")
     near = _with(_with(pairs, narrow, "other", "_o"), narrow, "first", "_f")
     near = staged(small_batches(near).where(_could_link(percent)("n_shingles_o", "sketch_o", "n_shingles_f", "sketch_f")).select("first", "other"), "near-pairs")
-    whole = whole_sets(docs, classes, star, k, key, text)
-    links = _verified(near, whole, percent)
+    links = _verified(near, whole_sets(docs, classes, near, k, key, text), percent)
     labels = staged(components(links), "labels")
     members = star.select("signature", F.col("other").alias("name")).union(star.select("signature", "first")).distinct()
     for most in (2, None):
@@ -350,7 +354,7 @@ def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, key:
         found = across(groups, percent, most)
         if found.isEmpty():
             break
-        links = links.unionByName(_verified(found, whole, percent))
+        links = links.unionByName(_verified(found, whole_sets(docs, classes, found, k, key, text), percent))
         labels = staged(components(links), "labels")
     named = classes.select("name", "least_id").join(labels, F.col("name") == F.col("node"), "left").select(
         "name", "least_id", F.coalesce("component", "name").alias("label"))
