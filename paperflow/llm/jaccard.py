@@ -39,6 +39,7 @@ ROW_COST, PAIR_COST = 10.0, 0.02
 """In index entries: a class that shares a signature by chance, whose sketch goes through two joins, and a comparison of two
 sketches.  28 million entries took 112 s of task time on a slow machine, 4 us each; the two ratios are estimates."""
 BLOCK_ROWS = 2048
+FLUSH_PAIRS = 20_000
 NARROW_ROWS = 20_000
 WORD_ENTRIES = 200_000
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -271,7 +272,7 @@ def across(groups: DataFrame, percent: int, most_per_pair: int | None) -> DataFr
     """``first, other``: pairs of a group that lie in different components and whose sketches allow a link.
 
     ``groups``: ``signature, name, label, n_shingles, sketch``.  Groups over ``BLOCK_ROWS`` rows are cut into blocks, and each two
-    blocks meet in a task of their own.  ``most_per_pair`` keeps the closest pairs of each two components in a block.
+    blocks meet in a task of their own.  ``most_per_pair`` keeps for each class the closest pairs with each other component in a block.
     """
     sizes = groups.groupBy("signature").agg(F.count(F.lit(1)).alias("rows"))
     cut = groups.join(sizes, "signature").withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int"))
@@ -279,12 +280,13 @@ def across(groups: DataFrame, percent: int, most_per_pair: int | None) -> DataFr
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("signature", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "name", "label", "n_shingles", "sketch")
 
-    def pairs_of(rows: list[tuple]) -> list[tuple[int, int]]:
+    def pairs_of(rows: list[tuple]) -> Iterator[list[tuple[int, int]]]:
+        """In lists of bounded length: a block can have millions of near pairs."""
         low, high = rows[0][1], rows[0][2]
         size = min(len(r[7]) for r in rows)
         data = np.stack([folded(r[7], size) for r in rows])
         block, name, label, n = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
-        out, best = [], {}
+        out: list[tuple[int, int]] = []
         for i in range(len(rows) - 1):
             rest = slice(i + 1, None)
             open_ = label[rest] != label[i]
@@ -300,21 +302,25 @@ def across(groups: DataFrame, percent: int, most_per_pair: int | None) -> DataFr
             apart = np.bitwise_count(data[at] ^ data[i]).sum(axis=1, dtype=np.int64)
             total = n[at] + n[i]
             near = apart <= total - 2 * -(-percent * total // (100 + percent))
-            for j, d in zip(at[near].tolist(), apart[near].tolist()):
-                if most_per_pair is None:
-                    out.append((name[i], name[j]))
-                else:
-                    best.setdefault((min(label[i], label[j]), max(label[i], label[j])), []).append((d, name[i], name[j]))
-        for found in best.values():
-            out += [(x, y) for _, x, y in sorted(found)[:most_per_pair]]
-        return [(min(x, y), max(x, y)) for x, y in out]
+            at = at[near][np.argsort(apart[near], kind="stable")]
+            if most_per_pair is not None and len(at):
+                order = np.argsort(label[at], kind="stable")
+                ranked = label[at][order]
+                first = np.searchsorted(ranked, ranked)
+                at = at[order][np.arange(len(at)) - first < most_per_pair]
+            out += [(min(name[i], x), max(name[i], x)) for x in name[at].tolist()]
+            if len(out) > FLUSH_PAIRS:
+                yield out
+                out = []
+        if out:
+            yield out
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def done(rows):
-            found = pairs_of(rows) if len(rows) > 1 else []
-            return [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["first", "other"])] if found else []
+            for found in pairs_of(rows) if len(rows) > 1 else ():
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["first", "other"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
