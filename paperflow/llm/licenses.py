@@ -1,10 +1,12 @@
 """License notices by conditional compression.
 
-Candidate blocks are the runs of lines that hold a cue word (of a long line only the sentences that do).  A block is compressed
+A candidate block is the paragraph around a cue, joined over line ends: from a paragraph (lines up to the next one without a word) all words
+that are no farther from a cue than the longest wording with its edits has words, so that a wording that holds the cue lies wholly in the
+block, however it is wrapped.  Tokens without a letter or digit, such as comment marks, are no words.  A block is compressed
 alone and with each license's wordings as raw dictionary; licenses are ranked by the share of bytes saved.  The best
 ``confirm`` licenses are then compared word by word: the wording that fits into the block with the fewest edits decides, and the
-license counts if those are at most ``most_edits`` of the wording's words.  One row per block and the best confirmed license;
-blocks without one are reported with a null license.
+license counts if those are at most ``most_edits`` of the wording's words.  One row per block and the best confirmed license, with the
+line where it begins; blocks without one are reported with a null license and the line of the first cue.
 
 Null and empty texts have no blocks.  Equal savings go to the license named first.  Repeated rows are reported each.  An empty
 table gives no rows.  Everything is done inside the row: no shuffle.  Other columns are not read.
@@ -14,6 +16,8 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,8 +30,7 @@ from .common import in_batches
 LEVEL = 9
 CONFIRM = 4
 MOST_EDITS = 0.2
-LONG_LINE = 400
-CUES = (b"licen", b"copyright", b"all rights reserved", b"permission is hereby", b"without warranty", b"spdx-", b"public domain", b"redistribution and use")
+CUES = ("licen", "copyright", "all rights reserved", "permission is hereby", "without warranty", "spdx-", "public domain", "redistribution and use")
 BLOCKS = "doc_id long, block int, line int, license string, saved double, edits int, wording_words int, differences string, text string"
 
 # Well-known public license notices.
@@ -78,51 +81,80 @@ TEMPLATES = {
     "CC0-1.0": ("SPDX-License-Identifier: CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     "All-Rights-Reserved": ("All rights reserved.",),
 }
-_SENTENCE = re.compile(r"(?<=[.!?:;])\s+(?=[A-Z(\"])")
 _WORD = re.compile(r"[^\s.,;:()\"']+(?:\.[^\s.,;:()\"']+)*")
+_CUE = re.compile("|".join(r"\W+".join(map(re.escape, c.split())) for c in CUES), re.IGNORECASE)
+_RARE = tuple(max(c.split(), key=len).encode() for c in CUES)
+"""A text without any of these words has no cue."""
 
 
-def wording_words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def word_spans(text: str) -> list[tuple[int, int, str]]:
+    """Start, end and lower-case form of each word."""
+    return [(m.start(), m.end(), m[0].lower()) for m in _WORD.finditer(text) if any(map(str.isalnum, m[0]))]
 
 
-def has_cue(text: str) -> bool:
-    low = text.encode().lower()
-    return any(c in low for c in CUES)
+def wording_words(text: str) -> list[str]:
+    return [w for *_, w in word_spans(text)]
 
 
-def candidate_blocks(text: str, long_line: int = LONG_LINE) -> list[tuple[int, str]]:
-    """Line number and text of each block."""
-    if not has_cue(text):
-        return []
-    blocks, last = [], None
+def paragraphs(text: str) -> Iterator[tuple[int, str]]:
+    """Line number and text of each run of lines that have a word."""
+    first, held = 0, []
     for k, line in enumerate(text.split("\n")):
-        if not has_cue(line):
+        if any(map(str.isalnum, line)):
+            first = first if held else k
+            held.append(line)
+        elif held:
+            yield first, "\n".join(held)
+            held = []
+    if held:
+        yield first, "\n".join(held)
+
+
+def candidate_blocks(text: str, reach: int) -> list[tuple[int, str]]:
+    """Line number and text of each block: the words of a paragraph up to ``reach`` words from a cue."""
+    low = text.encode().lower()
+    if not any(c in low for c in _RARE):
+        return []
+    blocks = []
+    for line, body in paragraphs(text):
+        cues = [m.span() for m in _CUE.finditer(body)]
+        if not cues:
             continue
-        part = line if len(line) <= long_line else " ".join(s for s in _SENTENCE.split(line) if has_cue(s))
-        if last == k - 1 and blocks:
-            blocks[-1] = (blocks[-1][0], f"{blocks[-1][1]}\n{part}")
-        else:
-            blocks.append((k, part))
-        last = k
+        spans = word_spans(body)
+        starts, windows = [a for a, *_ in spans], []
+        for a, b in cues:
+            first, last = max(0, bisect_right(starts, a) - 1 - reach), min(len(spans), bisect_right(starts, b - 1) + reach)
+            if windows and first <= windows[-1][1]:
+                windows[-1][1] = last
+            else:
+                windows.append([first, last])
+        for first, last in windows:
+            a, b = spans[first][0] if first else 0, spans[last - 1][1] if last < len(spans) else len(body)
+            blocks.append((line + body.count("\n", 0, a), body[a:b]))
     return blocks
 
 
-def fewest_edits(wording: list[str], block: list[str]) -> tuple[int, list[str]]:
-    """Word edits that turn the wording into the part of the block it fits best, and what they are."""
-    n, m = len(wording), len(block)
+def edit_costs(wording: list[str], block: list[str]) -> list[list[int]]:
+    """For the first i words of the wording: the fewest edits into a part of the block that ends before its word j."""
+    m = len(block)
     cost = [[0] * (m + 1)]
-    for i in range(1, n + 1):
+    for i, w in enumerate(wording, 1):
         row, above = [i] + [0] * m, cost[-1]
         for j in range(1, m + 1):
-            row[j] = min(above[j - 1] + (wording[i - 1] != block[j - 1]), above[j] + 1, row[j - 1] + 1)
+            row[j] = min(above[j - 1] + (w != block[j - 1]), above[j] + 1, row[j - 1] + 1)
         cost.append(row)
-    j = min(range(m + 1), key=lambda x: cost[n][x])
-    i, edits, found = n, cost[n][j], []
+    return cost
+
+
+def edits_back(cost: list[list[int]], wording: list[str], block: list[str], j: int) -> tuple[list[str], list[int]]:
+    """The edits of the part that ends before word j of the block, and the places of the words that agree."""
+    i, found, same = len(wording), [], []
     while i:
         if j and cost[i][j] == cost[i - 1][j - 1] + (wording[i - 1] != block[j - 1]):
             if wording[i - 1] != block[j - 1]:
                 found.append(f"{wording[i - 1]}>{block[j - 1]}")
+            else:
+                same.append(j - 1)
             i, j = i - 1, j - 1
         elif cost[i][j] == cost[i - 1][j] + 1:
             found.append(f"-{wording[i - 1]}")
@@ -130,7 +162,14 @@ def fewest_edits(wording: list[str], block: list[str]) -> tuple[int, list[str]]:
         else:
             found.append(f"+{block[j - 1]}")
             j -= 1
-    return edits, found[::-1]
+    return found[::-1], same[::-1]
+
+
+def fewest_edits(wording: list[str], block: list[str]) -> tuple[int, list[str]]:
+    """Word edits that turn the wording into the part of the block it fits best, and what they are."""
+    cost = edit_costs(wording, block)
+    j = min(range(len(block) + 1), key=lambda x: cost[-1][x])
+    return cost[-1][j], edits_back(cost, wording, block, j)[0]
 
 
 class Matcher:
@@ -144,6 +183,7 @@ class Matcher:
             self.given[name] = zstandard.ZstdCompressor(compression_params=plain, dict_data=words)
         self.wordings = {name: [wording_words(t) for t in texts] for name, texts in templates.items()}
         self.confirm, self.most_edits = confirm, most_edits
+        self.reach = max((int((1 + most_edits) * len(w)) + 1 for x in self.wordings.values() for w in x), default=0)
         self.match = functools.lru_cache(maxsize=10_000)(self._match)
 
     def savings(self, block: str) -> list[tuple[float, str]]:
@@ -152,15 +192,29 @@ class Matcher:
         ranked = [(1 - len(c.compress(data)) / size, name) for name, c in self.given.items()]
         return sorted(ranked, key=lambda x: -x[0])
 
-    def _match(self, block: str) -> tuple:
-        words, best, top = wording_words(block), None, None
-        for saved, name in self.savings(block)[:self.confirm]:
-            top = saved if top is None else top
+    def fits(self, wording: list[str], words: list[str], there: Counter) -> Iterator[tuple[int, list[str], list[int]]]:
+        """Edits, what they are and the words that agree, for each end in the block where few enough edits do."""
+        most = int(self.most_edits * len(wording) + 1e-9)
+        if sum((Counter(wording) - there).values()) > most:
+            return
+        cost = edit_costs(wording, words)
+        for j, edits in enumerate(cost[-1]):
+            if edits <= most:
+                yield edits, *edits_back(cost, wording, words, j)
+
+    def _match(self, block: str) -> list[tuple]:
+        """Line within the block, license, savings, edits, words of the wording and differences."""
+        spans = word_spans(block)
+        words = [w for *_, w in spans]
+        there, ranked, found = Counter(words), self.savings(block), []
+        for rank, (saved, name) in enumerate(ranked[:self.confirm]):
             for wording in self.wordings[name]:
-                edits, what = fewest_edits(wording, words)
-                if edits <= self.most_edits * len(wording) and (best is None or (edits - len(wording)) < (best[2] - best[3])):
-                    best = (name, saved, edits, len(wording), " ".join(what))
-        return best or (None, top, None, None, None)
+                found += [(edits - len(wording), rank, same, (name, saved, edits, len(wording), " ".join(what)))
+                          for edits, what, same in self.fits(wording, words, there)]
+        if not found:
+            return [(block.count("\n", 0, _CUE.search(block).start()), None, ranked[0][0], None, None, None)]
+        *_, same, best = min(found, key=lambda x: x[:2])
+        return [(block.count("\n", 0, spans[same[0]][0]), *best)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -175,10 +229,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None
                         ("edits", pa.int32()), ("wording_words", pa.int32()), ("differences", pa.string()), ("text", pa.string())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = _matcher(known, level, confirm, most_edits).match
+        matcher = _matcher(known, level, confirm, most_edits)
         for batch in batches:
-            rows = [(k, b, line, *match(block), block) for k, body in zip(*(c.to_pylist() for c in batch.columns)) if body
-                    for b, (line, block) in enumerate(candidate_blocks(body))]
+            rows = [(k, b, line + at, *hit, block) for k, body in zip(*(c.to_pylist() for c in batch.columns)) if body
+                    for b, (line, block) in enumerate(candidate_blocks(body, matcher.reach)) for at, *hit in matcher.match(block)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
 

@@ -1,3 +1,5 @@
+import textwrap
+
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -50,3 +52,21 @@ def test_edges(spark):
     got = sorted(((r["doc_id"] or 0, r["block"], r["license"]) for r in L.scan_licenses(docs(spark, rows)).collect()), key=str)
     assert got == [(0, 0, "All-Rights-Reserved"), (4, 0, "MIT"), (4, 0, "MIT"), (5, 0, "All-Rights-Reserved"), (5, 1, "MIT")]
     assert L.scan_licenses(docs(spark, [])).count() == 0
+
+
+def test_wrapped_notices(spark):
+    gpl = L.TEMPLATES["GPL-3.0"][-1]
+    notices = {"MIT": L.TEMPLATES["MIT"][-1], "GPL-3.0": gpl, "MPL-2.0": L.TEMPLATES["MPL-2.0"][-1], "BSD-3-Clause": L.TEMPLATES["BSD-3-Clause"][-1]}
+    rows, want = [], {}
+    for width in (20, 50, 80):
+        for mark in ("", " * ", "# "):
+            for name, notice in notices.items():
+                lines = [mark + x for x in textwrap.wrap(notice, width)]
+                rows.append((len(rows), "\n".join(["Of another matter", "", f"{mark}Written by somebody", *lines, mark + "and some words after it", "", "the end"])))
+                want[rows[-1][0]] = (name, 3, 0)
+    far = " ".join(f"w{k}" for k in range(3000))
+    rows.append((len(rows), f"{far}\n" + "\n".join(textwrap.wrap(gpl, 60)) + f"\n{far}"))
+    want[rows[-1][0]] = ("GPL-3.0", 1, 0)
+    got = L.scan_licenses(docs(spark, rows)).collect()
+    assert {r["doc_id"]: (r["license"], r["line"], r["edits"]) for r in got} == want and len(got) == len(rows)
+    assert max(len(r["text"]) for r in got) < 2000
