@@ -3,10 +3,10 @@
 A candidate block is the paragraph around a cue, joined over line ends: from a paragraph (lines up to the next one without a word) all words
 that are no farther from a cue than the longest wording with its edits has words, so that a wording that holds the cue lies wholly in the
 block, however it is wrapped.  Tokens without a letter or digit, such as comment marks, are no words.  A block is compressed
-alone and with each license's wordings as raw dictionary; licenses are ranked by the share of bytes saved.  The best
-``confirm`` licenses are then compared word by word: the wording that fits into the block with the fewest edits decides, and the
-license counts if those are at most ``most_edits`` of the wording's words.  One row per block and the best confirmed license, with the
-line where it begins; blocks without one are reported with a null license and the line of the first cue.
+alone and with each license's wordings as raw dictionary; licenses are ranked by the share of bytes saved.  Every license is
+then compared word by word, whatever it saves: it counts where one of its wordings fits into the block with edits of at most ``most_edits`` of
+the wording's words.  Of wordings that fit onto the same words the one with the most words less edits decides.  One row per block,
+license and place, with the line where it begins; blocks without any are reported with a null license and the line of the first cue.
 
 Null and empty texts have no blocks.  Equal savings go to the license named first.  Repeated rows are reported each.  An empty
 table gives no rows.  Everything is done inside the row: no shuffle.  Other columns are not read.
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from .common import in_batches
 
 LEVEL = 9
-CONFIRM = 4
 MOST_EDITS = 0.2
 CUES = ("licen", "copyright", "all rights reserved", "permission is hereby", "without warranty", "spdx-", "public domain", "redistribution and use")
 BLOCKS = "doc_id long, block int, line int, license string, saved double, edits int, wording_words int, differences string, text string"
@@ -173,7 +172,7 @@ def fewest_edits(wording: list[str], block: list[str]) -> tuple[int, list[str]]:
 
 
 class Matcher:
-    def __init__(self, templates: dict[str, tuple[str, ...]], level: int = LEVEL, confirm: int = CONFIRM, most_edits: float = MOST_EDITS):
+    def __init__(self, templates: dict[str, tuple[str, ...]], level: int = LEVEL, most_edits: float = MOST_EDITS):
         bare = dict(write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         plain = zstandard.ZstdCompressionParameters.from_level(level, **bare)
         self.alone = zstandard.ZstdCompressor(compression_params=plain)
@@ -182,9 +181,9 @@ class Matcher:
             words = zstandard.ZstdCompressionDict("\n".join(texts).lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given[name] = zstandard.ZstdCompressor(compression_params=plain, dict_data=words)
         self.wordings = {name: [wording_words(t) for t in texts] for name, texts in templates.items()}
-        self.confirm, self.most_edits = confirm, most_edits
+        self.most_edits = most_edits
         self.reach = max((int((1 + most_edits) * len(w)) + 1 for x in self.wordings.values() for w in x), default=0)
-        self.match = functools.lru_cache(maxsize=10_000)(self._match)
+        self.match = functools.lru_cache(maxsize=1_000)(self._match)
 
     def savings(self, block: str) -> list[tuple[float, str]]:
         data = " ".join(block.lower().split()).encode()
@@ -207,29 +206,33 @@ class Matcher:
         spans = word_spans(block)
         words = [w for *_, w in spans]
         there, ranked, found = Counter(words), self.savings(block), []
-        for rank, (saved, name) in enumerate(ranked[:self.confirm]):
+        for rank, (saved, name) in enumerate(ranked):
             for wording in self.wordings[name]:
                 found += [(edits - len(wording), rank, same, (name, saved, edits, len(wording), " ".join(what)))
                           for edits, what, same in self.fits(wording, words, there)]
         if not found:
             return [(block.count("\n", 0, _CUE.search(block).start()), None, ranked[0][0], None, None, None)]
-        *_, same, best = min(found, key=lambda x: x[:2])
-        return [(block.count("\n", 0, spans[same[0]][0]), *best)]
+        taken, places = set(), []
+        for *_, same, hit in sorted(found, key=lambda x: x[:2]):
+            if taken.isdisjoint(same):
+                taken.update(same)
+                places.append((same[0], hit))
+        return [(block.count("\n", 0, spans[at][0]), *hit) for at, hit in sorted(places)]
 
 
 @functools.lru_cache(maxsize=2)
-def _matcher(templates: tuple, level: int, confirm: int, most_edits: float) -> Matcher:
-    return Matcher(dict(templates), level, confirm, most_edits)
+def _matcher(templates: tuple, level: int, most_edits: float) -> Matcher:
+    return Matcher(dict(templates), level, most_edits)
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, level: int = LEVEL, confirm: int = CONFIRM,
+def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, level: int = LEVEL,
                   most_edits: float = MOST_EDITS, key: str = "doc_id", text: str = "text") -> DataFrame:
     known = tuple((templates or TEMPLATES).items())
     fields = pa.schema([("doc_id", pa.int64()), ("block", pa.int32()), ("line", pa.int32()), ("license", pa.string()), ("saved", pa.float64()),
                         ("edits", pa.int32()), ("wording_words", pa.int32()), ("differences", pa.string()), ("text", pa.string())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(known, level, confirm, most_edits)
+        matcher = _matcher(known, level, most_edits)
         for batch in batches:
             rows = [(k, b, line + at, *hit, block) for k, body in zip(*(c.to_pylist() for c in batch.columns)) if body
                     for b, (line, block) in enumerate(candidate_blocks(body, matcher.reach)) for at, *hit in matcher.match(block)]

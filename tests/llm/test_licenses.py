@@ -70,3 +70,16 @@ def test_wrapped_notices(spark):
     got = L.scan_licenses(docs(spark, rows)).collect()
     assert {r["doc_id"]: (r["license"], r["line"], r["edits"]) for r in got} == want and len(got) == len(rows)
     assert max(len(r["text"]) for r in got) < 2000
+
+
+def test_every_license_of_a_block(spark):
+    three = "Released under the MIT License.\nLicensed under the Apache License, Version 2.0.\nAll rights reserved."
+    every = [(name, t) for name, texts in L.TEMPLATES.items() for t in texts]
+    twice = "Licensed under CC BY 4.0. Then text.\nLicensed under CC BY 4.0. Then text."
+    rows = [(1, three), (2, "\n".join(t for _, t in every)), (3, twice)]
+    got = {k: [] for k, _ in rows}
+    for r in L.scan_licenses(docs(spark, rows)).collect():
+        got[r["doc_id"]].append((r["line"], r["license"], r["edits"]))
+    assert sorted(got[1]) == [(0, "MIT", 0), (1, "Apache-2.0", 0), (2, "All-Rights-Reserved", 0)]
+    assert sorted(got[2]) == [(k, name, 0) for k, (name, _) in enumerate(every)]
+    assert sorted(got[3]) == [(0, "CC-BY-4.0", 0), (1, "CC-BY-4.0", 0)]
