@@ -1,15 +1,16 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts and test items are lower-cased and reduced to their words with single spaces.  Items over ``passage_words`` words are
-looked for by overlapping passages of that many words, so that a leaked part counts.  A passage of m characters may
+Texts and test items are lower-cased and reduced to their words with single spaces.  An item is looked for by
+the passages of ``passage_words`` words from each of its words on, so that a leaked part counts wherever it begins, and besides by longer ones,
+whose edits may lie closer together: itself, or windows of ``LONG_WORDS`` words.  A passage of m characters may
 differ by e = floor(rate * m) edits.  It is split into e + 1 pieces: whoever has it within e edits has one piece unchanged.  One
 automaton finds all pieces in a document; every place so found is verified with Myers' bit-parallel distance.
 
 Benchmarks are taken in chunks of about ``CHUNK_BYTES`` bytes of distinct text, each broadcast for one pass over the documents, so
 what is broadcast is bounded and a larger benchmark costs more passes.  Nothing is shuffled but the few hits.
 
-Items under ``min_chars`` characters after reduction are too common to show a leak and are not looked for (parameter).  Null and
-empty texts have no hits.  A null item_id reads as 0.  Repeated items and documents report like single ones: one row per different (doc_id, item_id).
+Passages under ``min_chars`` characters after reduction, such as short items, are looked for exactly and on word bounds (parameter).  Null and
+empty texts have no hits, nor do items without a word.  A null item_id reads as 0.  Repeated items and documents report like single ones: one row per different (doc_id, item_id).
 Empty tables give no rows.  Other columns are not read.
 """
 
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 from .common import in_batches, small_batches
 
 RATE = 0.05
-PASSAGE_WORDS = 32
+PASSAGE_WORDS = 13
+LONG_WORDS = 32
 MIN_CHARS = 30
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 256 << 10
+"""A byte of items takes some hundred bytes of the automaton, as a passage begins at each word."""
 HITS = "doc_id long, item_id long, distance int, passage_chars int, start long"
 _WORD = re.compile(r"\w+")
 
@@ -39,15 +42,17 @@ def reduced(text: str) -> str:
     return " ".join(_WORD.findall(text.lower()))
 
 
-def passages(item: str, passage_words: int = PASSAGE_WORDS, min_chars: int = MIN_CHARS) -> list[str]:
-    """An item's passages: itself, or windows with a stride of half a window, the last one ending with the item."""
-    w = reduced(item).split(" ")
-    if len(w) <= passage_words:
-        found = [" ".join(w)]
-    else:
-        starts = [*range(0, len(w) - passage_words, passage_words // 2), len(w) - passage_words]
-        found = [" ".join(w[s:s + passage_words]) for s in starts]
-    return [p for p in dict.fromkeys(found) if len(p) >= min_chars]
+def windows(words: list[str], size: int, stride: int) -> list[str]:
+    """All words if there are at most ``size``, else windows of that many, the last one ending with the words."""
+    last = max(0, len(words) - size)
+    return [" ".join(words[s:s + size]) for s in [*range(0, last, stride), last]]
+
+
+def passages(item: str, passage_words: int = PASSAGE_WORDS) -> list[str]:
+    """An item's passages: from each word on, and longer ones with a stride of half their length."""
+    w = reduced(item).split()
+    long = max(LONG_WORDS, passage_words)
+    return [p for p in dict.fromkeys(windows(w, passage_words, 1) + windows(w, long, long // 2)) if p]
 
 
 def budget(length: int, rate: float = RATE) -> int:
@@ -85,6 +90,10 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def on_words(body: str, start: int, end: int) -> bool:
+    return (start == 0 or body[start - 1] == " ") and (end == len(body) or body[end] == " ")
+
+
 class Finder:
     """All passages of some items with one automaton over their pieces."""
 
@@ -93,9 +102,10 @@ class Finder:
 
         owners: dict[str, list[int]] = {}
         for item_id, text in items:
-            for p in passages(text, passage_words, min_chars):
+            for p in passages(text, passage_words):
                 owners.setdefault(p, []).append(item_id)
-        self.patterns = [(p, budget(len(p), rate), ids) for p, ids in owners.items()]
+        self.patterns = [(p, budget(len(p), rate) if len(p) >= min_chars else 0, ids) for p, ids in owners.items()]
+        self.min_chars = min_chars
         places: dict[str, list[tuple[int, int]]] = {}
         for k, (p, e, _) in enumerate(self.patterns):
             for at, piece in pieces(p, e):
@@ -119,7 +129,7 @@ class Finder:
         for k, places in starts.items():
             p, e, ids = self.patterns[k]
             m, found = len(p), None
-            exact = sorted(s for s in places if s >= 0 and body.startswith(p, s))
+            exact = sorted(s for s in places if s >= 0 and body.startswith(p, s) and (m >= self.min_chars or on_words(body, s, s + m)))
             if exact:
                 found = (0, m, exact[0])
             elif e:

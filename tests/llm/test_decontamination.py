@@ -90,3 +90,16 @@ def test_empty_tables(spark):
     assert D.find_leaks(docs(spark, rows), none).count() == 0
     assert D.drop_leaked(docs(spark, rows), none).count() == len(rows)
     assert D.find_leaks(docs(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_leaked_parts_and_short_items(spark):
+    words = lambda name, n: " ".join(f"{name}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(n))
+    items = {1: words("alpha", 59), 2: words("beta", 30), 3: "Gamma, delta!", 4: "eps", 5: words("zeta", 16)}
+    part = lambda i, a, b: " ".join(items[i].split()[a:b])
+    rows = [(10, f"before {part(1, 3, 45)} after"), (11, f"before {part(2, 2, 28)} after"), (12, "so gamma delta it is"), (13, "gamma deltas"), (14, "the steps"),
+            (15, "eps"), (16, "an EPS."), (17, part(1, 0, 12)), (18, part(1, 20, 33)), (19, "agamma delta and gamma delta"), (20, f"x {items[5].replace('zetaad', 'xetaad')}")]
+    want = {(10, 1), (11, 2), (12, 3), (15, 4), (16, 4), (18, 1), (19, 3), (20, 5)}
+    frame, bench = docs(spark, rows), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["distance"], r["start"]) for r in D.find_leaks(frame, bench).collect()}
+    assert set(got) == want and got[19, 3] == (0, 17) and got[16, 4] == (0, 3)
+    assert {r["doc_id"] for r in D.drop_leaked(frame, bench).collect()} == {13, 14, 17}
