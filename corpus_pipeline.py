@@ -23,8 +23,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate.  A document that had only such lines goes; ``n_chars`` follows the text."""
-    clean = lines.remove_boilerplate(docs)
+    """Texts without cross-site boilerplate: long lines on two sites, others on ten.  A document that had only such lines goes; ``n_chars`` follows the text."""
+    clean = lines.remove_boilerplate(docs, long_chars=lines.LONG_CHARS)
     changed = F.col("n_removed") > 0
     return clean.where(~changed | (F.trim(F.regexp_replace("text", "\\s", "")) != "")).withColumn(
         "n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS)

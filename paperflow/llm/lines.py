@@ -3,7 +3,8 @@
 Each distinct line gets a HyperLogLog sketch of its sites, merged by aggregation.  Only lines whose estimate lies within the
 sketch's error of the threshold have their sites counted exactly; for them and no others the distinct (line, site) pairs are
 shuffled.  A line is known by two 64-bit hashes.  A line found on ``min_sites`` sites or more is removed from every document but
-the one with the smallest id, so one copy of whatever repeats stays.
+the one with the smallest id, so one copy of whatever repeats stays.  With ``long_chars`` a line of that many characters goes from two
+sites on, which the least and the greatest site of the line tell exactly.
 
 Blank lines are never removed and count for nothing.  Null texts stay null, null sites are not sites.  Wholly repeated rows are
 treated alike.  A document may lose all lines; its text is then empty.  An empty table gives no rows.  Other columns pass
@@ -18,36 +19,41 @@ from pyspark.sql import functions as F
 from .common import staged
 
 MIN_SITES = 10
+LONG_CHARS = 40
 LG_K = 12
 ERROR = 0.05
 """Three times the standard error of a sketch with 2^12 slots."""
 
 
-def site_lines(docs: DataFrame, key: str, text: str, site: str) -> DataFrame:
-    """One narrow row per line that is not blank: hashes, document, place, site."""
+def site_lines(docs: DataFrame, key: str, text: str, site: str, long_chars: int | None = None) -> DataFrame:
+    """One narrow row per line that is not blank: hashes, document, place, site, whether it is long."""
+    long = F.lit(False) if long_chars is None else F.char_length(F.trim("line")) >= long_chars
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(site).alias("site"),
                        F.posexplode(F.split(text, "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
-    return rows.select("key", "text_hash", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"))
+    return rows.select("key", "text_hash", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"),
+                       long.alias("long"))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, error: float = ERROR) -> DataFrame:
-    """Hashes of the lines on at least ``min_sites`` sites, with the id of the document that keeps them."""
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, error: float = ERROR, long: bool = False) -> DataFrame:
+    """Hashes of the lines on at least ``min_sites`` sites, with ``long`` those marked so on two, with the id of the document that keeps them."""
+    two = F.max("long") & (F.min("site") < F.max("site")) if long else F.lit(False)
     margin = max(1.0, error * min_sites)
-    sketched = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", lg_k).alias("sites"), F.min("key").alias("keeper"))
-    spread = staged(sketched.select("h1", "h2", "keeper", F.hll_sketch_estimate("sites").alias("estimate"))
-                    .where(F.col("estimate") >= min_sites - margin), "line-spread")
-    near = spread.where(F.col("estimate") <= min_sites + margin)
+    sketched = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", lg_k).alias("sites"), F.min("key").alias("keeper"),
+                                           two.alias("spread"))
+    spread = staged(sketched.select("h1", "h2", "keeper", F.coalesce("spread", F.lit(False)).alias("spread"), F.hll_sketch_estimate("sites").alias("estimate"))
+                    .where(F.col("spread") | (F.col("estimate") >= min_sites - margin)), "line-spread")
+    near = spread.where(~F.col("spread") & (F.col("estimate") <= min_sites + margin))
     exact = (lines.select("h1", "h2", "site").where("site is not null").join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").distinct()
              .groupBy("h1", "h2").count().where(F.col("count") >= min_sites))
     counted = near.join(exact.select("h1", "h2"), ["h1", "h2"], "left_semi")
-    return spread.where(F.col("estimate") > min_sites + margin).unionByName(counted).select("h1", "h2", "keeper")
+    return spread.where(F.col("spread") | (F.col("estimate") > min_sites + margin)).select("h1", "h2", "keeper").unionByName(counted.select("h1", "h2", "keeper"))
 
 
 def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source",
-                       min_sites: int = MIN_SITES) -> DataFrame:
+                       min_sites: int = MIN_SITES, long_chars: int | None = None) -> DataFrame:
     """The documents with clean text in place of ``text``, and ``n_lines`` and ``n_removed`` appended."""
-    lines = site_lines(docs, key, text, site)
-    flagged = staged(boilerplate(lines, min_sites), "boilerplate-lines")
+    lines = site_lines(docs, key, text, site, long_chars)
+    flagged = staged(boilerplate(lines, min_sites, long=long_chars is not None), "boilerplate-lines")
     hits = lines.join(flagged, ["h1", "h2"]).where(~F.col("key").eqNullSafe(F.col("keeper")))
     gone = hits.groupBy(F.col("key").alias("__key"), F.col("text_hash").alias("__text_hash")).agg(F.collect_set("pos").alias("__gone"))
     same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__text_hash"))

@@ -50,6 +50,15 @@ def test_line_stage_drops_what_it_emptied(spark):
     assert got[1]["text"] == "same line" and got[2]["text"] == "own 2" and got[2]["n_chars"] == 5 and got[90]["text"] is None
 
 
+def test_line_stage_takes_long_lines_of_two_sites(spark):
+    long = " ".join(f"passage{k}" for k in range(55))
+    hot = " ".join(f"notice{k}" for k in range(8))
+    rows = [(1, f"{long}\nfirst", "a"), (2, f"second\n{long}", "b"), (3, f"{hot}\nthird", "c"), (4, f"own line of one site only, but a long one {long}\nhome", "d"), (5, "home\nfifth", "e"),
+            *[(k, f"{hot}\nown {k}", "d") for k in range(10, 40)], (50, f"{long} without a site\nx", None), (51, f"{long} without a site\ny", "f")]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, docs(spark, rows), SF).collect()}
+    assert got == {**{d: t for d, t, _ in rows}, 2: "second", **{k: f"own {k}" for k in range(10, 40)}}
+
+
 def test_empty_documents(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs(spark, []), SF).count() == 0
