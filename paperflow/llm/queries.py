@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, id_store, jaccard, licenses, lines, packing, quality, sharding, suffix_tree, winnowing
+from . import decontamination, divergence, id_store, jaccard, licenses, lines, packing, quality, sharding, suffix_tree, winnowing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergences(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_divergence"] = divergence.SQL
