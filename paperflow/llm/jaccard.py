@@ -2,107 +2,29 @@
 
 Two sets whose Jaccard index is at least ``percent`` / 100 differ in at most H shingles (H follows from their sizes).  Sizes are
 banded; in each band the universe of shingles is hashed into m segments, of which q also get one-deletion neighbourhoods.  As
-m + q > H, two such sets agree in a whole segment, or in one of the q up to one shingle: that is the signature they share.  For each band
-(m, q) is chosen by cost: signatures to index against chance agreements expected among the sets counted in the band.
+m + q > H + 2, two such sets agree in two whole segments at least, or in some of the q up to one shingle: those are the signatures they share.  For each
+band (m, q) is chosen by cost: signatures to index against chance agreements expected among the sets counted in the band.
 
-Sets that are equal are one class from the start.  Signatures are sorted, never gathered: of the classes that share one, each is
-paired with the first (a star).  Pairs are first bounded from below by XOR sketches (a bit per hashed shingle, parity), then
-verified on the whole sets.  Where a signature's classes still lie in several components, all pairs across components are
-bounded in blocks of ``BLOCK_ROWS`` and verified, so that no link between different sets that could join two components is left out,
-while the pairs within a component, of which a group of n copies has n squared, are never made.
-
-A document's set: its different ``k``-word shingles as 64-bit hashes; with fewer words the whole sequence as one.  Null and empty texts
-and texts without words have an empty set and no links.  Classes go by a 64-bit sum over their shingles: two different sets among n
-share it with probability n^2 / 2^65.  Repeated rows are in one class.  Where ids repeat, the least id of a component still
-names it.  An empty table gives no rows.  Other columns are not read.
+Sets, names, stars, sketches, exact verification and edge cases are those of ``linking``.
 """
 
 from __future__ import annotations
 
-import functools
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches, raw, small_batches, staged, words
-from .components import components
+from .linking import C1, document_sets, linked_components, mixed, most_different, one_row_each, set_classes, signatures_of_texts
 
 K, PERCENT = 5, 80
 RATIO = 1.5
 ROW_COST, PAIR_COST = 10.0, 0.02
 """In index entries: a class that shares a signature by chance, whose sketch goes through two joins, and a comparison of two
 sketches.  28 million entries took 112 s of task time on a slow machine, 4 us each; the two ratios are estimates."""
-BLOCK_ROWS = 2048
-FLUSH_PAIRS = 20_000
-NARROW_ROWS = 20_000
-WORD_ENTRIES = 200_000
-C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer."""
-    with np.errstate(over="ignore"):
-        x = (x + C1)
-        x = (x ^ (x >> np.uint64(30))) * C2
-        x = (x ^ (x >> np.uint64(27))) * C3
-        return x ^ (x >> np.uint64(31))
-
-
-class ShingleSets:
-    """Sorted 64-bit shingle hashes of a text, with a bounded table of words seen."""
-
-    def __init__(self, k: int, entries: int = WORD_ENTRIES):
-        self.k, self.entries, self.known = k, entries, {}
-
-    def __call__(self, body: bytes) -> np.ndarray:
-        found = words(body)
-        if not found:
-            return np.zeros(0, np.uint64)
-        if len(self.known) > self.entries:
-            self.known = {}
-        for w in set(found).difference(self.known):
-            self.known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
-        k = min(self.k, len(h))
-        out = h[:len(h) - k + 1]
-        for j in range(1, k):
-            out = mixed(out) + h[j:len(h) - k + 1 + j]
-        return np.unique(mixed(out))
-
-
-@functools.lru_cache(maxsize=4)
-def _sets(k: int) -> ShingleSets:
-    return ShingleSets(k)
-
-
-def most_different(total: int, percent: int) -> int:
-    """H: the largest symmetric difference of two linked sets with ``total`` shingles in all."""
-    return total - 2 * -(-percent * total // (100 + percent))
-
-
-def set_name(s: np.ndarray) -> int:
-    with np.errstate(over="ignore"):
-        return int((mixed(s ^ C2).sum(dtype=np.uint64) + np.uint64(len(s))).view(np.int64))
-
-
-def sketch(s: np.ndarray) -> bytes:
-    """Parity of shingles in each of 2^b slots, at least as many as shingles.  Halving it by XOR gives the shorter sketch."""
-    bits = max(64, 1 << (len(s) - 1).bit_length())
-    odd = np.bincount((mixed(s ^ C3) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
-
-
-def folded(data: bytes, size: int) -> np.ndarray:
-    x = np.frombuffer(data, np.uint8)
-    while len(x) > size:
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    return x
+SHARED = 2
+"""Signatures that two linked sets share at least, as ``linking`` asks."""
 
 
 def band_starts(percent: int, largest: int) -> list[int]:
@@ -121,7 +43,7 @@ def allocation(band: int, starts: list[int], percent: int, n_sets: int) -> tuple
     size = (starts[band] + small) / 2
 
     def cost(q: int) -> float:
-        m = h + 1 - q
+        m = h + 1 + SHARED - q
         held = size / m
         empty, almost = math.exp(-held), (1 + held) * math.exp(-held)
         rows = n_sets * ((m - q) * empty + q * almost)
@@ -129,7 +51,7 @@ def allocation(band: int, starts: list[int], percent: int, n_sets: int) -> tuple
         return n_sets * (m + q * held) + ROW_COST * rows + PAIR_COST * pairs
 
     best = min(range((h + 1) // 2 + 1), key=lambda q: (cost(q), q))
-    return h + 1 - best, best
+    return h + 1 + SHARED - best, best
 
 
 def signatures(s: np.ndarray, starts: list[int], plan: list[tuple[int, int]], percent: int) -> np.ndarray:
@@ -156,21 +78,6 @@ def signatures(s: np.ndarray, starts: list[int], plan: list[tuple[int, int]], pe
     return np.concatenate(found)
 
 
-def document_sets(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, name, sketch`` at rest."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), raw(text).alias("body"))
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _sets(k)
-        for batch in batches:
-            made = [sets(body) for body in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in made], pa.int64()), pa.array([set_name(s) if len(s) else None for s in made], pa.int64()),
-                pa.array([sketch(s) if len(s) else None for s in made], pa.binary())], names=["doc_id", "n_shingles", "name", "sketch"])
-
-    return staged(in_batches(rows, build, "doc_id long, n_shingles long, name long, sketch binary"), "shingle-sets")
-
-
 def band_plan(sets: DataFrame, percent: int) -> tuple[list[int], list[tuple[int, int]]]:
     """Bands up to the largest set and what each is given, from counts over all sets."""
     largest = sets.agg(F.max("n_shingles")).head()[0] or 0
@@ -180,190 +87,19 @@ def band_plan(sets: DataFrame, percent: int) -> tuple[list[int], list[tuple[int,
     return starts, [allocation(b, starts, percent, counts.get(b, 0) + counts.get(b + 1, 0)) for b in range(len(starts) - 1)]
 
 
-def stars(docs: DataFrame, k: int, percent: int, starts: list[int], plan: list[tuple[int, int]], text: str) -> DataFrame:
-    """``signature, first, other``: of the classes that share a signature, the least and each of the others."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _sets(k)
-        for batch in batches:
-            made = [s for s in map(sets, batch.column(0).to_pylist()) if len(s)]
-            if made:
-                found = [np.unique(signatures(s, starts, plan, percent)) for s in made]
-                names = np.repeat(np.array([set_name(s) for s in made], np.int64), [len(f) for f in found])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(names)], names=["signature", "name"])
-
-    def first_with_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_signature = last_name = first = None
-        for batch in batches:
-            signature, name = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if not len(signature):
-                continue
-            new_group = np.empty(len(signature), bool)
-            new_group[1:] = signature[1:] != signature[:-1]
-            new_group[0] = last_signature is None or signature[0] != last_signature
-            new_name = np.empty(len(signature), bool)
-            new_name[1:] = name[1:] != name[:-1]
-            new_name[0] = last_name is None or name[0] != last_name
-            begins = np.maximum.accumulate(np.where(new_group, np.arange(len(signature)), -1))
-            firsts = np.where(begins >= 0, name[np.maximum(begins, 0)], first if first is not None else 0)
-            other = new_name & ~new_group & (name != firsts)
-            if other.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in (signature, firsts, name)], names=["signature", "first", "other"])
-            last_signature, last_name, first = signature[-1], name[-1], firsts[-1]
-
-    rows = in_batches(docs.select(raw(text).alias("body")), emit, "signature long, name long")
-    ordered = rows.repartition("signature").sortWithinPartitions("signature", "name")
-    return staged(ordered.mapInArrow(first_with_others, "signature long, first long, other long"), "signature-stars")
-
-
-def _could_link(percent: int):
-    @F.pandas_udf("boolean")
-    def could(n1: pd.Series, s1: pd.Series, n2: pd.Series, s2: pd.Series) -> pd.Series:
-        out = []
-        for a, x, b, y in zip(n1, s1, n2, s2):
-            size = min(len(x), len(y))
-            apart = int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
-            out.append(100 * min(a, b) >= percent * max(a, b) and apart <= most_different(a + b, percent))
-        return pd.Series(out, dtype=bool)
-
-    return could
-
-
-def _linked(percent: int):
-    @F.pandas_udf("boolean")
-    def linked(s1: pd.Series, s2: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(s1, s2):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(100 * both >= percent * (len(a) + len(b) - both))
-        return pd.Series(out, dtype=bool)
-
-    return linked
-
-
-def _with(pairs: DataFrame, table: DataFrame, column: str, suffix: str) -> DataFrame:
-    renamed = table.select(*[F.col(c).alias(column if c == "name" else f"{c}{suffix}") for c in table.columns])
-    return pairs.join(renamed, column)
-
-
-def whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """``name, shingles`` of the classes in the pairs, from the text of one document each.
-
-    The owners are at rest, so that Spark knows their size and shuffles no text for a few of them.
-    """
-    needed = pairs.select(F.col("first").alias("name")).union(pairs.select("other")).distinct()
-    owners = staged(classes.join(needed, "name", "left_semi").select("name", "least_id"), "set-owners")
-    bodies = docs.select(F.col(key).cast("long").alias("id"), raw(text).alias("body"))
-    found = bodies.join(owners, F.col("id").eqNullSafe(F.col("least_id"))).select("name", "body")
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _sets(k)
-        for batch in batches:
-            rows = [(name, s.tobytes()) for name, body in zip(*(c.to_pylist() for c in batch.columns)) if set_name(s := sets(body)) == name]
-            if rows:
-                names, data = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(data, pa.binary())], names=["name", "shingles"])
-
-    made = in_batches(found, build, "name long, shingles binary")
-    return staged(made.groupBy("name").agg(F.first("shingles").alias("shingles")), "whole-sets")
-
-
-def across(groups: DataFrame, percent: int, most_per_pair: int | None) -> DataFrame:
-    """``first, other``: pairs of a group that lie in different components and whose sketches allow a link.
-
-    ``groups``: ``signature, name, label, n_shingles, sketch``.  Groups over ``BLOCK_ROWS`` rows are cut into blocks, and each two
-    blocks meet in a task of their own.  ``most_per_pair`` keeps for each class the closest pairs with each other component in a block.
-    """
-    sizes = groups.groupBy("signature").agg(F.count(F.lit(1)).alias("rows"))
-    cut = groups.join(sizes, "signature").withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int"))
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")).withColumn(
-        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select("signature", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "name", "label", "n_shingles", "sketch")
-
-    def pairs_of(rows: list[tuple]) -> Iterator[list[tuple[int, int]]]:
-        """In lists of bounded length: a block can have millions of near pairs."""
-        low, high = rows[0][1], rows[0][2]
-        size = min(len(r[7]) for r in rows)
-        data = np.stack([folded(r[7], size) for r in rows])
-        block, name, label, n = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
-        out: list[tuple[int, int]] = []
-        for i in range(len(rows) - 1):
-            rest = slice(i + 1, None)
-            open_ = label[rest] != label[i]
-            if low != high:
-                open_ &= block[rest] != block[i]
-            if not open_.any():
-                continue
-            at = np.flatnonzero(open_) + i + 1
-            a, b = np.minimum(n[at], n[i]), np.maximum(n[at], n[i])
-            at = at[100 * a >= percent * b]
-            if not len(at):
-                continue
-            apart = np.bitwise_count(data[at] ^ data[i]).sum(axis=1, dtype=np.int64)
-            total = n[at] + n[i]
-            near = apart <= total - 2 * -(-percent * total // (100 + percent))
-            at = at[near][np.argsort(apart[near], kind="stable")]
-            if most_per_pair is not None and len(at):
-                order = np.argsort(label[at], kind="stable")
-                ranked = label[at][order]
-                first = np.searchsorted(ranked, ranked)
-                at = at[order][np.arange(len(at)) - first < most_per_pair]
-            out += [(min(name[i], x), max(name[i], x)) for x in name[at].tolist()]
-            if len(out) > FLUSH_PAIRS:
-                yield out
-                out = []
-        if out:
-            yield out
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def done(rows):
-            for found in pairs_of(rows) if len(rows) > 1 else ():
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["first", "other"])
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and row[:3] != held[0][:3]:
-                    yield from done(held)
-                    held = []
-                held.append(row)
-        yield from done(held)
-
-    ordered = cut.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "name")
-    return staged(in_batches(ordered, compare, "first long, other long").distinct(), "pairs-across")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    met = _with(_with(pairs, sets, "other", "_o"), sets, "first", "_f")
-    return staged(small_batches(met).where(_linked(percent)("shingles_o", "shingles_f")).select("first", "other"), "verified-links")
+def similar_rows(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every row with its component, as ``linking.linked_components`` gives it."""
+    sets = document_sets(docs, k, key, text)
+    starts, plan = band_plan(sets, percent)
+    found = signatures_of_texts(docs, k, lambda s: signatures(s, starts, plan, percent), text)
+    return linked_components(docs, sets, set_classes(sets), found, k, percent, key, text)
 
 
 def similar_components(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``: the least id reachable by links, for every row."""
-    sets = document_sets(docs, k, key, text)
-    starts, plan = band_plan(sets, percent)
-    star = stars(docs, k, percent, starts, plan, text)
-    classes = staged(sets.where("name is not null").groupBy("name").agg(
-        F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "set-classes")
-    pairs = star.select("first", "other").distinct()
-    narrow = classes.select("name", "n_shingles", "sketch")
-    near = _with(_with(pairs, narrow, "other", "_o"), narrow, "first", "_f")
-    near = staged(small_batches(near).where(_could_link(percent)("n_shingles_o", "sketch_o", "n_shingles_f", "sketch_f")).select("first", "other"), "near-pairs")
-    links = _verified(near, whole_sets(docs, classes, near, k, key, text), percent)
-    labels = staged(components(links), "labels")
-    members = star.select("signature", F.col("other").alias("name")).union(star.select("signature", "first")).distinct()
-    for most in (2, None):
-        named = members.join(labels, members["name"] == labels["node"], "left").select("signature", "name", F.coalesce("component", "name").alias("label"))
-        mixed_groups = named.groupBy("signature").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("signature")
-        groups = named.join(mixed_groups, "signature", "left_semi").join(narrow, "name")
-        found = across(groups, percent, most)
-        if found.isEmpty():
-            break
-        links = links.unionByName(_verified(found, whole_sets(docs, classes, found, k, key, text), percent))
-        labels = staged(components(links), "labels")
-    named = classes.select("name", "least_id").join(labels, F.col("name") == F.col("node"), "left").select(
-        "name", "least_id", F.coalesce("component", "name").alias("label"))
-    least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    ids = named.join(least, "label").select("name", "component_id")
-    return sets.join(ids, "name", "left").select(F.col("doc_id").alias(key), "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return similar_rows(docs, k, percent, key, text).select(key, "n_shingles", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, and all rows without words."""
+    return one_row_each(docs, similar_rows(docs, k, percent, key, text), key, text)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, divergence, id_store, jaccard, licenses, lines, packing, quality, sharding, suffix_tree, winnowing
+from . import conversations, decontamination, divergence, id_store, jaccard, licenses, lines, minhash, packing, quality, sharding, suffix_tree, winnowing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,16 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_digests(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergences(table(spark, sf_dir, "documents"))

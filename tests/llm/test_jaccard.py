@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from paperflow.llm import jaccard as J
+from paperflow.llm import linking as L
 from paperflow.llm.components import components
 
 from .helpers import docs, sf_docs
@@ -60,7 +61,8 @@ def near_copies(seed):
 
 @pytest.mark.parametrize("k, percent", [(3, 90), (5, 80), (1, 60)])
 def test_near_copies(spark, k, percent, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(L, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(L, "SPLIT_ROWS", 5)
     same(spark, near_copies(k), k, percent)
 
 
@@ -91,7 +93,7 @@ def test_allocation_keeps_every_link():
             for n_sets in (10, 10**6, 10**10):
                 m, q = J.allocation(band, starts, percent, n_sets)
                 for other in range(size, 100 * size // percent + 1):
-                    assert m + q > J.most_different(size + other, percent) and q <= m
+                    assert m + q > L.most_different(size + other, percent) + J.SHARED and q <= m
 
 
 def test_sketch_is_a_lower_bound():
@@ -99,9 +101,9 @@ def test_sketch_is_a_lower_bound():
     for n in (1, 7, 60, 500):
         a = np.unique(rng.integers(1, 1 << 62, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[n // 8:], rng.integers(1, 1 << 62, n // 10 + 1).astype(np.uint64)]))
-        x, y = J.sketch(a), J.sketch(b)
+        x, y = L.sketch(a), L.sketch(b)
         size = min(len(x), len(y))
-        assert np.bitwise_count(J.folded(x, size) ^ J.folded(y, size)).sum() <= len(np.setxor1d(a, b))
+        assert np.bitwise_count(L.folded(x, size) ^ L.folded(y, size)).sum() <= len(np.setxor1d(a, b))
 
 
 def test_components(spark):
