@@ -2,11 +2,16 @@
 
 A candidate block is the paragraph around a cue, joined over line ends: from a paragraph (lines up to the next one without a word) all words
 that are no farther from a cue than the longest wording with its edits has words, so that a wording that holds the cue lies wholly in the
-block, however it is wrapped.  Tokens without a letter or digit, such as comment marks, are no words.  A block is compressed
-alone and with each license's wordings as raw dictionary; licenses are ranked by the share of bytes saved.  Every license is
-then compared word by word, whatever it saves: it counts where one of its wordings fits into the block with edits of at most ``most_edits`` of
-the wording's words.  Of wordings that fit onto the same words the one with the most words less edits decides.  One row per block,
-license and place, with the line where it begins; blocks without any are reported with a null license and the line of the first cue.
+block, however it is wrapped.  Cues are some fixed phrases and, for a wording without any of them, words of its own: a word that must
+agree, or one word more than the wording may have edits.  Tokens without a letter or digit, such as comment marks, are no words.  A block is
+compressed alone and with each license's wordings as raw dictionary; licenses are ranked by the share of bytes saved.  Every license is
+then compared word by word, whatever it saves.
+
+Words that tell licenses apart must agree: words with a digit, and words of short wordings (under ``LONG_WORDS`` words) that only one or two
+licenses have, their names.  They may be neither changed, left out nor, where they belong to another license, put in.  Else a long
+wording may have edits of at most ``most_edits`` of its words, a short one as many words that are only spelt otherwise.  Of wordings that fit
+onto the same words the one with the most words less edits decides.  One row per block, license and place, with the line where it begins;
+blocks with a fixed cue but without any are reported with a null license and the line of that cue.
 
 Null and empty texts have no blocks.  Equal savings go to the license named first.  Repeated rows are reported each.  An empty
 table gives no rows.  Everything is done inside the row: no shuffle.  Other columns are not read.
@@ -29,7 +34,13 @@ from .common import in_batches
 
 LEVEL = 9
 MOST_EDITS = 0.2
-CUES = ("licen", "copyright", "all rights reserved", "permission is hereby", "without warranty", "spdx-", "public domain", "redistribution and use")
+LONG_WORDS = 20
+NAMED_BY = 2
+"""A word of short wordings of at most so many licenses is a name."""
+SPELLING = 2
+"""Letters by which two spellings of a word may differ."""
+NEVER = 1 << 20
+CUES = ("licen", "copyright", "all rights reserved", "permission is hereby", "without warranty", "implied warranty", "spdx-", "public domain", "redistribution and use")
 BLOCKS = "doc_id long, block int, line int, license string, saved double, edits int, wording_words int, differences string, text string"
 
 # Well-known public license notices.
@@ -63,6 +74,13 @@ TEMPLATES = {
         "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ),
     "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-only"),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-2.0": ("This work is licensed under the GNU Library General Public License, version 2.", "SPDX-License-Identifier: LGPL-2.0-only"),
     "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
@@ -70,6 +88,25 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
         "are met:",
     ),
+    "BSD-2-Clause": ("Released under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"),
+    "ISC": (
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Zlib": (
+        "Licensed under the Zlib License.",
+        "SPDX-License-Identifier: Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software.",
+    ),
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+    ),
+    "Unlicense": ("SPDX-License-Identifier: Unlicense", "This is free and unencumbered software released into the public domain."),
     "MPL-2.0": (
         "SPDX-License-Identifier: MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -81,9 +118,6 @@ TEMPLATES = {
     "All-Rights-Reserved": ("All rights reserved.",),
 }
 _WORD = re.compile(r"[^\s.,;:()\"']+(?:\.[^\s.,;:()\"']+)*")
-_CUE = re.compile("|".join(r"\W+".join(map(re.escape, c.split())) for c in CUES), re.IGNORECASE)
-_RARE = tuple(max(c.split(), key=len).encode() for c in CUES)
-"""A text without any of these words has no cue."""
 
 
 def word_spans(text: str) -> list[tuple[int, int, str]]:
@@ -109,19 +143,34 @@ def paragraphs(text: str) -> Iterator[tuple[int, str]]:
         yield first, "\n".join(held)
 
 
-def candidate_blocks(text: str, reach: int) -> list[tuple[int, str]]:
+class Cues:
+    """Where a notice may be: the pattern, and words of which a text without a cue has none."""
+
+    def __init__(self, phrases: tuple[str, ...] = CUES):
+        self.pattern = re.compile("|".join(r"\W+".join(map(re.escape, c.split())) for c in phrases), re.IGNORECASE)
+        self.words = tuple({max(c.split(), key=len).lower() for c in phrases})
+
+    def possible(self, text: str) -> bool:
+        low = text.lower()
+        return any(c in low for c in self.words)
+
+
+FIXED = Cues()
+
+
+def candidate_blocks(text: str, reach: int, cues: Cues | None = None) -> list[tuple[int, str]]:
     """Line number and text of each block: the words of a paragraph up to ``reach`` words from a cue."""
-    low = text.encode().lower()
-    if not any(c in low for c in _RARE):
+    cues = cues or FIXED
+    if not cues.possible(text):
         return []
     blocks = []
     for line, body in paragraphs(text):
-        cues = [m.span() for m in _CUE.finditer(body)]
-        if not cues:
+        found = [m.span() for m in cues.pattern.finditer(body)]
+        if not found:
             continue
         spans = word_spans(body)
         starts, windows = [a for a, *_ in spans], []
-        for a, b in cues:
+        for a, b in found:
             first, last = max(0, bisect_right(starts, a) - 1 - reach), min(len(spans), bisect_right(starts, b - 1) + reach)
             if windows and first <= windows[-1][1]:
                 windows[-1][1] = last
@@ -133,29 +182,74 @@ def candidate_blocks(text: str, reach: int) -> list[tuple[int, str]]:
     return blocks
 
 
-def edit_costs(wording: list[str], block: list[str]) -> list[list[int]]:
-    """For the first i words of the wording: the fewest edits into a part of the block that ends before its word j."""
+def letters_apart(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return row[-1]
+
+
+@functools.lru_cache(maxsize=10_000)
+def spelt_otherwise(a: str, b: str) -> bool:
+    return min(len(a), len(b)) >= 5 and abs(len(a) - len(b)) <= SPELLING and letters_apart(a, b) <= SPELLING
+
+
+class Prices:
+    """What an edit of a wording costs: 1, or ``NEVER`` where words must agree."""
+
+    def __init__(self, names: frozenset[str] = frozenset(), short: bool = False):
+        self.names, self.short = names, short
+
+    def fixed(self, word: str) -> bool:
+        return word in self.names or any(map(str.isdigit, word))
+
+    def change(self, word: str, there: str) -> int:
+        if word == there:
+            return 0
+        if self.fixed(word) or there in self.names or self.short and not spelt_otherwise(word, there):
+            return NEVER
+        return 1
+
+    def leave_out(self, word: str) -> int:
+        return NEVER if self.short or self.fixed(word) else 1
+
+    def put_in(self, there: str) -> int:
+        return NEVER if self.short or there in self.names else 1
+
+
+class FreePrices(Prices):
+    def fixed(self, word: str) -> bool:
+        return False
+
+
+def edit_costs(wording: list[str], block: list[str], prices: Prices) -> list[list[int]]:
+    """For the first i words of the wording: the least price of edits into a part of the block that ends before its word j."""
     m = len(block)
-    cost = [[0] * (m + 1)]
-    for i, w in enumerate(wording, 1):
-        row, above = [i] + [0] * m, cost[-1]
+    cost, put_in = [[0] * (m + 1)], [prices.put_in(b) for b in block]
+    for w in wording:
+        above, out = cost[-1], prices.leave_out(w)
+        row = [above[0] + out] + [0] * m
         for j in range(1, m + 1):
-            row[j] = min(above[j - 1] + (w != block[j - 1]), above[j] + 1, row[j - 1] + 1)
+            b = block[j - 1]
+            row[j] = min(above[j - 1] + (0 if w == b else prices.change(w, b)), above[j] + out, row[j - 1] + put_in[j - 1])
         cost.append(row)
     return cost
 
 
-def edits_back(cost: list[list[int]], wording: list[str], block: list[str], j: int) -> tuple[list[str], list[int]]:
+def edits_back(cost: list[list[int]], wording: list[str], block: list[str], j: int, prices: Prices) -> tuple[list[str], list[int]]:
     """The edits of the part that ends before word j of the block, and the places of the words that agree."""
     i, found, same = len(wording), [], []
     while i:
-        if j and cost[i][j] == cost[i - 1][j - 1] + (wording[i - 1] != block[j - 1]):
+        if j and cost[i][j] == cost[i - 1][j - 1] + prices.change(wording[i - 1], block[j - 1]):
             if wording[i - 1] != block[j - 1]:
                 found.append(f"{wording[i - 1]}>{block[j - 1]}")
             else:
                 same.append(j - 1)
             i, j = i - 1, j - 1
-        elif cost[i][j] == cost[i - 1][j] + 1:
+        elif cost[i][j] == cost[i - 1][j] + prices.leave_out(wording[i - 1]):
             found.append(f"-{wording[i - 1]}")
             i -= 1
         else:
@@ -164,11 +258,32 @@ def edits_back(cost: list[list[int]], wording: list[str], block: list[str], j: i
     return found[::-1], same[::-1]
 
 
-def fewest_edits(wording: list[str], block: list[str]) -> tuple[int, list[str]]:
+def fewest_edits(wording: list[str], block: list[str], prices: Prices | None = None) -> tuple[int, list[str]]:
     """Word edits that turn the wording into the part of the block it fits best, and what they are."""
-    cost = edit_costs(wording, block)
+    prices = prices or FreePrices()
+    cost = edit_costs(wording, block, prices)
     j = min(range(len(block) + 1), key=lambda x: cost[-1][x])
-    return cost[-1][j], edits_back(cost, wording, block, j)[0]
+    return cost[-1][j], edits_back(cost, wording, block, j, prices)[0]
+
+
+def license_names(wordings: dict[str, list[list[str]]]) -> frozenset[str]:
+    """Words of short wordings that few licenses have in any wording."""
+    held = Counter(w for texts in wordings.values() for w in {w for t in texts for w in t})
+    return frozenset(w for texts in wordings.values() for t in texts if len(t) < LONG_WORDS for w in t if held[w] <= NAMED_BY)
+
+
+def cues_of(templates: dict[str, tuple[str, ...]], names: frozenset[str], most_edits: float) -> Cues:
+    """The fixed cues and those of wordings that hold none of them."""
+    phrases = list(CUES)
+    known = Counter(w for texts in templates.values() for t in texts for w in set(wording_words(t)))
+    for texts in templates.values():
+        for t in texts:
+            if FIXED.pattern.search(t) or not (words := wording_words(t)):
+                continue
+            rare = sorted(words, key=lambda w: (known[w], -len(w), w))
+            sure = [w for w in rare if w in names or any(map(str.isdigit, w))]
+            phrases += sure[:1] or rare[:int(most_edits * len(words) + 1e-9) + 1]
+    return Cues(tuple(phrases))
 
 
 class Matcher:
@@ -181,6 +296,8 @@ class Matcher:
             words = zstandard.ZstdCompressionDict("\n".join(texts).lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given[name] = zstandard.ZstdCompressor(compression_params=plain, dict_data=words)
         self.wordings = {name: [wording_words(t) for t in texts] for name, texts in templates.items()}
+        self.names = license_names(self.wordings)
+        self.cues = cues_of(templates, self.names, most_edits)
         self.most_edits = most_edits
         self.reach = max((int((1 + most_edits) * len(w)) + 1 for x in self.wordings.values() for w in x), default=0)
         self.match = functools.lru_cache(maxsize=1_000)(self._match)
@@ -193,13 +310,14 @@ class Matcher:
 
     def fits(self, wording: list[str], words: list[str], there: Counter) -> Iterator[tuple[int, list[str], list[int]]]:
         """Edits, what they are and the words that agree, for each end in the block where few enough edits do."""
-        most = int(self.most_edits * len(wording) + 1e-9)
-        if sum((Counter(wording) - there).values()) > most:
+        most, prices = int(self.most_edits * len(wording) + 1e-9), Prices(self.names, len(wording) < LONG_WORDS)
+        lacked = Counter(wording) - there
+        if sum(lacked.values()) > most or any(map(prices.fixed, lacked)):
             return
-        cost = edit_costs(wording, words)
+        cost = edit_costs(wording, words, prices)
         for j, edits in enumerate(cost[-1]):
             if edits <= most:
-                yield edits, *edits_back(cost, wording, words, j)
+                yield edits, *edits_back(cost, wording, words, j, prices)
 
     def _match(self, block: str) -> list[tuple]:
         """Line within the block, license, savings, edits, words of the wording and differences."""
@@ -211,7 +329,8 @@ class Matcher:
                 found += [(edits - len(wording), rank, same, (name, saved, edits, len(wording), " ".join(what)))
                           for edits, what, same in self.fits(wording, words, there)]
         if not found:
-            return [(block.count("\n", 0, _CUE.search(block).start()), None, ranked[0][0], None, None, None)]
+            cue = FIXED.pattern.search(block)
+            return [(block.count("\n", 0, cue.start()), None, ranked[0][0], None, None, None)] if cue else []
         taken, places = set(), []
         for *_, same, hit in sorted(found, key=lambda x: x[:2]):
             if taken.isdisjoint(same):
@@ -235,7 +354,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None
         matcher = _matcher(known, level, most_edits)
         for batch in batches:
             rows = [(k, b, line + at, *hit, block) for k, body in zip(*(c.to_pylist() for c in batch.columns)) if body
-                    for b, (line, block) in enumerate(candidate_blocks(body, matcher.reach)) for at, *hit in matcher.match(block)]
+                    for b, (line, block) in enumerate(candidate_blocks(body, matcher.reach, matcher.cues)) for at, *hit in matcher.match(block)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
 

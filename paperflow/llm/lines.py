@@ -30,7 +30,7 @@ def site_lines(docs: DataFrame, key: str, text: str, site: str, long_chars: int
     long = F.lit(False) if long_chars is None else F.char_length(F.trim("line")) >= long_chars
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(site).alias("site"),
                        F.posexplode(F.split(text, "\n", -1)).alias("pos", "line")).where(F.trim("line") != "")
-    return rows.select("key", "text_hash", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(1)).alias("h2"),
+    return rows.select("key", "text_hash", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
                        long.alias("long"))
 
 

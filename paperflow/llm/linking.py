@@ -5,10 +5,11 @@ stated probability).  Equal sets are one class from the start, and only classes
 that share one, each is paired with the first (a star).  Pairs are first bounded from below by XOR sketches (a bit per hashed shingle,
 parity), then verified on the whole sets.
 
-Where a signature's classes still lie in several components, pairs across components are bounded too and verified.  A signature with more than
-``SPLIT_ROWS`` classes is not compared as a whole: linked classes that share it share a second one, so its classes are dealt by pairs of such
-signatures, and what came together by chance parts.  Groups are compared in blocks of ``BLOCK_ROWS``, only across components.  So no link that could
-join two components is left out, while the pairs within a component, of which a group of n copies has n squared, are never made.
+Where a signature's classes still lie in several components, pairs across components are bounded too and verified: first the nearest of each
+class, as often as that joins components, at last all that the bound allows.  A signature with more than ``SPLIT_ROWS`` classes is not compared
+as a whole: linked classes that share it share a second one, so its classes are dealt by pairs of such signatures, and what came together by
+chance parts.  Groups are compared in blocks of ``BLOCK_ROWS``, only across components.  So no link that could join two components is left
+out, while the pairs within a component, of which a group of n copies has n squared, are never made.
 
 A document's set: its different ``k``-word shingles as 64-bit hashes; with fewer words the whole sequence as one.  Null and empty texts
 and texts without words have an empty set and no links.  Classes go by two 64-bit sums over their shingles, so two different sets among n share
@@ -25,14 +26,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_batches, raw, small_batches, staged, words
 from .components import components
 
-BLOCK_ROWS = 2048
-SPLIT_ROWS = 128
+BLOCK_ROWS = 8192
+SPLIT_ROWS = 65_536
+SKETCH_BITS = 4
+"""Slots of a sketch for each shingle, at least: sets just below the similarity asked for are told apart without a look at them."""
+CLOSEST = 2
 FLUSH_PAIRS = 20_000
 WORD_ENTRIES = 200_000
 NAMES_SEEN = 100_000
@@ -91,8 +95,8 @@ def set_name(s: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parity of shingles in each of 2^b slots, at least as many as shingles.  Halving it by XOR gives the shorter sketch."""
-    bits = max(64, 1 << (len(s) - 1).bit_length())
+    """Parity of shingles in each of 2^b slots, at least ``SKETCH_BITS`` for each shingle.  Halving it by XOR gives the shorter sketch."""
+    bits = max(64, SKETCH_BITS << (len(s) - 1).bit_length())
     odd = np.bincount((mixed(s ^ C3) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -246,47 +250,71 @@ def whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, ke
     return staged(made.groupBy("name").agg(F.first("shingles").alias("shingles")), "whole-sets")
 
 
-def across(groups: DataFrame, percent: int, most_per_pair: int | None) -> DataFrame:
+class Block:
+    """Sketches of classes, by sketch length, to be compared with one class at a time."""
+
+    def __init__(self, rows: list[tuple], percent: int):
+        self.percent = percent
+        self.by_size: dict[int, tuple] = {}
+        for size in {len(r[4]) for r in rows}:
+            mine = [r for r in rows if len(r[4]) == size]
+            numbers = [np.array([r[i] for r in mine], np.int64) for i in range(4)]
+            self.by_size[size] = (*numbers, {size: np.frombuffer(b"".join(r[4] for r in mine), np.uint8).reshape(len(mine), size)})
+
+    def near(self, name: int, label: int, n: int, minor: int, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distance bounds and names of the classes of other components that may be linked; of two minor classes one asks."""
+        for size, (names, labels, sizes, minors, sketches) in self.by_size.items():
+            at = np.flatnonzero((labels != label) & ((minors == 0) | (names > name)) & (100 * np.minimum(sizes, n) >= self.percent * np.maximum(sizes, n)))
+            if not len(at):
+                continue
+            least = min(size, len(data))
+            if least not in sketches:
+                x = sketches[size]
+                while x.shape[1] > least:
+                    x = x[:, :x.shape[1] // 2] ^ x[:, x.shape[1] // 2:]
+                sketches[least] = x
+            apart = np.bitwise_count((sketches[least][at] ^ folded(data, least)).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            total = sizes[at] + n
+            near = apart <= total - 2 * -(-self.percent * total // (100 + self.percent))
+            if near.any():
+                yield apart[near] / total[near], names[at[near]]
+
+
+def across(groups: DataFrame, percent: int, closest: int | None) -> DataFrame:
     """``first, other``: pairs of a group that lie in different components and whose sketches allow a link.
 
-    ``groups``: ``signature, name, label, n_shingles, sketch``.  Groups over ``BLOCK_ROWS`` rows are cut into blocks, and each two
-    blocks meet in a task of their own.  ``most_per_pair`` keeps for each class the closest pairs with each other component in a block.
+    ``groups``: ``signature, name, label, n_shingles, sketch``.  Only classes outside of the largest component of a group ask, so a group whose
+    classes are mostly linked already costs little more than its rows.  Those that ask and all that may answer are cut into blocks of
+    ``BLOCK_ROWS``, and each two blocks meet in a task of their own.  With ``closest`` a class keeps so many pairs, the nearest by their sketches.
     """
-    sizes = groups.groupBy("signature").agg(F.count(F.lit(1)).alias("rows"))
-    cut = groups.join(sizes, "signature").withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int"))
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")).withColumn(
-        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select("signature", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "name", "label", "n_shingles", "sketch")
+    sizes = groups.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("signature").agg(
+        F.sum("n").alias("rows"), F.max("n").alias("most"), F.max_by("label", F.struct("n", "label")).alias("major"))
+    blocks = [F.ceil(c / F.lit(BLOCK_ROWS)).cast("int") for c in (F.col("rows"), F.col("rows") - F.col("most"))]
+    cut = groups.join(sizes.select("signature", "major", blocks[0].alias("blocks"), blocks[1].alias("asking")), "signature").withColumn(
+        "minor", (F.col("label") != F.col("major")).cast("long"))
+    own = F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
+    turn = F.pmod(F.xxhash64("name", F.lit(1)), F.col("asking")).cast("int")
+
+    def places(n: str, make) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(n) - 1), make)
+
+    answers = places("asking", lambda a: F.struct(a.alias("low"), own.alias("high"), F.lit(False).alias("asks")))
+    asks = F.when(F.col("minor") == 1, places("blocks", lambda b: F.struct(turn.alias("low"), b.alias("high"), F.lit(True).alias("asks"))))
+    dealt = cut.select("signature", F.inline(F.concat(answers, F.coalesce(asks, F.array().cast("array<struct<low: int, high: int, asks: boolean>>")))),
+                       "name", "label", "n_shingles", "minor", "sketch")
 
     def pairs_of(rows: list[tuple]) -> Iterator[list[tuple[int, int]]]:
-        """In lists of bounded length: a block can have millions of near pairs."""
-        low, high = rows[0][1], rows[0][2]
-        size = min(len(r[7]) for r in rows)
-        data = np.stack([folded(r[7], size) for r in rows])
-        block, name, label, n = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5, 6))
+        """In lists of bounded length."""
+        block = Block([r[4:] for r in rows if not r[3]], percent)
         out: list[tuple[int, int]] = []
-        for i in range(len(rows) - 1):
-            rest = slice(i + 1, None)
-            open_ = label[rest] != label[i]
-            if low != high:
-                open_ &= block[rest] != block[i]
-            if not open_.any():
+        for *_, asking, name, label, n, minor, data in rows:
+            found = list(block.near(name, label, n, minor, data)) if asking else []
+            if not found:
                 continue
-            at = np.flatnonzero(open_) + i + 1
-            a, b = np.minimum(n[at], n[i]), np.maximum(n[at], n[i])
-            at = at[100 * a >= percent * b]
-            if not len(at):
-                continue
-            apart = np.bitwise_count(data[at] ^ data[i]).sum(axis=1, dtype=np.int64)
-            total = n[at] + n[i]
-            near = apart <= total - 2 * -(-percent * total // (100 + percent))
-            at = at[near][np.argsort(apart[near], kind="stable")]
-            if most_per_pair is not None and len(at):
-                order = np.argsort(label[at], kind="stable")
-                ranked = label[at][order]
-                first = np.searchsorted(ranked, ranked)
-                at = at[order][np.arange(len(at)) - first < most_per_pair]
-            out += [(min(name[i], x), max(name[i], x)) for x in name[at].tolist()]
+            names = np.concatenate([x for _, x in found])
+            if closest is not None and len(names) > closest:
+                names = names[np.argsort(np.concatenate([d for d, _ in found]), kind="stable")[:closest]]
+            out += [(min(name, x), max(name, x)) for x in names.tolist()]
             if len(out) > FLUSH_PAIRS:
                 yield out
                 out = []
@@ -308,7 +336,7 @@ def across(groups: DataFrame, percent: int, most_per_pair: int | None) -> DataFr
                 held.append(row)
         yield from done(held)
 
-    ordered = cut.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "name")
+    ordered = dealt.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "name")
     return staged(in_batches(ordered, compare, "first long, other long").distinct(), "pairs-across")
 
 
@@ -350,13 +378,20 @@ def linked_components(docs: DataFrame, sets: DataFrame, classes: DataFrame, sign
     labels = staged(components(links), "labels")
     members = star.select("signature", F.col("other").alias("n1")).union(star.select("signature", "first")).distinct()
     members = staged(members.join(by_half, "n1").select("signature", "name"), "signature-members")
-    for most in (2, None):
+    closest: int | None = CLOSEST
+    while True:
         named = staged(members.join(labels, members["name"] == labels["node"], "left").select("signature", "name", F.coalesce("component", "name").alias("label")), "labelled-members")
-        found = across(mixed_groups(named).join(narrow, "name"), percent, most)
+        found = across(mixed_groups(named).join(narrow, "name"), percent, closest)
         if found.isEmpty():
             break
-        links = links.unionByName(_verified(found, whole_sets(docs, classes, found, k, key, text), percent))
-        labels = staged(components(links), "labels")
+        new = _verified(found, whole_sets(docs, classes, found, k, key, text), percent)
+        last, merged = closest is None, not new.isEmpty()
+        if merged:
+            links = links.unionByName(new)
+            labels = staged(components(links), "labels")
+        if last:
+            break
+        closest = CLOSEST if merged else None  # the nearest have nothing more to link: all that may be linked are looked at
     named = classes.select("name", "n1", "n2", "least_id").join(labels, F.col("name") == F.col("node"), "left").select(
         "n1", "n2", "least_id", F.coalesce("component", "name").alias("label"))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))

@@ -1,5 +1,5 @@
-import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
@@ -7,16 +7,17 @@ from paperflow.llm import decontamination, jaccard
 from tests.sql_twin import compare, sql_session
 
 from .helpers import docs, sf_docs
+from .test_jaccard import brute, near_copies
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
     names = queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op1_sharding", "op7_line_dedup"])
+@pytest.mark.parametrize("name", ["op1_sharding", "op7_line_dedup", "op13_divergence"])
 def test_sql_twins(spark, name):
     folder = "/root/testdata/sf0.01"
     assert compare(queries()[name](spark, folder), sql_session(folder), oracle_sql()[name]) is None
@@ -59,6 +60,24 @@ def test_line_stage_takes_long_lines_of_two_sites(spark):
     assert got == {**{d: t for d, t, _ in rows}, 2: "second", **{k: f"own {k}" for k in range(10, 40)}}
 
 
+def test_near_copies_go_by_row(spark):
+    """Repeated rows, rows without an id and different texts of one id, as they may come."""
+    t = "the quick brown fox jumps over the lazy dog and runs away from all the others in the yard again"
+    other = "a text of its own that has nothing to do with any of the other ones and has to stay where it is"
+    rows = [(1, t), (1, t), (None, t + " x"), (None, t + " x y"), (7, t + " z"), (7, other), (8, None), (8, None), (None, ""), (None, other + " with a long tail of words behind it that sets it apart")]
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs(spark, rows), SF).collect()), key=str)
+    assert got == sorted([(1, t), (7, other), (8, None), (8, None), (None, ""), rows[-1]], key=str)
+    frame = docs(spark, [(None, t), (None, t), (None, t + " w")]).withColumn("source", F.monotonically_increasing_id().cast("string"))
+    kept = corpus_pipeline.drop_near_copies(spark, frame, SF).collect()
+    assert len(kept) == 1
+
+
+def test_near_copies_against_brute_force(spark):
+    rows = near_copies(3) + [(900 + k, None) for k in range(3)]
+    want = sorted({c for _, _, c in brute(rows, 5, 80)})
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs(spark, rows), SF).collect()) == want
+
+
 def test_empty_documents(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs(spark, []), SF).count() == 0
