@@ -31,11 +31,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one whose id names the group."""
-    groups = jaccard.similar_components(docs, k=5, percent=80)
-    copies = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy"))
-    rest = docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
-    return rest.select(*COLUMNS)
+    """One document of each group of near copies: the row with the least id and, among rows of that id, text hash; null ids come last."""
+    return jaccard.drop_near_copies(docs, k=5, percent=80).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -83,7 +85,8 @@ DICTIONARY_BYTES = 4 << 20
 
 
 def _hits_by_automaton(text: Column, words: list[tuple[int, str]], n_buckets: int) -> Column:
-    def count(texts: pd.Series) -> pd.Series:
+    """The automaton is built once a task and used for all its batches."""
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick  # here, so that the function travels by value
 
         found = ahocorasick.Automaton()
@@ -103,9 +106,10 @@ def _hits_by_automaton(text: Column, words: list[tuple[int, str]], n_buckets: in
                     hits[bucket] += 1
             return hits
 
-        return texts.map(one)
+        for texts in batches:
+            yield texts.map(one)
 
-    return F.pandas_udf(count, T.ArrayType(T.IntegerType()))(text)
+    return F.pandas_udf(count, T.ArrayType(T.IntegerType()), F.PandasUDFType.SCALAR_ITER)(text)
 
 
 def assign_bucket_large(df: DataFrame, text: Column, keywords: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES) -> DataFrame:

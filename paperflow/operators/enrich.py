@@ -25,6 +25,29 @@ def lookup(papers: DataFrame, works: DataFrame, key: Column, work_key: str, work
     return left.join(right, "_lookup", "left").withColumn("matched", F.coalesce("_hit", F.lit(False))).drop("_lookup", "_hit")
 
 
+def store_by_key(rows: DataFrame, table: str, path: str, key: Column, buckets: int, row_id: str | None = None, add: bool = False) -> None:
+    """Keeps rows in a table that is bucketed and sorted by the lookup key, so that joins on it need no shuffle of the table.
+
+    ``row_id`` gives rows without a key one of their own, as ``lookup`` does; without it such rows are left out.  ``add`` appends a day's rows.
+    Both tables of a join must have the same number of buckets; a bucket should fit a task.
+    """
+    alone = F.concat(F.lit("\x00"), F.col(row_id).cast("string")) if row_id else F.lit(None)
+    keyed = rows.withColumn("_lookup", F.coalesce(blank_to_null(key), alone)).where("_lookup is not null")
+    spread = keyed.repartition(buckets, "_lookup")  # one file for each bucket, not one for each bucket and task
+    spread.write.mode("append" if add else "overwrite").bucketBy(buckets, "_lookup").sortBy("_lookup").option("path", path).format("parquet").saveAsTable(table)
+
+
+def store_works(works: DataFrame, table: str, path: str, work_key: str, work_order: list[str], buckets: int) -> None:
+    """The lookup side of a bucketed join: one row per key."""
+    store_by_key(first_wins(works, F.col(work_key), work_order), table, path, F.col(work_key), buckets)
+
+
+def lookup_bucketed(papers: DataFrame, works: DataFrame) -> DataFrame:
+    """``lookup`` between tables kept by ``store_by_key`` and ``store_works``: the history of papers is read where it lies."""
+    right = works.withColumn("_hit", F.lit(True))
+    return papers.join(right, "_lookup", "left").withColumn("matched", F.coalesce("_hit", F.lit(False))).drop("_lookup", "_hit")
+
+
 def backfill(current: Column, candidate: Column) -> Column:
     """The candidate replaces a value only if that is blank and the candidate is not."""
     blank = strip_ws(text_or_empty(current)) == ""

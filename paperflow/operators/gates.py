@@ -101,7 +101,7 @@ def release_gates(a: Artefacts, markers: tuple[str, ...] = V.POST_MARKERS,
     )
     counts = _sorted_counts(F.col("by_cat"))
     trends = a.trends.withColumn("has_trends", F.lit(True)).withColumn("counts", counts).withColumn(
-        "fingerprint", F.concat_ws("|", "counts_object", "total_scanned", "selected"))
+        "fingerprint", F.to_json(F.array("counts_object", "total_scanned", "selected")))
     facts = [
         posts, trends, clusters, title_overlap, id_overlap, strays,
         a.insights.select("day", F.col("readable").alias("insights_ok")),

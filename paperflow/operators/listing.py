@@ -137,8 +137,8 @@ def drop_replaced(papers: DataFrame, section: str = "section", replaced: str = "
 
 
 def date_section(pages: DataFrame, day: Column, html: str = "html",
-                 header: str = V.DATE_HEADER) -> DataFrame:
-    """The block under the first header that names the day; ``found`` is false when none does.
+                 header: str = V.DATE_HEADER, required: bool = False) -> DataFrame:
+    """The block under the first header that names the day; ``found`` is false when none does, and with ``required`` the job fails.
 
     Header text may hold tags; they are dropped before the comparison.
     """
@@ -149,6 +149,8 @@ def date_section(pages: DataFrame, day: Column, html: str = "html",
     pieces = pages.withColumn("_pieces", cut_before(F.col(html), header, "is"))
     headed = F.slice(F.col("_pieces"), 2, F.size("_pieces"))
     hits = F.filter(headed, lambda piece: F.contains(title(piece), label))
+    if required:
+        hits = F.when(F.size(hits) > 0, hits).otherwise(F.raise_error(F.concat(F.lit("no section for "), label)))
     return (
         pieces.withColumn("block", F.coalesce(F.get(hits, 0), F.lit("")))
         .withColumn("found", F.size(hits) > 0)
@@ -157,10 +159,16 @@ def date_section(pages: DataFrame, day: Column, html: str = "html",
 
 
 def harvest_ids(payload: Column, id_pattern: str = V.ABS_ID) -> Column:
-    """Distinct ids in a JSON text of any shape: one match per string value, keys ignored."""
-    literal = r'"((?:[^"\\]|\\.)*+)"(\s*:)?'
+    """Distinct ids in a JSON text of any shape: one match per string value, keys ignored, escapes resolved.
+
+    The strings alone are parsed again, as one flat array, so no schema is needed; ``json_walk.harvested_ids`` is the variant that
+    checks the whole text.
+    """
+    literal = r'("(?:[^"\\]|\\.)*+")(\s*:)?'
     values = F.regexp_extract_all(payload, F.lit(literal), 1)
     colons = F.regexp_extract_all(payload, F.lit(literal), 2)
     leaves = F.filter(F.arrays_zip(values.alias("v"), colons.alias("k")), lambda x: x["k"] == "")
-    ids = F.transform(leaves, lambda x: F.regexp_extract(F.replace(x["v"], F.lit(r"\/"), F.lit("/")), id_pattern, 1))
+    flat = F.concat(F.lit("["), F.array_join(F.transform(leaves, lambda x: x["v"]), ","), F.lit("]"))
+    strings = F.from_json(flat, "array<string>")
+    ids = F.transform(strings, lambda x: F.regexp_extract(x, id_pattern, 1))
     return F.array_distinct(F.filter(ids, lambda i: i != ""))

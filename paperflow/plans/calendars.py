@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import calendar
+from ..operators.asof import asof_join, micros, range_join
 from ..sources.tables import table
-from .catalog import job
+from .catalog import define, job
 
 KINDS = ("view", "click", "signup", "purchase", "error")
 
@@ -77,3 +78,37 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     mode = calendar.run_mode(post, F.date_add(post, shift), F.substring("o_orderpriority", 1, 1).cast("int"),
                              F.col("o_totalprice") > 250000)
     return table(spark, folder, "orders").select("o_orderkey", mode.alias("run_mode"))
+
+
+DAY = 86_400_000_000
+define(POSTS="""posts AS (SELECT o_orderkey, o_custkey % 160 AS user_id, DATE '2023-12-28' + CAST(o_orderkey % 40 AS INT) AS post_day FROM orders)""")
+
+
+def posts_of_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as posts of users in and around the days that the events have; some users have no event."""
+    shift = F.date_add(F.lit("2023-12-28").cast("date"), (F.col("o_orderkey") % 40).cast("int"))
+    return table(spark, folder, "orders").select("o_orderkey", (F.col("o_custkey") % 160).alias("user_id"), shift.alias("post_day"))
+
+
+@job("asof_days", """WITH @POSTS@,
+days AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL)
+SELECT o_orderkey, p.user_id, strftime(post_day, '%Y-%m-%d') AS post_day, strftime(day, '%Y-%m-%d') AS last_day, n AS last_n
+FROM posts p ASOF LEFT JOIN days d ON p.user_id = d.user_id AND p.post_day > d.day""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Each post with the last day strictly before it on which its user had events."""
+    days = user_days(spark, folder).groupBy("user_id", "day").agg(F.count("*").alias("n"))
+    found = asof_join(posts_of_users(spark, folder), days, ["user_id"], micros(F.col("post_day")), micros(F.col("day")), ["day", "n"], 7 * DAY)
+    return found.select("o_orderkey", "user_id", _iso("post_day"), F.date_format("asof_day", "yyyy-MM-dd").alias("last_day"), F.col("asof_n").alias("last_n"))
+
+
+@job("range_windows", """WITH @POSTS@
+SELECT o_orderkey, count(*) AS n, count(*) FILTER (event_type = 'purchase') AS purchases FROM posts p
+JOIN events e ON e.user_id = p.user_id AND e.ts >= p.post_day AND e.ts < p.post_day + (1 + CAST(o_orderkey % 9 AS INT)) * INTERVAL 1 DAY GROUP BY ALL""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """One window per post, of one to nine days: the events of its user in it."""
+    length = (1 + F.col("o_orderkey") % 9) * F.lit(DAY)
+    start = micros(F.col("post_day"))
+    events = table(spark, folder, "events").select("user_id", "event_type", "ts")
+    met = range_join(events, posts_of_users(spark, folder), micros(F.col("ts")), start, start + length, 4 * DAY, ["user_id"])
+    return met.groupBy(F.col("window.o_orderkey").alias("o_orderkey")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("point.event_type") == "purchase").alias("purchases"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,11 @@ from ..functions import papers as P
 from ..functions.dates import feed_stamp
 from ..functions.text import first_nonempty, heading, summary_after
 from ..operators import enrich, rank
+from ..session import scratch_path
 from ..sources.landed import posts_from
 from ..sources.tables import table
 from . import markup  # noqa: F401  (its SQL fragments are used here)
-from .catalog import define, job, sql_markup
+from .catalog import SQL, define, job, sql_markup
 from .standins import papers
 
 
@@ -53,6 +56,27 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "matched", "cited_by_count", enrich.append_concepts(F.col("subjects"), F.col("concepts")).alias("subjects"))
 
 
+BUCKETS = 8
+
+
+def history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Papers of two days and their works as bucketed tables."""
+    rows = papers(spark, folder).withColumn("bare_doi", P.lookup_doi(F.col("doi"), F.col("id")))
+    kept, known = (f"paperflow_{name}_{uuid.uuid4().hex}" for name in ("papers", "works"))
+    place = scratch_path(spark, kept)
+    for day in (0, 1):
+        enrich.store_by_key(rows.where(F.pmod("doc_id", F.lit(2)) == day), kept, place, F.col("bare_doi"), BUCKETS, "doc_id", add=day > 0)
+    enrich.store_works(works(spark, folder), known, scratch_path(spark, known), "work_doi", ["work_pos"], BUCKETS)
+    return spark.table(kept), spark.table(known)
+
+
+@job("enrich_bucketed", SQL["enrich_join"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The same enrichment from tables that are kept by DOI from day to day."""
+    return enrich.lookup_bucketed(*history(spark, folder)).select(
+        "doc_id", "matched", "cited_by_count", enrich.append_concepts(F.col("subjects"), F.col("concepts")).alias("subjects"))
+
+
 @job("backfill_blank", """WITH @ENRICHED@ SELECT doc_id, regexp_replace(abstract, '@WS@+', '', 'g') = '' AND matched AS filled,
   md5(CASE WHEN regexp_replace(abstract, '@WS@+', '', 'g') = '' AND matched THEN rebuilt ELSE abstract END) AS abstract_md5 FROM enriched""")
 def _(spark: SparkSession, folder: str) -> DataFrame:

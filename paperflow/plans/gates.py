@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..operators.gates import Artefacts, banned_phrase_counts, release_gates, release_verdict
+from ..operators.observed import OBSERVED, write_watched
 from ..operators.rank import leaders
 from ..operators.rollup import daily_series, whole_counts
+from ..session import scratch_path
 from ..sources.tables import table
 from .calendars import KINDS
 from .catalog import define, job, sql_markup
@@ -119,6 +121,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return release_verdict(release_gates(day_documents(spark, folder))).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+_observed = " UNION ALL ".join(f"SELECT day, '{name}' AS rule, {_RULES[name]} AS ok FROM x" for name in OBSERVED)
+
+
+@job("observed_gates", f"WITH {_DAYS} SELECT strftime(day, '%Y-%m-%d') AS day, rule, ok FROM ({_observed})")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules that single rows decide, from metrics of the jobs that write the documents."""
+    checks = write_watched(day_documents(spark, folder), scratch_path(spark, "watched-days"))
+    return checks.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 PHRASES = ("tion", "batch", "des ", "sich")
 define(DOC_PLAIN=sql_markup("text"))
 

@@ -9,8 +9,9 @@ from ..functions import text as T
 from ..functions.dates import listing_label
 from ..functions.papers import first_author
 from ..operators import listing
+from ..operators.json_walk import harvested_ids
 from ..sources.tables import table
-from .catalog import define, job, sql_collapse, sql_markup, sql_unescape
+from .catalog import SQL, define, job, sql_collapse, sql_markup, sql_unescape
 from .standins import papers
 
 BLOCKS = "<(nav|article|footer)>"
@@ -181,7 +182,21 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 i AS (SELECT DISTINCT page_id, regexp_extract(leaf, 'example\.(?:com|org|net)/([a-z0-9]+)', 1) AS id FROM l)
 SELECT page_id, coalesce(string_agg(id, '|' ORDER BY id) FILTER (id <> ''), '') AS ids FROM i GROUP BY page_id""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    links = F.transform(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), 1), lambda x: F.struct(F.concat(F.col("url"), x).alias("arxiv")))
-    payload = F.to_json(F.struct(F.struct(F.col("url"), F.array(F.struct(links.alias("papers"))).alias("clusters")).alias("day")))
-    ids = listing.harvest_ids(payload, r"example\.(?:com|org|net)/([a-z0-9]+)")
+    ids = listing.harvest_ids(deep_payload(), r"example\.(?:com|org|net)/([a-z0-9]+)")
     return pages(spark, folder).select("page_id", F.array_join(F.sort_array(ids), "|").alias("ids"))
+
+
+def deep_payload():
+    """A page's links as JSON five levels deep, every slash of an address escaped in one of JSON's ways."""
+    links = F.transform(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), 1), lambda x: F.struct(F.array(F.struct(F.concat(F.col("url"), x).alias("arxiv"))).alias("refs")))
+    text = F.to_json(F.struct(F.struct(F.col("url"), F.lit(7).alias("n"), F.array(F.struct(links.alias("papers"))).alias("clusters")).alias("day")))
+    return F.replace(F.replace(text, F.lit(".org/"), F.lit(r".org\u002f")), F.lit(".com/"), F.lit(r".com\/"))
+
+
+@job("id_walk", SQL["id_harvest"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The same ids by walking the parsed documents."""
+    found = harvested_ids(pages(spark, folder).select("page_id", deep_payload().alias("payload")), "payload", r"example\.(?:com|org|net)/([a-z0-9]+)")
+    every = pages(spark, folder).select("page_id").distinct()
+    return every.join(found.groupBy("page_id").agg(F.array_join(F.sort_array(F.collect_set("id")), "|").alias("ids")), "page_id", "left").select(
+        "page_id", F.coalesce("ids", F.lit("")).alias("ids"))
\ No newline at end of file

@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import feed_stamp
 from ..operators.classify import bucket_summary
 from ..operators.rollup import daily_series, map_total
 from ..schemas import BENCHMARK_DAY, INSIGHTS_DAY, PAPER, WEEKLY
 from ..session import scratch_path
 from ..sources import landed, sinks
+from ..sources.feed import FIELDS, Channel, channel_options, feed_document, read_feed_items, register, write_feed_document
 from ..sources.tables import table
-from .catalog import job
-from .enrichment import feed
+from .catalog import SQL, job
+from .enrichment import SITE, feed
 from .rollups import count_text, daily_maps
 from .standins import BUCKETS, classified, papers
 
 
+def mounted(path: str) -> str:
+    """A path of the shared folder as the machines' own file system knows it."""
+    return path.removeprefix("file://") if path.startswith("file:///") else path.removeprefix("file:")
+
+
 @job("scan_pages", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS chars, md5(html) AS html_md5 FROM pages")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
@@ -46,14 +55,30 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
   WHERE event_type NOT IN ('error', 'signup'))
 SELECT day, count(*) AS docs, CAST(sum(k) AS BIGINT) AS total FROM c GROUP BY day""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    return days_per_date(landed.trends_from(trend_texts(spark, folder)))
+
+
+def days_per_date(days: DataFrame) -> DataFrame:
+    totals = days.withColumn("total", map_total(F.col("by_cat")))
+    return totals.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("docs"), F.sum("total").alias("total"))
+
+
+@job("scan_landed_json", SQL["scan_tolerant_json"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from documents that were parsed once, when they landed."""
+    path = scratch_path(spark, "landed-documents")
+    landed.land_documents(trend_texts(spark, folder), path)
+    return days_per_date(landed.trends_of(spark.read.parquet(path)))
+
+
+def trend_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """A day document per event, some of them unreadable or without counts."""
     k = F.get_json_object("props", "$.k")
     counts = F.when(F.col("event_type") == "view", F.concat(F.lit('{"a": "'), k, F.lit('.9", "b": null, "c": "?"}'))).when(
         F.col("event_type") == "signup", F.concat(F.lit("["), k, F.lit("]"))).otherwise(F.concat(F.lit('{"a": '), k, F.lit("}")))
     text = F.concat(F.lit('{"daily_new_counts": {"by_cat": '), counts, F.when(F.col("event_type") == "error", "").otherwise("}}"))
     name = F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit(".json"))
-    texts = table(spark, folder, "events").select(name.alias("file_name"), text.alias("text"))
-    days = landed.trends_from(texts).withColumn("total", map_total(F.col("by_cat")))
-    return days.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("docs"), F.sum("total").alias("total"))
+    return table(spark, folder, "events").select(name.alias("file_name"), text.alias("text"))
 
 
 @job("scan_strict_json", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS benchmark, count(*) AS results, max(value) AS best FROM events GROUP BY ALL""")
@@ -146,3 +171,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     sinks.write_feed(feed(spark, folder), path)
     items = spark.read.schema("title STRING, link STRING, guid STRING, pubDate STRING, description STRING").option("rowTag", "item").format("xml").load(path)
     return items
+
+
+@job("sink_feed_document", SQL["sink_feed"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed as one document with its channel's header, read back."""
+    path = scratch_path(spark, "feed-document")
+    channel = Channel("Briefing", SITE, "Daily briefing")
+    items = feed(spark, folder)
+    write_feed_document(feed_document(items, channel, feed_stamp(F.current_date()), [F.col("link")], False), path)
+    return read_feed_items(spark, path)
+
+
+@job("feed_source", SQL["sink_feed"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed written and read as a data source."""
+    register(spark)
+    path = mounted(scratch_path(spark, "feed-source"))
+    os.makedirs(path, exist_ok=True)
+    items = feed(spark, folder).select(F.hash("link").alias("place"), *FIELDS)
+    items.write.format("paper_feed").mode("overwrite").options(**channel_options(Channel("Briefing", SITE, "Daily briefing"), "")).save(f"{path}/feed.xml")
+    return spark.read.format("paper_feed").load(f"{path}/feed.xml").drop("place")

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import rollup
 from ..session import scratch_path
 from ..sources.tables import table
 from ..streaming import arrivals as A
-from .catalog import job
+from ..streaming import increments
+from ..streaming.first import first_arrivals, rocksdb_state
+from ..streaming.store import VersionedStore, into
+from .calendars import _iso
+from .catalog import SQL, job
+from .rollups import count_text, daily_maps
 
 POLLS = 4
 
@@ -30,20 +36,23 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     land(events, landing, "poll")
     stream = A.arrivals(spark, landing, events.drop("poll").schema, files_per_trigger=1)
     counts = A.running_counts(stream, "ts", "event_type")
-    A.drain(counts, A.write_counts(out), scratch_path(spark, "events-checkpoint"), "update")
+    A.drain(counts, A.write_counts(out, compact_every=2), scratch_path(spark, "events-checkpoint"), "update")
     return A.read_counts(spark, out, "event_type").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @job("stream_dedup", """SELECT doc_id, md5(text) AS text_md5 FROM documents
 QUALIFY row_number() OVER (PARTITION BY text ORDER BY coalesce(least(3, TRY_CAST(substr(source, 4) AS INT) // 5), 0), doc_id) = 1""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Keyed state: a text enters it as its digest, and only ids and digests cross to Python."""
     landing, out = scratch_path(spark, "docs-landing"), scratch_path(spark, "docs-first")
     docs = table(spark, folder, "documents").select(
         "doc_id", "text", F.floor(F.substring("source", 4, 10).try_cast("int") / 5).cast("int").alias("poll"))
     land(docs, landing, "poll")
-    stream = A.arrivals(spark, landing, docs.drop("poll").schema, files_per_trigger=1)
-    A.drain(stream, A.insert_first(out, F.md5("text"), ["doc_id"]), scratch_path(spark, "docs-checkpoint"))
-    return spark.read.parquet(out).select("doc_id", F.col("dedup_key").alias("text_md5"))
+    stream = A.arrivals(spark, landing, docs.drop("poll").schema, files_per_trigger=1).select("doc_id", F.md5("text").alias("text_md5"))
+    store = VersionedStore(spark, out, "doc_id bigint, text_md5 string, dedup_key string")
+    with rocksdb_state(spark):
+        A.drain(first_arrivals(stream, F.col("text_md5"), ["doc_id"]), into(store, "docs"), scratch_path(spark, "docs-checkpoint"))
+    return store.read().select("doc_id", "text_md5")
 
 
 @job("stream_backfill", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
@@ -61,13 +70,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @job("stream_rerun", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Drained twice from the beginning with a new checkpoint: the replayed batches replace themselves."""
+    """Drained twice from the beginning with a new checkpoint: totals counted again change nothing."""
     landing, out = scratch_path(spark, "rerun-landing"), scratch_path(spark, "rerun-counts")
     events = table(spark, folder, "events").select("ts", "event_type", F.floor((F.dayofmonth("ts") - 1) / 8).alias("poll"))
     land(events, landing, "poll")
     for _ in range(2):
+        checkpoint = scratch_path(spark, "rerun-checkpoint")
         stream = A.arrivals(spark, landing, events.drop("poll").schema, files_per_trigger=1)
-        A.drain(A.running_counts(stream, "ts", "event_type"), A.write_counts(out), scratch_path(spark, "rerun-checkpoint"), "update")
+        A.drain(A.running_counts(stream, "ts", "event_type"), A.write_counts(out, checkpoint), checkpoint, "update")
     return A.read_counts(spark, out, "event_type").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
@@ -89,8 +99,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = rows.where((F.col("poll") == 0) | (F.col("_l") > 0)).drop("_l")
     land(rows, landing, "poll")
     stream = A.arrivals(spark, landing, rows.drop("poll").schema, files_per_trigger=1)
-    A.drain(stream, A.append_versions(out), scratch_path(spark, "days-checkpoint"))
-    resolved = A.resolve_days(spark.read.parquet(out), ["user_id", "day"])
+    store = VersionedStore(spark, out, "user_id bigint, day date, listing_count bigint, journal_count bigint, source_mode string, batch_id bigint")
+    fold = A.fold_days(["user_id", "day"])
+    numbered = into(store, "days", lambda batch, number: batch.withColumn("batch_id", F.lit(number).cast("bigint")), fold, compact_every=2)
+    A.drain(stream, numbered, scratch_path(spark, "days-checkpoint"))
+    store.vacuum()
+    resolved = A.resolve_days(store.read(), ["user_id", "day"])
     return resolved.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
@@ -104,3 +118,36 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     pairs = A.distinct_arrivals(stream, "ts", ["user_id", "event_type"], "60 days")
     A.drain(pairs, A.append_versions(out), scratch_path(spark, "pairs-checkpoint"))
     return spark.read.parquet(out).select("user_id", "event_type")
+
+
+def landed_documents(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Day documents as three arrivals in the wrong order: second-generation documents of the days to the 20th, then first-generation ones
+    of all days (late for the former, half counted), then second-generation ones of the other days."""
+    whole = daily_maps(spark, folder).withColumn("scope", F.when(F.weekday("day") == 0, "all").otherwise("")).withColumn("generation", F.lit(2))
+    half = whole.withColumn("by_cat", F.transform_values("by_cat", lambda k, v: F.floor(v / 2))).withColumn(
+        "by_cat", F.map_concat("by_cat", F.create_map(F.lit("withdrawn"), F.lit(5).cast("bigint")))).withColumn("generation", F.lit(1))
+    early = F.dayofmonth("day") <= 20
+    return [whole.where(early), half, whole.where(~early)]
+
+
+def incremental_store(spark: SparkSession, folder: str) -> VersionedStore:
+    store = increments.open_counts(spark, scratch_path(spark, "incremental"))
+    for batch, documents in enumerate(landed_documents(spark, folder)):
+        increments.apply_documents(store, documents, "documents", batch)
+    store.compact(increments.fold_partials)
+    store.vacuum()
+    return store
+
+
+@job("series_incremental", SQL["daily_counts"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily series from partial counts that arrivals have changed, equal to counting all events."""
+    series = rollup.daily_series(increments.stored_days(incremental_store(spark, folder)))
+    return series.select(_iso("day"), "total", "scope", "weekday", count_text(F.map_entries("by_cat")).alias("by_cat"))
+
+
+@job("weekly_incremental", SQL["weekly_rollup"])
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The weekly roll-up from the same partial counts."""
+    daily = increments.stored_counts(incremental_store(spark, folder)).withColumnRenamed("category", "event_type")
+    return rollup.weekly_rollup(daily, "event_type").select(_iso("week_start"), "event_type", "n", "days_covered", "week_total")

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.text import text_or_empty
+from ..functions.text import once, text_or_empty
 from ..operators.rollup import whole_counts
-from ..schemas import HEAT, BENCHMARK_DAY, INSIGHTS_DAY, PAPER, TRENDS_DAY, WEEKLY
+from ..schemas import BENCHMARK_DAY, HEAT, INSIGHTS_DAY, PAPER, WEEKLY
 
 DAY_IN_NAME = r"(20\d{2}-\d{2}-\d{2})"
 
@@ -86,16 +86,43 @@ def read_ranked_papers(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out
 
 
+def parsed_documents(texts: DataFrame, text: str = "text") -> DataFrame:
+    """Each text parsed once: ``doc`` as VARIANT, and ``corrupt`` with the text where it is no JSON.  A null text has neither."""
+    parsed = once(texts, doc=F.try_parse_json(text))
+    return parsed.withColumn("corrupt", F.when(F.col("doc").isNull(), F.col(text))).drop(text)
+
+
+def land_documents(texts: DataFrame, path: str, text: str = "text") -> None:
+    """Documents at rest in parsed form, the unreadable ones beside them; every later read takes the paths it needs."""
+    parsed_documents(texts, text).write.mode("append").parquet(path)
+
+
+def landed_documents(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
+    """Landed documents as ``doc`` of the given type.  Fields of another type are null; ``strict`` fails at the first unreadable text, else it is skipped."""
+    rows = spark.read.parquet(path)
+    return typed_documents(rows, schema, strict)
+
+
+def typed_documents(rows: DataFrame, schema: str, strict: bool) -> DataFrame:
+    doc = F.try_variant_get("doc", "$", schema)
+    if strict:
+        doc = F.when(F.assert_true(F.col("corrupt").isNull(), F.concat(F.lit("no JSON: "), F.left("corrupt", F.lit(80)))).isNull(), doc)
+        return rows.withColumn("doc", doc).drop("corrupt")
+    return rows.where("corrupt is null").withColumn("doc", doc).drop("corrupt")
+
+
 def trends_from(texts: DataFrame, name: str = "file_name", text: str = "text") -> DataFrame:
     """Day documents, tolerantly: an unreadable file or a ``by_cat`` that is no object is skipped."""
-    parsed = (
-        texts.where(F.col(name).rlike(f"^{DAY_IN_NAME}\\.json$") & F.try_parse_json(F.col(text)).isNotNull())
-        .select(F.to_date(F.regexp_extract(name, DAY_IN_NAME, 1)).alias("day"), F.col(name).alias("source"),
-                F.from_json(text, TRENDS_DAY).alias("doc"))
-    )
-    return parsed.where(F.col("doc.daily_new_counts.by_cat").isNotNull()).select(
-        "day", "source", whole_counts(F.col("doc.daily_new_counts.by_cat")).alias("by_cat"),
-        text_or_empty(F.col("doc.daily_new_counts.scope")).alias("scope"))
+    return trends_of(parsed_documents(texts.where(F.col(name).rlike(f"^{DAY_IN_NAME}\\.json$")).select(name, text), text), name)
+
+
+def trends_of(documents: DataFrame, name: str = "file_name") -> DataFrame:
+    """The same from documents that are parsed already."""
+    counts = F.try_variant_get("doc", "$.daily_new_counts.by_cat", "map<string,string>")
+    rows = documents.where(F.col(name).rlike(f"^{DAY_IN_NAME}\\.json$")).select(
+        F.to_date(F.regexp_extract(name, DAY_IN_NAME, 1)).alias("day"), F.col(name).alias("source"), counts.alias("by_cat"),
+        text_or_empty(F.try_variant_get("doc", "$.daily_new_counts.scope", "string")).alias("scope"))
+    return rows.where("by_cat is not null").withColumn("by_cat", whole_counts(F.col("by_cat")))
 
 
 def read_trends(spark: SparkSession, path: str) -> DataFrame:
@@ -104,8 +131,7 @@ def read_trends(spark: SparkSession, path: str) -> DataFrame:
 
 def strict_documents(texts: DataFrame, schema: str, text: str = "text") -> DataFrame:
     """Day documents, strictly: the first unreadable one fails the job."""
-    checked = F.parse_json(F.col(text))  # raises on malformed text
-    doc = F.when(checked.isNotNull(), F.from_json(text, schema, {"mode": "FAILFAST"}))
+    doc = F.try_variant_get(F.parse_json(text), "$", schema)  # the parser raises on malformed text
     return texts.withColumn("doc", doc).drop(text)
 
 

@@ -1,16 +1,15 @@
 """Arriving files drained with an available-now trigger.
 
-Every writer is idempotent: a micro-batch owns the folder named by its id and
+Every writer is idempotent: a micro-batch is committed once under its id, or owns the folder named by its id and
 overwrites it on a replay, so a lost executor or a restarted driver changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import first_wins
+from .store import VersionedStore, into
 
 
 def arrivals(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -29,15 +28,6 @@ def drain(stream: DataFrame, each_batch, checkpoint: str, mode: str = "append")
     query.awaitTermination()
 
 
-def _read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def running_counts(stream: DataFrame, ts: str, category: str, late: str = "7 days") -> DataFrame:
     """Counts per day and category; days older than the watermark leave the state.
 
@@ -54,42 +44,50 @@ def running_counts(stream: DataFrame, ts: str, category: str, late: str = "7 day
     )
 
 
-def write_counts(path: str):
-    """Update-mode writer: each batch appends its new totals, the latest total of a group counts."""
+def counts_store(spark: SparkSession, path: str, category: str) -> VersionedStore:
+    return VersionedStore(spark, path, f"day date, {category} string, n bigint")
+
+
+def largest_totals(category: str):
+    """Per group the largest total: rows only ever arrive, so a group's totals only grow, whoever counts them and whenever."""
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("day", category).agg(F.max("n").alias("n"))
+    return fold
+
+
+def write_counts(path: str, writer: str = "stream", compact_every: int = 0):
+    """Update-mode writer: each batch adds its new totals; old ones go when the store is folded, after every ``compact_every`` batches.
+
+    ``writer`` names the checkpoint, by which a replayed batch is known.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        category = next(c for c in batch.columns if c not in ("day", "n"))
+        into(counts_store(batch.sparkSession, path, category), writer, None, largest_totals(category), compact_every)(batch, batch_id)
     return each
 
 
 def read_counts(spark: SparkSession, path: str, category: str) -> DataFrame:
-    return spark.read.parquet(path).groupBy("day", category).agg(F.max_by("n", "batch_id").alias("n"))
+    return largest_totals(category)(counts_store(spark, path, category).read())
 
 
 def backfill_counts(landed: DataFrame, ts: str, category: str, path: str) -> None:
     """Counts that came too late for the watermark, put right from all that has landed.
 
-    Only groups whose stored total differs are written, as versions newer than any batch.  Run it again at any time: what is
-    right already is not written, and an interrupted run leaves no partial folder behind.
+    Only groups whose stored total is smaller are written.  It may run at any time, also while polls go on and for days that are still open:
+    what the stream counts later is larger and wins.  A run that dies leaves nothing that is read.
     """
     spark = landed.sparkSession
-    whole = landed.groupBy(F.col(ts).cast("date").alias("day"), category).agg(F.count("*").alias("n"))
-    stored = _read_if_any(spark, path)
-    latest, fresh = -1, whole
-    if stored is not None:
-        latest = stored.agg(F.max("batch_id")).head()[0]
-        known = read_counts(spark, path, category).withColumnRenamed("n", "_known")
-        fresh = whole.join(known, ["day", category], "left").where(~F.col("n").eqNullSafe(F.col("_known"))).drop("_known")
-    fresh.write.mode("overwrite").parquet(f"{path}/batch_id={max(latest + 1, BACKFILL_FROM)}")
-
-
-BACKFILL_FROM = 1_000_000_000
-"""Batch ids from here on are backfills; days beyond the watermark get no stream batch any more."""
+    store = counts_store(spark, path, category)
+    whole = landed.groupBy(F.col(ts).cast("date").alias("day"), F.col(category).cast("string").alias(category)).agg(F.count("*").alias("n"))
+    known = largest_totals(category)(store.read()).select(F.col("day").alias("_day"), F.col(category).alias("_category"), F.col("n").alias("_known"))
+    same = F.col("day").eqNullSafe(F.col("_day")) & F.col(category).eqNullSafe(F.col("_category"))
+    store.append(whole.join(known, same, "left").where(F.col("n") > F.coalesce("_known", F.lit(0))).select("day", category, "n"))
 
 
 def distinct_arrivals(stream: DataFrame, ts: str, keys: list[str], horizon: str) -> DataFrame:
     """One row per key among rows at most ``horizon`` apart; which of them is not defined.
 
-    The state store forgets a key after the horizon.  ``insert_first`` is the exact variant.
+    The state store forgets a key after the horizon.  ``first.first_arrivals`` is the exact variant.
     """
     return (
         stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", horizon)
@@ -97,27 +95,6 @@ def distinct_arrivals(stream: DataFrame, ts: str, keys: list[str], horizon: str)
     )
 
 
-def insert_first(path: str, key: Column, order: list):
-    """First-wins across polls: rows of a batch whose key no earlier batch has stored.
-
-    The store is partitioned by a hash of the key, and only the key column of those partitions is read
-    back that the batch touches; a small batch reads a small part of the history.
-    """
-    def each(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_wins(batch.withColumn("dedup_key", key), F.col("dedup_key"), order)
-        fresh = fresh.withColumn("key_part", F.pmod(F.xxhash64("dedup_key"), F.lit(KEY_PARTS)).cast("int"))
-        stored = _read_if_any(batch.sparkSession, path)
-        if stored is not None:
-            touched = [r["key_part"] for r in fresh.select("key_part").distinct().collect()]
-            earlier = stored.where((F.col("batch_id") < batch_id) & F.col("key_part").isin(touched)).select("key_part", "dedup_key")
-            fresh = fresh.join(earlier, ["key_part", "dedup_key"], "left_anti")
-        fresh.repartition("key_part").write.mode("overwrite").partitionBy("key_part").parquet(f"{path}/batch_id={batch_id}")
-    return each
-
-
-KEY_PARTS = 64
-
-
 MODE_RANK = {"journal-only": 0, "pastweek-date-section": 1, "new": 2}
 
 
@@ -127,13 +104,22 @@ def resolve_days(rows: DataFrame, keys: list[str], mode: str = "source_mode", or
     A final version replaces the listing part of a provisional one; the registry part
     is kept from whichever version brought the most.  The latest wins within a rank.
     """
+    return fold_days(keys, mode, order)(rows).drop(order)
+
+
+def fold_days(keys: list[str], mode: str = "source_mode", order: str = "batch_id"):
+    """The same with the winner's ``order`` kept, so that folded rows can be folded again with later ones."""
     rank = F.element_at(F.create_map(*[F.lit(x) for kv in MODE_RANK.items() for x in kv]), F.col(mode))
     best = F.struct(rank, F.col(order))
-    return rows.groupBy(*keys).agg(
-        F.max_by("listing_count", best).alias("listing_count"),
-        F.max("journal_count").alias("journal_count"),
-        F.max_by(mode, best).alias(mode),
-    )
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(
+            F.max_by("listing_count", best).alias("listing_count"),
+            F.max("journal_count").alias("journal_count"),
+            F.max_by(mode, best).alias(mode),
+            F.max_by(order, best).alias(order),
+        )
+    return fold
 
 
 def append_versions(path: str):

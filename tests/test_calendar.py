@@ -273,17 +273,6 @@ def test_series_sink_replaces_only_its_days(spark):
     assert sorted((r["day"].day, r["n"]) for r in spark.read.parquet(path).collect()) == [(15, 1), (16, 5)]
 
 
-def test_stream_replay_changes_nothing(spark):
-    out = scratch_path(spark, "first")
-    write = A.insert_first(out, F.col("k"), ["pos"])
-    one = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 1, "z")], "k STRING, pos INT, v STRING")
-    two = spark.createDataFrame([("a", 0, "late"), ("c", 1, "new")], "k STRING, pos INT, v STRING")
-    for batch, i in ((one, 0), (two, 1), (two, 1), (one, 0)):
-        write(batch, i)
-    rows = spark.read.parquet(out)
-    assert sorted((r["k"], r["v"]) for r in rows.collect()) == [("a", "y"), ("b", "z"), ("c", "new")]
-
-
 def test_resolve_days_prefers_final(spark):
     rows = [("d", 0, 9, "journal-only", 0), ("d", 40, 0, "pastweek-date-section", 1), ("d", 0, 9, "journal-only", 2), ("e", 0, 3, "journal-only", 0)]
     df = spark.createDataFrame(rows, "day STRING, listing_count INT, journal_count INT, source_mode STRING, batch_id INT")

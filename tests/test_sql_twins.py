@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from paperflow.plans import jobs, sql_twins
 
 from .sql_twin import compare, sql_session
 
@@ -14,10 +15,10 @@ def con():
     return sql_session(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(jobs()))
 def test_twin(spark, con, name):
-    assert name in oracle_sql(), "every job here has a SQL twin"
-    assert compare(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None
+    assert name in sql_twins(), "every job here has a SQL twin"
+    assert compare(jobs()[name](spark, FOLDER), con, sql_twins()[name]) is None
 
 
 def test_entry_has_rows(spark):
