@@ -2,17 +2,20 @@
 
 Symbols are the words of a text and one end after them.  The root is the unigram distribution (c + 1/2) / (N + (V + 1) / 2).  A
 context is the last one, two ... ``depth`` symbols; the start of a text counts as the context "end".  Following Ron, Singer and
-Tishby, what occurs with less than ``least_share`` of all symbols is no context and no child of its own.  That bounds the tree
-by 1 / ``least_share`` entries for each depth, however large the corpus.  A context stays only if its next-symbol distribution
-diverges from that of the next shorter context by at least ``divergence`` nats for each child (count times Kullback-Leibler
-divergence, all that is no child taken as one).
+Tishby, a sequence that occurs less than ``least_count`` times is no context and no child of its own; the count is the same for every
+corpus, so the tree grows with it.  A context stays only if its next-symbol distribution diverges from that of the next shorter context by
+at least ``divergence`` nats for each child (count times Kullback-Leibler divergence, all that is no child taken as one).
 
-A kept context s with the next shorter one s' has P(x | s) = (c(sx) + R(s) P(x | s')) / (K(s) + R(s)): K counts its frequent
+A kept context s with the next shorter one s' has P(x | s) = (c(sx) + R(s) P(x | s')) / (K(s) + R(s)): K counts its known
 children, R is the rest of its count plus ``prior``.  So each distribution sums to one over the words and one unknown word.
-A text's score is the sum of log10 P(symbol | longest kept suffix of what went before).
+A text's score is the sum of log10 P(symbol | longest kept suffix of what went before).  It is a sum over what each position meets: a kept
+context adds log10 R / (K + R), and a known child adds what its own P exceeds that and the shorter context's P by.
 
-Counting and scoring go over all rows.  Symbols of at least ``least_share`` are coded by a table that is broadcast; all
-rarer ones are counted and looked up by a join, where a text's rare words are grouped before the shuffle.
+Sequences go by 64-bit keys, each made from the key of all but the last symbol.  Counts, contexts and values are tables that Spark
+partitions and joins; nothing of the tree is gathered but its most frequent entries, at most ``SENT`` of words and of values, which are broadcast, and
+filters of ``FILTER_BITS`` bits that tell which keys are worth a shuffle.  On a larger corpus the filters let more keys through, which costs
+rows, never results.  What the broadcast does not answer is summed for each text and looked up by a join, rare words likewise.
+The children of one context meet in a task, as many as the context has different known ones.
 
 Null texts count as empty and have the end alone.  A null id counts as the text "".  Repeated rows are learnt as often as they
 occur and scored each.  Without training rows N and V are 0 and every symbol has probability 1.  An empty table gives
@@ -21,284 +24,404 @@ no rows.  Other columns are not read.
 
 from __future__ import annotations
 
-import itertools
-import math
+import functools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_batches, raw, staged, words
+from .linking import mixed
 
-LEAST_SHARE = 1e-6
+LEAST_COUNT = 3
 DEPTH = 3
 DIVERGENCE = 4.0
 PRIOR = 5.0
-LEAST_COUNT = 2
+SENT = 1 << 19
+FILTER_BITS = 1 << 26
 END = b" "
 """No word holds a space."""
 FLUSH = 1_000_000
-MIX = np.uint64(0x9E3779B97F4A7C15)
-SHIFT = 31
-"""Codes and ids stay below 2^31, as ``least_share`` bounds them."""
+WORD_ENTRIES = 200_000
+CONTEXT = np.uint64(0x5851F42D4C957F2D)
+"""Sets a context's entry apart from that of the sequence itself."""
 
 
 def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def _counted(batches: Iterator[pa.RecordBatch], schema: pa.Schema, counters) -> Iterator[pa.RecordBatch]:
-    """Sums in a bounded table; what does not fit goes on to the shuffle."""
-    held: Counter = Counter()
+class Symbols:
+    """64-bit symbols of words, with a bounded table of words seen."""
 
-    def flush() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held.keys()), schema[0].type), pa.array(list(held.values()), pa.int64())], schema=schema)
+    def __init__(self, entries: int = WORD_ENTRIES):
+        self.entries, self.known = entries, {}
 
-    for batch in batches:
-        for body in batch.column(0).to_pylist():
-            counters(held, body)
-            if len(held) > FLUSH:
-                yield flush()
-                held.clear()
-    if held:
-        yield flush()
+    def __call__(self, found: list[bytes]) -> np.ndarray:
+        if len(self.known) > self.entries:
+            self.known = {}
+        for w in set(found).difference(self.known):
+            self.known[w] = symbol(w)
+        return np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
+
+
+def symbol(word: bytes) -> int:
+    """Never 0, which is a gap."""
+    return xxhash.xxh3_64_intdigest(word) or 1
+
+
+@functools.lru_cache(maxsize=1)
+def _symbols() -> Symbols:
+    return Symbols()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``word binary, c`` of one column of texts, ends included."""
-    schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
+    """``word binary, symbol long, c`` of one column of texts, ends included."""
+    schema = pa.schema([("word", pa.binary()), ("symbol", pa.int64()), ("c", pa.int64())])
 
-    def count(held: Counter, body: bytes) -> None:
-        held.update(words(body))
-        held[END] += 1
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums in a bounded table; what does not fit goes on to the shuffle."""
+        held: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            own = np.array([symbol(w) for w in held], np.uint64).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(own), pa.array(held.values(), pa.int64())], schema=schema)
+
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                held.update(words(body))
+                held[END] += 1
+                if len(held) > FLUSH:
+                    yield flush()
+                    held.clear()
+        if held:
+            yield flush()
 
-    counted = in_batches(texts, lambda batches: _counted(batches, schema, count), "word binary, c long")
-    return counted.groupBy("word").agg(F.sum("c").alias("c"))
+    return in_batches(texts, count, "word binary, symbol long, c long").groupBy("word", "symbol").agg(F.sum("c").alias("c"))
 
 
 class Keys:
     """Sorted keys with a table of hash slots that answers for most keys that are not among them."""
 
-    def __init__(self, ordered: np.ndarray):
-        self.ordered = ordered
-        self.mask = (1 << max(6, (16 * len(ordered)).bit_length())) - 1
-        self.slots = np.zeros(self.mask + 1, bool)
-        self.slots[self._slot(ordered)] = True
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((keys.view(np.uint64) * MIX) >> np.uint64(40)).astype(np.int64) & self.mask
-
-    def ids(self, keys: np.ndarray) -> np.ndarray:
-        """Place among the keys from 1 on; 0 for 0 and for a key that is not among them."""
-        out = np.zeros(len(keys), np.int64)
-        if len(self.ordered):
-            here = np.flatnonzero(self.slots[self._slot(keys)] & (keys != 0))
-            asked = keys[here]
-            at = np.minimum(np.searchsorted(self.ordered, asked), len(self.ordered) - 1)
-            out[here] = np.where(self.ordered[at] == asked, at + 1, 0)
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.mask = np.uint64((1 << max(6, (16 * len(keys)).bit_length())) - 1)
+        self.slots = np.zeros(int(self.mask) + 1, bool)
+        self.slots[(self.keys & self.mask).astype(np.int64)] = True
+
+    def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are there, and their values, else 0."""
+        there, out = np.zeros(len(asked), bool), np.zeros(len(asked))
+        if len(self.keys):
+            here = np.flatnonzero(self.slots[(asked & self.mask).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.keys, asked[here]), len(self.keys) - 1)
+            same = self.keys[at] == asked[here]
+            there[here[same]], out[here[same]] = True, self.values[at[same]]
+        return there, out
+
+
+class KeyFilter:
+    """Bits, a power of two of them, that are set for every key it was made from, and for few others."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def may_have(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        mask = np.uint64(8 * len(self.bits) - 1)
+        for shift in SHIFTS:
+            at = (keys >> np.uint64(shift) & mask).astype(np.int64)
+            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         return out
 
 
+SHIFTS = (0, 17, 35)
+
+
+def key_filter(keys: DataFrame, column: str, bits: int | None = None) -> KeyFilter:
+    """The bits are set by an aggregation over blocks of 32,768 bits; what comes to the driver is ``bits`` bits at most."""
+    bits = bits or FILTER_BITS
+    places = [F.call_function("shiftrightunsigned", F.col(column), F.lit(s)).bitwiseAND(F.lit(bits - 1).cast("long")) for s in SHIFTS]
+    one = keys.select(F.explode(F.array(*[p + 1 for p in places])).alias("p"))
+    found = one.groupBy(F.bitmap_bucket_number("p").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in found:
+        at = (r["block"] - 1) * 4096
+        part = np.frombuffer(r["bits"], np.uint8)
+        out[at:at + 4096] = part[:len(out) - at]
+    return KeyFilter(out)
+
+
+def chain(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The key of a sequence from that of all but its last symbol, and the last symbol; 0 where one of them is."""
+    with np.errstate(over="ignore"):
+        key = mixed(mixed(before) + last)
+    return np.where((before == 0) | (last == 0), np.uint64(0), key)
+
+
 class Lines:
-    """Several texts as one row of symbol codes: the start, the words, the end and a gap for each; 0 is a gap or a rare word."""
+    """Several texts as one row of symbols: the start, the words, the end and a gap for each."""
 
-    def __init__(self, bodies: list[bytes], codes: dict[bytes, int], end: int):
+    def __init__(self, bodies: list[bytes]):
         found = [words(b) for b in bodies]
         self.words = [w for f in found for w in f]
         self.sizes = np.array([len(f) for f in found], np.int64)
-        self.code_of_words = np.fromiter(map(codes.get, self.words, itertools.repeat(0)), dtype=np.int64, count=len(self.words))
         self.starts = np.cumsum(np.concatenate([[0], self.sizes[:-1] + 3]))
         self.ends = self.starts + self.sizes + 1
-        self.symbols = np.zeros(len(self.words) + 3 * len(bodies), np.int64)
+        self.symbols = np.zeros(len(self.words) + 3 * len(bodies), np.uint64)
         is_word = np.ones(len(self.symbols), bool)
         for at in (self.starts, self.ends, self.ends + 1):
             is_word[at] = False
-        self.symbols[is_word] = self.code_of_words
-        self.symbols[self.starts] = self.symbols[self.ends] = end
+        self.word_places = np.flatnonzero(is_word)
+        self.symbols[self.word_places] = _symbols()(self.words)
+        self.symbols[self.starts] = self.symbols[self.ends] = symbol(END)
+
+    def keys(self, length: int) -> list[np.ndarray]:
+        """For 1, 2 ... ``length`` symbols ending at each place their key, 0 where a gap lies between."""
+        out = [self.symbols]
+        for _ in range(1, length):
+            longer = np.zeros_like(self.symbols)
+            longer[1:] = chain(out[-1][:-1], self.symbols[1:])
+            out.append(longer)
+        return out
 
 
-def in_lines(bodies: list[bytes], codes: dict[bytes, int], end: int, most: int = 2 << 20) -> Iterator[Lines]:
+def in_lines(bodies: list[bytes], most: int = 2 << 20) -> Iterator[Lines]:
     """Texts in groups of about ``most`` bytes."""
     held, size = [], 0
     for body in bodies:
         held.append(body)
         size += len(body)
         if size >= most:
-            yield Lines(held, codes, end)
+            yield Lines(held)
             held, size = [], 0
     if held:
-        yield Lines(held, codes, end)
-
+        yield Lines(held)
 
-def sequence_ids(symbols: np.ndarray, length: int, known: list[Keys]) -> list[np.ndarray]:
-    """For 1, 2 ... ``length`` symbols ending at each place: the id of that sequence, or 0 if it or a part of it is not known.
 
-    A single symbol's id is its code.  The key of a longer sequence is the id of all but its last symbol, and that symbol.
-    ``known[n]`` has the keys of sequences of n + 2 symbols; beyond it the keys themselves are given.
-    """
-    ids = [symbols]
-    for n in range(2, length + 1):
-        keys = np.zeros_like(symbols)
-        before, here = ids[-1][:-1], ids[-1][1:]
-        keys[1:] = np.where((before != 0) & (here != 0), before << SHIFT | symbols[1:], 0)
-        ids.append(known[n - 2].ids(keys) if n - 2 < len(known) else keys)
-    return ids
-
-
-def sequence_counts(texts: DataFrame, codes, end: int, length: int, known: list[Keys]) -> DataFrame:
-    """``key, c``: how often each sequence of ``length`` symbols occurs whose shorter parts are known."""
-    schema = pa.schema([("key", pa.int64()), ("c", pa.int64())])
-    sent = texts.sparkSession.sparkContext.broadcast(known)
+def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count: int) -> DataFrame:
+    """``context, short, last, key, c`` of the sequences of ``length`` symbols that occur ``least_count`` times: the keys of all but the last symbol, of
+    that without its first one (0 if that is all), the last symbol and the key of the whole.  ``known`` tells which shorter ones may be so frequent."""
+    sent = texts.sparkSession.sparkContext.broadcast(known.bits)
+    schema = pa.schema([(n, pa.int64()) for n in ("context", "short", "last", "c")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        may = KeyFilter(sent.value)
+        held: list[tuple] = []
         size = 0
 
         def summed() -> Iterator[pa.RecordBatch]:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            for at in range(0, len(keys), FLUSH):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + FLUSH]), pa.array(n[at:at + FLUSH].astype(np.int64))], schema=schema)
+            keys, context, short, last = (np.concatenate(x) for x in zip(*held))
+            _, at, n = np.unique(keys, return_index=True, return_counts=True)
+            for i in range(0, len(at), FLUSH):
+                part = at[i:i + FLUSH]
+                yield pa.RecordBatch.from_arrays([pa.array(x[part].view(np.int64)) for x in (context, short, last)] + [pa.array(n[i:i + FLUSH].astype(np.int64))], schema=schema)
 
         for batch in batches:
-            for lines in in_lines(batch.column(0).to_pylist(), codes.value, end):
-                keys = sequence_ids(lines.symbols, length, sent.value)[-1]
-                held.append(keys[keys != 0])
-                size += len(held[-1])
-                if size > 4 * FLUSH:
+            for lines in in_lines(batch.column(0).to_pylist()):
+                keys = lines.keys(length)
+                whole, context, suffix = keys[-1][1:], keys[-2][:-1], keys[-2][1:]
+                at = np.flatnonzero(whole)
+                at = at[may.may_have(context[at])]
+                at = at[may.may_have(suffix[at])]
+                short = keys[-3][:-1][at] if length > 2 else np.zeros(len(at), np.uint64)
+                held.append((whole[at], context[at], short, lines.symbols[1:][at]))
+                size += len(at)
+                if size > 3 * FLUSH:
                     yield from summed()
                     held, size = [], 0
         if held:
             yield from summed()
 
-    return in_batches(texts, count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    counted = in_batches(texts, count, "context long, short long, last long, c long").groupBy("context", "short", "last").agg(F.sum("c").alias("c"))
 
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, last = (batch.column(n).to_numpy().view(np.uint64) for n in ("context", "last"))
+            yield batch.append_column("key", pa.array(chain(context, last).view(np.int64)))
 
-@dataclass
-class Tree:
-    """Bounded by 1 / ``least_share`` entries a depth.
+    return staged(counted.where(F.col("c") >= least_count).mapInArrow(keyed, "context long, short long, last long, c long, key long"), "sequences")
 
-    ``known[n]``: the frequent sequences of n + 2 symbols.  ``logs[n]``: by their id, log10 P of the last symbol if the rest is a kept context,
-    else NaN.  ``left[n]``: by the id of a context of n + 1 symbols, log10 R / (K + R) if it is kept, else NaN.
-    """
 
-    codes: dict[bytes, int]
-    root: np.ndarray
-    known: list[Keys]
-    logs: list[np.ndarray]
-    left: list[np.ndarray]
-
-    def score(self, lines: Lines) -> tuple[np.ndarray, np.ndarray, list[dict[bytes, int]]]:
-        """For each text its unigram score, its tree score and its rare symbols.  A rare symbol counts in the scores only by what its
-        contexts leave to shorter ones; its own unigram term is to be added."""
-        base = self.root[lines.symbols]
-        logs = base.copy()
-        ids = sequence_ids(lines.symbols, len(self.known) + 1, self.known)
-        for n in range(len(self.known)):
-            left = np.full(len(logs), np.nan)
-            left[1:] = self.left[n][ids[n][:-1]]
-            logs += np.where(np.isnan(left), 0.0, left)
-            own = self.logs[n][ids[n + 1]]
-            logs = np.where(np.isnan(own), logs, own)
-        for values in (base, logs):
-            values[lines.starts] = values[lines.ends + 1] = 0.0
-        rare: list[Counter] = [Counter() for _ in lines.sizes]
-        places = np.flatnonzero(lines.code_of_words == 0)
-        owners = np.searchsorted(np.cumsum(lines.sizes), places, side="right")
-        for k, owner in zip(places.tolist(), owners.tolist()):
-            rare[owner][lines.words[k]] += 1
-        if END not in self.codes:
-            for found in rare:
-                found[END] = 1
-        return np.add.reduceat(base, lines.starts), np.add.reduceat(logs, lines.starts), rare
-
-
-def grow(codes: dict[bytes, int], counts: np.ndarray, n_symbols: int, n_different: int, levels: list[tuple[np.ndarray, np.ndarray]],
-         divergence: float = DIVERGENCE, prior: float = PRIOR) -> Tree:
-    """The tree from the frequent words' counts (by code) and the sorted keys and counts of the frequent sequences of 2, 3 ... symbols."""
-    whole = n_symbols + 0.5 * (n_different + 1)
-    root = np.log10((counts + 0.5) / whole) if n_symbols else np.zeros(len(counts))
-    root[0] = 0.0
-    tree = Tree(codes, root, [], [], [])
-    nothing = np.array([np.nan])
-    context_counts, below_logs, shorter_of_context = counts[1:].astype(float), root[1:], None
-    for keys, c in levels:
-        owner, last, c = (keys >> SHIFT) - 1, keys & ((1 << SHIFT) - 1), c.astype(float)
-        # the same sequence without its first symbol, by its id one level down
-        shorter_id = last if shorter_of_context is None else tree.known[-1].ids(shorter_of_context[owner] << SHIFT | last)
-        shorter = 10 ** below_logs[shorter_id - 1]
-        n = len(context_counts)
-        kids = np.bincount(owner, c, n)
-        rest = np.maximum(context_counts - kids, 0) + prior
-        p = (c + rest[owner] * shorter) / (kids + rest)[owner]
-        mine = np.clip(1 - np.bincount(owner, p, n), 1e-12, 1)
-        theirs = np.clip(1 - np.bincount(owner, shorter, n), 1e-12, 1)
-        gain = np.bincount(owner, c * np.log(p / shorter), n) + np.maximum(context_counts - kids, 0) * np.log(mine / theirs)
-        n_kids = np.bincount(owner, minlength=n)
-        kept = (n_kids > 0) & (gain >= divergence * n_kids)
-        tree.known.append(Keys(keys))
-        tree.left.append(np.concatenate([nothing, np.where(kept, np.log10(rest / (kids + rest)), np.nan)]))
-        tree.logs.append(np.concatenate([nothing, np.where(kept[owner], np.log10(p), np.nan)]))
-        below_logs = np.where(kept[owner], np.log10(p), np.log10(shorter))
-        context_counts, shorter_of_context = c, shorter_id
-    return tree
-
-
-def learn(texts: DataFrame, counts: DataFrame, least_share: float = LEAST_SHARE, depth: int = DEPTH, divergence: float = DIVERGENCE,
-          prior: float = PRIOR) -> tuple[Tree, int, int]:
-    """The tree, N and V.  Only what reaches ``least_share`` comes to the driver, at most 1 / ``least_share`` rows a step."""
-    spark = texts.sparkSession
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()
-    least = max(LEAST_COUNT, math.ceil(least_share * total[0]))
-    often = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").toArrow()
-    codes = {w: k + 1 for k, w in enumerate(often["word"].to_pylist())}
-    by_code = np.concatenate([[0], often["c"].to_numpy()]) if len(codes) else np.zeros(1)
-    sent = spark.sparkContext.broadcast(codes)
-    levels: list[tuple[np.ndarray, np.ndarray]] = []
-    for length in range(2, depth + 2):
-        known = [Keys(keys) for keys, _ in levels]
-        found = sequence_counts(texts, sent, codes.get(END, 0), length, known).where(F.col("c") >= least).toArrow().sort_by("key")
-        if not found.num_rows:
+def judged(found: DataFrame, contexts: DataFrame, shorter: DataFrame, divergence: float, prior: float) -> DataFrame:
+    """The known sequences with the P of their last symbol and whether their context is kept.
+
+    ``contexts``: ``context, whole`` (its count).  ``shorter``: ``short, last, below``, the P of the symbol after the next shorter context.
+    """
+    met = found.join(shorter, ["short", "last"]).join(contexts, "context")
+    of_context = Window.partitionBy("context")
+    rest = F.greatest(F.col("whole") - F.col("kids"), F.lit(0)) + F.lit(prior)
+    kids = met.withColumns({"kids": F.sum("c").over(of_context), "n_kids": F.count(F.lit(1)).over(of_context), "theirs": F.sum("below").over(of_context)})
+    own = kids.withColumn("rest", rest).withColumn("p", (F.col("c") + F.col("rest") * F.col("below")) / (F.col("kids") + F.col("rest")))
+    gain = F.sum(F.col("c") * F.ln(F.col("p") / F.col("below"))).over(of_context)
+
+    def left_out(taken: Column) -> Column:
+        return F.greatest(F.lit(1e-12), F.least(F.lit(1.0), 1 - taken))
+
+    mine = left_out((F.col("kids") + F.col("rest") * F.col("theirs")) / (F.col("kids") + F.col("rest")))
+    others = (F.col("rest") - F.lit(prior)) * F.ln(mine / left_out(F.col("theirs")))
+    kept = own.withColumn("gain", gain).withColumn("kept", F.col("gain") + others >= F.lit(divergence) * F.col("n_kids"))
+    left = F.log10(F.col("rest") / (F.col("kids") + F.col("rest")))
+    return staged(kept.select("key", "context", "last", "c", "whole", "kept", "below", F.when(F.col("kept"), F.col("p")).otherwise(F.col("below")).alias("p"), left.alias("left")),
+                  "judged-sequences")
+
+
+def entries(levels: list[DataFrame], spark) -> DataFrame:
+    """``k, v, c``: what a kept context and what a known child of one adds to a score, with its count."""
+    tag = F.lit(int(CONTEXT.view(np.int64))).cast("long")
+    out = spark.createDataFrame([], "k long, v double, c long")
+    for rows in levels:
+        kept = rows.where("kept")
+        children = kept.select(F.col("key").alias("k"), (F.log10("p") - F.log10("below") - F.col("left")).alias("v"), "c")
+        contexts = kept.groupBy("context").agg(F.first("left").alias("v"), F.first("whole").alias("c"))
+        out = out.unionByName(children).unionByName(contexts.select(F.col("context").bitwiseXOR(tag).alias("k"), "v", "c"))
+    return staged(out, "tree-entries")
+
+
+def most_frequent(rows: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` rows reach."""
+    step = F.floor(F.log2("c") * 8)
+    cut, n = None, 0
+    for r in sorted(rows.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c")).collect(), key=lambda r: -r["step"]):
+        n += r["n"]
+        if n > most:
             break
-        levels.append((found["key"].to_numpy(), found["c"].to_numpy()))
-    return grow(codes, by_code, total[0], total[1], levels, divergence, prior), total[0], total[1]
+        cut = r["c"]
+    return 1 << 62 if cut is None else cut
+
+
+def _gathered(rows: DataFrame, key: str, value: Column) -> Keys:
+    found = rows.select(F.col(key).alias("k"), value.alias("v")).toArrow()
+    return Keys(found["k"].to_numpy().view(np.uint64), found["v"].to_numpy().astype(float))
 
 
-def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", least_share: float = LEAST_SHARE, depth: int = DEPTH,
-                    divergence: float = DIVERGENCE, prior: float = PRIOR) -> DataFrame:
-    """Learns from the rows that ``held_out`` leaves and scores all rows."""
+@dataclass
+class Sent:
+    """What tasks know of the tree: the most frequent words' log10 P, the most frequent entries, and which keys the other entries may have."""
+
+    words: Keys
+    values: Keys
+    others: KeyFilter
+    depth: int
+
+
+def scores(lines: Lines, known: Sent) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """For each text its unigram score and its tree score, as far as the broadcast tells; places of words that are not in it; owners and keys to look up."""
+    n = len(lines.symbols)
+    owner = np.repeat(np.arange(len(lines.sizes)), lines.sizes + 3)
+    counted = np.ones(n, bool)
+    counted[lines.starts] = counted[lines.ends + 1] = False
+    told, base = known.words.find(lines.symbols)
+    base = np.where(counted, base, 0.0)
+    logs = base.copy()
+    asked_owner, asked = [], []
+    keys = lines.keys(known.depth + 1)
+    for length in range(1, known.depth + 1):
+        at = np.flatnonzero(keys[length])
+        at = at[counted[at]]
+        context = keys[length - 1][at - 1] ^ CONTEXT
+        there, value = known.values.find(context)
+        logs[at] += value
+        unsure = np.zeros(len(at), bool)
+        unsure[~there] = known.others.may_have(context[~there])
+        asked.append(context[unsure]), asked_owner.append(owner[at[unsure]])
+        at = at[there | unsure]
+        own = keys[length][at]
+        there, value = known.values.find(own)
+        logs[at] += value
+        rest = ~there
+        rest[rest] = known.others.may_have(own[rest])
+        asked.append(own[rest]), asked_owner.append(owner[at[rest]])
+    missing = np.flatnonzero(counted & ~told)
+    return np.add.reduceat(base, lines.starts), np.add.reduceat(logs, lines.starts), missing, (np.concatenate(asked_owner), np.concatenate(asked))
+
+
+def _asked_lists(owners: np.ndarray, keys: np.ndarray, n: int) -> pa.ListArray:
+    order = np.lexsort((keys, owners))
+    owners, keys = owners[order], keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), (owners[1:] != owners[:-1]) | (keys[1:] != keys[:-1])]))
+    times = np.diff(np.concatenate([first, [len(keys)]]))
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owners[first], minlength=n))])
+    pairs = pa.StructArray.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(times.astype(np.int64))], names=["key", "n"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+
+
+def _word_lists(lines: Lines, places: np.ndarray, n: int) -> pa.ListArray:
+    found: list[Counter] = [Counter() for _ in range(n)]
+    owner = np.searchsorted(lines.starts, places, side="right") - 1
+    at_word = np.searchsorted(lines.word_places, places)
+    ends = set(lines.ends.tolist())
+    for place, k, w in zip(places.tolist(), owner.tolist(), at_word.tolist()):
+        found[k][END if place in ends else lines.words[w]] += 1
+    pairs = pa.StructArray.from_arrays([pa.array([w for x in found for w in x], pa.binary()), pa.array([c for x in found for c in x.values()], pa.int64())], names=["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pairs)
+
+
+def grow(training: DataFrame, counts: DataFrame, whole: float, least_count: int, depth: int, divergence: float, prior: float) -> list[DataFrame]:
+    """The judged sequences of 2, 3 ... ``depth`` + 1 symbols."""
+    often = counts.where(F.col("c") >= least_count)
+    contexts = often.select(F.col("symbol").alias("context"), F.col("c").alias("whole"))
+    shorter = often.select(F.lit(0).cast("long").alias("short"), F.col("symbol").alias("last"), ((F.col("c") + 0.5) / F.lit(whole)).alias("below"))
+    known, levels = key_filter(often, "symbol"), []
+    for length in range(2, depth + 2):
+        rows = judged(sequence_counts(training, length, known, least_count), contexts, shorter, divergence, prior)
+        levels.append(rows)
+        if length <= depth:
+            known = key_filter(rows, "key")
+            contexts = rows.select(F.col("key").alias("context"), F.col("c").alias("whole"))
+            shorter = rows.select(F.col("context").alias("short"), "last", F.col("p").alias("below"))
+    return levels
+
+
+def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", least_count: int = LEAST_COUNT, depth: int = DEPTH,
+                    divergence: float = DIVERGENCE, prior: float = PRIOR, sent: int = SENT) -> DataFrame:
+    """Learns from the rows that ``held_out`` leaves and scores all rows.  ``sent`` bounds each of the two broadcast tables."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("doc_id"), raw(text).alias("body"))
     training = rows.where(~held_out(F.col("doc_id"))).select("body")
     counts = staged(word_counts(training), "word-counts")
-    tree, n_symbols, n_different = learn(training, counts, least_share, depth, divergence, prior)
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
-    part = f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, n_tokens long, base double, logs double, rare array<struct<word: binary, n: long>>"
+    n_symbols, n_different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()
+    whole = n_symbols + 0.5 * (n_different + 1)
+    own = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / whole) if n_symbols else F.lit(0.0)
+    found = entries(grow(training, counts, whole, least_count, depth, divergence, prior) if n_symbols else [], spark)
+    cut = most_frequent(found, sent)
+    few, others = found.where(F.col("c") >= cut), staged(found.where(F.col("c") < cut), "other-entries")
+    common = counts.where(F.col("c") >= most_frequent(counts, sent))
+    told = spark.sparkContext.broadcast((_gathered(common, "symbol", own), _gathered(few, "k", F.col("v")), key_filter(others, "k").bits, depth))
+    part = (f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, n_tokens long, base double, logs double, "
+            "rare array<struct<word: binary, n: long>>, asked array<struct<key: long, n: long>>")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = sent.value
+        frequent, values, bits, deep = told.value
+        known = Sent(frequent, values, KeyFilter(bits), deep)
         for batch in batches:
-            n_tokens, base, logs, rare = [], [], [], []
-            for lines in in_lines(batch.column(2).to_pylist(), tree.codes, tree.codes.get(END, 0)):
-                own, scores, few = tree.score(lines)
-                n_tokens.append(lines.sizes + 1), base.append(own), logs.append(scores), rare.extend(few)
+            n_tokens, base, logs, rare, asked = [], [], [], [], []
+            for lines in in_lines(batch.column(2).to_pylist()):
+                own_base, own_logs, missing, (owners, keys) = scores(lines, known)
+                n = len(lines.sizes)
+                n_tokens.append(lines.sizes + 1), base.append(own_base), logs.append(own_logs)
+                rare.append(_word_lists(lines, missing, n)), asked.append(_asked_lists(owners, keys, n))
             if rare:
-                pairs = pa.StructArray.from_arrays([pa.array([w for x in rare for w in x], pa.binary()), pa.array([n for x in rare for n in x.values()], pa.int64())],
-                                                   names=["word", "n"])
-                ends = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(np.concatenate(x)) for x in (n_tokens, base, logs)],
-                                                  pa.ListArray.from_arrays(ends, pairs)], names=["doc_id", "held_out", "n_tokens", "base", "logs", "rare"])
+                                                  pa.concat_arrays(rare), pa.concat_arrays(asked)],
+                                                 names=["doc_id", "held_out", "n_tokens", "base", "logs", "rare", "asked"])
 
     scored = staged(in_batches(rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "body"), score, part), "tree-scores")
     scored = scored.withColumn("row", F.monotonically_increasing_id())
-    whole = n_symbols + 0.5 * (n_different + 1)
-    own = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / whole) if n_symbols else F.lit(0.0)
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(counts, "word", "left")
-    sums = rare.groupBy("row").agg(F.sum(F.col("n") * own).alias("own"), F.sum(F.when(F.col("c").isNull(), F.col("n")).otherwise(0)).alias("unknown"))
-    joined = scored.drop("rare").join(sums, "row", "left")
-    added = F.coalesce("own", F.lit(0.0))
+    nothing = F.lit(0.0)
+    words_met = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(counts.select("word", "c"), "word", "left").select(
+        "row", (F.col("n") * own).alias("own"), nothing.alias("gained"), F.when(F.col("c").isNull(), F.col("n")).otherwise(0).alias("unknown"))
+    met = scored.select("row", F.explode("asked").alias("a")).select("row", F.col("a.key").alias("k"), "a.n").join(others.select("k", "v"), "k").select(
+        "row", nothing.alias("own"), (F.col("n") * F.col("v")).alias("gained"), F.lit(0).cast("long").alias("unknown"))
+    sums = words_met.unionByName(met).groupBy("row").agg(F.sum("own").alias("own"), F.sum("gained").alias("gained"), F.sum("unknown").alias("unknown"))
+    joined = scored.drop("rare", "asked").join(sums, "row", "left")
+    added, gained = F.coalesce("own", nothing), F.coalesce("gained", nothing)
     return joined.select(F.col("doc_id").alias(key), "held_out", "n_tokens", (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"),
-                         F.lit(n_symbols).cast("long").alias("train_tokens"), (F.col("base") + added).alias("base_score"), (F.col("logs") + added).alias("score"))
+                         F.lit(n_symbols).cast("long").alias("train_tokens"), (F.col("base") + added).alias("base_score"),
+                         (F.col("logs") + added + gained).alias("score"))

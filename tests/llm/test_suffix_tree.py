@@ -17,14 +17,13 @@ def is_held_out(key):
     return zlib.crc32(("" if key is None else str(key)).encode()) % 5 == 1
 
 
-def brute(rows, share, depth, divergence, prior):
+def brute(rows, least, depth, divergence, prior):
     """The same tree with dictionaries over word tuples."""
     train = [symbols(t) for k, t in rows if not is_held_out(k)]
     counts = Counter(x for s in train for x in s)
     total, different = sum(counts.values()), len(counts)
     whole = total + 0.5 * (different + 1)
     root = lambda x: math.log10((counts.get(x, 0) + 0.5) / whole)
-    least = max(P.LEAST_COUNT, math.ceil(share * total))
     frequent = {1: {(x,): c for x, c in counts.items() if c >= least}}
     for n in range(2, depth + 2):
         seen = Counter()
@@ -68,13 +67,16 @@ def brute(rows, share, depth, divergence, prior):
     return counts, total, root, score, p, kept
 
 
-def test_scores_equal_brute_force(spark):
+@pytest.mark.parametrize("sent, bits", [(1 << 19, 1 << 26), (40, 1 << 20), (0, 64)])
+def test_scores_equal_brute_force(spark, sent, bits, monkeypatch):
+    """All of the tree broadcast, most of it looked up by joins, and filters that let everything through."""
+    monkeypatch.setattr(P, "FILTER_BITS", bits)
     frame = sf_docs(spark).limit(1000)
     rows = [(r["doc_id"], r["text"]) for r in frame.collect()][:120]
     rows += [(9001, "to be or not to be " * 40), (9002, "to be or not to be " * 40), (9003, None), (9004, ""), (None, "unheard zzqq"), (9002, "to be or not")]
-    counts, total, root, score, p, kept = brute(rows, 1e-3, 3, 2.0, 3.0)
+    counts, total, root, score, p, kept = brute(rows, 3, 3, 2.0, 3.0)
     assert {len(c) for c in kept} == {1, 2, 3}
-    out = P.score_documents(docs(spark, rows), least_share=1e-3, depth=3, divergence=2.0, prior=3.0).collect()
+    out = P.score_documents(docs(spark, rows), least_count=3, depth=3, divergence=2.0, prior=3.0, sent=sent).collect()
     assert len(out) == len(rows)
     want = Counter()
     for k, t in rows:
@@ -93,6 +95,16 @@ def test_tree_helps_on_held_out_texts(spark):
     assert (got.score > got.base_score).mean() > 0.75
 
 
+def test_a_repeated_text_is_told_apart_at_every_size(spark):
+    """What occurs three times is learnt, however much else there is."""
+    new = " ".join(f"only{k} here{k % 7}" for k in range(60))
+    ids = [k for k in range(10_000, 10_040) if not is_held_out(k)][:4]
+    for others in (0, 800):
+        rows = [(r["doc_id"], r["text"]) for r in sf_docs(spark, "0.01").limit(1000).collect()][:others] + [(k, new) for k in ids]
+        got = {r["doc_id"]: r for r in P.score_documents(docs(spark, rows)).collect()}
+        assert all(got[k]["score"] > 0.3 * got[k]["base_score"] for k in ids)
+
+
 def test_without_training_rows(spark):
     held = next(k for k in range(100) if is_held_out(k))
     out = P.score_documents(docs(spark, [(held, "a b")])).collect()[0]
