@@ -24,7 +24,8 @@ from .common import in_batches, staged
 from .tokens import encoder, vocabulary_path
 
 CAPACITY = 4096
-OPEN_BINS = 65_536
+OPEN_BINS = 512
+LOOK_AHEAD = 4_000
 GROUP_ROWS = 100_000
 END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -89,15 +90,23 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     return in_batches(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), cut, PIECES)
 
 
+def arrivals(lengths: np.ndarray, look_ahead: int) -> np.ndarray:
+    """The order in which pieces are placed: window after window, the longest of a window first."""
+    window = np.arange(len(lengths)) // max(1, look_ahead)
+    return np.lexsort((-lengths, window))
+
+
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
-                group_rows: int = GROUP_ROWS) -> DataFrame:
+                group_rows: int = GROUP_ROWS, look_ahead: int = LOOK_AHEAD) -> DataFrame:
     """Adds ``sequence_id`` and ``offset``.  ``pieces`` must be rows at rest: they are counted, then dealt into groups."""
     groups = max(1, -(-pieces.count() // group_rows))
 
     def pack(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        bins = OpenBins(capacity, open_bins)
-        placed = [bins.place(n) for n in rows["length"].to_pylist()]
+        rows = rows.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending"), ("length", "ascending")])
+        lengths = rows["length"].to_numpy()
+        order = arrivals(lengths, look_ahead)
+        rows, bins = rows.take(pa.array(order)), OpenBins(capacity, open_bins)
+        placed = [bins.place(n) for n in lengths[order].tolist()]
         base = rows["packing_group"][0].as_py() << 32
         rows = rows.drop_columns("packing_group")
         rows = rows.append_column("sequence_id", pa.array([base + b for b, _ in placed], pa.int64()))
@@ -108,6 +117,6 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OP
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
-                   group_rows: int = GROUP_ROWS, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
+                   group_rows: int = GROUP_ROWS, end_id: int = END_ID, key: str = "doc_id", text: str = "text", look_ahead: int = LOOK_AHEAD) -> DataFrame:
     pieces = token_pieces(docs, vocabulary or vocabulary_path(), capacity, end_id, key, text)
-    return pack_pieces(staged(pieces, "token-pieces"), capacity, open_bins, group_rows)
+    return pack_pieces(staged(pieces, "token-pieces"), capacity, open_bins, group_rows, look_ahead)

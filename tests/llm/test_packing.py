@@ -81,3 +81,27 @@ def test_packing_edges(spark, encoder):
     check_packing(spark, docs(spark, rows), rows, encoder, capacity=16)
     check_packing(spark, docs(spark, rows), rows, encoder, capacity=16, open_bins=1, group_rows=3)
     assert packing.pack_documents(docs(spark, [])).count() == 0
+
+
+def test_windows_of_arrivals():
+    lengths = np.array([3, 9, 5, 7, 1, 8, 8])
+    assert packing.arrivals(lengths, 3).tolist() == [1, 2, 0, 5, 3, 4, 6] and packing.arrivals(lengths, 1).tolist() == list(range(7))
+    assert packing.arrivals(lengths, 100).tolist() == [1, 5, 6, 3, 2, 0, 4]
+
+
+def test_few_open_bins_lose_little_and_the_bound_binds():
+    """Against all pieces longest first with as many open bins as there are pieces."""
+    rng = np.random.default_rng(6)
+    lengths = np.minimum(4096, rng.lognormal(6.3, 1.1, 30_000).astype(int) + 1)
+
+    def made(order, most):
+        bins, early = packing.OpenBins(4096, most), 0
+        for n in lengths[order].tolist():
+            full, before = bins.open == most, bins.made
+            bins.place(n)
+            early += full and bins.made > before
+        return bins.made, early
+
+    best, _ = made(np.argsort(-lengths), 1 << 30)
+    ours, early = made(packing.arrivals(lengths, packing.LOOK_AHEAD), packing.OPEN_BINS)
+    assert early > 100 and ours <= 1.003 * best
