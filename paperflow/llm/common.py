@@ -49,6 +49,18 @@ def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return small_batches(df).mapInArrow(fn, schema)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted column names, with underscores appended where the rows have such a column already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     """At most ``rows`` rows, the first by hash of the key.
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import free_names, staged
 
 MIN_SITES = 10
 LONG_CHARS = 40
@@ -55,13 +55,14 @@ def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text",
     lines = site_lines(docs, key, text, site, long_chars)
     flagged = staged(boilerplate(lines, min_sites, long=long_chars is not None), "boilerplate-lines")
     hits = lines.join(flagged, ["h1", "h2"]).where(~F.col("key").eqNullSafe(F.col("keeper")))
-    gone = hits.groupBy(F.col("key").alias("__key"), F.col("text_hash").alias("__text_hash")).agg(F.collect_set("pos").alias("__gone"))
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__text_hash"))
+    own, own_hash, lost = free_names(docs, "key", "text_hash", "gone")
+    gone = hits.groupBy(F.col("key").alias(own), F.col("text_hash").alias(own_hash)).agg(F.collect_set("pos").alias(lost))
+    same = F.col(key).eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(own_hash))
     joined = docs.join(gone, same, "left")
     parts = F.split(text, "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda k: F.get(parts, k)), "\n"))
-    counts = {"n_lines": F.coalesce(F.size(parts), F.lit(0)), "n_removed": F.coalesce(F.size("__gone"), F.lit(0))}
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(lost))
+    clean = F.when(F.col(lost).isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda k: F.get(parts, k)), "\n"))
+    counts = {"n_lines": F.coalesce(F.size(parts), F.lit(0)), "n_removed": F.coalesce(F.size(lost), F.lit(0))}
     others = [c for c in docs.columns if c not in counts]
     return joined.select(*[clean.alias(c) if c == text else F.col(c) for c in others],
                          *[F.when(F.col(text).isNull(), F.lit(0)).otherwise(v).cast("long").alias(k) for k, v in counts.items()])

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_batches, raw, small_batches, staged, words
+from .common import free_names, in_batches, raw, small_batches, staged, words
 from .components import components
 
 BLOCK_ROWS = 8192
@@ -406,14 +406,15 @@ def one_row_each(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: s
     ``found`` as ``linked_components`` gives it.  Rows go by id and text hash, so rows that share an id are told apart and rows without one take
     part; of rows that agree in both, the first by their other columns stays.
     """
-    pairs = staged(found.where("component is not null").groupBy("component", F.col(key).alias("__id"), F.col("text_hash").alias("__hash")).agg(
-        F.count(F.lit(1)).alias("__rows")), "component-rows")
-    place = F.struct(F.col("__id").isNull(), "__id", "__hash")
-    best = pairs.groupBy("component").agg(F.min(place).alias("__best"))
-    mark = F.when(place.eqNullSafe(F.col("__best")), F.when(F.col("__rows") > 1, "once")).otherwise("drop")
-    marks = staged(pairs.join(best, "component").select("__id", "__hash", mark.alias("__mark")).where("__mark is not null"), "copy-marks")
-    same = F.col(key).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash"))
+    own, own_hash, n, sign = free_names(docs, "id", "hash", "n", "mark")
+    pairs = staged(found.where("component is not null").groupBy("component", F.col(key).alias(own), F.col("text_hash").alias(own_hash)).agg(
+        F.count(F.lit(1)).alias(n)), "component-rows")
+    place = F.struct(F.col(own).isNull(), own, own_hash)
+    best = pairs.groupBy("component").agg(F.min(place).alias("best"))
+    mark = F.when(place.eqNullSafe(F.col("best")), F.when(F.col(n) > 1, "once")).otherwise("drop")
+    marks = staged(pairs.join(best, "component").select(own, own_hash, mark.alias(sign)).where(F.col(sign).isNotNull()), "copy-marks")
+    same = F.col(key).eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(own_hash))
     others = docs.join(marks, same, "left_anti")
-    repeated = docs.join(marks.where("__mark = 'once'"), same).withColumn(
-        "__n", F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(*[c for c in docs.columns if c not in (key, text)], F.lit(0))))
-    return others.unionByName(repeated.where("__n = 1").select(*docs.columns))
+    repeated = docs.join(marks.where(F.col(sign) == "once"), same).withColumn(
+        n, F.row_number().over(Window.partitionBy(own, own_hash).orderBy(*[c for c in docs.columns if c not in (key, text)], F.lit(0))))
+    return others.unionByName(repeated.where(F.col(n) == 1).select(*docs.columns))

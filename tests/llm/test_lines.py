@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from paperflow.llm import lines
 
 from .helpers import docs
@@ -50,3 +52,12 @@ def test_very_long_text(spark):
     rows = [(k, f"{long}\nown {k}", f"s{k}") for k in range(4)]
     got = {r["doc_id"]: r for r in lines.remove_boilerplate(docs(spark, rows), min_sites=3).collect()}
     assert got[0]["n_removed"] == 0 and got[3]["text"] == "own 3" and got[3]["n_removed"] == 30_000
+
+
+def test_columns_of_any_name_pass_through(spark):
+    frame = docs(spark, [(k, f"the same\nown {k}", f"s{k}") for k in range(12)])
+    for name in ("gone", "Gone_", "key", "text_hash", "h1", "h2", "__gone", "__key", "__text_hash", "site", "line", "pos"):
+        frame = frame.withColumn(name, F.lit(name))
+    got = lines.remove_boilerplate(frame).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {0: "the same\nown 0", **{k: f"own {k}" for k in range(1, 12)}}
+    assert all(r["gone"] == "gone" and r["Gone_"] == "Gone_" and r["__key"] == "__key" for r in got)

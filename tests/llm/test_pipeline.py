@@ -81,3 +81,12 @@ def test_near_copies_against_brute_force(spark):
 def test_empty_documents(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs(spark, []), SF).count() == 0
+
+
+def test_near_copies_with_clashing_columns(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+    frame = docs(spark, [(2, text), (1, text), (1, text), (3, "something else altogether that is of no interest")])
+    for name in ("id", "hash", "n", "mark", "component", "text_hash", "name", "signature"):
+        frame = frame.withColumn(name, F.lit("x"))
+    got = jaccard.drop_near_copies(frame)
+    assert got.columns == frame.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 3]
