@@ -16,7 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .linking import C1, document_sets, linked_components, mixed, most_different, one_row_each, set_classes, signatures_of_texts
+from .filters import C1, mixed
+from .linking import document_sets, linked_components, most_different, one_row_each, set_classes, signatures_of_texts
 
 K, PERCENT = 5, 80
 RATIO = 1.5

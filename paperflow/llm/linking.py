@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import free_names, in_batches, raw, small_batches, staged, words
 from .components import components
+from .filters import C1, C2, C3, KeyFilter, key_filter, mixed
 
 BLOCK_ROWS = 8192
 SPLIT_ROWS = 65_536
@@ -41,21 +42,10 @@ FLUSH_PAIRS = 20_000
 WORD_ENTRIES = 200_000
 NAMES_SEEN = 100_000
 """Classes of which a task remembers that it has sent their signatures."""
-C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
 Signer = Callable[[np.ndarray], np.ndarray]
 """From the sorted shingle hashes of a set to its signatures as unsigned 64-bit numbers."""
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer."""
-    with np.errstate(over="ignore"):
-        x = (x + C1)
-        x = (x ^ (x >> np.uint64(30))) * C2
-        x = (x ^ (x >> np.uint64(27))) * C3
-        return x ^ (x >> np.uint64(31))
-
-
 class ShingleSets:
     """Sorted 64-bit shingle hashes of a text, with a bounded table of words seen."""
 
@@ -232,12 +222,18 @@ def _with(pairs: DataFrame, table: DataFrame, column: str, suffix: str) -> DataF
 def whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, key: str, text: str) -> DataFrame:
     """``name, shingles`` of the classes in the pairs, from the text of one document each.
 
-    The owners are at rest, so that Spark knows their size and shuffles no text for a few of them.
+    A filter over the owners' text hashes keeps all other texts from the shuffle.
     """
     needed = pairs.select(F.col("first").alias("name")).union(pairs.select("other")).distinct()
     owners = staged(classes.join(needed, "name", "left_semi").select("name", "n1", "n2", F.col("owner.doc_id").alias("owner_id"), F.col("owner.text_hash").alias("owner_hash")), "set-owners")
+    sent = docs.sparkSession.sparkContext.broadcast(key_filter(owners, "owner_hash").bits)
+
+    @F.pandas_udf("boolean")
+    def may_own(hashes: pd.Series) -> pd.Series:
+        return pd.Series(KeyFilter(sent.value).may_have(hashes.to_numpy(np.int64).view(np.uint64)))
+
     bodies = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"), raw(text).alias("body"))
-    found = bodies.join(owners, (F.col("hash") == F.col("owner_hash")) & F.col("id").eqNullSafe(F.col("owner_id"))).select("name", "n1", "n2", "body")
+    found = small_batches(bodies).where(may_own("hash")).join(owners, (F.col("hash") == F.col("owner_hash")) & F.col("id").eqNullSafe(F.col("owner_id"))).select("name", "n1", "n2", "body")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _sets(k)

@@ -13,7 +13,7 @@ context adds log10 R / (K + R), and a known child adds what its own P exceeds th
 
 Sequences go by 64-bit keys, each made from the key of all but the last symbol.  Counts, contexts and values are tables that Spark
 partitions and joins; nothing of the tree is gathered but its most frequent entries, at most ``SENT`` of words and of values, which are broadcast, and
-filters of ``FILTER_BITS`` bits that tell which keys are worth a shuffle.  On a larger corpus the filters let more keys through, which costs
+filters of bounded size that tell which keys are worth a shuffle.  On a larger corpus the filters let more keys through, which costs
 rows, never results.  What the broadcast does not answer is summed for each text and looked up by a join, rare words likewise.
 The children of one context meet in a task, as many as the context has different known ones.
 
@@ -36,14 +36,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import in_batches, raw, staged, words
-from .linking import mixed
+from .filters import KeyFilter, key_filter, mixed
 
 LEAST_COUNT = 3
 DEPTH = 3
 DIVERGENCE = 4.0
 PRIOR = 5.0
 SENT = 1 << 19
-FILTER_BITS = 1 << 26
 END = b" "
 """No word holds a space."""
 FLUSH = 1_000_000
@@ -126,38 +125,6 @@ class Keys:
         return there, out
 
 
-class KeyFilter:
-    """Bits, a power of two of them, that are set for every key it was made from, and for few others."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    def may_have(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        mask = np.uint64(8 * len(self.bits) - 1)
-        for shift in SHIFTS:
-            at = (keys >> np.uint64(shift) & mask).astype(np.int64)
-            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-        return out
-
-
-SHIFTS = (0, 17, 35)
-
-
-def key_filter(keys: DataFrame, column: str, bits: int | None = None) -> KeyFilter:
-    """The bits are set by an aggregation over blocks of 32,768 bits; what comes to the driver is ``bits`` bits at most."""
-    bits = bits or FILTER_BITS
-    places = [F.call_function("shiftrightunsigned", F.col(column), F.lit(s)).bitwiseAND(F.lit(bits - 1).cast("long")) for s in SHIFTS]
-    one = keys.select(F.explode(F.array(*[p + 1 for p in places])).alias("p"))
-    found = one.groupBy(F.bitmap_bucket_number("p").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    out = np.zeros(bits // 8, np.uint8)
-    for r in found:
-        at = (r["block"] - 1) * 4096
-        part = np.frombuffer(r["bits"], np.uint8)
-        out[at:at + 4096] = part[:len(out) - at]
-    return KeyFilter(out)
-
-
 def chain(before: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The key of a sequence from that of all but its last symbol, and the last symbol; 0 where one of them is."""
     with np.errstate(over="ignore"):

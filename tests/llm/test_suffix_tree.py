@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from paperflow.llm import filters
 from paperflow.llm import suffix_tree as P
 
 from .helpers import docs, sf_docs
@@ -70,7 +71,7 @@ def brute(rows, least, depth, divergence, prior):
 @pytest.mark.parametrize("sent, bits", [(1 << 19, 1 << 26), (40, 1 << 20), (0, 64)])
 def test_scores_equal_brute_force(spark, sent, bits, monkeypatch):
     """All of the tree broadcast, most of it looked up by joins, and filters that let everything through."""
-    monkeypatch.setattr(P, "FILTER_BITS", bits)
+    monkeypatch.setattr(filters, "FILTER_BITS", bits)
     frame = sf_docs(spark).limit(1000)
     rows = [(r["doc_id"], r["text"]) for r in frame.collect()][:120]
     rows += [(9001, "to be or not to be " * 40), (9002, "to be or not to be " * 40), (9003, None), (9004, ""), (None, "unheard zzqq"), (9002, "to be or not")]
