@@ -122,6 +122,22 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return sets.turnover_under_title(rows, "day", "title", "id").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+@job("id_turnover_few", """WITH x AS (SELECT DISTINCT CAST(ts AS DATE) AS day, user_id % 3 AS title, CAST(json_extract(props, '$.k') AS BIGINT) % 9 AS id FROM events
+  WHERE user_id < 5 + day(ts) % 7),
+dd AS (SELECT day, lag(day) OVER (ORDER BY day) AS prev FROM (SELECT DISTINCT day FROM x)),
+t AS (SELECT day, title, count(*) AS ids FROM x GROUP BY ALL),
+st AS (SELECT t.day, t.title, t.ids, d.prev FROM t JOIN dd d USING (day) JOIN t p ON p.day = d.prev AND p.title = t.title),
+k AS (SELECT st.day, st.title, count(b.id) AS kept FROM st JOIN x a ON a.day = st.day AND a.title = st.title
+  LEFT JOIN x b ON b.day = st.prev AND b.title = a.title AND b.id = a.id GROUP BY ALL)
+SELECT strftime(st.day, '%Y-%m-%d') AS day, st.title, ids, ids - kept AS changed, count(*) OVER (PARTITION BY st.day) AS shared_titles,
+  count(*) OVER (PARTITION BY st.day) < 4 AND (ids - kept) * 2 >= ids AS rename FROM st JOIN k ON k.day = st.day AND k.title = st.title""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Few shared titles a day, so that renames occur."""
+    rows = table(spark, folder, "events").where(F.col("user_id") < 5 + F.dayofmonth("ts") % 7).select(
+        F.col("ts").cast("date").alias("day"), (F.col("user_id") % 3).alias("title"), (F.get_json_object("props", "$.k").cast("bigint") % 9).alias("id"))
+    return sets.turnover_under_title(rows, "day", "title", "id").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 @job("identical_batch", """WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL),
 f AS (SELECT user_id, day, string_agg(event_type || ':' || n, ' ' ORDER BY event_type) AS fp FROM c GROUP BY ALL),
 i AS (SELECT user_id, CAST(ts AS DATE) AS day, string_agg(DISTINCT event_type, ' ' ORDER BY event_type) AS ids FROM events GROUP BY ALL),
