@@ -277,7 +277,7 @@ class Block:
 
 
 def across(groups: DataFrame, percent: int, closest: int | None) -> DataFrame:
-    """``first, other``: pairs of a group that lie in different components and whose sketches allow a link.
+    """``first, other, cut``: pairs of a group that lie in different components and whose sketches allow a link, and whether a class had more of them.
 
     ``groups``: ``signature, name, label, n_shingles, sketch``.  Only classes outside of the largest component of a group ask, so a group whose
     classes are mostly linked already costs little more than its rows.  Those that ask and all that may answer are cut into blocks of
@@ -299,18 +299,19 @@ def across(groups: DataFrame, percent: int, closest: int | None) -> DataFrame:
     dealt = cut.select("signature", F.inline(F.concat(answers, F.coalesce(asks, F.array().cast("array<struct<low: int, high: int, asks: boolean>>")))),
                        "name", "label", "n_shingles", "minor", "sketch")
 
-    def pairs_of(rows: list[tuple]) -> Iterator[list[tuple[int, int]]]:
+    def pairs_of(rows: list[tuple]) -> Iterator[list[tuple[int, int, bool]]]:
         """In lists of bounded length."""
         block = Block([r[4:] for r in rows if not r[3]], percent)
-        out: list[tuple[int, int]] = []
+        out: list[tuple[int, int, bool]] = []
         for *_, asking, name, label, n, minor, data in rows:
             found = list(block.near(name, label, n, minor, data)) if asking else []
             if not found:
                 continue
             names = np.concatenate([x for _, x in found])
-            if closest is not None and len(names) > closest:
+            more = closest is not None and len(names) > closest
+            if more:
                 names = names[np.argsort(np.concatenate([d for d, _ in found]), kind="stable")[:closest]]
-            out += [(min(name, x), max(name, x)) for x in names.tolist()]
+            out += [(min(name, x), max(name, x), more) for x in names.tolist()]
             if len(out) > FLUSH_PAIRS:
                 yield out
                 out = []
@@ -322,7 +323,7 @@ def across(groups: DataFrame, percent: int, closest: int | None) -> DataFrame:
 
         def done(rows):
             for found in pairs_of(rows) if len(rows) > 1 else ():
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["first", "other"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], names=["first", "other", "cut"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -333,7 +334,8 @@ def across(groups: DataFrame, percent: int, closest: int | None) -> DataFrame:
         yield from done(held)
 
     ordered = dealt.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high", "name")
-    return staged(in_batches(ordered, compare, "first long, other long").distinct(), "pairs-across")
+    met = in_batches(ordered, compare, "first long, other long, cut boolean")
+    return staged(met.groupBy("first", "other").agg(F.bool_or("cut").alias("cut")), "pairs-across")
 
 
 def mixed_groups(named: DataFrame, split_rows: int | None = None) -> DataFrame:
@@ -380,13 +382,14 @@ def linked_components(docs: DataFrame, sets: DataFrame, classes: DataFrame, sign
         found = across(mixed_groups(named).join(narrow, "name"), percent, closest)
         if found.isEmpty():
             break
-        new = _verified(found, whole_sets(docs, classes, found, k, key, text), percent)
-        last, merged = closest is None, not new.isEmpty()
+        pairs = found.select("first", "other")
+        new = _verified(pairs, whole_sets(docs, classes, pairs, k, key, text), percent)
+        merged = not new.isEmpty()
         if merged:
             links = links.unionByName(new)
             labels = staged(components(links), "labels")
-        if last:
-            break
+        if closest is None or found.where("cut").isEmpty():
+            break  # no pair was left out
         closest = CLOSEST if merged else None  # the nearest have nothing more to link: all that may be linked are looked at
     named = classes.select("name", "n1", "n2", "least_id").join(labels, F.col("name") == F.col("node"), "left").select(
         "n1", "n2", "least_id", F.coalesce("component", "name").alias("label"))
