@@ -24,7 +24,6 @@ no rows.  Other columns are not read.
 
 from __future__ import annotations
 
-import functools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,7 +45,8 @@ SENT = 1 << 19
 END = b" "
 """No word holds a space."""
 FLUSH = 1_000_000
-WORD_ENTRIES = 200_000
+HELD = 1_500_000
+"""Positions whose sequences a task counts at a time."""
 CONTEXT = np.uint64(0x5851F42D4C957F2D)
 """Sets a context's entry apart from that of the sequence itself."""
 
@@ -55,28 +55,11 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-class Symbols:
-    """64-bit symbols of words, with a bounded table of words seen."""
-
-    def __init__(self, entries: int = WORD_ENTRIES):
-        self.entries, self.known = entries, {}
-
-    def __call__(self, found: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.entries:
-            self.known = {}
-        for w in set(found).difference(self.known):
-            self.known[w] = symbol(w)
-        return np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
-
-
-def symbol(word: bytes) -> int:
-    """Never 0, which is a gap."""
-    return xxhash.xxh3_64_intdigest(word) or 1
-
-
-@functools.lru_cache(maxsize=1)
-def _symbols() -> Symbols:
-    return Symbols()
+def symbols_of(found: list[bytes]) -> np.ndarray:
+    """64-bit symbols of words, never 0, which is a gap."""
+    out = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    out[out == 0] = 1
+    return out
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -88,7 +71,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         held: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            own = np.array([symbol(w) for w in held], np.uint64).view(np.int64)
+            own = symbols_of(list(held)).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(own), pa.array(held.values(), pa.int64())], schema=schema)
 
         for batch in batches:
@@ -132,6 +115,9 @@ def chain(before: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.where((before == 0) | (last == 0), np.uint64(0), key)
 
 
+END_SYMBOL = symbols_of([END])[0]
+
+
 class Lines:
     """Several texts as one row of symbols: the start, the words, the end and a gap for each."""
 
@@ -146,8 +132,8 @@ class Lines:
         for at in (self.starts, self.ends, self.ends + 1):
             is_word[at] = False
         self.word_places = np.flatnonzero(is_word)
-        self.symbols[self.word_places] = _symbols()(self.words)
-        self.symbols[self.starts] = self.symbols[self.ends] = symbol(END)
+        self.symbols[self.word_places] = symbols_of(self.words)
+        self.symbols[self.starts] = self.symbols[self.ends] = END_SYMBOL
 
     def keys(self, length: int) -> list[np.ndarray]:
         """For 1, 2 ... ``length`` symbols ending at each place their key, 0 where a gap lies between."""
@@ -176,37 +162,37 @@ def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count
     """``context, short, last, key, c`` of the sequences of ``length`` symbols that occur ``least_count`` times: the keys of all but the last symbol, of
     that without its first one (0 if that is all), the last symbol and the key of the whole.  ``known`` tells which shorter ones may be so frequent."""
     sent = texts.sparkSession.sparkContext.broadcast(known.bits)
-    schema = pa.schema([(n, pa.int64()) for n in ("context", "short", "last", "c")])
+    names = ["context", "last"] + ["short"] * (length > 2)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = KeyFilter(sent.value)
-        held: list[tuple] = []
+        held: list[list[np.ndarray]] = []
         size = 0
 
         def summed() -> Iterator[pa.RecordBatch]:
-            keys, context, short, last = (np.concatenate(x) for x in zip(*held))
-            _, at, n = np.unique(keys, return_index=True, return_counts=True)
-            for i in range(0, len(at), FLUSH):
-                part = at[i:i + FLUSH]
-                yield pa.RecordBatch.from_arrays([pa.array(x[part].view(np.int64)) for x in (context, short, last)] + [pa.array(n[i:i + FLUSH].astype(np.int64))], schema=schema)
+            rows = pa.table([pa.array(np.concatenate(x).view(np.int64)) for x in zip(*held)], names=names)
+            found = rows.group_by(names, use_threads=False).aggregate([([], "count_all")]).rename_columns([*names, "c"])
+            yield from found.combine_chunks().to_batches(max_chunksize=FLUSH)
 
         for batch in batches:
             for lines in in_lines(batch.column(0).to_pylist()):
-                keys = lines.keys(length)
-                whole, context, suffix = keys[-1][1:], keys[-2][:-1], keys[-2][1:]
-                at = np.flatnonzero(whole)
+                keys = lines.keys(length - 1)
+                context, suffix = keys[-1][:-1], keys[-1][1:]
+                at = np.flatnonzero((context != 0) & (lines.symbols[1:] != 0))
                 at = at[may.may_have(context[at])]
                 at = at[may.may_have(suffix[at])]
-                short = keys[-3][:-1][at] if length > 2 else np.zeros(len(at), np.uint64)
-                held.append((whole[at], context[at], short, lines.symbols[1:][at]))
+                held.append([context[at], lines.symbols[1:][at]] + ([keys[-2][:-1][at]] if length > 2 else []))
                 size += len(at)
-                if size > 3 * FLUSH:
+                if size > HELD:
                     yield from summed()
                     held, size = [], 0
         if held:
             yield from summed()
 
-    counted = in_batches(texts, count, "context long, short long, last long, c long").groupBy("context", "short", "last").agg(F.sum("c").alias("c"))
+    counted = in_batches(texts, count, ", ".join(f"{n} long" for n in [*names, "c"])).groupBy(*names).agg(F.sum("c").alias("c"))
+    if length == 2:
+        counted = counted.withColumn("short", F.lit(0).cast("long"))
+    counted = counted.select("context", "short", "last", "c")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -97,9 +97,9 @@ def test_tree_helps_on_held_out_texts(spark):
 
 
 def test_a_repeated_text_is_told_apart_at_every_size(spark):
-    """What occurs three times is learnt, however much else there is."""
+    """What occurs ``LEAST_COUNT`` times is learnt, however much else there is."""
     new = " ".join(f"only{k} here{k % 7}" for k in range(60))
-    ids = [k for k in range(10_000, 10_040) if not is_held_out(k)][:4]
+    ids = [k for k in range(10_000, 10_040) if not is_held_out(k)][:P.LEAST_COUNT]
     for others in (0, 800):
         rows = [(r["doc_id"], r["text"]) for r in sf_docs(spark, "0.01").limit(1000).collect()][:others] + [(k, new) for k in ids]
         got = {r["doc_id"]: r for r in P.score_documents(docs(spark, rows)).collect()}
