@@ -417,3 +417,22 @@ def one_row_each(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: s
     repeated = docs.join(marks.where(F.col(sign) == "once"), same).withColumn(
         n, F.row_number().over(Window.partitionBy(own, own_hash).orderBy(*[c for c in docs.columns if c not in (key, text)], F.lit(0))))
     return others.unionByName(repeated.where(F.col(n) == 1).select(*docs.columns))
+
+
+def components_sql(k: int, percent: int, more: str = "") -> str:
+    """The same for DuckDB: all pairs of different sets that share a shingle, and reachability by recursion."""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - {k} + 1), lambda i: array_to_string(w[i + 1:i + {k}], ' ')) END)) AS g FROM d),
+c AS (SELECT min(doc_id) AS c, g, len(g) AS n FROM s WHERE len(g) > 0 GROUP BY g),
+e AS (SELECT c, n, unnest(g) AS x FROM c),
+l AS (SELECT a.c AS a, b.c AS b FROM e a JOIN e b ON a.x = b.x AND a.c <> b.c GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+r AS (SELECT c AS a, c AS b FROM c UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+m AS (SELECT a, min(b) AS least FROM r GROUP BY a),
+o AS (SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, coalesce(m.least, s.doc_id) AS component_id
+  FROM s LEFT JOIN c ON c.g = s.g LEFT JOIN m ON m.a = c.c)
+SELECT *{more} FROM o
+"""

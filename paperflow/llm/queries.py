@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, decontamination, divergence, id_store, jaccard, licenses, lines, minhash, packing, quality, sharding, suffix_tree, winnowing
+from . import conversations, decontamination, divergence, id_store, jaccard, licenses, lines, linking, minhash, packing, quality, sharding, suffix_tree, winnowing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,9 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+SQL["op3_jaccard"] = linking.components_sql(3, 90)
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -81,6 +84,9 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+SQL["op11_minhash"] = minhash.SQL
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_digests(table(spark, sf_dir, "conversations"))

@@ -17,7 +17,7 @@ def test_registered():
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op1_sharding", "op7_line_dedup", "op13_divergence"])
+@pytest.mark.parametrize("name", ["op1_sharding", "op3_jaccard", "op7_line_dedup", "op11_minhash", "op13_divergence"])
 def test_sql_twins(spark, name):
     folder = "/root/testdata/sf0.01"
     assert compare(queries()[name](spark, folder), sql_session(folder), oracle_sql()[name]) is None
