@@ -41,7 +41,7 @@ LEAST_COUNT = 3
 DEPTH = 3
 DIVERGENCE = 4.0
 PRIOR = 5.0
-SENT = 1 << 19
+SENT = 1 << 21
 END = b" "
 """No word holds a space."""
 FLUSH = 1_000_000
