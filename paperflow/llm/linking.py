@@ -35,8 +35,9 @@ from .filters import C1, C2, C3, KeyFilter, key_filter, mixed
 
 BLOCK_ROWS = 8192
 SPLIT_ROWS = 65_536
-SKETCH_BITS = 4
-"""Slots of a sketch for each shingle, at least: sets just below the similarity asked for are told apart without a look at them."""
+SKETCH_BITS = 1
+"""Slots of a sketch for each shingle, at least.  With more of them sets just below the similarity asked for are told apart without a look at
+them, but every row of a group that is compared carries its sketch."""
 CLOSEST = 2
 FLUSH_PAIRS = 20_000
 WORD_ENTRIES = 200_000
@@ -84,9 +85,9 @@ def set_name(s: np.ndarray) -> tuple[int, int]:
         return tuple(int((mixed(s ^ c).sum(dtype=np.uint64) + n).view(np.int64)) for c in (C2, C1 ^ C3))
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """Parity of shingles in each of 2^b slots, at least ``SKETCH_BITS`` for each shingle.  Halving it by XOR gives the shorter sketch."""
-    bits = max(64, SKETCH_BITS << (len(s) - 1).bit_length())
+def sketch(s: np.ndarray, slots: int = SKETCH_BITS) -> bytes:
+    """Parity of shingles in each of 2^b slots, at least ``slots`` (a power of two) for each shingle.  Halving it by XOR gives the shorter sketch."""
+    bits = max(64, slots << (len(s) - 1).bit_length())
     odd = np.bincount((mixed(s ^ C3) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -103,7 +104,7 @@ def _named(sets: list[np.ndarray]) -> list[pa.Array]:
     return [pa.array([n[i] for n in names], pa.int64()) for i in (0, 1)]
 
 
-def document_sets(docs: DataFrame, k: int, key: str, text: str, sign: Signer | None = None) -> DataFrame:
+def document_sets(docs: DataFrame, k: int, key: str, text: str, sign: Signer | None = None, slots: int = SKETCH_BITS) -> DataFrame:
     """``doc_id, text_hash, n_shingles, n1, n2, sketch`` and, if ``sign`` is given, ``signed`` at rest."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), raw(text).alias("body"))
 
@@ -112,7 +113,7 @@ def document_sets(docs: DataFrame, k: int, key: str, text: str, sign: Signer | N
         for batch in batches:
             made = [sets(body) for body in batch.column(2).to_pylist()]
             columns = [batch.column(0), batch.column(1), pa.array([len(s) for s in made], pa.int64()), *_named(made),
-                       pa.array([sketch(s) if len(s) else None for s in made], pa.binary())]
+                       pa.array([sketch(s, slots) if len(s) else None for s in made], pa.binary())]
             if sign is not None:
                 columns.append(pa.array([sign(s).tobytes() if len(s) else None for s in made], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
