@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .filters import C1, mixed
-from .linking import document_sets, linked_components, most_different, one_row_each, set_classes, signatures_of_texts
+from .linking import Signer, document_sets, linked_components, most_different, one_row_each, set_classes, signatures_of_texts
 
 K, PERCENT = 5, 80
 RATIO = 1.5
@@ -88,11 +88,16 @@ def band_plan(sets: DataFrame, percent: int) -> tuple[list[int], list[tuple[int,
     return starts, [allocation(b, starts, percent, counts.get(b, 0) + counts.get(b + 1, 0)) for b in range(len(starts) - 1)]
 
 
+def certain_signer(sets: DataFrame, percent: int) -> Signer:
+    """Signatures of which two linked sets share ``SHARED`` for certain."""
+    starts, plan = band_plan(sets, percent)
+    return lambda s: signatures(s, starts, plan, percent)
+
+
 def similar_rows(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with its component, as ``linking.linked_components`` gives it."""
     sets = document_sets(docs, k, key, text)
-    starts, plan = band_plan(sets, percent)
-    found = signatures_of_texts(docs, k, lambda s: signatures(s, starts, plan, percent), text)
+    found = signatures_of_texts(docs, k, certain_signer(sets, percent), text)
     return linked_components(docs, sets, set_classes(sets), found, k, percent, key, text)
 
 

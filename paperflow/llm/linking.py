@@ -7,8 +7,9 @@ parity), then verified on the whole sets.
 
 Where a signature's classes still lie in several components, pairs across components are bounded too and verified: first the nearest of each
 class, as often as that joins components, at last all that the bound allows.  A signature with more than ``SPLIT_ROWS`` classes is not compared
-as a whole: linked classes that share it share a second one, so its classes are dealt by pairs of such signatures, and what came together by
-chance parts.  Groups are compared in blocks of ``BLOCK_ROWS``, only across components.  So no link that could join two components is left
+as a whole: linked classes that share it surely share a second one, so its classes are dealt by pairs of such signatures, and what came together by
+chance parts.  A method that promises two signatures only with a probability gives such classes others that linked sets share for certain, so every link
+within a frequent signature is found, as within a rare one.  Groups are compared in blocks of ``BLOCK_ROWS``, only across components.  So no link that could join two components is left
 out, while the pairs within a component, of which a group of n copies has n squared, are never made.
 
 A document's set: its different ``k``-word shingles as 64-bit hashes; with fewer words the whole sequence as one.  Null and empty texts
@@ -164,6 +165,16 @@ def signatures_of_texts(docs: DataFrame, k: int, sign: Signer, text: str) -> Dat
     return in_batches(docs.select(raw(text).alias("body")), emit, "signature long, name long")
 
 
+def signatures_of_sets(sets: DataFrame, sign: Signer) -> DataFrame:
+    """``signature, name`` of classes given as ``name, shingles``."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _signature_rows([np.unique(sign(np.frombuffer(s, np.uint64))) for s in batch.column(1).to_pylist()], batch.column(0).to_pylist())
+
+    return in_batches(sets.select("name", "shingles"), emit, "signature long, name long")
+
+
 def stars(rows: DataFrame) -> DataFrame:
     """``signature, first, other``: of the names that share a signature, the least and each of the others."""
     def first_with_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,10 +350,11 @@ def across(groups: DataFrame, percent: int, closest: int | None) -> DataFrame:
     return staged(met.groupBy("first", "other").agg(F.bool_or("cut").alias("cut")), "pairs-across")
 
 
-def mixed_groups(named: DataFrame, split_rows: int | None = None) -> DataFrame:
-    """``signature, name, label`` of the signatures, or pairs of frequent signatures, whose classes lie in several components.
+def mixed_groups(named: DataFrame, split_rows: int | None = None, certain: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``signature, name, label`` of the signatures, or pairs of a frequent signature and a second one, whose classes lie in several components.
 
-    ``named``: ``signature, name, label`` at rest.
+    ``named``: ``signature, name, label`` at rest.  The second one is another frequent signature, if two linked classes surely share two.  Else ``certain``
+    gives, for a table of ``name``, at rest ``signature, name`` (other names may be there) such that two linked classes surely share one.
     """
     most = SPLIT_ROWS if split_rows is None else split_rows
 
@@ -352,9 +364,17 @@ def mixed_groups(named: DataFrame, split_rows: int | None = None) -> DataFrame:
     sizes = staged(several(named), "mixed-signatures")
     few = named.join(sizes.where(F.col("rows") <= most), "signature", "left_semi")
     many = named.join(sizes.where(F.col("rows") > most), "signature", "left_semi")
-    second = many.select(F.col("signature").alias("second"), "name")
-    dealt = many.join(second, "name").where(F.col("signature") < F.col("second")).select(F.xxhash64("signature", "second").alias("signature"), "name", "label")
-    dealt = staged(dealt, "signature-pairs")
+    if certain is None:
+        second = many.select(F.col("signature").alias("second"), "name")
+        met = many.join(second, "name").where(F.col("signature") < F.col("second"))
+    elif sizes.where(F.col("rows") > most).isEmpty():
+        return few
+    else:
+        owners = staged(many.select("name", "label").distinct(), "frequent-classes")
+        finer = certain(owners.select("name")).join(owners, "name")
+        second = finer.join(several(finer), "signature", "left_semi").select(F.col("signature").alias("second"), "name")
+        met = many.join(second, "name")
+    dealt = staged(met.select(F.xxhash64("signature", "second").alias("signature"), "name", "label"), "signature-pairs")
     return few.unionByName(dealt.join(several(dealt), "signature", "left_semi"))
 
 
@@ -363,8 +383,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(small_batches(met).where(_linked(percent)("shingles_o", "shingles_f")).select("first", "other"), "verified-links")
 
 
-def linked_components(docs: DataFrame, sets: DataFrame, classes: DataFrame, signatures: DataFrame, k: int, percent: int, key: str, text: str) -> DataFrame:
-    """For every row the key, ``text_hash, n_shingles, component`` (a number, null for empty sets) and ``component_id``, the least id reachable by links."""
+def linked_components(docs: DataFrame, sets: DataFrame, classes: DataFrame, signatures: DataFrame, k: int, percent: int, key: str, text: str,
+                      signer: Callable[[], Signer] | None = None) -> DataFrame:
+    """For every row the key, ``text_hash, n_shingles, component`` (a number, null for empty sets) and ``component_id``, the least id reachable by links.
+
+    ``signer``: if linked sets share two of the ``signatures`` only with a probability, makes signatures of which they share one for certain.
+    """
+    made: list[DataFrame] = []
+
+    def certain(names: DataFrame) -> DataFrame:
+        """Once: as components merge, fewer signatures are mixed, so later rounds ask for some of the same names."""
+        if not made:
+            same = names.select(F.col("name").alias("first"), F.col("name").alias("other"))
+            made.append(staged(signatures_of_sets(whole_sets(docs, classes, same, k, key, text), signer()), "certain-signatures"))
+        return made[0]
+
     star = stars(signatures)
     narrow = classes.select("name", "n_shingles", "sketch")
     by_half = classes.select("n1", "name")
@@ -380,7 +413,7 @@ def linked_components(docs: DataFrame, sets: DataFrame, classes: DataFrame, sign
     closest: int | None = CLOSEST
     while True:
         named = staged(members.join(labels, members["name"] == labels["node"], "left").select("signature", "name", F.coalesce("component", "name").alias("label")), "labelled-members")
-        found = across(mixed_groups(named).join(narrow, "name"), percent, closest)
+        found = across(mixed_groups(named, certain=signer and certain).join(narrow, "name"), percent, closest)
         if found.isEmpty():
             break
         pairs = found.select("first", "other")

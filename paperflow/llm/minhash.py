@@ -5,8 +5,9 @@ rank over a document's places shifted back by j, so the second permutation, move
 Coordinates are banded: ``rows`` neighbours make a signature, and documents that share one are compared exactly.
 
 With 32 bands of 4 coordinates two sets of Jaccard index 0.85 share fewer than two signatures with probability 2e-9 (the binomial bound for
-independent coordinates; shifted ones spread less), and sets of index 0.3 share one with probability 0.23.  All links found are verified on
-the whole sets, so nothing is linked by chance.  Sets, names, stars, sketches and edge cases are those of ``linking``.
+independent coordinates; shifted ones spread less), and sets of index 0.3 share one with probability 0.23.  One shared signature is enough however
+many sets have it: the sets of a frequent one are dealt by the signatures of ``jaccard``, of which linked sets share some for certain.  All links
+found are verified on the whole sets, so nothing is linked by chance.  Sets, names, stars, sketches and edge cases are those of ``linking``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .filters import C3, mixed
+from .jaccard import certain_signer
 from .linking import components_sql, document_sets, linked_components, set_classes, signatures_of_classes
 
 K, PERCENT = 5, 85
@@ -61,7 +63,7 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT, key: st
     """``doc_id, n_shingles, component_id, kept``: the least id reachable by links, and whether it is the row's own."""
     sets = document_sets(docs, k, key, text, lambda s: band_signatures(s, bands, rows), SKETCH_SLOTS)
     classes = set_classes(sets)
-    found = linked_components(docs, sets, classes, signatures_of_classes(classes), k, percent, key, text)
+    found = linked_components(docs, sets, classes, signatures_of_classes(classes), k, percent, key, text, lambda: certain_signer(sets, percent))
     return found.select(key, "n_shingles", "component_id", F.col(key).eqNullSafe(F.col("component_id")).alias("kept"))
 
 

@@ -84,3 +84,17 @@ def test_many_copies_and_unlinked_sets_of_one_signature(spark):
         groups[r["signature"]] += 1
         held.setdefault(r["signature"], set()).add(r["name"])
     assert max(groups.values()) <= 128 and {5000, 5001} in held.values()
+
+
+@pytest.mark.parametrize("split", [1 << 16, 5])
+def test_one_shared_signature_is_enough_at_every_size(spark, split, monkeypatch):
+    """All sets share the one signature there is; linked ones that are not the first's are found whether it is split or not."""
+    monkeypatch.setattr(L, "SPLIT_ROWS", split)
+    least = min((f"c{i}" for i in range(20_000)), key=lambda w: M.coordinates(L.ShingleSets(1)(w.encode()), 1)[0])
+    rows = []
+    for i in range(12):
+        own = [least] + [f"d{i}x{j}" for j in range(24)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[:-1] + [f"e{i}"]))]
+    got = M.near_duplicates(docs(spark, rows), 1, 85, bands=1, rows=1).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute(rows, 1, 85)
+    assert {r["component_id"] for r in got} == set(range(0, 24, 2))
