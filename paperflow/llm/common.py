@@ -10,6 +10,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +25,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Writes the rows to the shared folder and reads them back, which cuts the lineage for lost executors."""
+    """Writes the rows to the shared folder and reads them back, which cuts the lineage for lost executors.
+
+    The shuffle files of the write go when it ends, not when the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -71,5 +83,26 @@ def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.where(h <= min(2**63 - 1, int(share * 2**64) - 2**63)).orderBy(h, *df.columns).limit(rows)
 
 
+_TABLES: dict[str, tuple[object, object, object]] = {}
+
+
+def worker_table(kind: str, key: object, make: Callable[[], object]) -> object:
+    """A table that a Python worker keeps from batch to batch and task to task, one of a kind.
+
+    Workers serve the operators of a session in turn.  When one of them makes its table, those that the task at hand has not used go, so that a worker
+    holds what one operator needs and not the sum over all of them.
+    """
+    context = TaskContext.get()
+    task = context.taskAttemptId() if context else None
+    _, known, table = _TABLES.get(kind, (None, None, None))
+    if table is None or known != key:
+        table = None
+        for other in [k for k, (used, _, _) in _TABLES.items() if k == kind or used != task]:
+            del _TABLES[other]
+        table = make()
+    _TABLES[kind] = task, key, table
+    return table
+
+
 def words(text: bytes) -> list[bytes]:
     return text.lower().split()

@@ -16,7 +16,6 @@ Empty tables give no rows.  Other columns are not read.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches, small_batches
+from .common import in_batches, small_batches, worker_table
 
 RATE = 0.05
 PASSAGE_WORDS = 13
@@ -145,9 +144,8 @@ class Finder:
         return best
 
 
-@functools.lru_cache(maxsize=1)
 def _finder(items: tuple[tuple[int, str], ...], rate: float, passage_words: int, min_chars: int) -> Finder:
-    return Finder(list(items), rate, passage_words, min_chars)
+    return worker_table("finder", (items, rate, passage_words, min_chars), lambda: Finder(list(items), rate, passage_words, min_chars))
 
 
 def _chunk_hits(docs: DataFrame, items: list[tuple[int, str]], rate: float, passage_words: int, min_chars: int) -> DataFrame:

@@ -16,7 +16,6 @@ Other columns pass through.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections import Counter
@@ -27,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, small_batches
+from .common import hashed_sample, small_batches, worker_table
 
 BUCKETS = 1 << 20
 SAMPLE_ROWS, SAMPLE_BYTES = 8_000, 256 << 10
@@ -162,12 +161,14 @@ class _Scorer:
         return sum(sorted(map(self.known.__getitem__, different))) + sum(float(self.weights[bucket(f)]) for f in share_features(text, words))
 
 
-@functools.lru_cache(maxsize=2)
 def _scorer(sent) -> _Scorer:
-    index, values = sent.value
-    weights = np.zeros(BUCKETS)
-    weights[index] = values
-    return _Scorer(weights)
+    def make() -> _Scorer:
+        index, values = sent.value
+        weights = np.zeros(BUCKETS)
+        weights[index] = values
+        return _Scorer(weights)
+
+    return worker_table("scorer", sent, make)
 
 
 def score(docs: DataFrame, model: OrdinalModel, text: str = "text", into: str = "grade") -> DataFrame:

@@ -8,12 +8,13 @@ pattern and go straight to its merge model; all others take the library's whole
 from __future__ import annotations
 
 import array
-import functools
 import os
 import sys
 
 import regex
 
+from .common import worker_table
+
 CACHE_ENTRIES = 500_000
 """Of about 200 bytes each; a full cache is emptied."""
 
@@ -92,7 +93,6 @@ class Encoder:
         return ids
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker."""
-    return Encoder(path)
+    return worker_table("encoder", path, lambda: Encoder(path))
