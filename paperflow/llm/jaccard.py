@@ -65,12 +65,15 @@ def signatures(s: np.ndarray, starts: list[int], plan: list[tuple[int, int]], pe
     found, value = [], mixed(s ^ C1)
     for space in spaces:
         m, q = plan[space]
-        segment = (mixed(s + np.uint64(space)) % np.uint64(m)).astype(np.int64)
+        segment = (mixed(s + np.uint64(space)) % np.uint64(m)).astype(np.min_scalar_type(m))  # few bytes are sorted by radix
         with np.errstate(over="ignore"):
             order = np.argsort(segment, kind="stable")
-            at = np.searchsorted(segment[order], np.arange(m + 1))
-            running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[order], dtype=np.uint64)])
-            content = running[at[1:]] - running[at[:-1]]
+            ends = np.cumsum(np.bincount(segment, minlength=m))
+            running = np.zeros(n + 1, np.uint64)
+            np.cumsum(value[order], out=running[1:])
+            running = running[ends]
+            content = running.copy()
+            content[1:] -= running[:-1]
             tag = mixed(np.arange(m, dtype=np.uint64) + np.uint64(space << 40))
             found.append(mixed(content ^ tag))
             if q:

@@ -20,7 +20,6 @@ names it.  An empty table gives no rows.  Other columns are not read.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import free_names, in_batches, raw, small_batches, staged, words
 from .components import components
-from .filters import C1, C2, C3, KeyFilter, key_filter, mixed
+from .filters import C1, C2, C3, KeyFilter, distinct, key_filter, mixed
 
 BLOCK_ROWS = 8192
 SPLIT_ROWS = 65_536
@@ -41,7 +40,6 @@ SKETCH_BITS = 1
 them, but every row of a group that is compared carries its sketch."""
 CLOSEST = 2
 FLUSH_PAIRS = 20_000
-WORD_ENTRIES = 200_000
 NAMES_SEEN = 100_000
 """Classes of which a task remembers that it has sent their signatures."""
 Signer = Callable[[np.ndarray], np.ndarray]
@@ -49,30 +47,21 @@ Signer = Callable[[np.ndarray], np.ndarray]
 
 
 class ShingleSets:
-    """Sorted 64-bit shingle hashes of a text, with a bounded table of words seen."""
+    """Sorted 64-bit shingle hashes of a text.  Hashing a word takes less time than looking it up in a table of words seen."""
 
-    def __init__(self, k: int, entries: int = WORD_ENTRIES):
-        self.k, self.entries, self.known = k, entries, {}
+    def __init__(self, k: int):
+        self.k = k
 
     def __call__(self, body: bytes) -> np.ndarray:
         found = words(body)
         if not found:
             return np.zeros(0, np.uint64)
-        if len(self.known) > self.entries:
-            self.known = {}
-        for w in set(found).difference(self.known):
-            self.known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
         k = min(self.k, len(h))
         out = h[:len(h) - k + 1]
         for j in range(1, k):
             out = mixed(out) + h[j:len(h) - k + 1 + j]
-        return np.unique(mixed(out))
-
-
-@functools.lru_cache(maxsize=4)
-def _sets(k: int) -> ShingleSets:
-    return ShingleSets(k)
+        return distinct(mixed(out))
 
 
 def most_different(total: int, percent: int) -> int:
@@ -110,7 +99,7 @@ def document_sets(docs: DataFrame, k: int, key: str, text: str, sign: Signer | N
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), raw(text).alias("body"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _sets(k)
+        sets = ShingleSets(k)
         for batch in batches:
             made = [sets(body) for body in batch.column(2).to_pylist()]
             columns = [batch.column(0), batch.column(1), pa.array([len(s) for s in made], pa.int64()), *_named(made),
@@ -142,7 +131,7 @@ def signatures_of_classes(classes: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _signature_rows([np.unique(np.frombuffer(s, np.uint64)) for s in batch.column(1).to_pylist()], batch.column(0).to_pylist())
+                yield _signature_rows([distinct(np.frombuffer(s, np.uint64)) for s in batch.column(1).to_pylist()], batch.column(0).to_pylist())
 
     return in_batches(classes.select("n1", "signed"), emit, "signature long, name long")
 
@@ -150,7 +139,7 @@ def signatures_of_classes(classes: DataFrame) -> DataFrame:
 def signatures_of_texts(docs: DataFrame, k: int, sign: Signer, text: str) -> DataFrame:
     """The same from the texts; a task sends a class's signatures once, however many copies it meets."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, seen = _sets(k), set()
+        sets, seen = ShingleSets(k), set()
         for batch in batches:
             fresh = {}
             for s in map(sets, batch.column(0).to_pylist()):
@@ -158,7 +147,7 @@ def signatures_of_texts(docs: DataFrame, k: int, sign: Signer, text: str) -> Dat
                     seen.add(name)
                     fresh[name] = s
             if fresh:
-                yield _signature_rows([np.unique(sign(s)) for s in fresh.values()], list(fresh))
+                yield _signature_rows([distinct(sign(s)) for s in fresh.values()], list(fresh))
             if len(seen) > NAMES_SEEN:
                 seen = set()
 
@@ -170,7 +159,7 @@ def signatures_of_sets(sets: DataFrame, sign: Signer) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _signature_rows([np.unique(sign(np.frombuffer(s, np.uint64))) for s in batch.column(1).to_pylist()], batch.column(0).to_pylist())
+                yield _signature_rows([distinct(sign(np.frombuffer(s, np.uint64))) for s in batch.column(1).to_pylist()], batch.column(0).to_pylist())
 
     return in_batches(sets.select("name", "shingles"), emit, "signature long, name long")
 
@@ -248,7 +237,7 @@ def whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, ke
     found = small_batches(bodies).where(may_own("hash")).join(owners, (F.col("hash") == F.col("owner_hash")) & F.col("id").eqNullSafe(F.col("owner_id"))).select("name", "n1", "n2", "body")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _sets(k)
+        sets = ShingleSets(k)
         for batch in batches:
             rows = {name: s.tobytes() for name, n1, n2, body in zip(*(c.to_pylist() for c in batch.columns)) if set_name(s := sets(body)) == (n1, n2)}
             if rows:

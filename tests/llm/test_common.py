@@ -1,7 +1,12 @@
 import glob
 import time
 
+import numpy as np
+import xxhash
+
 from paperflow.llm import common
+from paperflow.llm.filters import distinct, mixed
+from paperflow.llm.linking import ShingleSets
 
 
 def test_a_worker_keeps_the_tables_of_one_operator(monkeypatch):
@@ -38,3 +43,14 @@ def test_staged_rows_leave_no_shuffle_files(spark):
     while files() - old and time.time() < until:
         time.sleep(0.2)
     assert not files() - old and out.count() == 7 and spark.conf.get(common.SHUFFLE_CLEANUP) == before
+
+
+def test_shingles_are_hashed_words(monkeypatch):
+    assert not hasattr(ShingleSets(3), "known")
+    text = b"B a c a B a c d \x00 a"
+    h = [np.array([xxhash.xxh3_64_intdigest(w)], np.uint64) for w in text.lower().split()]
+    want = {int(mixed(mixed(mixed(a) + b) + c)[0]) for a, b, c in zip(h, h[1:], h[2:])}
+    assert ShingleSets(3)(text).tolist() == sorted(want)
+    for n in (0, 1, 2, 500):
+        x = np.random.default_rng(n).integers(0, 300, n).astype(np.uint64)
+        assert distinct(x).tolist() == np.unique(x).tolist()
