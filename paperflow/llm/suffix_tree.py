@@ -97,6 +97,10 @@ class Keys:
         self.slots = np.zeros(int(self.mask) + 1, bool)
         self.slots[(self.keys & self.mask).astype(np.int64)] = True
 
+    def __reduce__(self):
+        """The slots, most of its bytes, are made anew where it arrives: every executor writes a broadcast to its disk."""
+        return Keys, (self.keys, self.values)
+
     def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which keys are there, and their values, else 0."""
         there, out = np.zeros(len(asked), bool), np.zeros(len(asked))

@@ -1,7 +1,9 @@
 import math
+import pickle
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from paperflow.llm import filters
@@ -111,3 +113,13 @@ def test_without_training_rows(spark):
     out = P.score_documents(docs(spark, [(held, "a b")])).collect()[0]
     assert (out["train_tokens"], out["n_known"], out["n_tokens"], out["score"]) == (0, 0, 3, 0.0)
     assert P.score_documents(docs(spark, [])).count() == 0
+
+
+def test_sent_tables_carry_keys_and_values_only():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5000):
+        keys, values = rng.integers(1, 1 << 62, n).astype(np.uint64), rng.random(n)
+        sent = pickle.dumps(P.Keys(keys, values))
+        assert len(sent) < 16 * n + 1000
+        there, found = pickle.loads(sent).find(np.concatenate([keys, keys + np.uint64(1)]))
+        assert there.tolist() == [True] * n + [False] * n and found[:n].tolist() == values.tolist()
