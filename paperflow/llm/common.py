@@ -6,6 +6,8 @@ A-Z is lower-cased, which is exactly ``bytes.lower().split()``.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -56,9 +58,22 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Returns what the allocators of Arrow and C hold free.  An idle Python worker would keep it, and an executor has several that serve in turn."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of few rows."""
-    return small_batches(df).mapInArrow(fn, schema)
+    """``mapInArrow`` with batches of few rows; a task gives its worker's free memory back when it ends."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return small_batches(df).mapInArrow(task, schema)
 
 
 def free_names(df: DataFrame, *wanted: str) -> list[str]:

@@ -45,6 +45,29 @@ def test_staged_rows_leave_no_shuffle_files(spark):
     assert not files() - old and out.count() == 7 and spark.conf.get(common.SHUFFLE_CLEANUP) == before
 
 
+def test_a_task_gives_free_memory_back(spark, tmp_path):
+    kept = 64 << 20
+
+    def hold(batches):
+        for batch in batches:
+            held = [common.pa.allocate_buffer(1 << 16, resizable=True) for _ in range(kept >> 16)]
+            for b in held:
+                memoryview(b).cast("B")[::4096] = b"x" * (1 << 4)
+            del held, b
+            yield batch
+
+    def measure(batches):
+        for batch in batches:
+            lines = open("/proc/self/smaps_rollup").read().splitlines()
+            size = sum(int(x.split()[1]) for x in lines if x.startswith("Private_Dirty:")) << 10
+            yield common.pa.RecordBatch.from_arrays([common.pa.array([size] * batch.num_rows)], names=["id"])
+
+    rows = spark.range(1).coalesce(1)
+    before = common.in_batches(rows, measure, "id long").head()[0]
+    common.in_batches(rows, hold, "id long").collect()
+    assert common.in_batches(rows, measure, "id long").head()[0] < before + kept // 2
+
+
 def test_shingles_are_hashed_words(monkeypatch):
     assert not hasattr(ShingleSets(3), "known")
     text = b"B a c a B a c d \x00 a"

@@ -40,6 +40,25 @@ def test_encoder_equals_the_library_on_any_text(text):
 test_encoder_equals_the_library_on_any_text.e = Encoder(vocabulary_path(), cache_entries=50)
 
 
+def test_an_encoder_lives_as_long_as_its_task(spark, monkeypatch):
+    from paperflow.llm import common
+
+    monkeypatch.setattr(common, "small_batches", lambda df: df)
+    taken = []
+
+    class Rows:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, fn, schema):
+            taken.append(fn)
+
+    monkeypatch.setattr(common, "_TABLES", {})
+    packing.token_pieces(Rows(), vocabulary_path())
+    batch = common.pa.RecordBatch.from_arrays([common.pa.array([1]), common.pa.array(["a b"])], names=["doc_id", "text"])
+    assert [b.num_rows for b in taken[0](iter([batch]))] == [1] and not common._TABLES
+
+
 def test_the_fullest_bin_closes_first():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(n) for n in (6, 8, 5)] == [(0, 0), (1, 0), (2, 0)]  # 8 was the fullest and closed
