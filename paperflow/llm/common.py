@@ -46,6 +46,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Removes the files of staged rows that nothing reads any more, so that they do not count against the disk until the session ends."""
+    for rows in tables:
+        hadoop = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
+        for folder in {name.rsplit("/", 1)[0] for name in rows.inputFiles()}:
+            path = hadoop.Path(folder)
+            path.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def raw(text: str | Column) -> Column:
     """A text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")

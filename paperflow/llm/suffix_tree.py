@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_batches, raw, staged, words
+from .common import dropped, in_batches, raw, staged, words
 from .filters import KeyFilter, key_filter, mixed
 
 LEAST_COUNT = 3
@@ -327,7 +327,9 @@ def grow(training: DataFrame, counts: DataFrame, whole: float, least_count: int,
     shorter = often.select(F.lit(0).cast("long").alias("short"), F.col("symbol").alias("last"), ((F.col("c") + 0.5) / F.lit(whole)).alias("below"))
     known, levels = key_filter(often, "symbol"), []
     for length in range(2, depth + 2):
-        rows = judged(sequence_counts(training, length, known, least_count), contexts, shorter, divergence, prior)
+        found = sequence_counts(training, length, known, least_count)
+        rows = judged(found, contexts, shorter, divergence, prior)
+        dropped(found)
         levels.append(rows)
         if length <= depth:
             known = key_filter(rows, "key")
@@ -346,11 +348,14 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     n_symbols, n_different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()
     whole = n_symbols + 0.5 * (n_different + 1)
     own = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / whole) if n_symbols else F.lit(0.0)
-    found = entries(grow(training, counts, whole, least_count, depth, divergence, prior) if n_symbols else [], spark)
+    levels = grow(training, counts, whole, least_count, depth, divergence, prior) if n_symbols else []
+    found = entries(levels, spark)
+    dropped(*levels)
     cut = most_frequent(found, sent)
     few, others = found.where(F.col("c") >= cut), staged(found.where(F.col("c") < cut), "other-entries")
     common = counts.where(F.col("c") >= most_frequent(counts, sent))
     told = spark.sparkContext.broadcast((_gathered(common, "symbol", own), _gathered(few, "k", F.col("v")), key_filter(others, "k").bits, depth))
+    dropped(found)
     part = (f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, n_tokens long, base double, logs double, "
             "rare array<struct<word: binary, n: long>>, asked array<struct<key: long, n: long>>")
 
@@ -369,15 +374,15 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                                                   pa.concat_arrays(rare), pa.concat_arrays(asked)],
                                                  names=["doc_id", "held_out", "n_tokens", "base", "logs", "rare", "asked"])
 
-    scored = staged(in_batches(rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "body"), score, part), "tree-scores")
-    scored = scored.withColumn("row", F.monotonically_increasing_id())
+    scored = in_batches(rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "body"), score, part)
+    scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "tree-scores")
     nothing = F.lit(0.0)
-    words_met = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(counts.select("word", "c"), "word", "left").select(
-        "row", (F.col("n") * own).alias("own"), nothing.alias("gained"), F.when(F.col("c").isNull(), F.col("n")).otherwise(0).alias("unknown"))
-    met = scored.select("row", F.explode("asked").alias("a")).select("row", F.col("a.key").alias("k"), "a.n").join(others.select("k", "v"), "k").select(
-        "row", nothing.alias("own"), (F.col("n") * F.col("v")).alias("gained"), F.lit(0).cast("long").alias("unknown"))
-    sums = words_met.unionByName(met).groupBy("row").agg(F.sum("own").alias("own"), F.sum("gained").alias("gained"), F.sum("unknown").alias("unknown"))
-    joined = scored.drop("rare", "asked").join(sums, "row", "left")
+    words_met = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(counts.select("word", "c"), "word", "left").groupBy("row").agg(
+        F.sum(F.col("n") * own).alias("own"), F.sum(F.when(F.col("c").isNull(), F.col("n")).otherwise(0)).alias("unknown"))
+    met = scored.select("row", F.explode("asked").alias("a")).select("row", F.col("a.key").alias("k"), "a.n").join(others.select("k", "v"), "k").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("v")).alias("gained"))
+    words_met, met = staged(words_met, "rare-words"), staged(met, "looked-up")
+    joined = scored.drop("rare", "asked").join(words_met, "row", "left").join(met, "row", "left")
     added, gained = F.coalesce("own", nothing), F.coalesce("gained", nothing)
     return joined.select(F.col("doc_id").alias(key), "held_out", "n_tokens", (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"),
                          F.lit(n_symbols).cast("long").alias("train_tokens"), (F.col("base") + added).alias("base_score"),

@@ -68,6 +68,14 @@ def test_a_task_gives_free_memory_back(spark, tmp_path):
     assert common.in_batches(rows, measure, "id long").head()[0] < before + kept // 2
 
 
+def test_dropped_rows_leave_no_files(spark):
+    kept, gone = (common.staged(spark.range(10).repartition(2), "test-dropped") for _ in range(2))
+    folder = gone.inputFiles()[0].removeprefix("file:").replace("///", "/").rsplit("/", 1)[0]
+    assert glob.glob(f"{folder}/*")
+    common.dropped(gone)
+    assert not glob.glob(folder) and kept.count() == 10
+
+
 def test_shingles_are_hashed_words(monkeypatch):
     assert not hasattr(ShingleSets(3), "known")
     text = b"B a c a B a c d \x00 a"
