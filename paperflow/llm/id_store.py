@@ -42,6 +42,9 @@ BLOCK_BYTES = 256 << 10
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_BYTES = 1_000, 16 << 10
 LEVEL = 3
+CACHE_ENTRIES = 1_000_000
+"""Of an encoder that writes; most of the time goes to words it does not know."""
+
 BLOCKS = "part int, seq int, first_doc_id long, last_doc_id long, n_docs int, n_tokens long, block binary"
 
 
@@ -129,7 +132,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str | None = None, end_i
                         ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("block", pa.binary())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(vocabulary).ids
+        ids_of = encoder(vocabulary, CACHE_ENTRIES).ids
         pack = zstandard.ZstdCompressor(level=level, write_content_size=True, **_shared(dictionary)).compress
         part, seq, doc_ids, counts, frames, held = 0, 0, [], [], [], 0
 

@@ -10,13 +10,15 @@ from __future__ import annotations
 import array
 import os
 import sys
+import weakref
+from collections.abc import Callable
 
 import regex
 
 from .common import worker_table
 
 CACHE_ENTRIES = 500_000
-"""Of about 200 bytes each; a full cache is emptied."""
+"""Of about 200 bytes each.  When half of them are new, they become the old half, which serves until the next time."""
 
 LONGEST_CACHED = 64
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -42,6 +44,18 @@ def _packed(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+class _Known(dict):
+    """Ids of chunks and pieces; a chunk that is asked for is learnt.  It does not keep the encoder alive, so that both go when the encoder's task ends."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__({"": b""})
+        self.learn = weakref.WeakMethod(learn)
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self[chunk] = self.learn()(chunk)
+        return found
+
+
 class Encoder:
     """``ids(text)`` gives the ids as little-endian unsigned 32-bit numbers in one bytes object."""
 
@@ -53,7 +67,7 @@ class Encoder:
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.limit = cache_entries
-        self.known: dict[str, bytes] = {"": b""}
+        self.known, self.old, self.long = _Known(self._learnt), {}, []
 
     def _piece(self, piece: str) -> bytes:
         if piece.isascii():
@@ -64,7 +78,8 @@ class Encoder:
 
     def _known(self, piece: str) -> bytes:
         if (found := self.known.get(piece)) is None:
-            found = self._piece(piece)
+            if (found := self.old.get(piece)) is None:
+                found = self._piece(piece)
             if len(piece) <= LONGEST_CACHED:
                 self.known[piece] = found
         return found
@@ -79,20 +94,23 @@ class Encoder:
             return b"".join(map(self._known, _PIECE.findall(low)))
         return _packed(self.whole.encode(chunk, add_special_tokens=False).ids)
 
+    def _learnt(self, chunk: str) -> bytes:
+        """Long chunks stay known until their text ends."""
+        if len(chunk) > LONGEST_CACHED:
+            self.long.append(chunk)
+        elif (found := self.old.get(chunk)) is not None:
+            return found
+        return self._chunk(chunk)
+
     def ids(self, text: str) -> bytes:
-        if len(self.known) > self.limit:
-            self.known = {"": b""}
-        known, parts, long = self.known, text.replace("\n", " ").replace("\t", " ").split(" "), []
-        for part in set(parts).difference(known):
-            known[part] = self._chunk(part)
-            if len(part) > LONGEST_CACHED:
-                long.append(part)
-        ids = b"".join(map(known.__getitem__, parts))
-        for part in long:
-            del known[part]
+        if len(self.known) > self.limit // 2:
+            self.known, self.old = _Known(self._learnt), self.known
+        ids = b"".join(map(self.known.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        while self.long:
+            del self.known[self.long.pop()]
         return ids
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache_entries: int = CACHE_ENTRIES) -> Encoder:
     """One encoder for each Python worker."""
-    return worker_table("encoder", path, lambda: Encoder(path))
+    return worker_table("encoder", (path, cache_entries), lambda: Encoder(path, cache_entries))

@@ -1,3 +1,5 @@
+import gc
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -124,3 +126,27 @@ def test_few_open_bins_lose_little_and_the_bound_binds():
     best, _ = made(np.argsort(-lengths), 1 << 30)
     ours, early = made(packing.arrivals(lengths, packing.LOOK_AHEAD), packing.OPEN_BINS)
     assert early > 100 and ours <= 1.003 * best
+
+
+def test_words_that_come_again_outlive_a_full_cache(monkeypatch):
+    """New words alone go to the model, however many others pass between; long chunks are not kept."""
+    e, asked = Encoder(vocabulary_path(), cache_entries=60), []
+    piece = e._piece
+    monkeypatch.setattr(e, "_piece", lambda p: asked.append(p) or piece(p))
+    lines = [f"often seen words {''.join(chr(97 + int(c)) for c in str(k))}x {'long' * 30}" for k in range(200)]
+    for line in lines:
+        assert np.frombuffer(e.ids(line), "<u4").tolist() == e.whole.encode(line, add_special_tokens=False).ids
+    assert [asked.count(w) for w in ("often", "seen", "words")] == [1, 1, 1]
+    assert len(e.known) + len(e.old) < 80 and not any(len(w) > 64 for w in [*e.known, *e.old])
+
+
+def test_an_encoder_goes_without_the_garbage_collector():
+    e = Encoder(vocabulary_path())
+    e.ids("some words")
+    gone = weakref.ref(e)
+    gc.disable()
+    try:
+        del e
+        assert gone() is None
+    finally:
+        gc.enable()
