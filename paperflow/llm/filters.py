@@ -39,13 +39,23 @@ class KeyFilter:
         self.bits = bits
 
     def may_have(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        mask = np.uint64(8 * len(self.bits) - 1)
-        for shift in SHIFTS:
-            at = (keys >> np.uint64(shift) & mask).astype(np.int64)
-            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        """Where the first bit turns most keys away, only the others are looked at again."""
+        out = self._set(keys, SHIFTS[0])
+        if 2 * np.count_nonzero(out) > len(keys):
+            for shift in SHIFTS[1:]:
+                out &= self._set(keys, shift)
+            return out
+        left = np.flatnonzero(out)
+        for shift in SHIFTS[1:]:
+            left = left[self._set(keys[left], shift)]
+        out[:] = False
+        out[left] = True
         return out
 
+    def _set(self, keys: np.ndarray, shift: int) -> np.ndarray:
+        at = (keys >> np.uint64(shift) & np.uint64(8 * len(self.bits) - 1)).astype(np.int64)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
 
 def key_filter(keys: DataFrame, column: str, bits: int | None = None) -> KeyFilter:
     """The bits are set by an aggregation over blocks of 32,768 bits; what comes to the driver is ``bits`` bits at most."""

@@ -27,9 +27,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,68 +49,104 @@ END = b" "
 FLUSH = 1_000_000
 HELD = 1_500_000
 """Positions whose sequences a task counts at a time."""
+STRIPE = 1 << 21
+"""Positions whose sequences a stripe of the counting holds on average."""
+PIECE = 1 << 15
+"""Sequences that one row of the shuffle holds at most."""
 CONTEXT = np.uint64(0x5851F42D4C957F2D)
 """Sets a context's entry apart from that of the sequence itself."""
+LONG = 64
+"""Bytes of a word that are hashed eight at a time, all words at once; longer words go one by one."""
+SEEDS = mixed(np.arange(LONG + 2, dtype=np.uint64))
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def symbols_of(found: list[bytes]) -> np.ndarray:
-    """64-bit symbols of words, never 0, which is a gap."""
-    out = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+def symbols_at(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit symbols, never 0, which is a gap, of the words that lie in ``data``, which goes on for 8 bytes after the last one."""
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = SEEDS[np.minimum(sizes, LONG + 1)]
+    left = np.flatnonzero(sizes <= LONG)
+    for at in range(0, LONG, 8):
+        out[left] = mixed(out[left] + (eights[starts[left] + at] & MASKS[np.minimum(sizes[left] - at, 8)]))
+        left = left[sizes[left] > at + 8]
+        if not len(left):
+            break
+    for k in np.flatnonzero(sizes > LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k]:starts[k] + sizes[k]].tobytes())
     out[out == 0] = 1
     return out
 
 
+def symbols_of(found: pa.BinaryArray) -> np.ndarray:
+    ends = np.frombuffer(found.buffers()[1], np.int32)[found.offset:found.offset + len(found) + 1].astype(np.int64)
+    return symbols_at(np.concatenate([np.frombuffer(found.buffers()[2], np.uint8), np.zeros(8, np.uint8)]), ends[:-1], np.diff(ends))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word binary, symbol long, c`` of one column of texts, ends included."""
     schema = pa.schema([("word", pa.binary()), ("symbol", pa.int64()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums in a bounded table; what does not fit goes on to the shuffle."""
-        held: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def flush() -> pa.RecordBatch:
-            own = symbols_of(list(held)).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(own), pa.array(held.values(), pa.int64())], schema=schema)
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            rows = summed()
+            found = rows["word"].combine_chunks()
+            yield from pa.table([found, pa.array(symbols_of(found).view(np.int64)), rows["c"]], schema=schema).to_batches()
 
         for batch in batches:
-            for body in batch.column(0).to_pylist():
-                held.update(words(body))
-                held[END] += 1
-                if len(held) > FLUSH:
-                    yield flush()
-                    held.clear()
+            for lines in in_lines(batch.column(0).to_pylist()):
+                held.append(lines.counted())
+                if sum(map(len, held)) > FLUSH:
+                    held = [summed()]
+                    if len(held[0]) > FLUSH // 2:
+                        yield from flush()
+                        held = []
         if held:
-            yield flush()
+            yield from flush()
 
     return in_batches(texts, count, "word binary, symbol long, c long").groupBy("word", "symbol").agg(F.sum("c").alias("c"))
 
 
 class Keys:
-    """Sorted keys with a table of hash slots that answers for most keys that are not among them."""
+    """Sorted 64-bit hashes with the place where those of each beginning start, so that most are found, or not, in one step."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
-        self.mask = np.uint64((1 << max(6, (16 * len(keys)).bit_length())) - 1)
-        self.slots = np.zeros(int(self.mask) + 1, bool)
-        self.slots[(self.keys & self.mask).astype(np.int64)] = True
+        bits = max(6, (2 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        beginning = (self.keys >> self.shift).astype(np.int64)
+        new = np.flatnonzero(np.diff(beginning, prepend=-1))
+        self.first = np.full(1 << bits, -1, np.int32)
+        self.first[beginning[new]] = new
 
     def __reduce__(self):
-        """The slots, most of its bytes, are made anew where it arrives: every executor writes a broadcast to its disk."""
+        """The places are made anew where it arrives: every executor writes a broadcast to its disk."""
         return Keys, (self.keys, self.values)
 
     def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which keys are there, and their values, else 0."""
         there, out = np.zeros(len(asked), bool), np.zeros(len(asked))
-        if len(self.keys):
-            here = np.flatnonzero(self.slots[(asked & self.mask).astype(np.int64)])
-            at = np.minimum(np.searchsorted(self.keys, asked[here]), len(self.keys) - 1)
-            same = self.keys[at] == asked[here]
-            there[here[same]], out[here[same]] = True, self.values[at[same]]
+        at = self.first[(asked >> self.shift).astype(np.int64)]
+        left = np.flatnonzero(at >= 0)
+        at, wanted = at[left], asked[left]
+        while len(left):
+            key = self.keys[at]
+            same = np.flatnonzero(key == wanted)
+            there[left[same]], out[left[same]] = True, self.values[at[same]]
+            at += 1
+            more = np.flatnonzero((key < wanted) & (at < len(self.keys)))
+            left, at, wanted = left[more], at[more], wanted[more]
         return there, out
 
 
@@ -119,25 +157,44 @@ def chain(before: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.where((before == 0) | (last == 0), np.uint64(0), key)
 
 
-END_SYMBOL = symbols_of([END])[0]
+END_SYMBOL = symbols_of(pa.array([END], pa.binary()))[0]
 
 
 class Lines:
     """Several texts as one row of symbols: the start, the words, the end and a gap for each."""
 
     def __init__(self, bodies: list[bytes]):
-        found = [words(b) for b in bodies]
-        self.words = [w for f in found for w in f]
-        self.sizes = np.array([len(f) for f in found], np.int64)
+        self.bytes = b" ".join([b"", *bodies, b""]).lower() + b" " * 8
+        data = np.frombuffer(self.bytes, np.uint8)
+        is_space = IS_SPACE[data]
+        self.edges = np.flatnonzero(is_space[1:] != is_space[:-1]) + 1
+        at = self.edges[::2]
+        bounds = np.cumsum([1, *(len(b) + 1 for b in bodies)])
+        self.sizes = np.diff(np.searchsorted(at, bounds))
         self.starts = np.cumsum(np.concatenate([[0], self.sizes[:-1] + 3]))
         self.ends = self.starts + self.sizes + 1
-        self.symbols = np.zeros(len(self.words) + 3 * len(bodies), np.uint64)
-        is_word = np.ones(len(self.symbols), bool)
-        for at in (self.starts, self.ends, self.ends + 1):
-            is_word[at] = False
+        is_word = np.ones(len(at) + 3 * len(bodies), bool)
+        for k in (self.starts, self.ends, self.ends + 1):
+            is_word[k] = False
         self.word_places = np.flatnonzero(is_word)
-        self.symbols[self.word_places] = symbols_of(self.words)
-        self.symbols[self.starts] = self.symbols[self.ends] = END_SYMBOL
+
+    @cached_property
+    def symbols(self) -> np.ndarray:
+        at, past = self.edges[::2], self.edges[1::2]
+        out = np.zeros(len(at) + 3 * len(self.sizes), np.uint64)
+        out[self.word_places] = symbols_at(np.frombuffer(self.bytes, np.uint8), at, past - at)
+        out[self.starts] = out[self.ends] = END_SYMBOL
+        return out
+
+    def word(self, k: int) -> bytes:
+        return self.bytes[self.edges[2 * k]:self.edges[2 * k + 1]]
+
+    def counted(self) -> pa.Table:
+        """``word, c``, ends included."""
+        both = pa.Array.from_buffers(pa.binary(), max(0, len(self.edges) - 1), [None, pa.py_buffer(self.edges.astype(np.int32)), pa.py_buffer(self.bytes)])
+        found = pc.value_counts(both.take(pa.array(np.arange(0, len(both), 2))))
+        return pa.table([pa.chunked_array([found.field("values"), pa.array([END], pa.binary())]), pa.chunked_array([found.field("counts"), pa.array([len(self.sizes)], pa.int64())])],
+                        names=["word", "c"])
 
     def keys(self, length: int) -> list[np.ndarray]:
         """For 1, 2 ... ``length`` symbols ending at each place their key, 0 where a gap lies between."""
@@ -149,7 +206,7 @@ class Lines:
         return out
 
 
-def in_lines(bodies: list[bytes], most: int = 2 << 20) -> Iterator[Lines]:
+def in_lines(bodies: list[bytes], most: int = 1 << 19) -> Iterator[Lines]:
     """Texts in groups of about ``most`` bytes."""
     held, size = [], 0
     for body in bodies:
@@ -162,21 +219,61 @@ def in_lines(bodies: list[bytes], most: int = 2 << 20) -> Iterator[Lines]:
         yield Lines(held)
 
 
-def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count: int) -> DataFrame:
-    """``context, short, last, key, c`` of the sequences of ``length`` symbols that occur ``least_count`` times: the keys of all but the last symbol, of
-    that without its first one (0 if that is all), the last symbol and the key of the whole.  ``known`` tells which shorter ones may be so frequent."""
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of 64-bit numbers, each as its different values and their places, which are short as words are unequally frequent."""
+    parts = [np.array([len(columns), len(columns[0])], "<u4").tobytes()]
+    for column in columns:
+        found = pa.array(column).dictionary_encode()
+        values, places = found.dictionary.to_numpy(), found.indices.to_numpy()
+        kind = "<u1" if len(values) <= 1 << 8 else "<u2" if len(values) <= 1 << 16 else "<u4"
+        parts += [np.array([len(values), int(kind[2])], "<u4").tobytes(), values.astype("<u8").tobytes(), places.astype(kind).tobytes()]
+    return b"".join(parts)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    columns, rows = np.frombuffer(data, "<u4", 2).tolist()
+    at, out = 8, []
+    for _ in range(columns):
+        n, width = np.frombuffer(data, "<u4", 2, at).tolist()
+        values = np.frombuffer(data, "<u8", n, at + 8)
+        at += 8 + 8 * n
+        out.append(values[np.frombuffer(data, f"<u{width}", rows, at)])
+        at += width * rows
+    return out
+
+
+def summed(columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different sequences in the order of their keys, and their columns, of which the first is a count, the next the context and the last symbol."""
+    keys = chain(columns[1], columns[2])
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[new], [np.add.reduceat(columns[0][order], new), *(c[order[new]] for c in columns[1:])]
+
+
+def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count: int, n_symbols: int) -> DataFrame:
+    """``context, short, last, c, key`` of the sequences of ``length`` symbols that occur ``least_count`` times: the keys of all but the last symbol, of
+    that without its first one (0 if that is all), the last symbol and the key of the whole.  ``known`` tells which shorter ones may be so frequent.
+
+    Tasks sum what they hold and cut it by the first bits of the key into stripes, as many as ``n_symbols`` positions ask for; a stripe is summed at once."""
     sent = texts.sparkSession.sparkContext.broadcast(known.bits)
-    names = ["context", "last"] + ["short"] * (length > 2)
+    bits = min(20, max(0, (n_symbols // STRIPE).bit_length()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = KeyFilter(sent.value)
         held: list[list[np.ndarray]] = []
         size = 0
 
-        def summed() -> Iterator[pa.RecordBatch]:
-            rows = pa.table([pa.array(np.concatenate(x).view(np.int64)) for x in zip(*held)], names=names)
-            found = rows.group_by(names, use_threads=False).aggregate([([], "count_all")]).rename_columns([*names, "c"])
-            yield from found.combine_chunks().to_batches(max_chunksize=FLUSH)
+        def cut() -> Iterator[pa.RecordBatch]:
+            found = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
+            keys, rows = summed([np.ones(len(found[0]), np.uint64), *found])
+            stripe = (keys >> np.uint64(44)).astype(np.int64) >> (20 - bits)
+            bounds = np.searchsorted(stripe, np.arange((1 << bits) + 1))
+            for k in range(1 << bits):
+                for at in range(bounds[k], bounds[k + 1], PIECE):
+                    part = slice(at, min(at + PIECE, bounds[k + 1]))
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed([x[part] for x in rows])], pa.binary())], names=["stripe", "part"])
 
         for batch in batches:
             for lines in in_lines(batch.column(0).to_pylist()):
@@ -188,22 +285,33 @@ def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count
                 held.append([context[at], lines.symbols[1:][at]] + ([keys[-2][:-1][at]] if length > 2 else []))
                 size += len(at)
                 if size > HELD:
-                    yield from summed()
-                    held, size = [], 0
-        if held:
-            yield from summed()
+                    yield from cut()
+                    size = 0
+        if size:
+            yield from cut()
 
-    counted = in_batches(texts, count, ", ".join(f"{n} long" for n in [*names, "c"])).groupBy(*names).agg(F.sum("c").alias("c"))
-    if length == 2:
-        counted = counted.withColumn("short", F.lit(0).cast("long"))
-    counted = counted.select("context", "short", "last", "c")
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held = None, []
+
+        def often() -> Iterator[pa.RecordBatch]:
+            keys, (c, context, last, *short) = summed([np.concatenate(x) for x in zip(*held)])
+            at = np.flatnonzero(c >= np.uint64(least_count))
+            short = short[0][at] if short else np.zeros(len(at), np.uint64)
+            rows = pa.table([pa.array(x.view(np.int64)) for x in (context[at], short, last[at], c[at], keys[at])], names=["context", "short", "last", "c", "key"])
+            yield from rows.to_batches(max_chunksize=PIECE)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            context, last = (batch.column(n).to_numpy().view(np.uint64) for n in ("context", "last"))
-            yield batch.append_column("key", pa.array(chain(context, last).view(np.int64)))
+            for stripe, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if held and stripe != own:
+                    yield from often()
+                    held = []
+                own = stripe
+                held.append(unpacked(part))
+        if held:
+            yield from often()
 
-    return staged(counted.where(F.col("c") >= least_count).mapInArrow(keyed, "context long, short long, last long, c long, key long"), "sequences")
+    parts = in_batches(texts, count, "stripe int, part binary").repartition(1 << bits, "stripe").sortWithinPartitions("stripe")
+    return staged(in_batches(parts, total, "context long, short long, last long, c long, key long"), "sequences")
 
 
 def judged(found: DataFrame, contexts: DataFrame, shorter: DataFrame, divergence: float, prior: float) -> DataFrame:
@@ -315,19 +423,19 @@ def _word_lists(lines: Lines, places: np.ndarray, n: int) -> pa.ListArray:
     at_word = np.searchsorted(lines.word_places, places)
     ends = set(lines.ends.tolist())
     for place, k, w in zip(places.tolist(), owner.tolist(), at_word.tolist()):
-        found[k][END if place in ends else lines.words[w]] += 1
+        found[k][END if place in ends else lines.word(w)] += 1
     pairs = pa.StructArray.from_arrays([pa.array([w for x in found for w in x], pa.binary()), pa.array([c for x in found for c in x.values()], pa.int64())], names=["word", "n"])
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pairs)
 
 
-def grow(training: DataFrame, counts: DataFrame, whole: float, least_count: int, depth: int, divergence: float, prior: float) -> list[DataFrame]:
+def grow(training: DataFrame, counts: DataFrame, n_symbols: int, whole: float, least_count: int, depth: int, divergence: float, prior: float) -> list[DataFrame]:
     """The judged sequences of 2, 3 ... ``depth`` + 1 symbols."""
     often = counts.where(F.col("c") >= least_count)
     contexts = often.select(F.col("symbol").alias("context"), F.col("c").alias("whole"))
     shorter = often.select(F.lit(0).cast("long").alias("short"), F.col("symbol").alias("last"), ((F.col("c") + 0.5) / F.lit(whole)).alias("below"))
     known, levels = key_filter(often, "symbol"), []
     for length in range(2, depth + 2):
-        found = sequence_counts(training, length, known, least_count)
+        found = sequence_counts(training, length, known, least_count, n_symbols)
         rows = judged(found, contexts, shorter, divergence, prior)
         dropped(found)
         levels.append(rows)
@@ -348,12 +456,12 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     n_symbols, n_different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()
     whole = n_symbols + 0.5 * (n_different + 1)
     own = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / whole) if n_symbols else F.lit(0.0)
-    levels = grow(training, counts, whole, least_count, depth, divergence, prior) if n_symbols else []
+    levels = grow(training, counts, n_symbols, whole, least_count, depth, divergence, prior) if n_symbols else []
     found = entries(levels, spark)
     dropped(*levels)
     cut = most_frequent(found, sent)
     few, others = found.where(F.col("c") >= cut), staged(found.where(F.col("c") < cut), "other-entries")
-    common = counts.where(F.col("c") >= most_frequent(counts, sent))
+    common = counts.where(F.col("c") >= max(least_count, most_frequent(counts, sent)))
     told = spark.sparkContext.broadcast((_gathered(common, "symbol", own), _gathered(few, "k", F.col("v")), key_filter(others, "k").bits, depth))
     dropped(found)
     part = (f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, n_tokens long, base double, logs double, "

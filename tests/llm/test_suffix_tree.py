@@ -123,3 +123,39 @@ def test_sent_tables_carry_keys_and_values_only():
         assert len(sent) < 16 * n + 1000
         there, found = pickle.loads(sent).find(np.concatenate([keys, keys + np.uint64(1)]))
         assert there.tolist() == [True] * n + [False] * n and found[:n].tolist() == values.tolist()
+
+
+def test_rare_words_are_looked_up_at_every_size(spark, monkeypatch):
+    """A table that fits the broadcast is no other case than one that does not: words too rare for the tree are never sent."""
+    sent, gathered = {}, P._gathered
+    monkeypatch.setattr(P, "_gathered", lambda rows, key, value: sent.setdefault(key, gathered(rows, key, value)))
+    learnt = [k for k in range(100) if not is_held_out(k)][:4]
+    rows = [(k, f"often only{k}" + " twice" * (n < 2)) for n, k in enumerate(learnt)]
+    out = P.score_documents(docs(spark, rows)).collect()
+    assert len(sent["symbol"].keys) == 2  # "often" and the end
+    counts = Counter(x for _, t in rows for x in symbols(t))
+    whole = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    base = {k: sum(math.log10((counts[x] + 0.5) / whole) for x in symbols(t)) for k, t in rows}
+    assert all(r["base_score"] == pytest.approx(base[r["doc_id"]]) and r["n_known"] == r["n_tokens"] for r in out)
+
+
+def test_lines_are_the_words_of_their_texts():
+    rng = np.random.default_rng(5)
+    bodies = [b"", b"  A b\tcC\x0bdd\x0c\x1c e", "É ünï".encode(), b"x" * 64 + b" " + b"x" * 65 + b" " + b"y" * 200, b"abcdefgh abcdefgh\x00 a a\x00", b"\n"]
+    bodies += [rng.integers(0, 256, 50).astype(np.uint8).tobytes() for _ in range(200)]
+    lines, found = P.Lines(bodies), [b.lower().split() for b in bodies]
+    flat = [w for f in found for w in f]
+    assert lines.sizes.tolist() == [len(f) for f in found] and [lines.word(k) for k in range(len(flat))] == flat
+    own = lines.symbols[lines.word_places].tolist()
+    assert own == P.symbols_of(P.pa.array(flat, P.pa.binary())).tolist() and len(set(zip(own, flat))) == len(set(own)) == len(set(flat))
+    counted = lines.counted()
+    assert dict(zip(counted["word"].to_pylist(), counted["c"].to_pylist())) == Counter(flat) + Counter({P.END: len(bodies)})
+
+
+def test_sequences_are_packed_for_the_shuffle():
+    rng = np.random.default_rng(6)
+    words = rng.integers(1, 1 << 63, 5000).astype(np.uint64)
+    columns = [words[np.minimum(rng.zipf(1.3, 30_000), 5000) - 1] for _ in range(2)]
+    data = P.packed([np.ones(30_000, np.uint64), *columns])
+    assert len(data) < 8 * 30_000  # 24 bytes a sequence before
+    assert all((a == b).all() for a, b in zip(columns, P.unpacked(data)[1:]))
