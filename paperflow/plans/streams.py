@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,21 @@ from .rollups import count_text, daily_maps
 POLLS = 4
 
 
-def land(df: DataFrame, path: str, poll: str) -> None:
-    """Lands a whole table as the files of successive polls, oldest first.
+def landing_polls(df: DataFrame, path: str, poll: str) -> Iterator[int]:
+    """Lands a whole table poll by poll, oldest first; what has landed can be drained before the next poll comes.
 
     Rows of a later poll than the last come with the last one, rows of an unknown poll with the first.
     """
     known = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(POLLS - 1), F.col(poll))), F.lit(0))
     for i in range(POLLS):
         df.where(known == i).drop(poll).write.mode("append").parquet(path)
+        yield i
+
+
+def land(df: DataFrame, path: str, poll: str) -> None:
+    """Lands a whole table as the files of successive polls."""
+    for _ in landing_polls(df, path, poll):
+        pass
 
 
 @job("stream_counts", """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
@@ -43,15 +52,20 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @job("stream_dedup", """SELECT doc_id, md5(text) AS text_md5 FROM documents
 QUALIFY row_number() OVER (PARTITION BY text ORDER BY coalesce(least(3, TRY_CAST(substr(source, 4) AS INT) // 5), 0), doc_id) = 1""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Keyed state: a text enters it as its digest, and only ids and digests cross to Python."""
+    """Keyed state: a text enters it as its digest, and only ids and digests cross to Python.
+
+    Each poll is drained when it has landed, whole in one micro-batch: the state of all keys is opened once a poll, not once a file, and the
+    smallest id of a poll wins whichever file holds it.
+    """
     landing, out = scratch_path(spark, "docs-landing"), scratch_path(spark, "docs-first")
     docs = table(spark, folder, "documents").select(
         "doc_id", "text", F.floor(F.substring("source", 4, 10).try_cast("int") / 5).cast("int").alias("poll"))
-    land(docs, landing, "poll")
-    stream = A.arrivals(spark, landing, docs.drop("poll").schema, files_per_trigger=1).select("doc_id", F.md5("text").alias("text_md5"))
+    checkpoint = scratch_path(spark, "docs-checkpoint")
     store = VersionedStore(spark, out, "doc_id bigint, text_md5 string, dedup_key string")
     with rocksdb_state(spark):
-        A.drain(first_arrivals(stream, F.col("text_md5"), ["doc_id"]), into(store, "docs"), scratch_path(spark, "docs-checkpoint"))
+        for _ in landing_polls(docs, landing, "poll"):
+            stream = A.arrivals(spark, landing, docs.drop("poll").schema).select("doc_id", F.md5("text").alias("text_md5"))
+            A.drain(first_arrivals(stream, F.col("text_md5"), ["doc_id"]), into(store, "docs"), checkpoint)
     return store.read().select("doc_id", "text_md5")
 
 

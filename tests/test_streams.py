@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperflow.operators import rollup
+from paperflow.plans import jobs, streams
 from paperflow.streaming import arrivals as A
 from paperflow.streaming import increments as I
 from paperflow.streaming.first import PROVIDER, first_arrivals, rocksdb_state
@@ -121,6 +122,21 @@ class TestFirstArrivals:
             poll(spark, str(tmp_path / "in"), EVENT, str(tmp_path / "cp"), into(fresh, "w"), lambda s: first_arrivals(s, F.col("k"), ["pos"]))
         assert [(r["k"], r["v"]) for r in fresh.read().collect()] == [("b", "first")]
 
+    def test_a_poll_of_many_files_is_one_micro_batch(self, spark, tmp_path, monkeypatch):
+        """The smallest id of a poll wins whichever file holds it, and files do not multiply micro-batches."""
+        folder = str(tmp_path / "tables")
+        rows = [(i, f"text {i % 5}", f"src{(i % 4) * 5}") for i in range(40)] + [(99, None, "src1"), (100, "only", None)]
+        for part in (rows[30:], rows[20:30], rows[10:20], rows[:10]):
+            spark.createDataFrame(part, "doc_id bigint, text string, source string").coalesce(1).write.mode("append").parquet(f"{folder}/documents.parquet")
+        batches = []
+        monkeypatch.setattr(streams, "into", lambda store, writer: lambda rows, number: (batches.append(number), into(store, writer)(rows, number)))
+        got = {(r["doc_id"], r["text_md5"] is None) for r in jobs()["stream_dedup"](spark, folder).collect()}
+        assert batches == list(range(streams.POLLS))
+        first = {}
+        for i, text, source in sorted((r for r in rows if r[1] is not None), key=lambda r: (int((r[2] or "src0")[3:]) // 5, r[0])):
+            first.setdefault(text, i)
+        assert got == {(i, False) for i in first.values()}
+
     def test_a_timer_forgets_keys(self, spark, tmp_path):
         schema = "k string, ts timestamp, v string"
         landing, out = str(tmp_path / "in"), VersionedStore(spark, str(tmp_path / "out"), schema)
