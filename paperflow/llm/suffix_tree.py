@@ -14,7 +14,8 @@ context adds log10 R / (K + R), and a known child adds what its own P exceeds th
 Sequences go by 64-bit keys, each made from the key of all but the last symbol.  Counts, contexts and values are tables that Spark
 partitions and joins; nothing of the tree is gathered but its most frequent entries, at most ``SENT`` of words and of values, which are broadcast, and
 filters of bounded size that tell which keys are worth a shuffle.  On a larger corpus the filters let more keys through, which costs
-rows, never results.  What the broadcast does not answer is summed for each text and looked up by a join, rare words likewise.
+rows, never results.  What the broadcast does not answer is asked by packed stripes of keys that meet the entries of their stripe; rare
+words are summed for each text and looked up by a join.
 The children of one context meet in a task, as many as the context has different known ones.
 
 Null texts count as empty and have the end alone.  A null id counts as the text "".  Repeated rows are learnt as often as they
@@ -33,11 +34,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import filters
 from .common import dropped, in_batches, raw, staged, words
-from .filters import KeyFilter, key_filter, mixed
+from .filters import KeyFilter, distinct, key_filter, mixed
 
 LEAST_COUNT = 3
 DEPTH = 3
@@ -53,6 +56,11 @@ STRIPE = 1 << 21
 """Positions whose sequences a stripe of the counting holds on average."""
 PIECE = 1 << 15
 """Sequences that one row of the shuffle holds at most."""
+ASKED = 1 << 20
+"""Keys to look up that a task holds at a time, and entries that a stripe of the look-up holds on average."""
+ANSWERS = pa.list_(pa.struct([("row", pa.int64()), ("gained", pa.float64())]))
+DEALT = 64
+"""Numbers below 0 by which scored texts are dealt to the tasks of the look-up."""
 CONTEXT = np.uint64(0x5851F42D4C957F2D)
 """Sets a context's entry apart from that of the sequence itself."""
 LONG = 64
@@ -242,48 +250,98 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def summed(columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The different sequences in the order of their keys, and their columns, of which the first is a count, the next the context and the last symbol."""
-    keys = chain(columns[1], columns[2])
+def planes(columns: list[np.ndarray]) -> bytes:
+    """Columns of 4 or 8 bytes a number by the bytes' places, which an entropy coder shortens: high bytes of ranks and of differences are mostly 0."""
+    whole = b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns)
+    head = np.array([len(columns), len(columns[0]), *(c.itemsize for c in columns)], "<u4").tobytes()
+    return head + pa.Codec("zstd", compression_level=1).compress(whole, asbytes=True)
+
+
+def from_planes(data: bytes) -> list[np.ndarray]:
+    n, rows = np.frombuffer(data, "<u4", 2).tolist()
+    widths = np.frombuffer(data, "<u4", n, 8).tolist()
+    whole = np.frombuffer(pa.Codec("zstd").decompress(data[8 + 4 * n:], decompressed_size=rows * sum(widths)), np.uint8)
+    at, out = 0, []
+    for width in widths:
+        out.append(np.ascontiguousarray(whole[at:at + width * rows].reshape(width, rows).T).view(f"<u{width}")[:, 0])
+        at += width * rows
+    return out
+
+
+def stripes_of(keys: np.ndarray, bits: int, piece: int) -> Iterator[tuple[int, slice]]:
+    """The pieces of sorted keys, cut by their first bits."""
+    bounds = np.searchsorted((keys >> np.uint64(44)).astype(np.int64) >> (20 - bits), np.arange((1 << bits) + 1))
+    for k in range(1 << bits):
+        for at in range(bounds[k], bounds[k + 1], piece):
+            yield k, slice(at, min(at + piece, bounds[k + 1]))
+
+
+def summed(keys: np.ndarray, counts: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The different keys in order, their counts and columns."""
     order = np.argsort(keys)
     keys = keys[order]
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[new], [np.add.reduceat(columns[0][order], new), *(c[order[new]] for c in columns[1:])]
+    return keys[new], np.add.reduceat(counts[order], new), [c[order[new]] for c in columns]
+
 
+def chained(symbols: list[np.ndarray]) -> np.ndarray:
+    key = symbols[0]
+    for last in symbols[1:]:
+        key = chain(key, last)
+    return key
 
-def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count: int, n_symbols: int) -> DataFrame:
+
+def scaled_filter(keys: DataFrame, column: str) -> KeyFilter:
+    """Up to eight times the bits where there are so many keys.  Few tasks set them, as each sends all it has set."""
+    shift = min(3, (8 * keys.count() // filters.FILTER_BITS).bit_length())
+    return key_filter(keys.coalesce(32), column, filters.FILTER_BITS << shift)
+
+
+def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count: int, n_symbols: int, ranked: Broadcast) -> DataFrame:
     """``context, short, last, c, key`` of the sequences of ``length`` symbols that occur ``least_count`` times: the keys of all but the last symbol, of
     that without its first one (0 if that is all), the last symbol and the key of the whole.  ``known`` tells which shorter ones may be so frequent.
 
-    Tasks sum what they hold and cut it by the first bits of the key into stripes, as many as ``n_symbols`` positions ask for; a stripe is summed at once."""
+    Tasks sum what they hold and cut it by the first bits of the key into stripes, as many as ``n_symbols`` positions ask for; a stripe is summed at once.
+    A sequence crosses as the ranks of its words in ``ranked``, or whole if one of them has none though it may be frequent."""
     sent = texts.sparkSession.sparkContext.broadcast(known.bits)
     bits = min(20, max(0, (n_symbols // STRIPE).bit_length()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = KeyFilter(sent.value)
-        held: list[list[np.ndarray]] = []
+        ranks, complete = ranked.value
+        short: list[list[np.ndarray]] = []
+        whole: list[list[np.ndarray]] = []
         size = 0
 
         def cut() -> Iterator[pa.RecordBatch]:
-            found = [np.concatenate(x) for x in zip(*held)]
-            held.clear()
-            keys, rows = summed([np.ones(len(found[0]), np.uint64), *found])
-            stripe = (keys >> np.uint64(44)).astype(np.int64) >> (20 - bits)
-            bounds = np.searchsorted(stripe, np.arange((1 << bits) + 1))
-            for k in range(1 << bits):
-                for at in range(bounds[k], bounds[k + 1], PIECE):
-                    part = slice(at, min(at + PIECE, bounds[k + 1]))
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed([x[part] for x in rows])], pa.binary())], names=["stripe", "part"])
+            for by_rank, held in ((True, short), (False, whole)):
+                own, *columns = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.uint64)]
+                held.clear()
+                if not len(own):
+                    continue
+                keys, c, columns = summed(own, np.ones(len(own), np.uint64), columns)
+                for k, part in stripes_of(keys, bits, PIECE):
+                    rows = [x[part] for x in columns]
+                    data = planes([c[part].astype("<u4"), *rows]) if by_rank else packed([c[part], *rows])
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([by_rank]), pa.array([data], pa.binary())], names=["stripe", "ranked", "part"])
 
         for batch in batches:
             for lines in in_lines(batch.column(0).to_pylist()):
-                keys = lines.keys(length - 1)
-                context, suffix = keys[-1][:-1], keys[-1][1:]
-                at = np.flatnonzero((context != 0) & (lines.symbols[1:] != 0))
+                key = lines.keys(length - 1)[-1]
+                context, suffix, last = key[:-1], key[1:], lines.symbols[1:]
+                at = np.flatnonzero((context != 0) & (last != 0))
                 at = at[may.may_have(context[at])]
                 at = at[may.may_have(suffix[at])]
-                held.append([context[at], lines.symbols[1:][at]] + ([keys[-2][:-1][at]] if length > 2 else []))
-                size += len(at)
+                has_rank, rank = ranks.find(lines.symbols)
+                rank = rank.astype("<u4")
+                places = [at + k for k in range(2 - length, 2)]
+                all_ranked = np.logical_and.reduce([has_rank[x] for x in places])
+                keys = chain(context[at], last[at])
+                short.append([keys[all_ranked], *(rank[x[all_ranked]] for x in places)])
+                size += np.count_nonzero(all_ranked)
+                if not complete and not all_ranked.all():
+                    whole.append([keys[~all_ranked], *(lines.symbols[x[~all_ranked]] for x in places)])
+                    size += len(whole[-1][0])
                 if size > HELD:
                     yield from cut()
                     size = 0
@@ -291,27 +349,38 @@ def sequence_counts(texts: DataFrame, length: int, known: KeyFilter, least_count
             yield from cut()
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, _ = ranked.value
+        symbol = np.zeros(len(ranks.keys), np.uint64)
+        symbol[ranks.values.astype(np.int64)] = ranks.keys
         own, held = None, []
 
         def often() -> Iterator[pa.RecordBatch]:
-            keys, (c, context, last, *short) = summed([np.concatenate(x) for x in zip(*held)])
+            counts, *symbols = [np.concatenate(x) for x in zip(*held)]
+            keys, c, symbols = summed(chained(symbols), counts, symbols)
             at = np.flatnonzero(c >= np.uint64(least_count))
-            short = short[0][at] if short else np.zeros(len(at), np.uint64)
-            rows = pa.table([pa.array(x.view(np.int64)) for x in (context[at], short, last[at], c[at], keys[at])], names=["context", "short", "last", "c", "key"])
+            symbols = [x[at] for x in symbols]
+            shorter = chained(symbols[1:-1]) if length > 2 else np.zeros(len(at), np.uint64)
+            rows = pa.table([pa.array(x.view(np.int64)) for x in (chained(symbols[:-1]), shorter, symbols[-1], c[at], keys[at])], names=["context", "short", "last", "c", "key"])
             yield from rows.to_batches(max_chunksize=PIECE)
 
         for batch in batches:
-            for stripe, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for stripe, by_rank, part in zip(*(x.to_pylist() for x in batch.columns)):
                 if held and stripe != own:
                     yield from often()
                     held = []
                 own = stripe
-                held.append(unpacked(part))
+                if by_rank:
+                    c, *places = from_planes(part)
+                    held.append([c.astype(np.uint64), *(symbol[x] for x in places)])
+                else:
+                    held.append(unpacked(part))
         if held:
             yield from often()
 
-    parts = in_batches(texts, count, "stripe int, part binary").repartition(1 << bits, "stripe").sortWithinPartitions("stripe")
-    return staged(in_batches(parts, total, "context long, short long, last long, c long, key long"), "sequences")
+    parts = in_batches(texts, count, "stripe int, ranked boolean, part binary").repartition(1 << bits, "stripe").sortWithinPartitions("stripe")
+    out = staged(in_batches(parts, total, "context long, short long, last long, c long, key long"), "sequences")
+    sent.destroy()
+    return out
 
 
 def judged(found: DataFrame, contexts: DataFrame, shorter: DataFrame, divergence: float, prior: float) -> DataFrame:
@@ -407,14 +476,74 @@ def scores(lines: Lines, known: Sent) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.add.reduceat(base, lines.starts), np.add.reduceat(logs, lines.starts), missing, (np.concatenate(asked_owner), np.concatenate(asked))
 
 
-def _asked_lists(owners: np.ndarray, keys: np.ndarray, n: int) -> pa.ListArray:
-    order = np.lexsort((keys, owners))
+def asked_parts(owners: np.ndarray, keys: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
+    """Per stripe the keys in order, as differences, each with its text and how often that asks for it."""
+    order = np.lexsort((owners, keys))
     owners, keys = owners[order], keys[order]
     first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), (owners[1:] != owners[:-1]) | (keys[1:] != keys[:-1])]))
     times = np.diff(np.concatenate([first, [len(keys)]]))
-    ends = np.concatenate([[0], np.cumsum(np.bincount(owners[first], minlength=n))])
-    pairs = pa.StructArray.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(times.astype(np.int64))], names=["key", "n"])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+    owners, keys = owners[first], keys[first]
+    for k, part in stripes_of(keys, bits, PIECE // 2):
+        yield k, planes([np.diff(keys[part], prepend=np.uint64(0)), owners[part].astype("<u4"), times[part].astype("<u4")])
+
+
+def answered(scored: DataFrame, others: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``scored`` that are texts, and ``answers`` with what the entries add to those that ask for them, a row for each request.
+
+    A request has a stripe from 0 on, the row of the first text and ``asked_parts``; it meets the entries of its stripe in one task and is not kept."""
+    def entry_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def cut() -> Iterator[pa.RecordBatch]:
+            keys, values = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
+            order = np.argsort(keys)
+            keys, values = keys[order], values[order]
+            for k, part in stripes_of(keys, bits, PIECE // 2):
+                data = planes([np.diff(keys[part], prepend=np.uint64(0)), values[part].view(np.uint64)])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([-1], pa.int64()), pa.array([data], pa.binary())], names=["stripe", "row", "part"])
+
+        for batch in batches:
+            held.append([batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().astype(float)])
+            if sum(len(x) for x, _ in held) > ASKED:
+                yield from cut()
+        if held:
+            yield from cut()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held, table = None, [], None
+        for batch in batches:
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            stripes, parts = columns.pop("stripe"), columns.pop("part")
+            is_text = pc.less(stripes, 0)
+            texts = batch.filter(is_text)
+            if len(texts):
+                yield pa.RecordBatch.from_arrays([*(texts.column(name) for name in columns), pa.nulls(len(texts), ANSWERS)], names=[*columns, "answers"])
+            at_row = columns["row"].to_pylist()
+            for k, stripe in enumerate(stripes.to_pylist()):
+                if stripe < 0:
+                    continue
+                if stripe != own:
+                    own, held, table = stripe, [], None
+                found = from_planes(parts[k].as_py())
+                keys = np.cumsum(found[0], dtype=np.uint64)
+                if at_row[k] < 0:
+                    held.append([keys, found[1].view(float)])
+                    continue
+                if table is None and held:
+                    table = Keys(*[np.concatenate(x) for x in zip(*held)])
+                if table is not None:
+                    there, values = table.find(keys)
+                    owners, gained = found[1][there].astype(np.int64), (values * found[2])[there]
+                    rows = distinct(owners)
+                    if len(rows):
+                        pairs = pa.StructArray.from_arrays([pa.array(at_row[k] + rows), pa.array(np.bincount(owners, gained)[rows])], names=["row", "gained"])
+                        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, c.type) for c in columns.values()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), pairs)],
+                                                         names=[*columns, "answers"])
+
+    sent = in_batches(others.select("k", "v"), entry_parts, "stripe int, row long, part binary")
+    met = scored.unionByName(sent, allowMissingColumns=True).repartition(1 << bits, "stripe").sortWithinPartitions("stripe", "row")
+    return in_batches(met, answer, ", ".join(f"`{n}` {t}" for n, t in scored.dtypes if n not in ("stripe", "part")) + ", answers array<struct<row: long, gained: double>>")
 
 
 def _word_lists(lines: Lines, places: np.ndarray, n: int) -> pa.ListArray:
@@ -428,21 +557,34 @@ def _word_lists(lines: Lines, places: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pairs)
 
 
-def grow(training: DataFrame, counts: DataFrame, n_symbols: int, whole: float, least_count: int, depth: int, divergence: float, prior: float) -> list[DataFrame]:
+def word_ranks(counts: DataFrame, least_count: int, sent: int) -> tuple[Keys, bool]:
+    """The most frequent words, at most ``sent``, with their ranks, and whether these are all that occur ``least_count`` times."""
+    cut = most_frequent(counts, sent)
+    found = counts.where(F.col("c") >= max(least_count, cut)).select("symbol", "c").toArrow()
+    symbol, c = found["symbol"].to_numpy().view(np.uint64), found["c"].to_numpy()
+    rank = np.empty(len(c))
+    rank[np.lexsort((symbol, -c))] = np.arange(len(c))
+    return Keys(symbol, rank), cut <= least_count
+
+
+def grow(training: DataFrame, counts: DataFrame, n_symbols: int, whole: float, least_count: int, depth: int, divergence: float, prior: float,
+         sent: int = SENT) -> list[DataFrame]:
     """The judged sequences of 2, 3 ... ``depth`` + 1 symbols."""
     often = counts.where(F.col("c") >= least_count)
+    ranked = training.sparkSession.sparkContext.broadcast(word_ranks(counts, least_count, sent))
     contexts = often.select(F.col("symbol").alias("context"), F.col("c").alias("whole"))
     shorter = often.select(F.lit(0).cast("long").alias("short"), F.col("symbol").alias("last"), ((F.col("c") + 0.5) / F.lit(whole)).alias("below"))
-    known, levels = key_filter(often, "symbol"), []
+    known, levels = scaled_filter(often, "symbol"), []
     for length in range(2, depth + 2):
-        found = sequence_counts(training, length, known, least_count, n_symbols)
+        found = sequence_counts(training, length, known, least_count, n_symbols, ranked)
         rows = judged(found, contexts, shorter, divergence, prior)
         dropped(found)
         levels.append(rows)
         if length <= depth:
-            known = key_filter(rows, "key")
+            known = scaled_filter(rows, "key")
             contexts = rows.select(F.col("key").alias("context"), F.col("c").alias("whole"))
             shorter = rows.select(F.col("context").alias("short"), "last", F.col("p").alias("below"))
+    ranked.destroy()
     return levels
 
 
@@ -456,41 +598,64 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     n_symbols, n_different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()
     whole = n_symbols + 0.5 * (n_different + 1)
     own = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / whole) if n_symbols else F.lit(0.0)
-    levels = grow(training, counts, n_symbols, whole, least_count, depth, divergence, prior) if n_symbols else []
+    levels = grow(training, counts, n_symbols, whole, least_count, depth, divergence, prior, sent) if n_symbols else []
     found = entries(levels, spark)
     dropped(*levels)
     cut = most_frequent(found, sent)
     few, others = found.where(F.col("c") >= cut), staged(found.where(F.col("c") < cut), "other-entries")
     common = counts.where(F.col("c") >= max(least_count, most_frequent(counts, sent)))
-    told = spark.sparkContext.broadcast((_gathered(common, "symbol", own), _gathered(few, "k", F.col("v")), key_filter(others, "k").bits, depth))
+    others_bits = scaled_filter(others, "k").bits
+    told = spark.sparkContext.broadcast((_gathered(common, "symbol", own), _gathered(few, "k", F.col("v")), others_bits, depth))
     dropped(found)
+    bits = min(20, (others.count() // ASKED).bit_length())
     part = (f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, n_tokens long, base double, logs double, "
-            "rare array<struct<word: binary, n: long>>, asked array<struct<key: long, n: long>>")
+            "rare array<struct<word: binary, n: long>>, row long, stripe int, part binary")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, values, bits, deep = told.value
-        known = Sent(frequent, values, KeyFilter(bits), deep)
+        frequent, values, filter_bits, deep = told.value
+        known = Sent(frequent, values, KeyFilter(filter_bits), deep)
+        names = ["doc_id", "held_out", "n_tokens", "base", "logs", "rare", "row", "stripe", "part"]
+        kinds: list[pa.DataType] = []
+        row = first = TaskContext.get().partitionId() << 33
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def requests() -> Iterator[pa.RecordBatch]:
+            parts = list(asked_parts(*(np.concatenate(x) for x in zip(*held)), bits))
+            held.clear()
+            for stripe, data in parts:
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, kind) for kind in kinds), pa.array([first]), pa.array([stripe], pa.int32()), pa.array([data], pa.binary())], names=names)
+
         for batch in batches:
-            n_tokens, base, logs, rare, asked = [], [], [], [], []
+            n_tokens, base, logs, rare = [], [], [], []
             for lines in in_lines(batch.column(2).to_pylist()):
                 own_base, own_logs, missing, (owners, keys) = scores(lines, known)
                 n = len(lines.sizes)
+                held.append((owners + (row - first + sum(map(len, n_tokens))), keys))
                 n_tokens.append(lines.sizes + 1), base.append(own_base), logs.append(own_logs)
-                rare.append(_word_lists(lines, missing, n)), asked.append(_asked_lists(owners, keys, n))
+                rare.append(_word_lists(lines, missing, n))
             if rare:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(np.concatenate(x)) for x in (n_tokens, base, logs)],
-                                                  pa.concat_arrays(rare), pa.concat_arrays(asked)],
-                                                 names=["doc_id", "held_out", "n_tokens", "base", "logs", "rare", "asked"])
+                columns = [batch.column(0), batch.column(1), *[pa.array(np.concatenate(x)) for x in (n_tokens, base, logs)], pa.concat_arrays(rare)]
+                kinds = [c.type for c in columns]
+                n = batch.num_rows
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(row, row + n)), pa.array(-1 - np.arange(n) % DEALT, pa.int32()), pa.nulls(n, pa.binary())], names=names)
+                row += n
+            if sum(len(keys) for _, keys in held) > ASKED:
+                yield from requests()
+                first = row
+        if held:
+            yield from requests()
 
     scored = in_batches(rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "body"), score, part)
-    scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "tree-scores")
+    scored = staged(answered(scored, others, bits), "tree-scores")
+    told.destroy()
+    dropped(others)
+    met = scored.where("answers IS NOT NULL").select(F.explode("answers").alias("a")).groupBy("a.row").agg(F.sum("a.gained").alias("gained"))
+    scored = scored.where("answers IS NULL").drop("answers")
     nothing = F.lit(0.0)
     words_met = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(counts.select("word", "c"), "word", "left").groupBy("row").agg(
         F.sum(F.col("n") * own).alias("own"), F.sum(F.when(F.col("c").isNull(), F.col("n")).otherwise(0)).alias("unknown"))
-    met = scored.select("row", F.explode("asked").alias("a")).select("row", F.col("a.key").alias("k"), "a.n").join(others.select("k", "v"), "k").groupBy("row").agg(
-        F.sum(F.col("n") * F.col("v")).alias("gained"))
     words_met, met = staged(words_met, "rare-words"), staged(met, "looked-up")
-    joined = scored.drop("rare", "asked").join(words_met, "row", "left").join(met, "row", "left")
+    joined = scored.drop("rare").join(words_met, "row", "left").join(met, "row", "left")
     added, gained = F.coalesce("own", nothing), F.coalesce("gained", nothing)
     return joined.select(F.col("doc_id").alias(key), "held_out", "n_tokens", (F.col("n_tokens") - F.coalesce("unknown", F.lit(0))).alias("n_known"),
                          F.lit(n_symbols).cast("long").alias("train_tokens"), (F.col("base") + added).alias("base_score"),

@@ -159,3 +159,29 @@ def test_sequences_are_packed_for_the_shuffle():
     data = P.packed([np.ones(30_000, np.uint64), *columns])
     assert len(data) < 8 * 30_000  # 24 bytes a sequence before
     assert all((a == b).all() for a, b in zip(columns, P.unpacked(data)[1:]))
+
+
+def test_sequences_cross_the_shuffle_as_ranks():
+    """Per-piece dictionaries of 64-bit symbols grow shorter pieces: a piece of a larger corpus took more bytes a sequence."""
+    rng = np.random.default_rng(7)
+    for rows in (500, 30_000):
+        ranks = [(np.minimum(rng.zipf(1.2, rows), 1 << 20) - 1).astype("<u4") for _ in range(3)]
+        data = P.planes([np.ones(rows, "<u4"), *ranks])
+        assert len(data) < 8 * rows + 100
+        assert all((a == b).all() for a, b in zip(ranks, P.from_planes(data)[1:]))
+    for rows in (0, 1):
+        assert [x.tolist() for x in P.from_planes(P.planes([np.full(rows, 3, "<u8"), np.full(rows, 4, "<u4")]))] == [[3] * rows, [4] * rows]
+
+
+def test_asked_keys_go_packed_and_once_a_text():
+    rng = np.random.default_rng(8)
+    keys, owners = rng.integers(1, 1 << 63, 3000).astype(np.uint64)[rng.integers(0, 3000, 90_000)] * np.uint64(2), rng.integers(0, 50, 90_000)
+    got, size = Counter(), 0
+    for stripe, data in P.asked_parts(owners, keys, 3):
+        size += len(data)
+        steps, own, times = P.from_planes(data)
+        found = np.cumsum(steps, dtype=np.uint64)
+        assert ((found >> np.uint64(61)) == stripe).all()
+        got.update(dict(zip(zip(found.tolist(), own.tolist()), times.tolist())))
+    assert got == Counter(zip(keys.tolist(), owners.tolist())) and size < 4 * len(got)
+    assert list(P.asked_parts(owners[:0], keys[:0], 0)) == []
